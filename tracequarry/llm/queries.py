@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tracequarry.llm import bpe
+from tracequarry.llm import bpe, packing
 
 
 def _table(spark, sf_dir, name):
@@ -16,9 +16,15 @@ def op1_byte_bpe(spark, sf_dir):
     return bpe.digests(_table(spark, sf_dir, "documents"), bpe.model_from_ranks(ranks, public_tokenizers.PATTERN))
 
 
+def op7_best_fit_packing(spark, sf_dir):
+    model = bpe.read_model(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(_table(spark, sf_dir, "documents"), model)
+
+
 def queries() -> dict:
     return {
         "op1_byte_bpe": op1_byte_bpe,
+        "op7_best_fit_packing": op7_best_fit_packing,
     }
 
 
