@@ -4,7 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tracequarry.llm import bpe, packing
+from tracequarry.llm import (
+    bpe,
+    embedding_dedup,
+    language_id,
+    license_scan,
+    lm_scoring,
+    packing,
+    quality,
+    quote_linking,
+    sharding,
+    simhash,
+)
 
 
 def _table(spark, sf_dir, name):
@@ -16,17 +27,48 @@ def op1_byte_bpe(spark, sf_dir):
     return bpe.digests(_table(spark, sf_dir, "documents"), bpe.model_from_ranks(ranks, public_tokenizers.PATTERN))
 
 
+def op2_collision_counting(spark, sf_dir):
+    return embedding_dedup.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def op3_cross_entropy_difference(spark, sf_dir):
+    target = _table(spark, sf_dir, "labels").where("quality = 1")
+    return lm_scoring.score(_table(spark, sf_dir, "documents"), target)
+
+
+def op4_language_id(spark, sf_dir):
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
+def op5_quote_linking(spark, sf_dir):
+    return quote_linking.link(_table(spark, sf_dir, "conversations"))
+
+
+def op6_license_scan(spark, sf_dir):
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark, sf_dir):
     model = bpe.read_model(public_tokenizers.path("byte_bpe_50k.json"))
     return packing.pack(_table(spark, sf_dir, "documents"), model)
 
 
+def op8_jump_sharding(spark, sf_dir):
+    return sharding.shard(_table(spark, sf_dir, "documents"))
+
+
+def op9_golay_simhash(spark, sf_dir):
+    return simhash.cluster(_table(spark, sf_dir, "documents"))
+
+
+def op10_quality_rules(spark, sf_dir):
+    return quality.judge(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {
-        "op1_byte_bpe": op1_byte_bpe,
-        "op7_best_fit_packing": op7_best_fit_packing,
-    }
+    return {f.__name__: f for f in (op1_byte_bpe, op2_collision_counting, op3_cross_entropy_difference, op4_language_id, op5_quote_linking,
+                                    op6_license_scan, op7_best_fit_packing, op8_jump_sharding, op9_golay_simhash, op10_quality_rules)}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op5_quote_linking": quote_linking.ORACLE}
