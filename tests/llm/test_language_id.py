@@ -33,7 +33,7 @@ def test_families():
 def test_edges(spark):
     docs = spark.createDataFrame(
         [(i, "the cat and the dog were here" if i % 2 else "le chat et la souris sont ici", "en" if i % 2 else "fr", None) for i in range(60)]
-        + [(100, None, "en", None), (101, "", "fr", None), (102, "123 !! ½", "fr", None), (None, "le chat", None, None), (103, "le chat " * 40000, "en", None)],
+        + [(100, None, "en", None), (101, "", "fr", None), (102, "123 !! ½", "fr", None), (None, "le chat", None, None), (103, "le chat " * 40000, None, None)],
         DOCS,
     )
     got = {r.doc_id: r for r in lid.identify(docs).collect()}
