@@ -1,11 +1,518 @@
-"""Named queries over the contract tables, with the SQL that must return the same rows."""
+"""Named queries over the contract tables, with the SQL that must return the same rows.
+
+The tables stand in for trajectories: documents are slices with signatures,
+embeddings their vectors, benchmark items are complaints, labels are verdicts,
+a user's events are a long tool trajectory, regions and nations a taxonomy.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from tracequarry.functions import text as tx
+from tracequarry.operators import dedup, health, judging, merging, ranking, recall, selection, slicing, taxonomy, view
+from tracequarry.plans.oracles import SQL
+
+_REGISTERED: dict = {}
+
+
+def query(f):
+    _REGISTERED[f.__name__] = f
+    return f
+
 
 def queries() -> dict:
-    return {}
+    return dict(_REGISTERED)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {k: v for k, v in SQL.items() if k in _REGISTERED}
+
+
+def read(spark, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def long(*names: str) -> list:
+    return [F.col(n).cast("long").alias(n) for n in names]
+
+
+# ---- stand-ins -------------------------------------------------------------
+
+
+def event_steps(spark, sf_dir) -> DataFrame:
+    """A user's events as steps of a trajectory."""
+    kind = F.col("event_type")
+    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    tool = F.when(kind == "view", "Read").when(kind == "click", "Edit").when(kind == "purchase", "Bash")
+    return read(spark, sf_dir, "events").select(
+        F.col("user_id").alias("trajectory_id"),
+        (F.row_number().over(order) - 1).alias("step_index"),
+        F.when(kind == "signup", "user").when(kind == "error", "tool").otherwise("assistant").alias("role"),
+        F.coalesce("props", F.lit("")).alias("content"),
+        tool.alias("tool_call_name"),
+        F.when(kind == "purchase", "run tests").when(tool.isNotNull(), F.concat(F.lit("file "), F.col("event_id").cast("string"))).alias("tool_call_args"),
+        F.when(kind == "error", F.lit("Error: failed")).alias("tool_result"),
+    )
+
+
+def corpus(spark, sf_dir) -> DataFrame:
+    """Documents as signatures: tokens, language, tool, verification, vector, arrival."""
+    docs, vectors = read(spark, sf_dir, "documents"), read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    return docs.join(vectors, "doc_id", "left").select(
+        "doc_id",
+        F.col("doc_id").alias("ingest_seq"),
+        F.array("lang").alias("languages"),
+        F.array("source").alias("tools_used"),
+        F.col("text").rlike(tx.VERIFY_PATTERN).alias("verified"),
+        F.array_sort(F.array_distinct(tx.identifiers(F.col("text")))).alias("bm25_tokens"),
+        "embedding",
+    )
+
+
+def complaints(spark, sf_dir) -> DataFrame:
+    """Benchmark items as sub-problems: keywords, a query vector, a wish for languages for some."""
+    items, vectors = read(spark, sf_dir, "benchmark"), read(spark, sf_dir, "embeddings")
+    first = F.lower(F.substring("text", 1, 1))
+    wish = F.when(first < "i", tx.strings("en", "fr")).when(first < "p", tx.strings("en"))
+    filters = F.struct(wish.alias("languages"), F.lit(None).cast("array<string>").alias("tools_used"), F.lit(None).cast("boolean").alias("has_verification_step"))
+    return items.join(vectors.select(F.col("vec_id").alias("item_id"), "embedding"), "item_id", "left").select(
+        F.col("item_id").alias("sub_problem_id"),
+        tx.identifiers(F.col("text")).alias("keywords"),
+        F.when(F.col("embedding").isNotNull(), F.array("embedding")).alias("query_vectors"),
+        filters.alias("filters"),
+    )
+
+
+def _recalled(spark, sf_dir, top_n: int = 20) -> DataFrame:
+    condition = recall.passes(F.col("languages"), F.col("tools_used"), F.col("verified"), F.col("filters"))
+    return recall.recall(corpus(spark, sf_dir), complaints(spark, sf_dir), condition, top_n=top_n)
+
+
+def _scored(spark, sf_dir) -> DataFrame:
+    """Recalled documents with verdicts from labels, spans and capabilities."""
+    hits = _recalled(spark, sf_dir)
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("ingest_seq"), "lang", "source", "n_chars")
+    verdicts = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("ingest_seq"), "quality", "toxic")
+    match = F.coalesce(F.col("quality") == 1, F.lit(False))
+    span = F.struct(F.lit(0).alias("start_step"), F.floor(F.col("n_chars") / 1000).cast("int").alias("end_step"))
+    rows = hits.join(docs, "ingest_seq").join(verdicts, "ingest_seq", "left")
+    rows = rows.select(
+        "sub_problem_id",
+        F.col("ingest_seq").alias("trajectory_id"),
+        F.lit(0).alias("slice_index"),
+        "rrf",
+        "rank",
+        match.alias("match"),
+        match.alias("judge_match"),
+        F.when(F.col("toxic") == 1, 0.6).otherwise(0.9).alias("confidence"),
+        F.when(match, F.array(span)).otherwise(F.array().cast("array<struct<start_step:int,end_step:int>>")).alias("spans"),
+        F.array("lang", "source").alias("capability"),
+    )
+    return rows.withColumns({"relevance": ranking.relevance(F.col("rrf"), F.col("match")), "seq": F.col("sub_problem_id") * 1000 + F.col("rank")})
+
+
+# ---- sources, steps, signatures ---------------------------------------------
+
+
+@query
+def steps_from_conversations(spark, sf_dir):
+    order = Window.partitionBy("conv_id").orderBy("turn")
+    rows = read(spark, sf_dir, "conversations").where(F.col("role").isin("user", "assistant", "tool", "system"))
+    return rows.select(
+        "conv_id", (F.row_number().over(order) - 1).cast("long").alias("step_index"), "role", F.md5(F.coalesce("text", F.lit(""))).alias("content_md5")
+    )
+
+
+@query
+def turn_and_step_counts(spark, sf_dir):
+    return read(spark, sf_dir, "conversations").groupBy("conv_id").agg(
+        F.count("*").alias("step_count"), F.count_if(F.col("role") == "user").alias("turn_count")
+    )
+
+
+@query
+def text_flags(spark, sf_dir):
+    t = F.col("text")
+    return read(spark, sf_dir, "documents").select(
+        "doc_id",
+        t.rlike(tx.VERIFY_PATTERN).alias("verifies"),
+        tx.is_error(t).alias("has_error"),
+        tx.is_success(t).alias("has_success"),
+        F.array_join(tx.languages(t), ",").alias("languages"),
+    )
+
+
+@query
+def bm25_tokens(spark, sf_dir):
+    tokens = F.array_sort(F.array_distinct(tx.identifiers(F.col("text"))))
+    return read(spark, sf_dir, "documents").select("doc_id", F.size(tokens).cast("long").alias("n_tokens"), F.md5(F.array_join(tokens, " ")).alias("tokens_md5"))
+
+
+@query
+def boundary_scores(spark, sf_dir):
+    return slicing.boundary_scores(event_steps(spark, sf_dir)).select("trajectory_id", *long("step_index", "boundary_score"))
+
+
+@query
+def greedy_slices(spark, sf_dir):
+    return slicing.slice_bounds(event_steps(spark, sf_dir)).select("trajectory_id", *long("slice_index", "start_step", "end_step"))
+
+
+@query
+def slice_signatures(spark, sf_dir):
+    from tracequarry.operators.signatures import signatures
+
+    signed = signatures(slicing.slices(event_steps(spark, sf_dir)))
+    return signed.select(
+        "trajectory_id", *long("slice_index", "step_count", "turn_count"), F.array_join("tools_used", ",").alias("tools_used"),
+        "has_error_pattern", "has_success_pattern", "has_verification_step",
+    )
+
+
+@query
+def summary_lines(spark, sf_dir):
+    step = F.struct(
+        F.col("turn").cast("int").alias("step_index"), "role", F.coalesce("text", F.lit("")).alias("content"),
+        F.lit(None).cast("string").alias("tool_call_name"), F.lit(None).cast("string").alias("tool_call_args"), F.lit(None).cast("string").alias("tool_result"),
+    )
+    return read(spark, sf_dir, "conversations").select("conv_id", "turn", tx.summary_line(step).alias("line"))
+
+
+@query
+def problem_ids(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", tx.problem_id("text").alias("problem_id"))
+
+
+# ---- recall ------------------------------------------------------------------
+
+
+@query
+def document_frequency(spark, sf_dir):
+    rows = corpus(spark, sf_dir)
+    n = rows.agg(F.count("*").alias("n"))
+    df = recall.document_frequency(rows).join(F.broadcast(n))  # one row
+    return df.select("token", "df", F.round(recall.idf(F.col("n"), F.col("df")), 6).alias("idf"))
+
+
+@query
+def structured_filter_overlap(spark, sf_dir):
+    condition = recall.passes(F.col("languages"), F.col("tools_used"), F.col("verified"), F.col("filters"))
+    pairs = corpus(spark, sf_dir).select("doc_id", "languages", "tools_used", "verified").join(F.broadcast(complaints(spark, sf_dir).select("sub_problem_id", "filters")), condition)
+    return pairs.groupBy("sub_problem_id").agg(F.count("*").alias("candidates"), F.max("doc_id").alias("last_doc"))
+
+
+@query
+def bm25_topn(spark, sf_dir):
+    scores = recall.keyword_scores(corpus(spark, sf_dir), complaints(spark, sf_dir))
+    order = Window.partitionBy("sub_problem_id").orderBy(F.desc(F.round("bm25", 9)), "ingest_seq")
+    top = scores.withColumn("rank", F.row_number().over(order)).where("rank <= 20")
+    return top.select("sub_problem_id", F.col("ingest_seq").alias("doc_id"), *long("rank"), F.round("bm25", 6).alias("bm25"))
+
+
+@query
+def vector_topn(spark, sf_dir):
+    scores = recall.vector_scores(corpus(spark, sf_dir), complaints(spark, sf_dir))
+    order = Window.partitionBy("sub_problem_id").orderBy(F.desc(F.round("cosine", 6)), "ingest_seq")
+    top = scores.withColumn("rank", F.row_number().over(order)).where("rank <= 20")
+    return top.select("sub_problem_id", F.col("ingest_seq").alias("doc_id"), *long("rank"), F.round("cosine", 5).alias("cosine"))
+
+
+@query
+def rrf_recall_multi(spark, sf_dir):
+    """For each complaint the 20 best documents by hybrid recall."""
+    return _recalled(spark, sf_dir).select("sub_problem_id", F.col("ingest_seq").alias("doc_id"), *long("rank"), F.round("rrf", 6).alias("rrf"))
+
+
+# ---- judging and ranking -------------------------------------------------------
+
+
+@query
+def cache_hits(spark, sf_dir):
+    found = _recalled(spark, sf_dir).select("sub_problem_id", F.col("ingest_seq").alias("trajectory_id"), F.lit(0).alias("slice_index"), "rank")
+    verdicts = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("trajectory_id"), "quality").crossJoin(F.broadcast(complaints(spark, sf_dir).select("sub_problem_id"))).withColumn("slice_index", F.lit(0))
+    hits, _ = judging.with_cache(found, verdicts)
+    return hits.select("sub_problem_id", "trajectory_id", *long("rank", "quality"))
+
+
+@query
+def cache_misses(spark, sf_dir):
+    found = _recalled(spark, sf_dir).select("sub_problem_id", F.col("ingest_seq").alias("trajectory_id"), F.lit(0).alias("slice_index"), "rank")
+    verdicts = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("trajectory_id"))
+    return found.join(verdicts, "trajectory_id", "left_anti").select("sub_problem_id", "trajectory_id", *long("rank"))
+
+
+@query
+def soft_rerank(spark, sf_dir):
+    hits = ranking.soft_rerank(_scored(spark, sf_dir), [F.col("rank")])
+    return hits.select("sub_problem_id", "trajectory_id", *long("local_rank"), F.round("relevance", 6).alias("relevance"))
+
+
+@query
+def hard_filter_group(spark, sf_dir):
+    kept = ranking.confident(_scored(spark, sf_dir))
+    groups = ranking.grouped(kept, "seq", ["sub_problem_id", "confidence"])
+    ids = F.array_join(F.transform("matched_problems", lambda x: x["sub_problem_id"].cast("string")), ",")
+    return groups.select("trajectory_id", F.size("matched_problems").cast("long").alias("n"), ids.alias("sub_problems"))
+
+
+@query
+def inherit_rerank(spark, sf_dir):
+    nations = read(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("label"), F.col("n_regionkey"))
+    regions = read(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("parent"))
+    labels = nations.join(F.broadcast(regions), F.col("n_regionkey") == F.col("r_regionkey")).select("label", "parent")  # 5 rows
+    target = taxonomy.families(labels).groupBy().agg(F.min_by(F.struct("label", "family"), "label").alias("t"))
+    hits = read(spark, sf_dir, "supplier").join(F.broadcast(nations), F.col("s_nationkey") == F.col("n_nationkey"))  # 25 rows
+    hits = hits.select("s_suppkey", F.array("label").alias("capability_labels"), F.col("s_acctbal").alias("rrf")).join(F.broadcast(target))  # one row
+    hits = hits.select("s_suppkey", "capability_labels", "rrf", F.col("t.label").alias("target_label"), F.col("t.family").alias("family"))
+    ranked = ranking.rerank_with_inheritance(hits, [F.col("s_suppkey")])
+    return ranked.select("s_suppkey", *long("rank"), F.round("weighted", 4).alias("weighted"))
+
+
+# ---- merging, dedup, selection ---------------------------------------------------
+
+
+@query
+def trainable_filter(spark, sf_dir):
+    return merging.trainable(_scored(spark, sf_dir)).select("sub_problem_id", "trajectory_id", F.size("spans").cast("long").alias("n_spans"))
+
+
+def _merged(spark, sf_dir) -> DataFrame:
+    return merging.merge_by_slice(merging.trainable(_scored(spark, sf_dir)))
+
+
+@query
+def merge_by_slice(spark, sf_dir):
+    return _merged(spark, sf_dir).select(
+        "trajectory_id",
+        F.array_join(F.transform("sub_problem_ids", lambda x: x.cast("string")), ",").alias("sub_problems"),
+        F.round("relevance", 6).alias("relevance"),
+        F.array_join(F.transform("spans", lambda x: view.span_key(x["start_step"], x["end_step"])), ",").alias("spans"),
+        F.array_join("capability", ",").alias("capability"),
+    )
+
+
+def _token_items(spark, sf_dir) -> DataFrame:
+    return corpus(spark, sf_dir).select(F.col("ingest_seq").alias("seq"), "bm25_tokens")
+
+
+@query
+def dedup_token_pairs(spark, sf_dir):
+    pairs, _ = dedup.token_pairs(_token_items(spark, sf_dir))
+    return pairs
+
+
+@query
+def dedup_cosine_pairs(spark, sf_dir):
+    items = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("seq"), "embedding")
+    return dedup.cosine_pairs(items, 0.40)
+
+
+@query
+def dedup_greedy(spark, sf_dir):
+    pairs, sets = dedup.token_pairs(_token_items(spark, sf_dir))
+    kept = dedup.survivors(sets.select(F.col("first").alias("seq")).distinct(), pairs)
+    return sets.join(kept.withColumnRenamed("seq", "first"), "first").select(F.col("seq").alias("doc_id"), "survivor")
+
+
+@query
+def select_budget(spark, sf_dir):
+    top = selection.select_by_total(_merged(spark, sf_dir), 10)
+    return top.select("trajectory_id", *long("pick"), F.round("total", 6).alias("total"))
+
+
+@query
+def select_coverage(spark, sf_dir):
+    vectors = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("trajectory_id"), "embedding")
+    merged = _merged(spark, sf_dir).join(vectors, "trajectory_id", "left")
+    merged = merged.withColumns(
+        {
+            "run_id": F.lit("run"),
+            "sub_problem_ids": F.transform("sub_problem_ids", lambda x: x.cast("string")),
+            "relevance_by_problem": F.transform_keys("relevance_by_problem", lambda k, _: k.cast("string")),
+        }
+    )
+    problems = [str(r.item_id) for r in read(spark, sf_dir, "benchmark").select("item_id").orderBy("item_id").collect()]
+    config = selection.SelectionConfig(n=12, min_per_problem=0, cap_per_problem=3, coverage_cap_per_problem=0.05)
+    return selection.select_set(merged, config, problems)
+
+
+@query
+def compose_manifest(spark, sf_dir):
+    top = selection.select_by_total(_merged(spark, sf_dir), 10)
+    return merging.manifest(top, 0.3)
+
+
+# ---- taxonomy ---------------------------------------------------------------------
+
+
+def _centroids(spark, sf_dir) -> DataFrame:
+    each = read(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("i", "x"))
+    means = each.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    return means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v")).select(
+        F.col("label").cast("long").alias("label"), F.transform("v", lambda p: p["x"]).alias("vector")
+    )
+
+
+@query
+def nearest_question(spark, sf_dir):
+    asked = complaints(spark, sf_dir).where("query_vectors is not null").select(F.col("sub_problem_id").alias("item_id"), F.col("query_vectors")[0].alias("vector"))
+    stored = _centroids(spark, sf_dir).select(F.col("label").alias("problem"), F.col("label").alias("ord"), "vector")
+    best = taxonomy.nearest(asked, stored, "item_id", "problem", "ord", 6)
+    return best.select("item_id", "problem", F.round("cosine", 5).alias("cosine"), (F.col("cosine") >= 0.90).alias("reuse"))
+
+
+@query
+def resolve_labels(spark, sf_dir):
+    vectors = read(spark, sf_dir, "embeddings")
+    roots = _centroids(spark, sf_dir).select(F.concat(F.lit("root-"), F.col("label")).alias("label"), F.lit(None).cast("string").alias("parent"), "vector", F.col("label").alias("ord"))
+    leaf = vectors.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("vector"))
+    leaf = leaf.select(
+        F.concat(F.lit("leaf-"), F.col("label")).alias("l"), F.concat(F.lit("root-"), F.col("label")).alias("parent"),
+        F.col("vector").cast("array<double>").alias("vector"), (F.col("label") + 100).cast("long").alias("ord"),
+    ).withColumnRenamed("l", "label")
+    proposals = vectors.select(F.col("vec_id").alias("proposal"), F.col("embedding").alias("vector"))
+    found = taxonomy.resolve(proposals, roots.unionByName(leaf))
+    return found.select("proposal", "kind", "target", F.round("any_cos", 5).alias("any_cos"), F.round("root_cos", 5).alias("root_cos"))
+
+
+def _places(spark, sf_dir) -> DataFrame:
+    regions = read(spark, sf_dir, "region").select(F.col("r_name").alias("label"), F.lit(None).cast("string").alias("parent"))
+    nations = read(spark, sf_dir, "nation").join(F.broadcast(read(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))  # 5 rows
+    return regions.unionByName(nations.select(F.col("n_name").alias("label"), F.col("r_name").alias("parent")))
+
+
+@query
+def leaf_labels(spark, sf_dir):
+    return taxonomy.leaves(_places(spark, sf_dir)).select("label", "parent")
+
+
+@query
+def label_family(spark, sf_dir):
+    return taxonomy.families(_places(spark, sf_dir)).select("label", F.array_join("family", ",").alias("family"))
+
+
+@query
+def label_merge(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.array("lang", "source").alias("capability_labels"))
+    quality, toxic = F.when(F.col("quality") == 1, "quality"), F.when(F.col("toxic") == 1, "toxic")
+    found = read(spark, sf_dir, "labels").select("doc_id", F.filter(F.array(quality, toxic, F.lit("en")), lambda x: x.isNotNull()).alias("labels"))
+    return taxonomy.update_labels(docs, found, ["doc_id"]).select("doc_id", F.array_join("capability_labels", ",").alias("labels"))
+
+
+@query
+def backfill_candidates(spark, sf_dir):
+    rows = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("ingest_seq"), "embedding", "label")
+    asked = _centroids(spark, sf_dir).select(F.col("label").alias("sub_problem_id"), F.array("vector").alias("query_vectors"))
+    scores = recall.vector_scores(rows, asked)
+    order = Window.partitionBy("sub_problem_id").orderBy(F.desc(F.round("cosine", 6)), "ingest_seq")
+    hits = scores.withColumn("rank", F.row_number().over(order)).join(rows.select("ingest_seq", F.array("label").alias("capability_labels")), "ingest_seq")
+    found = taxonomy.backfill_candidates(hits, F.col("sub_problem_id").cast("int"))
+    return found.select("sub_problem_id", F.col("ingest_seq").alias("vec_id"), *long("rank"))
+
+
+@query
+def queue_priority(spark, sf_dir):
+    proposals = read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("label"), F.col("o_custkey").alias("sub_problem_id"), F.col("o_orderkey").alias("seq"))
+    jobs = taxonomy.priorities(proposals)
+    order = Window.orderBy(F.desc("priority"), "job_id")  # a row per label of the taxonomy
+    return jobs.select("label", "priority", "job_id", F.row_number().over(order).cast("long").alias("claim_order"))
+
+
+# ---- request health ------------------------------------------------------------------
+
+
+def _outcomes(spark, sf_dir) -> DataFrame:
+    kind = F.col("event_type")
+    outcome = F.when(kind == "error", "timeout").when(kind == "purchase", "overload").when(kind == "click", "abnormal_response").otherwise("success")
+    return read(spark, sf_dir, "events").select("event_id", "user_id", "ts", outcome.alias("outcome"), kind.alias("event_type"))
+
+
+@query
+def outcome_window_rates(spark, sf_dir):
+    rates = health.window_rates(_outcomes(spark, sf_dir), "user_id", "ts", "event_id")
+    return rates.select("event_id", "total", *[F.round(c, 6).alias(c) for c in ("timeout_rate", "overload_rate", "abnormal_rate", "infra_rate")])
+
+
+@query
+def failure_streaks(spark, sf_dir):
+    rows = _outcomes(spark, sf_dir).withColumn("outcome", F.when(F.col("event_type") == "error", "auth_error").otherwise("success"))
+    return health.streaks(rows, "user_id", "ts", "event_id")
+
+
+@query
+def http_stats(spark, sf_dir):
+    return health.status_stats(_outcomes(spark, sf_dir))
+
+
+@query
+def outcome_classes(spark, sf_dir):
+    status = (F.lit(200) + F.col("p_size") * 7).cast("int")
+    rows = read(spark, sf_dir, "part")
+    return rows.select("p_partkey", health.outcome_class(status, F.concat(F.col("p_type"), F.lit(" Moderation")), F.col("p_retailprice") > 1000).alias("outcome"))
+
+
+@query
+def truncate_text(spark, sf_dir):
+    cut = health.truncate_text(F.coalesce("text", F.lit("")), F.lit(400))
+    return read(spark, sf_dir, "documents").select("doc_id", F.length(cut).cast("long").alias("n"), F.md5(cut).alias("cut_md5"))
+
+
+@query
+def truncate_conversations(spark, sf_dir):
+    cut = health.truncate_conversations(read(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text", 200)
+    return cut.select("conv_id", "turn", F.length("text").cast("long").alias("n"), F.md5("text").alias("text_md5"))
+
+
+# ---- evaluation and views --------------------------------------------------------------
+
+
+@query
+def drift_mode(spark, sf_dir):
+    runs = read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("m"))
+    signature = F.array_join(F.transform("m", lambda x: x["role"]), ">")
+    counts = runs.groupBy(F.size("m").cast("long").alias("n_steps"), signature.alias("signature")).agg(F.count("*").alias("n"))
+    return counts.groupBy("n_steps").agg(F.max("n").alias("mode_count"), F.sum("n").alias("runs")).withColumn("mode_share", F.round(F.col("mode_count") / F.col("runs"), 3))
+
+
+@query
+def label_accuracy(spark, sf_dir):
+    rows = read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
+    right = (F.col("quality") == F.when(F.col("n_chars") >= 300, 1).otherwise(0)).cast("int")
+    return rows.agg(F.count("*").alias("total"), F.sum(right).alias("correct")).withColumn("accuracy", F.round(F.col("correct") / F.greatest("total", F.lit(1)), 3))
+
+
+@query
+def label_colors(spark, sf_dir):
+    labels = read(spark, sf_dir, "documents").select(F.col("source").alias("label")).where("label is not null").distinct()
+    return view.color_index(labels).select("label", *long("color"))
+
+
+@query
+def inspector_view(spark, sf_dir):
+    scored = _scored(spark, sf_dir)
+    chosen = selection.select_by_total(merging.merge_by_slice(merging.trainable(scored)), 10)
+    problems = complaints(spark, sf_dir).select("sub_problem_id")
+    rows = view.inspector(problems, scored, chosen)
+    return rows.select("sub_problem_id", "trajectory_id", F.round("relevance", 6).alias("relevance"), "confidence", "selected")
+
+
+@query
+def span_step_join(spark, sf_dir):
+    steps = read(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("step_index"), "role")
+    spans = steps.where("role = 'assistant'").groupBy("conv_id").agg(F.min("step_index").alias("start_step"), F.max("step_index").alias("end_step"))
+    return view.steps_in_spans(steps, spans, "conv_id").select("conv_id", "step_index", "role", "start_step", "end_step")
+
+
+@query
+def trajectory_index(spark, sf_dir):
+    rows = read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("trajectory_id"), F.col("turn").alias("ingest_seq"), F.md5("text").alias("steps"))
+    return view.trajectory_index(rows)
+
+
+@query
+def capability_hits(spark, sf_dir):
+    each = merging.trainable(_scored(spark, sf_dir)).select("trajectory_id", "slice_index", F.explode("capability").alias("label"), "spans")
+    rows = view.capability_hits(each)
+    return rows.select("trajectory_id", F.array_join("labels", ",").alias("labels"), F.size("spans").cast("long").alias("n_spans"))
