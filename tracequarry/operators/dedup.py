@@ -30,17 +30,18 @@ def token_pairs(items: DataFrame, least: float = JACCARD, ident: str = "seq", to
     in the pairs, and the second table maps each item to it."""
     sets = items.select(ident, F.array_sort(F.array_distinct(tokens)).alias("t")).where(F.size("t") > 0)
     kinds = sets.groupBy("t").agg(F.min(ident).alias("first"))
-    freq = kinds.select(F.explode("t").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
-    ranked = kinds.select("first", "t", F.explode("t").alias("token")).join(freq, "token")
-    ordered = ranked.groupBy("first", "t").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("o"))
-    n = F.size("o")
-    prefix = F.slice("o", 1, n - F.ceil(n * F.lit(least - 1e-9)).cast("int") + 1)
-    keyed = ordered.select("first", "t", F.explode(F.transform(prefix, lambda x: x["token"])).alias("token"))
+    kinds = materialize(kinds, "sets")
+    each = kinds.select("first", F.size("t").alias("n"), F.explode("t").alias("token"))
+    freq = each.groupBy("token").agg(F.count("*").alias("df"))
+    ordered = each.join(freq, "token").groupBy("first", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("o"))
+    prefix = F.slice("o", F.lit(1), F.col("n") - F.ceil(F.col("n") * F.lit(least - 1e-9)).cast("int") + 1)
+    keyed = ordered.select("first", "n", F.explode(F.transform(prefix, lambda x: x["token"])).alias("token"))
     a, b = keyed.alias("a"), keyed.alias("b")
-    size_a, size_b = F.size("a.t"), F.size("b.t")
-    fits = (F.least(size_a, size_b) >= F.greatest(size_a, size_b) * (least - 1e-9)) & (F.col("a.first") < F.col("b.first"))
-    close = a.join(b, (F.col("a.token") == F.col("b.token")) & fits).where(jaccard(F.col("a.t"), F.col("b.t")) >= least)
-    return close.select(F.col("a.first").alias("a"), F.col("b.first").alias("b")).distinct(), sets.join(kinds, "t").select(ident, "first")
+    fits = (F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * (least - 1e-9)) & (F.col("a.first") < F.col("b.first"))
+    found = a.join(b, (F.col("a.token") == F.col("b.token")) & fits).select(F.col("a.first").alias("a"), F.col("b.first").alias("b")).distinct()
+    close = found.join(kinds.select(F.col("first").alias("a"), F.col("t").alias("ta")), "a").join(kinds.select(F.col("first").alias("b"), F.col("t").alias("tb")), "b")
+    close = close.where(jaccard(F.col("ta"), F.col("tb")) >= least)
+    return close.select("a", "b"), sets.join(kinds, "t").select(ident, "first")
 
 
 def cosine_pairs(items: DataFrame, above: float = COSINE, ident: str = "seq", vector: str = "embedding") -> DataFrame:

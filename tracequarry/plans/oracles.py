@@ -233,7 +233,7 @@ SELECT item_id, problem, round(s, 5) AS cosine, s >= 0.90 AS reuse FROM sims QUA
 WITH {_CENTROIDS}, lab AS (
   SELECT 'root-' || label AS label, NULL AS parent, vector, label AS ord FROM cent
   UNION ALL SELECT 'leaf-' || label, 'root-' || label, arg_min(embedding, vec_id)::DOUBLE[], label + 100 FROM embeddings GROUP BY label),
-sims AS (SELECT vec_id AS proposal, label, parent, ord, round(list_cosine_similarity(embedding::DOUBLE[], vector), 9) AS s FROM embeddings e CROSS JOIN (SELECT label, parent, ord, vector FROM lab) l),
+sims AS (SELECT vec_id AS proposal, l.label, l.parent, l.ord, round(list_cosine_similarity(e.embedding::DOUBLE[], l.vector), 9) AS s FROM embeddings e CROSS JOIN lab l),
 anyl AS (SELECT * FROM sims QUALIFY row_number() OVER (PARTITION BY proposal ORDER BY s DESC, ord) = 1),
 root AS (SELECT * FROM sims WHERE parent IS NULL QUALIFY row_number() OVER (PARTITION BY proposal ORDER BY s DESC, ord) = 1)
 SELECT a.proposal, CASE WHEN a.s > 0.85 THEN 'duplicate' WHEN r.s >= 0.50 THEN 'new_leaf' ELSE 'new_root' END AS kind,
