@@ -19,7 +19,9 @@ are not read by :func:`identify` and kept by :func:`keep_known`.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -165,16 +167,14 @@ def fit(docs: DataFrame) -> Model:
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     rows = rows.where("doc_id is not null and lang is not null and text is not null").where(~held_out(F.col("doc_id")))
     key = F.xxhash64("doc_id")
-    langs = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    first = rows.select("lang", key.alias("k")).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("k")))
-    first = first.where(F.col("r") <= PER_LANGUAGE).groupBy("lang").agg(F.max("k").alias("k"))
-    bounds = {r.lang: r.k for r in first.join(F.broadcast(langs), "lang").collect()}  # MAX_LANGUAGES rows
-    if not bounds:
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    if not counts:
         return Model(np.zeros((0, FEATURES), np.float32), np.array([], dtype=object))
-    chosen = None
-    for lang, most in bounds.items():
-        this = (F.col("lang") == lang) & (key <= most)
-        chosen = this if chosen is None else chosen | this
+    # hashes are even, so the smallest few lie below a bound that the count gives: no task sees a language's rows
+    near = reduce(or_, [(F.col("lang") == r["lang"]) & (key <= int(min(1.0, 4 * PER_LANGUAGE / r["count"] + 1e-6) * (2**64 - 2048)) - 2**63) for r in counts])
+    first = rows.select("lang", key.alias("k")).where(near).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("k")))
+    bounds = first.where(F.col("r") <= PER_LANGUAGE).groupBy("lang").agg(F.max("k").alias("k")).collect()
+    chosen = reduce(or_, [(F.col("lang") == r["lang"]) & (key <= r["k"]) for r in bounds])
 
     def work(batches):
         for batch in batches:
