@@ -65,3 +65,20 @@ def test_rows(spark):
         text = [t for d, t in rows if d == r.doc_id and base(t)[0] == r.n_words][0]
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == base(text)
     assert len(got) == 5 and ls.scan(docs.limit(0)).count() == 0
+
+
+def test_oracle_agrees(spark):
+    import duckdb
+
+    from tracequarry.llm.oracles import license_sql
+
+    texts = ["Licensed under the Apache License, Version 2.0. cc by", "cc BY-nc 4.0; Licensed under a Creative Commons Public CC BY 4.0", "Released under the very MIT license mit license", None, "", "x gnu general public license"]
+    texts += [t.replace("<<optional>>", "").replace("<<end>>", "").replace("<<var:0-4>>", "a b").replace("<<var:0-2>>", "") for _, t in ls.TEMPLATES]
+    rows = list(enumerate(texts))
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    df = ls.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = con.execute(f"select {', '.join(df.columns)} from ({license_sql()}) order by doc_id").fetchall()
+    assert [tuple(r) for r in df.orderBy("doc_id").collect()] == want
+    assert all(r[6] for r in want[6:])

@@ -10,6 +10,7 @@ from tracequarry.llm import (
     language_id,
     license_scan,
     lm_scoring,
+    oracles,
     packing,
     quality,
     quote_linking,
@@ -71,4 +72,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op5_quote_linking": quote_linking.ORACLE}
+    return oracles.oracle_sql()
