@@ -51,7 +51,7 @@ def search_tokens(text: Column, tools: Column) -> Column:
     """Sorted distinct search tokens: tool names, error names, paths, definitions and identifiers."""
     text = F.coalesce(text, F.lit(""))
     found = [F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in (ERROR_TOKENS, PATH_TOKENS, DEF_TOKENS)]
-    return F.array_sort(F.array_distinct(F.concat(F.transform(tools, F.lower), *found, identifiers(text))))
+    return F.sort_array(F.array_distinct(F.concat(F.transform(tools, F.lower), *found, identifiers(text))))
 
 
 def languages(text: Column) -> Column:

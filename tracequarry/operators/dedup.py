@@ -28,12 +28,12 @@ def token_pairs(items: DataFrame, least: float = JACCARD, ident: str = "seq", to
     Prefix filtering: sets this similar share one of their first tokens, rarest first, so only those are
     joined on. Items without tokens have no pair. Equal sets are one: the first item of each set stands
     in the pairs, and the second table maps each item to it."""
-    sets = items.select(ident, F.array_sort(F.array_distinct(tokens)).alias("t")).where(F.size("t") > 0)
+    sets = items.select(ident, F.sort_array(F.array_distinct(tokens)).alias("t")).where(F.size("t") > 0)
     kinds = sets.groupBy("t").agg(F.min(ident).alias("first"))
     kinds = materialize(kinds, "sets")
     each = kinds.select("first", F.size("t").alias("n"), F.explode("t").alias("token"))
     freq = each.groupBy("token").agg(F.count("*").alias("df"))
-    ordered = each.join(freq, "token").groupBy("first", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("o"))
+    ordered = each.join(freq, "token").groupBy("first", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("o"))
     prefix = F.slice("o", F.lit(1), F.col("n") - F.ceil(F.col("n") * F.lit(least - 1e-9)).cast("int") + 1)
     keyed = ordered.select("first", "n", F.explode(F.transform(prefix, lambda x: x["token"])).alias("token"))
     a, b = keyed.alias("a"), keyed.alias("b")

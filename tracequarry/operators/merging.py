@@ -15,7 +15,7 @@ def trainable(scored: DataFrame) -> DataFrame:
 
 def union_spans(lists: Column) -> Column:
     """Distinct spans of a list of lists, by start and end."""
-    return F.array_sort(F.array_distinct(F.flatten(lists)))
+    return F.sort_array(F.array_distinct(F.flatten(lists)))
 
 
 def _ordered_union(lists: Column) -> Column:
@@ -28,8 +28,8 @@ def merge_by_slice(scored: DataFrame, order: str = "seq", extra: tuple[str, ...]
     Spans are united and sorted only where there is more than one row. ``extra`` columns, ``order`` and
     ``judge_match`` are those of the first row."""
     by_sub = scored.groupBy(*PK, "sub_problem_id").agg(F.max("relevance").alias("best"), F.min(order).alias("at"))
-    subs = by_sub.groupBy(*PK).agg(F.array_sort(F.collect_list(F.struct("at", "sub_problem_id", "best"))).alias("subs"))
-    members = F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.col("spans").alias("spans"), F.col("capability").alias("capability"))))
+    subs = by_sub.groupBy(*PK).agg(F.sort_array(F.collect_list(F.struct("at", "sub_problem_id", "best"))).alias("subs"))
+    members = F.sort_array(F.collect_list(F.struct(F.col(order).alias("at"), F.col("spans").alias("spans"), F.col("capability").alias("capability"))))
     rows = scored.groupBy(*PK).agg(
         members.alias("m"), F.min(order).alias(order), *[F.min_by(c, order).alias(c) for c in ("judge_match", *extra)]
     )
@@ -56,9 +56,9 @@ def absorb(merged: DataFrame, survivors: DataFrame) -> DataFrame:
     rows = rows.withColumn("rank", F.when(F.col("seq") == F.col("survivor"), F.lit(-1).cast("long")).otherwise(F.col("seq").cast("long")))
     each = rows.select("survivor", "rank", F.explode("relevance_by_problem").alias("sub", "r"), F.col("sub_problem_ids").alias("ids"))
     best = each.groupBy("survivor", "sub").agg(F.max("r").alias("r"), F.min(F.struct("rank", F.array_position("ids", F.col("sub")).alias("at"))).alias("o"))
-    subs = best.groupBy("survivor").agg(F.array_sort(F.collect_list(F.struct("o", "sub", "r"))).alias("subs"))
+    subs = best.groupBy("survivor").agg(F.sort_array(F.collect_list(F.struct("o", "sub", "r"))).alias("subs"))
     lists = rows.groupBy("survivor").agg(
-        F.count("*").alias("members"), F.array_sort(F.collect_list(F.struct("rank", F.col("capability").alias("c"), F.col("spans").alias("s")))).alias("m")
+        F.count("*").alias("members"), F.sort_array(F.collect_list(F.struct("rank", F.col("capability").alias("c"), F.col("spans").alias("s")))).alias("m")
     )
     rest = [c for c in own.columns if c not in ("survivor", "spans", *PK)]
     return own.join(subs, "survivor").join(lists, "survivor").select(

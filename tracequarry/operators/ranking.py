@@ -29,7 +29,7 @@ def confident(hits: DataFrame, least: float = MIN_CONFIDENCE) -> DataFrame:
 
 def grouped(hits: DataFrame, order: str, fields: list[str], key: str = "trajectory_id") -> DataFrame:
     """One row per trajectory with its matched problems in arrival order."""
-    return hits.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, *[f for f in fields if f != order]))).alias("matched_problems"))
+    return hits.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, *[f for f in fields if f != order]))).alias("matched_problems"))
 
 
 def inherited_weight(labels: Column, target: Column, family: Column) -> Column:

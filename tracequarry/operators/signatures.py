@@ -15,7 +15,7 @@ def signatures(slices: DataFrame) -> DataFrame:
     """Slices plus their signature; arrays of tools are sorted."""
     s = F.col("steps")
     blank = F.lit("")
-    tools = F.array_sort(F.array_distinct(F.filter(F.transform(s, lambda x: x["tool_call_name"]), lambda x: F.coalesce(x, blank) != "")))
+    tools = F.sort_array(F.array_distinct(F.filter(F.transform(s, lambda x: x["tool_call_name"]), lambda x: F.coalesce(x, blank) != "")))
     results = F.transform(
         F.filter(s, lambda x: x["role"] == "tool"),
         lambda x: F.when(F.coalesce(x["tool_result"], blank) != "", x["tool_result"]).otherwise(x["content"]),

@@ -71,4 +71,4 @@ def slices(steps: DataFrame, key: str = "trajectory_id") -> DataFrame:
     fields = ["step_index", "role", "content", "tool_call_name", "tool_call_args", "tool_result"]
     inside = F.col("step_index").between(F.col("start_step"), F.col("end_step"))
     joined = steps.join(bounds, key).where(inside)
-    return joined.groupBy(key, "slice_index", "start_step", "end_step").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("steps"))
+    return joined.groupBy(key, "slice_index", "start_step", "end_step").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("steps"))

@@ -49,7 +49,7 @@ def families(labels: DataFrame) -> DataFrame:
     """label and ``family``: its parent and the other children of the parent."""
     a = labels.where("parent is not null").select("label", "parent")
     kids = a.groupBy("parent").agg(F.collect_set("label").alias("kids"))
-    both = F.array_sort(F.array_union(F.array("parent"), F.array_except("kids", F.array("label"))))
+    both = F.sort_array(F.array_union(F.array("parent"), F.array_except("kids", F.array("label"))))
     return labels.select("label").join(a.join(kids, "parent").select("label", both.alias("family")), "label", "left").withColumn(
         "family", F.coalesce("family", F.expr("cast(array() as array<string>)"))
     )

@@ -33,7 +33,7 @@ def steps_in_spans(steps: DataFrame, spans: DataFrame, key: str, at: str = "step
 def capability_hits(hits: DataFrame) -> DataFrame:
     """One row per slice with the capabilities and distinct sorted spans of all its hits."""
     return hits.groupBy("trajectory_id", "slice_index").agg(
-        F.array_sort(F.collect_set("label")).alias("labels"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans")
+        F.sort_array(F.collect_set("label")).alias("labels"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans")
     )
 
 

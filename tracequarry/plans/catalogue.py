@@ -66,7 +66,7 @@ def corpus(spark, sf_dir) -> DataFrame:
         F.array("lang").alias("languages"),
         F.array("source").alias("tools_used"),
         F.col("text").rlike(tx.VERIFY_PATTERN).alias("verified"),
-        F.array_sort(F.array_distinct(tx.identifiers(F.col("text")))).alias("bm25_tokens"),
+        F.sort_array(F.array_distinct(tx.identifiers(F.col("text")))).alias("bm25_tokens"),
         "embedding",
     )
 
@@ -146,7 +146,7 @@ def text_flags(spark, sf_dir):
 
 @query
 def bm25_tokens(spark, sf_dir):
-    tokens = F.array_sort(F.array_distinct(tx.identifiers(F.col("text"))))
+    tokens = F.sort_array(F.array_distinct(tx.identifiers(F.col("text"))))
     return read(spark, sf_dir, "documents").select("doc_id", F.size(tokens).cast("long").alias("n_tokens"), F.md5(F.array_join(tokens, " ")).alias("tokens_md5"))
 
 
@@ -350,7 +350,7 @@ def compose_manifest(spark, sf_dir):
 def _centroids(spark, sf_dir) -> DataFrame:
     each = read(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("i", "x"))
     means = each.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    return means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v")).select(
+    return means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v")).select(
         F.col("label").cast("long").alias("label"), F.transform("v", lambda p: p["x"]).alias("vector")
     )
 
@@ -470,7 +470,7 @@ def truncate_conversations(spark, sf_dir):
 
 @query
 def drift_mode(spark, sf_dir):
-    runs = read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("m"))
+    runs = read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role"))).alias("m"))
     signature = F.array_join(F.transform("m", lambda x: x["role"]), ">")
     counts = runs.groupBy(F.size("m").cast("long").alias("n_steps"), signature.alias("signature")).agg(F.count("*").alias("n"))
     return counts.groupBy("n_steps").agg(F.max("n").alias("mode_count"), F.sum("n").alias("runs")).withColumn("mode_share", F.round(F.col("mode_count") / F.col("runs"), 3))

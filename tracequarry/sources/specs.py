@@ -85,7 +85,7 @@ def scan_taxonomy(spark: SparkSession, path: str) -> DataFrame:
 def write_taxonomy(labels: DataFrame, version: str, updated_at: str, path: str) -> None:
     """One JSON document in the contract's layout; a taxonomy is a few hundred labels."""
     fields = ["label", "parent", "new_root", "description", "keywords", "description_embedding", "taxonomy_extension", "created_at"]
-    one = labels.groupBy().agg(F.array_sort(F.collect_list(F.struct("ord", *fields))).alias("l"))
+    one = labels.groupBy().agg(F.sort_array(F.collect_list(F.struct("ord", *fields))).alias("l"))
     whole = one.select(F.lit(version).alias("version"), F.lit(updated_at).alias("updated_at"), F.transform("l", lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("labels"))
     whole.write.mode("overwrite").json(path)
 
@@ -97,7 +97,7 @@ def failure_evidence(slices: DataFrame, order: list[str]) -> DataFrame:
     rows = slices.withColumn("body", tx.summary(F.col("steps"))).where("body <> ''")
     first = rows.orderBy(*order).limit(3).withColumn("at", F.row_number().over(Window.orderBy(*order)))
     block = F.concat(F.lit("[trajectory_id: "), F.col("trajectory_id"), F.lit("]\n"), F.col("body"))
-    joined = first.groupBy().agg(F.array_sort(F.collect_list(F.struct("at", block.alias("b")))).alias("blocks"))
+    joined = first.groupBy().agg(F.sort_array(F.collect_list(F.struct("at", block.alias("b")))).alias("blocks"))
     whole = F.array_join(F.transform("blocks", lambda x: x["b"]), "\n\n")
     cut = F.when(F.length(whole) > 4000, F.concat(F.substring(whole, 1, 4000), F.lit("\n...(截断)"))).otherwise(whole)
     return joined.where(F.size("blocks") > 0).select(cut.alias("evidence"))

@@ -92,7 +92,7 @@ def scan_transcripts(spark: SparkSession, path: str) -> DataFrame:
     )
     rows = lines.where(F.trim("value") != "").withColumn("e", _events("value"))
     files = rows.groupBy("file").agg(
-        F.array_sort(F.collect_list(F.struct("line", "e.messages"))).alias("m"), *[F.bool_or(f"e.{k}").alias(k) for k in ("user", "assistant", "tool_use", "tool_result")]
+        F.sort_array(F.collect_list(F.struct("line", "e.messages"))).alias("m"), *[F.bool_or(f"e.{k}").alias(k) for k in ("user", "assistant", "tool_use", "tool_result")]
     )
     stem = F.regexp_replace(F.regexp_extract("file", r"([^/]+)$", 1), r"\.[^.]*$", "")
     whole = files.where("user and assistant and tool_use and tool_result")
