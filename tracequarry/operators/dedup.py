@@ -28,7 +28,7 @@ def token_pairs(items: DataFrame, least: float = JACCARD, ident: str = "seq", to
     Prefix filtering: sets this similar share one of their first tokens, rarest first, so only those are
     joined on. Items without tokens have no pair. Equal sets are one: the first item of each set stands
     in the pairs, and the second table maps each item to it."""
-    sets = items.select(ident, F.sort_array(F.array_distinct(tokens)).alias("t")).where(F.size("t") > 0)
+    sets = materialize(items.select(ident, F.sort_array(F.array_distinct(tokens)).alias("t")).where(F.size("t") > 0), "tokens")
     kinds = sets.groupBy("t").agg(F.min(ident).alias("first"))
     kinds = materialize(kinds, "sets")
     each = kinds.select("first", F.size("t").alias("n"), F.explode("t").alias("token"))

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracequarry.lineage import materialize
+
 #: Constants of rank fusion and of BM25 (length doesn't count).
 RRF_K, K1 = 60, 1.2
 
@@ -44,9 +46,9 @@ def idf(n: Column, df: Column) -> Column:
 def keyword_scores(corpus: DataFrame, queries: DataFrame, ident: str = "ingest_seq", tokens: str = "bm25_tokens") -> DataFrame:
     """sub_problem_id, ident, bm25 > 0. Frequencies come from the whole corpus; repeated keywords count twice."""
     asked = queries.select("sub_problem_id", F.explode("keywords").alias("k")).groupBy("sub_problem_id", F.lower("k").alias("token")).agg(F.count("*").alias("times"))
-    terms = asked.select("token").distinct()
-    postings = corpus.select(ident, F.explode(F.transform(tokens, F.lower)).alias("token")).join(terms, "token")
-    postings = postings.groupBy("token", ident).agg(F.count("*").alias("tf"))
+    asked = materialize(asked, "terms")  # its size is known from here on, so Spark can tell whether it fits a broadcast
+    postings = corpus.select(ident, F.explode(F.transform(tokens, F.lower)).alias("token")).join(asked.select("token").distinct(), "token")
+    postings = materialize(postings.groupBy("token", ident).agg(F.count("*").alias("tf")), "postings")  # the corpus is read once
     df = postings.groupBy("token").agg(F.count("*").alias("df"))
     n = corpus.agg(F.count("*").alias("n"))
     weight = df.join(F.broadcast(n)).select("token", idf(F.col("n"), F.col("df")).alias("idf"))  # one row
