@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -114,3 +117,47 @@ def evolve(spark: SparkSession, root: str, proposals: list[dict], labels: list[d
             queue.enqueue(r["label"], len(asked[r["label"]]))
     work = run or (lambda label: backfill(spark, root, label))
     return {"labels": after, "resolved": resolved, "jobs": queue.drain(lambda name: work(known[name]), set(known)), "queue": queue.jobs}
+
+
+def ingest_manifest(spark: SparkSession, root: str, questions: list[tuple[str, str | None]], compiler, embedder: Embedder, least: float = 0.90, evidence=None) -> dict[str, int]:
+    """Compile and store new questions, one after another: each may be a near copy of the one before.
+
+    A manifest is a list of complaints, so the loop is the driver's. ``evidence`` turns a failure path into
+    text for the compiler; a question that fails costs itself only."""
+    table = stores.open_stores(spark, root)["problems"]
+    known = [(r.problem_id, list(r.vector)) for r in table.read().select("problem_id", "vector").collect()]
+    counts, rows = {"added": 0, "skipped_dup": 0, "failed": 0}, []
+    for question, path in questions:
+        try:
+            vector = [float(x) for x in embedder([question])[0]]
+            if max((_cosine(vector, v) for _, v in known), default=-1.0) >= least:
+                counts["skipped_dup"] += 1
+                continue
+            spec = compiler.compile(question, evidence=evidence(path) if evidence and path else None)
+        except Exception:  # isolated: the next question goes on
+            counts["failed"] += 1
+            continue
+        ident = hashlib.sha1(tx.normalized_question(question).encode()).hexdigest()[:16]
+        rows.append((ident, question, json.dumps(spec, ensure_ascii=False), vector))
+        known.append((ident, vector))
+        counts["added"] += 1
+    if rows:
+        table.append(spark.createDataFrame(rows, table.schema))
+    return counts
+
+
+def _cosine(a: list[float], b: list[float]) -> float:
+    size = math.sqrt(sum(x * x for x in a)) * math.sqrt(sum(x * x for x in b))
+    return sum(x * y for x, y in zip(a, b)) / size if size else 0.0
+
+
+def nearest_problem(spark: SparkSession, root: str, embedder: Embedder):
+    """A lookup for ``compiling.QuestionCache``: id, similarity and spec of the nearest stored question."""
+    rows = stores.open_stores(spark, root)["problems"].read().orderBy("ingest_seq").collect()
+
+    def find(question: str):
+        vector = [float(x) for x in embedder([question])[0]]
+        best = max(rows, key=lambda r: _cosine(vector, r.vector), default=None)
+        return None if best is None else (best.problem_id, _cosine(vector, best.vector), json.loads(best.spec))
+
+    return find
