@@ -9,7 +9,7 @@ several); deeper levels were quoted before and only count as quotes.  A message
 without such a line replies to the turn just before it, if there is one.
 
 Threads come from joining each message with what it replies to, doubling the
-distance each round.  Positions are counted by (conversation, thread, thousand of
+distance each round, until its chain starts.  Positions are counted by (conversation, thread, thousand of
 turns), so no task holds a whole conversation.
 
 Only DataFrame operations are used.  Null text is empty.  A message with a null
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracequarry.lineage import discard, materialize
+from tracequarry.lineage import materialize
 
 #: A line's leading quote marks.
 MARKS = r"^[ \t]*(>[ \t>]*)?"
@@ -62,21 +62,19 @@ def parents(messages: DataFrame) -> DataFrame:
 
 def threads(replies: DataFrame) -> DataFrame:
     """``replies`` plus thread_turn, the message that its chain of replies starts from, and depth below it."""
-    start = replies.withColumns(
-        {"up": F.coalesce("parent_turn", "turn"), "depth": F.when(F.col("parent_turn").isNull(), 0).otherwise(1).cast("long")}
-    )
-    now = materialize(start, "threads")
-    open_rows = now.where("up <> turn").limit(1).count()
-    while open_rows:
-        above = now.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
-        new = now.join(above, ["conv_id", "up"]).select(
-            *KEY, "parent_turn", "by_quote", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("next") != F.col("up")).alias("moved")
-        )
+    root = F.col("parent_turn").isNull()
+    start = replies.withColumns({"up": F.coalesce("parent_turn", "turn"), "depth": F.when(root, 0).otherwise(1).cast("long"), "done": root})
+    columns = [*KEY, "parent_turn", "by_quote", "up", "depth", "done"]
+    now = materialize(start.select(columns), "threads")
+    finished, open_rows = now.where("done"), now.where("not done")
+    while open_rows.limit(1).count():
+        # only messages whose chain isn't followed to its start move on; what they point at may be done
+        above = finished.unionByName(open_rows).select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("done").alias("end"))
+        new = open_rows.drop("done").join(above, ["conv_id", "up"])
+        new = new.select(*KEY, "parent_turn", "by_quote", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), F.col("end").alias("done"))
         new = materialize(new, "threads")
-        discard(now)
-        open_rows = new.where("moved").limit(1).count()
-        now = new.drop("moved")
-    return now.withColumnRenamed("up", "thread_turn")
+        finished, open_rows = finished.unionByName(new.where("done")), new.where("not done")
+    return finished.drop("done").withColumnRenamed("up", "thread_turn")
 
 
 def link(conversations: DataFrame) -> DataFrame:
