@@ -191,8 +191,11 @@ def keep_first(docs: DataFrame) -> DataFrame:
     kind = f"`__id` {names['__id'].dataType.simpleString()}, `__row` {names['__row'].dataType.simpleString()}, fp long"
     marked = materialize(rows.mapInArrow(work, kind), "simhash")
     classes = _classes(marked.select(F.col("__id").alias("doc_id"), "fp"))
-    # ids that stay, with one fingerprint each: a small row for each component
+    # ids that stay, with one fingerprint each: a small row for each component. Texts are shuffled once, by id
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     stay = marked.select("__id", "fp").join(classes, "fp").where(F.col("__id").eqNullSafe(F.col("component_id")))
-    stay = stay.groupBy("component_id").agg(F.min("fp").alias("fp"))
-    chosen = marked.join(stay, F.col("__id").eqNullSafe(F.col("component_id")) & (marked.fp == stay.fp))
-    return chosen.dropDuplicates(["__id"]).select("__row.*")
+    stay = stay.groupBy(name("component_id").alias("__name")).agg(F.min("fp").alias("keep"))
+    # not an equality: as a key of the join it would have the texts shuffled again for the last step
+    same = F.bit_count(F.col("fp").bitwiseXOR(F.col("keep"))) == 0
+    chosen = marked.withColumn("__name", name("__id")).join(stay, "__name").where(same)
+    return chosen.dropDuplicates(["__name"]).select("__row.*")
