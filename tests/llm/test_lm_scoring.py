@@ -54,7 +54,9 @@ def brute(rows, target):
     return out
 
 
-def test_scores_against_brute_force(spark):
+@pytest.mark.parametrize("most", [lm.MOST_TARGETS, 3])
+def test_scores_against_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(lm, "MOST_TARGETS", most)
     pick = random.Random(2)
     vocab = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join(pick.choices(vocab[:30] if i % 3 else vocab[20:], k=pick.randint(1, 60)))) for i in range(90)] + [(900, None), (901, ""), (902, "Qq " * 3000)]

@@ -22,9 +22,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracequarry.lineage import materialize
 from tracequarry.llm.bpe import slices
 
 #: Slots (powers of two) of words and of word pairs.
@@ -32,6 +34,8 @@ WORD_SLOTS, PAIR_SLOTS = 1 << 18, 1 << 20
 #: Pseudo-counts of the pooled distribution in unigrams, and of unigrams in bigrams.
 POOLED, BACKOFF = 1000.0, 8.0
 BATCH_BYTES = 4_000_000
+#: Target ids that are broadcast (8 bytes each); more are joined.
+MOST_TARGETS = 2_000_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 _POWERS = np.uint64(0x100000001B3) ** np.arange(64, dtype=np.uint64)
@@ -67,22 +71,37 @@ def slots(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return word, (pair >> np.uint64(64 - PAIR_SLOTS.bit_length() + 1)).astype(np.int64), after
 
 
-def _counts(docs: DataFrame, name: str) -> DataFrame:
-    """slot (words, then pairs) and its count over all texts; a task sends a row per slot it met."""
+def _counts(docs: DataFrame, targets: np.ndarray | None = None) -> DataFrame:
+    """slot (words, then pairs), its count over all texts and over texts whose id is in ``targets``.
+
+    A task sends a row per slot it met; ``targets`` are sorted ids."""
+    sent = docs.sparkSession.sparkContext.broadcast(np.empty(0, np.int64) if targets is None else targets)  # at most MOST_TARGETS
+    size = WORD_SLOTS + PAIR_SLOTS
+
+    def add(table: np.ndarray, word: np.ndarray, pair: np.ndarray) -> None:
+        table[:WORD_SLOTS] += np.bincount(word, minlength=WORD_SLOTS)
+        table[WORD_SLOTS:] += np.bincount(pair, minlength=PAIR_SLOTS)
 
     def work(batches):
-        table = np.zeros(WORD_SLOTS + PAIR_SLOTS, np.int64)
+        every, chosen = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        ids = sent.value
         for batch in batches:
             for part in slices(batch, "text", BATCH_BYTES):
-                word, pair, after = slots(*tokens(part.column("text").to_pylist()))
-                table[:WORD_SLOTS] += np.bincount(word, minlength=WORD_SLOTS)
-                table[WORD_SLOTS:] += np.bincount(pair[after], minlength=PAIR_SLOTS)
-        met = np.flatnonzero(table)
+                doc = part.column("doc_id")
+                hashes, text = tokens(part.column("text").to_pylist())
+                word, pair, after = slots(hashes, text)
+                add(every, word, pair[after])
+                own = np.isin(pc.fill_null(doc, 0).to_numpy(zero_copy_only=False), ids) & pc.is_valid(doc).to_numpy(zero_copy_only=False)
+                if own.any():
+                    mine = own[text]
+                    add(chosen, word[mine], pair[mine & after])
+        met = np.flatnonzero(every)
         for a in range(0, len(met), 100_000):
             some = met[a : a + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(table[some])], ["slot", name])
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(every[some]), pa.array(chosen[some])], ["slot", "n", "t"])
 
-    return docs.select("text").mapInArrow(work, f"slot int, {name} long").groupBy("slot").agg(F.sum(name).alias(name))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, "slot int, n long, t long")
+    return rows.groupBy("slot").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
 
 class Models:
@@ -108,14 +127,20 @@ class Models:
 
 
 def fit(docs: DataFrame, target_ids: DataFrame) -> Models:
-    """Counts of all texts and of the target's; a fixed number of slots reaches the driver."""
-    target = docs.select("doc_id", "text").join(target_ids.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_semi")
-    tables = []
-    for rows in (target, docs):
-        got = _counts(rows, "n").toArrow()
-        table = np.zeros(WORD_SLOTS + PAIR_SLOTS, np.int64)
-        table[got.column("slot").to_numpy()] = got.column("n").to_numpy()
-        tables.append(table)
+    """Counts of all texts and of the target's; a fixed number of slots reaches the driver.
+
+    Up to MOST_TARGETS target ids are sent to the tasks, which count both in one pass and move no text;
+    more are joined."""
+    ids = materialize(target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct(), "targets")
+    tables = [np.zeros(WORD_SLOTS + PAIR_SLOTS, np.int64) for _ in range(2)]
+    few = ids.count() <= MOST_TARGETS
+    got = _counts(docs, np.sort(ids.toArrow().column("doc_id").to_numpy()) if few else None).toArrow()
+    tables[1][got.column("slot").to_numpy()] = got.column("n").to_numpy()
+    if few:
+        tables[0][got.column("slot").to_numpy()] = got.column("t").to_numpy()
+    else:
+        own = _counts(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")).toArrow()
+        tables[0][own.column("slot").to_numpy()] = own.column("n").to_numpy()
     return Models(*tables)
 
 
