@@ -90,3 +90,33 @@ def test_query(spark):
 
     got = op3_cross_entropy_difference(spark, "/root/testdata/sf0.001").collect()
     assert len(got) == 200 and all(r.score is not None for r in got if r.n_tokens)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_whole_table_against_brute_force(spark, monkeypatch):
+    from tracequarry.llm.queries import op3_cross_entropy_difference
+
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 300_000)  # several chunks, which share words
+    sf = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    target = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").collect()}
+    want = brute(rows, target)
+    got = op3_cross_entropy_difference(spark, sf).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        n, t, b = want[r.doc_id]
+        assert r.n_tokens == n
+        assert r.score is None if not n else abs(r.target_loss - t) < 1e-6 and abs(r.background_loss - b) < 1e-6
+
+
+def test_more_words_than_any_table_of_slots(spark):
+    vocab = [" ".join(f"a{k}_{i}" for i in range(1000)) for k in range(300)]  # 300,000 words, each once
+    docs = spark.createDataFrame(list(enumerate(vocab)), "doc_id long, text string").repartition(4)
+    got = lm.score(docs, docs.where("doc_id < 30").select("doc_id")).collect()
+    want = brute(list(enumerate(vocab)), set(range(30)))
+    assert all(abs(r.target_loss - want[r.doc_id][1]) < 1e-6 and abs(r.background_loss - want[r.doc_id][2]) < 1e-6 for r in got)
+
+
+def test_long_words_do_not_share_a_hash():
+    a, b = "x" + "a" * 63 + "y" + "b" * 63, "y" + "a" * 63 + "x" + "b" * 63
+    assert len(set(lm.tokens([a, b])[0].tolist())) == 2

@@ -7,10 +7,13 @@ weighs alike on both and a difference of losses comes from evidence.  A document
 score is its mean loss per token under the target less that under the background:
 low is like the target.
 
-The vocabulary has a fixed number of slots, words and word pairs fall into them by
-hash: counts take the same memory in every task whatever the corpus, colliding
-words share their counts in both models.  All words of all rows are counted; each
-task sends the slots it met, and no row is left out or sampled.
+Words and word pairs are counted by their 64-bit hashes: every one has counts of
+its own, and what is kept grows with the corpus.  Texts are packed into chunks of
+bounded size; a chunk asks once for each of its distinct words and pairs, together
+with its own counts of them.  What all chunks ask for is dealt out by ranges of
+hashes (the more chunks, the more ranges), added up there and sent back, so no
+task holds the vocabulary and a common word costs a number per chunk.  Target
+rows are found by a join of ids alone, at every size.
 
 Null and empty texts have no tokens and null losses and score.  Target ids that
 repeat or don't exist don't matter; without target rows every score is 0.  Repeated
@@ -22,142 +25,199 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracequarry.lineage import materialize
 from tracequarry.llm.bpe import slices
 
-#: Slots (powers of two) of words and of word pairs.
-WORD_SLOTS, PAIR_SLOTS = 1 << 18, 1 << 20
+#: Words that the pooled distribution is smoothed over; counts have no bound.
+WORD_SLOTS = 1 << 18
 #: Pseudo-counts of the pooled distribution in unigrams, and of unigrams in bigrams.
 POOLED, BACKOFF = 1000.0, 8.0
-BATCH_BYTES = 4_000_000
-#: Target ids that are broadcast (8 bytes each); more are joined.
+#: Bytes of text of a chunk; a longer text is a chunk of its own.
+CHUNK_BYTES = 8_000_000
+#: Ranges of hashes, at least (a power of two), and chunks for which there is one more.
+RANGES, CHUNKS_A_RANGE = 1024, 4
+#: Bound of a former broadcast of target ids; nothing depends on it any more.
 MOST_TARGETS = 2_000_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
-_POWERS = np.uint64(0x100000001B3) ** np.arange(64, dtype=np.uint64)
+_PRIME = np.uint64(0x100000001B3)
 
 
-def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes (64 bits) of all texts, and the text of each word. Words end at ASCII white space."""
+def _words(texts: list[str | None]) -> tuple[np.ndarray, ...]:
+    """Bytes of all texts, which of them are in words, where words begin, and the text of each word."""
     raw = [(t or "").encode("utf-8", "replace").translate(_LOWER) + b" " for t in texts]
     data = np.frombuffer(b"".join(raw), np.uint8)
     solid = data != 32
     begin = np.flatnonzero(solid & np.concatenate([[True], ~solid[:-1]])) if len(data) else np.empty(0, np.int64)
+    return data, solid, begin, np.searchsorted(np.cumsum([len(x) for x in raw]), begin, side="right")
+
+
+def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes (64 bits) of all texts, and the text of each word. Words end at ASCII white space."""
+    data, solid, begin, text = _words(texts)
     if not len(begin):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     at = np.flatnonzero(solid)
     word = np.cumsum(np.isin(at, begin, assume_unique=True)) - 1
-    place = (at - begin[word]) & 63
+    place = at - begin[word]
+    powers = np.full(place.max() + 1, _PRIME)
+    powers[0] = 1
     with np.errstate(over="ignore"):
-        sums = np.add.reduceat((data[at].astype(np.uint64) + np.uint64(1)) * _POWERS[place], np.searchsorted(at, begin))
+        powers = np.cumprod(powers, dtype=np.uint64)
+        sums = np.add.reduceat((data[at].astype(np.uint64) + np.uint64(1)) * powers[place], np.searchsorted(at, begin))
         sums = (sums ^ (sums >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-    text = np.searchsorted(np.cumsum([len(x) for x in raw]), begin, side="right")
     return sums, text
 
 
-def slots(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word slot of each token, and slot of the pair with the token before it; whether there is one."""
-    with np.errstate(over="ignore"):
-        pair = np.zeros(len(hashes), np.uint64)
-        pair[1:] = (hashes[:-1] * np.uint64(0xD6E8FEB86659FD93)) ^ hashes[1:]
-        pair = (pair ^ (pair >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+def grams(texts: list[str | None]) -> tuple[np.ndarray, ...]:
+    """Sorted distinct hashes of words and pairs; place of each token's word and of its pair with the token
+    before it (those after a token only); the text of each token; whether a token stands before it."""
+    hashes, text = tokens(texts)
     after = np.zeros(len(hashes), bool)
     after[1:] = text[1:] == text[:-1]
-    word = (hashes >> np.uint64(64 - WORD_SLOTS.bit_length() + 1)).astype(np.int64)
-    return word, (pair >> np.uint64(64 - PAIR_SLOTS.bit_length() + 1)).astype(np.int64), after
+    with np.errstate(over="ignore"):
+        pair = (hashes[:-1] * np.uint64(0xD6E8FEB86659FD93)) ^ hashes[1:]
+        pair = (pair ^ (pair >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    keys, at = np.unique(np.concatenate([hashes, pair[after[1:]]]), return_inverse=True)
+    return keys, at[: len(hashes)], at[len(hashes) :], text, after
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of one length, byte by byte of the numbers, compressed."""
+    raw = b"".join(c.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
+    return pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def _counts(docs: DataFrame, targets: np.ndarray | None = None) -> DataFrame:
-    """slot (words, then pairs), its count over all texts and over texts whose id is in ``targets``.
+def _unpack(data: bytes, rows: int, columns: int) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(data, decompressed_size=8 * rows * columns, codec="zstd"), np.uint8).reshape(columns, 8, rows)
+    return [np.ascontiguousarray(c.T).view("<u8").ravel() for c in raw]
 
-    A task sends a row per slot it met; ``targets`` are sorted ids."""
-    sent = docs.sparkSession.sparkContext.broadcast(np.empty(0, np.int64) if targets is None else targets)  # at most MOST_TARGETS
-    size = WORD_SLOTS + PAIR_SLOTS
 
-    def add(table: np.ndarray, word: np.ndarray, pair: np.ndarray) -> None:
-        table[:WORD_SLOTS] += np.bincount(word, minlength=WORD_SLOTS)
-        table[WORD_SLOTS:] += np.bincount(pair, minlength=PAIR_SLOTS)
+def _chunks(docs: DataFrame) -> DataFrame:
+    """Rows (chunk, ids, n, body): the documents' ids, numbers of tokens and compressed texts."""
+
+    def packed(chunk: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(parts)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.select(["text"]).schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(table.select(["text"]))
+        n = np.concatenate([np.bincount(_words(p.column("text").to_pylist())[3], minlength=p.num_rows) for p in parts])
+        ids, n = (pa.array([x], pa.list_(pa.int64())) for x in (table.column("doc_id").to_pylist(), n.tolist()))
+        return pa.RecordBatch.from_arrays([pa.array([chunk]), ids, n, pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "ids", "n", "body"])
 
     def work(batches):
-        every, chosen = np.zeros(size, np.int64), np.zeros(size, np.int64)
-        ids = sent.value
+        chunk, parts, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            for part in slices(batch, "text", BATCH_BYTES):
-                doc = part.column("doc_id")
-                hashes, text = tokens(part.column("text").to_pylist())
-                word, pair, after = slots(hashes, text)
-                add(every, word, pair[after])
-                own = np.isin(pc.fill_null(doc, 0).to_numpy(zero_copy_only=False), ids) & pc.is_valid(doc).to_numpy(zero_copy_only=False)
-                if own.any():
-                    mine = own[text]
-                    add(chosen, word[mine], pair[mine & after])
-        met = np.flatnonzero(every)
-        for a in range(0, len(met), 100_000):
-            some = met[a : a + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(every[some]), pa.array(chosen[some])], ["slot", "n", "t"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, "slot int, n long, t long")
-    return rows.groupBy("slot").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-
-
-class Models:
-    def __init__(self, target: np.ndarray, background: np.ndarray):
-        n_t, n_b = target[:WORD_SLOTS].sum(), background[:WORD_SLOTS].sum()
-        scale = n_t / n_b if n_t and n_b else 1.0
-        pooled = (background[:WORD_SLOTS] + 1.0) / (n_b + WORD_SLOTS)
-        self.sides = []
-        for counts, by in ((target if n_t else background, 1.0), (background, scale)):
-            word = counts[:WORD_SLOTS] * by
-            unigram = (word + POOLED * pooled) / (word.sum() + POOLED)
-            self.sides.append((unigram.astype(np.float32), word.astype(np.float32), (counts[WORD_SLOTS:] * by).astype(np.float32)))
-
-    def losses(self, word: np.ndarray, pair: np.ndarray, after: np.ndarray) -> list[np.ndarray]:
-        """Loss of each token (nats) under the target and the background."""
-        before = np.concatenate([[0], word[:-1]]) if len(word) else word
-        out = []
-        for unigram, count, pairs in self.sides:
-            p = unigram[word].astype(np.float64)
-            q = (pairs[pair] + BACKOFF * p) / (np.maximum(count[before], pairs[pair]) + BACKOFF)
-            out.append(-np.log(np.where(after, q, p)))
-        return out
-
-
-def fit(docs: DataFrame, target_ids: DataFrame) -> Models:
-    """Counts of all texts and of the target's; a fixed number of slots reaches the driver.
-
-    Up to MOST_TARGETS target ids are sent to the tasks, which count both in one pass and move no text;
-    more are joined."""
-    ids = materialize(target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct(), "targets")
-    tables = [np.zeros(WORD_SLOTS + PAIR_SLOTS, np.int64) for _ in range(2)]
-    few = ids.count() <= MOST_TARGETS
-    got = _counts(docs, np.sort(ids.toArrow().column("doc_id").to_numpy()) if few else None).toArrow()
-    tables[1][got.column("slot").to_numpy()] = got.column("n").to_numpy()
-    if few:
-        tables[0][got.column("slot").to_numpy()] = got.column("t").to_numpy()
-    else:
-        own = _counts(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")).toArrow()
-        tables[0][own.column("slot").to_numpy()] = own.column("n").to_numpy()
-    return Models(*tables)
+            for part in slices(batch, "text", CHUNK_BYTES // 4):
+                more = part.nbytes + 64 * part.num_rows
+                if parts and size + more > CHUNK_BYTES:
+                    yield packed(chunk, parts)
+                    chunk, parts, size = chunk + 1, [], 0
+                parts.append(part)
+                size += more
+        if parts:
+            yield packed(chunk, parts)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(work, "chunk long, ids array<long>, n array<long>, body binary")
+
+
+def _texts(body: pa.Scalar) -> list[str | None]:
+    return pa.ipc.open_stream(body.as_buffer()).read_all().column("text").to_pylist()
+
+
+def _own(chunks: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """Rows (of, at, n): chunk, place in it and number of tokens of the target's documents."""
+    ids = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    places = chunks.select(F.col("chunk").alias("of"), F.posexplode(F.arrays_zip("ids", "n")).alias("at", "doc"))
+    return places.select("of", "at", "doc.n", F.col("doc.ids").alias("doc_id")).join(ids, "doc_id", "left_semi").select("of", "at", "n")
+
+
+def _asked(chunks: DataFrame, own: DataFrame, bits: int) -> DataFrame:
+    """Rows (chunk, part, size, data): distinct hashes of a chunk within a range, its counts of them over all texts and
+    over the target's."""
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = {k: [] for k in ("chunk", "part", "size", "data")}
+        if left.num_rows:
+            texts = _texts(left.column("body")[0])
+            keys, word, pair, text, after = grams(texts)
+            mine = np.zeros(len(texts), bool)
+            mine[right.column("at").to_numpy()] = True
+            mine = mine[text]
+            every = np.bincount(word, minlength=len(keys)) + np.bincount(pair, minlength=len(keys))
+            chosen = np.bincount(word[mine], minlength=len(keys)) + np.bincount(pair[mine[after]], minlength=len(keys))
+            part = (keys >> np.uint64(64 - bits)).astype(np.int64)
+            first = np.flatnonzero(np.diff(part, prepend=-1))
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(keys)]):
+                step = np.diff(keys[a:b], prepend=np.uint64(0))
+                new = (left.column("chunk")[0].as_py(), int(part[a]), b - a, _pack(step, every[a:b], chosen[a:b]))
+                for column, value in zip(out.values(), new):
+                    column.append(value)
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), kinds)})
+
+    both = chunks.groupBy("chunk").cogroup(own.groupBy("of"))
+    return both.applyInArrow(work, "chunk long, part long, size long, data binary")
+
+
+def _answered(asked: DataFrame) -> DataFrame:
+    """Rows (chunk, part, size, data): counts over all chunks of the hashes that a chunk asked for, in their order."""
+
+    def work(rows: pa.Table) -> pa.Table:
+        sizes = rows.column("size").to_numpy()
+        parts = [_unpack(d.as_py(), n, 3) for d, n in zip(rows.column("data"), sizes.tolist())]
+        keys, at = np.unique(np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]), return_inverse=True)
+        # sums stay below 2^53, where doubles are whole
+        sums = [np.bincount(at, weights=np.concatenate([p[k] for p in parts]), minlength=len(keys)).astype(np.uint64) for k in (1, 2)]
+        ends = np.cumsum(sizes)
+        data = [_pack(*[s[at[b - n : b]] for s in sums]) for b, n in zip(ends.tolist(), sizes.tolist())]
+        return pa.table({"chunk": rows.column("chunk"), "part": rows.column("part"), "size": rows.column("size"), "data": pa.array(data, pa.binary())})
+
+    return asked.groupBy("part").applyInArrow(work, "chunk long, part long, size long, data binary")
+
+
+def losses(every: np.ndarray, chosen: np.ndarray, n_every: int, n_chosen: int, word: np.ndarray, pair: np.ndarray, after: np.ndarray) -> list[np.ndarray]:
+    """Loss of each token (nats) under the target and the background; counts are those of the places in ``word`` and ``pair``."""
+    scale = n_chosen / n_every if n_chosen else 1.0
+    pooled = (every[word] + 1.0) / (n_every + WORD_SLOTS)
+    out = []
+    for counts, total, by in ((chosen, n_chosen, 1.0) if n_chosen else (every, n_every, 1.0), (every, n_every, scale)):
+        n = counts[word] * by
+        p = (n + POOLED * pooled) / (total * by + POOLED)
+        p[after] = (counts[pair] * by + BACKOFF * p[after]) / (n[np.flatnonzero(after) - 1] + BACKOFF)
+        out.append(-np.log(p))
+    return out
 
 
 def score(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     """One row per document: n_tokens, mean losses per token and their difference ``score``."""
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, target_ids))  # fixed size: the slots
-
-    def work(batches):
-        for batch in batches:
-            for part in slices(batch, "text", BATCH_BYTES):
-                texts = part.column("text").to_pylist()
-                hashes, text = tokens(texts)
-                n = np.bincount(text, minlength=len(texts))
-                sums = [np.bincount(text, weights=x, minlength=len(texts)) for x in sent.value.losses(*slots(hashes, text))]
-                means = [x / np.maximum(n, 1) for x in sums]
-                none = n == 0
-                columns = [pa.array(x, mask=none) for x in (means[0], means[1], means[0] - means[1])]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n.astype(np.int64)), *columns], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    chunks = materialize(_chunks(docs), "chunks")
+    bits = max(RANGES - 1, chunks.count() // CHUNKS_A_RANGE).bit_length()
+    own = materialize(_own(chunks, target_ids), "own")
+    n_every = chunks.select(F.explode("n").alias("n")).agg(F.sum("n")).first()[0] or 0
+    n_chosen = own.agg(F.sum("n")).first()[0] or 0
+    chunks = chunks.select("chunk", "ids", "body")
+    answered = _answered(_asked(chunks, own.drop("n"), bits))
+    names = ["doc_id", "n_tokens", "target_loss", "background_loss", "score"]
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        texts, ids = _texts(left.column("body")[0]), left.column("ids")[0].values
+        keys, word, pair, text, after = grams(texts)
+        right = right.sort_by("part")
+        got = [_unpack(d.as_py(), n, 2) for d, n in zip(right.column("data"), right.column("size").to_pylist())]
+        every, chosen = (np.concatenate([g[k] for g in got]).astype(np.float64) if got else np.zeros(0) for k in (0, 1))
+        if len(every) != len(keys):
+            raise ValueError(f"{len(every)} counts for {len(keys)} words and pairs")
+        n = np.bincount(text, minlength=len(texts))
+        sums = [np.bincount(text, weights=x, minlength=len(texts)) for x in losses(every, chosen, n_every, n_chosen, word, pair, after)]
+        means = [x / np.maximum(n, 1) for x in sums]
+        columns = [pa.array(x, mask=n == 0) for x in (means[0], means[1], means[0] - means[1])]
+        return pa.table([ids, pa.array(n.astype(np.int64)), *columns], names)
+
+    both = chunks.groupBy("chunk").cogroup(answered.groupBy("chunk"))
+    return both.applyInArrow(work, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
