@@ -105,6 +105,14 @@ def test_edges(spark):
     assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 1, 3, 8]
 
 
+def test_one_row_of_each_component_stays(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcde"}
+    rows = [(None, "a"), (None, "b"), (None, "b"), (7, "c"), (7, "d"), (9, "d"), (None, "e"), (4, "e"), (4, "e")]
+    docs = spark.createDataFrame([(i, texts[k], k) for i, k in rows], "doc_id long, text string, k string")
+    kept = sorted((r.k, r.doc_id) for r in simhash.keep_first(docs).collect())
+    assert kept == [("a", None), ("b", None), ("c", 7), ("d", 7), ("e", 4)]
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
 def test_whole_table_against_brute_force(spark):
     from tracequarry.llm.queries import op9_golay_simhash

@@ -177,7 +177,8 @@ def cluster(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns as they are, but one row of each component only.
 
-    It is the row with the component's id; of several such rows one stays."""
+    It is a row with the component's smallest id, with a null id only if all its documents lack one. Components are told
+    apart by their root fingerprint, so unrelated rows with equal or null ids don't touch each other."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(F.col("doc_id").alias("__id"), row.alias("__row"), F.col("text").alias("__text"))
     names = rows.schema
@@ -189,13 +190,10 @@ def keep_first(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(fp.view(np.int64))], ["__id", "__row", "fp"])
 
     kind = f"`__id` {names['__id'].dataType.simpleString()}, `__row` {names['__row'].dataType.simpleString()}, fp long"
-    marked = materialize(rows.mapInArrow(work, kind), "simhash")
-    classes = _classes(marked.select(F.col("__id").alias("doc_id"), "fp"))
-    # ids that stay, with one fingerprint each: a small row for each component. Texts are shuffled once, by id
-    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    stay = marked.select("__id", "fp").join(classes, "fp").where(F.col("__id").eqNullSafe(F.col("component_id")))
-    stay = stay.groupBy(name("component_id").alias("__name")).agg(F.min("fp").alias("keep"))
-    # not an equality: as a key of the join it would have the texts shuffled again for the last step
-    same = F.bit_count(F.col("fp").bitwiseXOR(F.col("keep"))) == 0
-    chosen = marked.withColumn("__name", name("__id")).join(stay, "__name").where(same)
-    return chosen.dropDuplicates(["__name"]).select("__row.*")
+    marked = materialize(rows.mapInArrow(work, kind).withColumn("__key", F.monotonically_increasing_id()), "simhash")
+    # of each fingerprint, then of each component, the row that stays. Texts are shuffled once, by the row's key
+    order = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), "fp", "__key")
+    distinct = materialize(marked.groupBy("fp").agg(F.min(order).alias("first")), "fingerprints")
+    roots = components(links(distinct)).withColumnRenamed("node", "fp")
+    least = distinct.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    return marked.join(least.select("first.__key"), "__key").select("__row.*")
