@@ -61,6 +61,15 @@ def test_filter_keeps_columns(spark):
     assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [tuple(docs.first())]
 
 
+def test_texts_of_no_learned_language_go(spark):
+    rows = [(i, "the cat and the dog were in the garden of the house" if i % 2 else "le chat et la souris sont dans la maison", "en" if i % 2 else "fr", "s") for i in range(80)]
+    other = [(900, "η γάτα και ο σκύλος ήταν στον κήπο του σπιτιού", None, "s"), (901, "кошка и собака были в саду этого дома", None, "s"), (902, "zzqx qqzx xqzzk kkqzx zxqk qzzx xxqk", None, "s")]
+    kept = {r.doc_id for r in lid.keep_known(spark.createDataFrame(rows + other, DOCS)).collect()}
+    assert kept == set(range(80))
+    unlabelled = spark.createDataFrame([(i, t, None, s) for i, t, _, s in rows], DOCS)
+    assert lid.keep_known(unlabelled).count() == 80
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

@@ -10,6 +10,11 @@ doesn't depend on the table's size); every whole text is predicted.  Only text
 and language of rows whose crc32(doc_id) modulo 4 isn't 2 are learnt from; the
 prediction sees nothing but the text.
 
+A text is of a known language if its
+vector is about as near to the mean vector of the language it is given as the
+labelled rows are to theirs: :func:`keep_known` drops the others, and keeps all
+rows if there is nothing to learn from.
+
 Null texts and texts without a letter are ``und`` with score 0.  Rows with a null
 id are predicted, not held out and never learnt from.  With no labelled row at
 all everything is ``und``; with one language every text with a letter gets it.
@@ -32,6 +37,8 @@ from tracequarry.llm.bpe import slices
 
 #: Rows of a language that the machines are fitted on, and languages, the most frequent ones.
 PER_LANGUAGE, MAX_LANGUAGES = 400, 64
+#: A text is of no known language below this share of the cosine that this quantile of the labelled rows reaches.
+NEAR_SHARE, NEAR_QUANTILE = 0.8, 0.01
 #: Hashed n-gram features; n-grams of these many bytes.
 FEATURES, GRAMS = 2048, (2, 4)
 #: Bytes whose features are counted at once.
@@ -144,7 +151,15 @@ class Model:
             rows = kinds == f
             self.inside[f] = (sorted(set(langs[rows].tolist())), fit_pairs(x[rows], langs[rows]))
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        self.means, self.bounds = {}, {}
+        for lang in set(langs.tolist()):
+            own = x[langs == lang]
+            mean = own.mean(0)
+            self.means[lang] = mean / max(np.linalg.norm(mean), 1e-9)
+            self.bounds[lang] = NEAR_SHARE * np.quantile(own @ self.means[lang], NEAR_QUANTILE)
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language and score of each text, and whether it is of a known language."""
         import regex
 
         letter = regex.compile(r"\p{L}")
@@ -159,7 +174,11 @@ class Model:
                 best, p = vote(machines, names, x[rows])
                 langs[rows] = np.array(names, dtype=object)[best]
                 score[rows] = np.clip(sure[rows] * p, 0, 1)
-        return langs.tolist(), score
+        near = np.zeros(len(texts), bool)
+        for lang in set(langs.tolist()) & set(self.means):
+            rows = np.flatnonzero(langs == lang)
+            near[rows] = x[rows] @ self.means[lang] >= self.bounds[lang]
+        return langs.tolist(), score, near
 
 
 def fit(docs: DataFrame) -> Model:
@@ -196,16 +215,16 @@ def fit(docs: DataFrame) -> Model:
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` plus ``lang_pred`` and ``score``; docs may hold any other columns."""
+    """``docs`` plus ``lang_pred``, ``score`` and ``known``; docs may hold any other columns."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages x features numbers
-    names = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in names) + ", lang_pred string, score double"
+    names = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", "known")]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in names) + ", lang_pred string, score double, known boolean"
 
     def work(batches):
         for batch in batches:
             for part in slices(batch, text):
-                langs, score = sent.value.predict(part.column(text).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(score)], [*part.schema.names, "lang_pred", "score"])
+                langs, score, known = sent.value.predict(part.column(text).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(score), pa.array(known)], [*part.schema.names, "lang_pred", "score", "known"])
 
     return docs.select(*[F.col(f"`{f.name}`") for f in names]).mapInArrow(work, schema)
 
@@ -217,7 +236,8 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text has a language."""
+    """The rows of ``docs``, all columns as they are, whose text is of a known language; all if none can be learnt."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(row.alias("__row"), F.col("text").alias("__text"))
-    return predict(rows, fit(docs), "__text").where("lang_pred <> 'und'").select("__row.*")
+    model = fit(docs)
+    return predict(rows, model, "__text").where("known").select("__row.*") if model.families else docs
