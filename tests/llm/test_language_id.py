@@ -70,6 +70,14 @@ def test_texts_of_no_learned_language_go(spark):
     assert lid.keep_known(unlabelled).count() == 80
 
 
+def test_every_language_is_learnt(spark):
+    words = {f"l{k:02d}": " ".join(chr(97 + k % 26) * 2 + chr(97 + k // 26) + c for c in "aeiou") for k in range(70)}
+    rows = [(i * 100 + k, t, lang, "s") for k, (lang, t) in enumerate(words.items()) for i in range(8)]
+    got = lid.identify(spark.createDataFrame(rows, DOCS)).collect()
+    want = {r[0]: r[2] for r in rows}
+    assert {r.lang_pred for r in got} == set(words) and all(r.lang_pred == want[r.doc_id] for r in got)
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

@@ -10,7 +10,8 @@ doesn't depend on the table's size); every whole text is predicted.  Only text
 and language of rows whose crc32(doc_id) modulo 4 isn't 2 are learnt from; the
 prediction sees nothing but the text.
 
-A text is of a known language if its
+Every language of the table is learnt, whatever their number; where there are many
+pairs, the machines are fitted by tasks.  A text is of a known language if its
 vector is about as near to the mean vector of the language it is given as the
 labelled rows are to theirs: :func:`keep_known` drops the others, and keeps all
 rows if there is nothing to learn from.
@@ -24,19 +25,19 @@ are not read by :func:`identify` and kept by :func:`keep_known`.
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
-from operator import or_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracequarry.llm.bpe import slices
 
-#: Rows of a language that the machines are fitted on, and languages, the most frequent ones.
-PER_LANGUAGE, MAX_LANGUAGES = 400, 64
+#: Rows of a language that the machines are fitted on.
+PER_LANGUAGE = 400
+#: Pairs of names whose machines the driver fits; more are dealt out to tasks.
+LOCAL_PAIRS = 32
 #: A text is of no known language below this share of the cosine that this quantile of the labelled rows reaches.
 NEAR_SHARE, NEAR_QUANTILE = 0.8, 0.01
 #: Hashed n-gram features; n-grams of these many bytes.
@@ -114,13 +115,26 @@ def fit_machine(x: np.ndarray, y: np.ndarray, steps: int = 150, decay: float = 1
     return w
 
 
-def fit_pairs(x: np.ndarray, names: np.ndarray) -> dict[tuple[str, str], np.ndarray]:
+def fit_pairs(x: np.ndarray, names: np.ndarray, spark: SparkSession | None = None) -> dict[tuple[str, str], np.ndarray]:
     """One machine for each pair of names: above 0 for the first."""
-    out = {}
-    for a, b in combinations(sorted(set(names.tolist())), 2):
+    pairs = list(combinations(sorted(set(names.tolist())), 2))
+
+    def machine(x, names, a, b):
         rows = (names == a) | (names == b)
-        out[a, b] = fit_machine(x[rows], np.where(names[rows] == a, 1.0, -1.0))
-    return out
+        return fit_machine(x[rows].astype(np.float32), np.where(names[rows] == a, 1.0, -1.0))
+
+    if spark is None or len(pairs) <= LOCAL_PAIRS:
+        return {(a, b): machine(x, names, a, b) for a, b in pairs}
+    sent = spark.sparkContext.broadcast((x.astype("<f2"), names, pairs))  # the bounded sample of each language
+
+    def work(batches):
+        x, names, pairs = sent.value
+        for batch in batches:
+            ids = batch.column("id")
+            yield pa.RecordBatch.from_arrays([ids, pa.array([machine(x, names, *pairs[i]).tobytes() for i in ids.to_pylist()], pa.binary())], ["id", "w"])
+
+    got = spark.range(0, len(pairs), 1, min(len(pairs), 200)).mapInArrow(work, "id long, w binary").collect()
+    return {pairs[r.id]: np.frombuffer(bytes(r.w)) for r in got}
 
 
 def vote(machines: dict[tuple[str, str], np.ndarray], names: list[str], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,14 +156,14 @@ def vote(machines: dict[tuple[str, str], np.ndarray], names: list[str], x: np.nd
 class Model:
     """Families, then the languages of each."""
 
-    def __init__(self, x: np.ndarray, langs: np.ndarray):
+    def __init__(self, x: np.ndarray, langs: np.ndarray, spark: SparkSession | None = None):
         kinds = np.array([family(v) for v in langs.tolist()], dtype=object)
         self.families = sorted(set(kinds.tolist()))
-        self.top = fit_pairs(x, kinds)
+        self.top = fit_pairs(x, kinds, spark)
         self.inside = {}
         for f in self.families:
             rows = kinds == f
-            self.inside[f] = (sorted(set(langs[rows].tolist())), fit_pairs(x[rows], langs[rows]))
+            self.inside[f] = (sorted(set(langs[rows].tolist())), fit_pairs(x[rows], langs[rows], spark))
 
         self.means, self.bounds = {}, {}
         for lang in set(langs.tolist()):
@@ -186,14 +200,20 @@ def fit(docs: DataFrame) -> Model:
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     rows = rows.where("doc_id is not null and lang is not null and text is not null").where(~held_out(F.col("doc_id")))
     key = F.xxhash64("doc_id")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().collect()  # a row for each language
     if not counts:
         return Model(np.zeros((0, FEATURES), np.float32), np.array([], dtype=object))
     # hashes are even, so the smallest few lie below a bound that the count gives: no task sees a language's rows
-    near = reduce(or_, [(F.col("lang") == r["lang"]) & (key <= int(min(1.0, 4 * PER_LANGUAGE / r["count"] + 1e-6) * (2**64 - 2048)) - 2**63) for r in counts])
-    first = rows.select("lang", key.alias("k")).where(near).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("k")))
+    bound = {r["lang"]: int(min(1.0, 4 * PER_LANGUAGE / r["count"] + 1e-6) * (2**64 - 2048)) - 2**63 for r in counts}
+    spark = docs.sparkSession
+
+    def below(most: dict[str, int]) -> DataFrame:
+        """The rows whose hash is at most their language's bound; all bounds are one row, so nothing is dealt by language."""
+        one = spark.createDataFrame([(most,)], "most map<string,long>")
+        return rows.crossJoin(F.broadcast(one)).where(key <= F.col("most")[F.col("lang")]).drop("most")
+
+    first = below(bound).select("lang", key.alias("k")).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("k")))
     bounds = first.where(F.col("r") <= PER_LANGUAGE).groupBy("lang").agg(F.max("k").alias("k")).collect()
-    chosen = reduce(or_, [(F.col("lang") == r["lang"]) & (key <= r["k"]) for r in bounds])
 
     def work(batches):
         for batch in batches:
@@ -202,7 +222,7 @@ def fit(docs: DataFrame) -> Model:
                 data = pa.array([v.tobytes() for v in x.astype("<f2")], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("k"), data], ["lang", "k", "x"])
 
-    got = rows.where(chosen).select("lang", key.alias("k"), "text").mapInArrow(work, "lang string, k long, x binary")
+    got = below({r["lang"]: r["k"] for r in bounds}).select("lang", key.alias("k"), "text").mapInArrow(work, "lang string, k long, x binary")
     sample = sorted((r.lang, r.k, bytes(r.x)) for r in got.collect())  # bounded: languages x rows x features
     seen: dict[str, int] = {}
     kept = []
@@ -211,7 +231,7 @@ def fit(docs: DataFrame) -> Model:
         if seen[lang] <= 2 * PER_LANGUAGE:
             kept.append((lang, x))
     x = np.frombuffer(b"".join(x for _, x in kept), "<f2").reshape(len(kept), FEATURES).astype(np.float32)
-    return Model(x, np.array([lang for lang, _ in kept], dtype=object))
+    return Model(x, np.array([lang for lang, _ in kept], dtype=object), spark)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
