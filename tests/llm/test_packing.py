@@ -36,6 +36,63 @@ def test_plan_holds_the_histogram_and_is_tight(seed):
     assert bins <= least + max(2, 0.01 * least)
 
 
+def best_fit_decreasing(hist, capacity=2048):
+    """Sequences of the plain heuristic, on a histogram."""
+    room, total = defaultdict(int), 0
+    for size in sorted(hist, reverse=True):
+        m = hist[size]
+        while m:
+            at = next((r for r in range(size, capacity) if room[r]), capacity)
+            n = room.pop(at) if at < capacity else m
+            each = min(at // size, m)
+            k = min(n, m // each)
+            if at == capacity:
+                total += k
+            else:
+                room[at] += n - k
+            room[at - each * size] += k
+            m -= each * k
+    return total
+
+
+def draws(kind, n):
+    pick = np.random.default_rng(7)
+    if kind == "lognormal":
+        return np.clip(pick.lognormal(5.5, 1.2, n).astype(int) + 1, 1, 2048)
+    if kind == "even":
+        return pick.integers(1, 2049, n)
+    if kind == "long":
+        return pick.integers(600, 2049, n)
+    if kind == "few":
+        return pick.choice([1500, 700, 650, 100], n, p=[0.2, 0.3, 0.2, 0.3])
+    return pick.choice(np.arange(350, 1000, 7), n)
+
+
+@pytest.mark.parametrize("kind", ["lognormal", "even", "long", "few", "steps"])
+@pytest.mark.parametrize("n", [300, 20_000, 200_000])
+def test_no_more_sequences_than_best_fit(kind, n):
+    values, counts = np.unique(draws(kind, n), return_counts=True)
+    hist = dict(zip(values.tolist(), counts.tolist()))
+    patterns = packing.plan(hist)
+    assert content(patterns) == hist
+    used = sum(k for _, k in patterns)
+    assert used <= best_fit_decreasing(hist) * 1.0002
+    if kind == "few" and n > 300:  # here the weights gain much
+        assert used < 0.97 * best_fit_decreasing(hist)
+
+
+def test_the_program_places_most_pieces():
+    values, counts = np.unique(draws("lognormal", 200_000), return_counts=True)
+    amounts, prices = packing.fractional(values[values < 2048], counts[values < 2048].astype(float), 2048)
+    covered = np.zeros(len(prices))
+    for times, x in amounts.items():
+        for i, k in times:
+            covered[i] += k * x
+    assert (covered <= counts[values < 2048] * (1 + 1e-9)).all()
+    assert covered.sum() >= 0.85 * counts[values < 2048].sum()
+    assert packing.price(values[values < 2048], prices, 2048)[2048] <= 1 + 1e-9
+
+
 def test_plan_corner_cases():
     assert packing.plan({}) == []
     assert packing.plan({2048: 5}) == [((2048,), 5)]
@@ -46,7 +103,7 @@ def test_plan_corner_cases():
 
 def test_knapsack_against_all_patterns():
     lengths, values = np.array([3, 5, 7]), np.array([0.4, 0.9, 1.0])
-    best, _ = packing.price(lengths, values, 20)
+    best = packing.price(lengths, values, 20)
     for c in range(21):
         brute = max(0.4 * a + 0.9 * b + d for a in range(8) for b in range(5) for d in range(3) if 3 * a + 5 * b + 7 * d <= c)
         assert abs(best[c] - brute) < 1e-9

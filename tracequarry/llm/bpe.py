@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 #: Characters of text that are encoded at once; bounds a worker's memory.
 BATCH_CHARS = 8_000_000
 #: Chunks whose ids a worker remembers between batches.
-MEMO_CHUNKS = 300_000
+MEMO_CHUNKS = 1_000_000
 #: White space in any sense that a pre-token pattern may use; more is harmless.
 _BLANK = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{200b}\x{180e}\x{feff}\pZ"
 _ODD = f"[{_BLANK}] | [{_BLANK}]|^ | $"
@@ -81,6 +81,32 @@ def read_model(path: str) -> str:
         return f.read()
 
 
+class Memo:
+    """Ids of chunks seen before; when there are too many, those found most often stay."""
+
+    def __init__(self):
+        self.words = pa.array([], pa.large_string())
+        self.flat = np.empty(0, np.uint32)
+        self.starts = self.counts = self.hits = np.empty(0, np.int64)
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        """Place of each word, -1 for new ones."""
+        return pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False)
+
+    def add(self, words: pa.Array, flat: np.ndarray, starts: np.ndarray, counts: np.ndarray):
+        """New words; ``flat`` holds the ids of the old ones in front."""
+        self.words, self.flat = pa.concat_arrays([self.words, words]), flat
+        self.starts, self.counts = np.concatenate([self.starts, starts]), np.concatenate([self.counts, counts])
+        self.hits = np.concatenate([self.hits, np.ones(len(words), np.int64)])
+        if len(self.words) > MEMO_CHUNKS or len(flat) > 8 * MEMO_CHUNKS:
+            short = np.flatnonzero(pc.binary_length(self.words).to_numpy() < 64)
+            keep = np.sort(short[np.argsort(-self.hits[short], kind="stable")[: MEMO_CHUNKS // 2]])
+            self.words = self.words.take(pa.array(keep))
+            self.flat = _gather(flat, self.starts, self.counts, keep)
+            self.counts, self.hits = self.counts[keep], self.hits[keep] // 2
+            self.starts = np.cumsum(self.counts) - self.counts
+
+
 class Codec:
     """Encodes Arrow string arrays and decodes ids; one lives in each worker."""
 
@@ -118,7 +144,7 @@ class Codec:
         self.lengths = np.array([len(t) for t in table], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)])[:-1]
         self.bytes = np.frombuffer(b"".join(table), np.uint8)
-        self.memo: dict[str, bytes] = {}
+        self.memo = {True: Memo(), False: Memo()}  # chunks with and without a space before them
         solid = r"[^\s\x0b\x1c-\x1f\x85\u200b\u180e\ufeff\p{Z}]"
         self.cut = regex.compile(rf"(?<={solid}) (?={solid})")
 
@@ -126,40 +152,38 @@ class Codec:
         found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32) for e in found]
 
-    def _fresh(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks that start and end with no white space, but for a leading space.
+    def _fresh(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of chunks that start and end with no white space, but for a leading space, and how many each has.
 
         Many go through the library as one text; token lengths tell them apart."""
-        out: list[bytes] = []
-        for a in range(0, len(chunks), 4096):
-            some = chunks[a : a + 4096]
+        flat, counts = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for a in range(0, len(chunks), 1024):
+            some = chunks[a : a + 1024]
             ids = self._raw(["".join(some)])[0]
             ends = np.cumsum(self.lengths[ids])
             marks = np.searchsorted(ends, np.cumsum([len(c.encode()) for c in some]), side="left") + 1
-            data, last = ids.tobytes(), 0
-            for m in (marks * 4).tolist():
-                out.append(data[last:m])
-                last = m
-        return out
-
-    def _unique(self, chunks: list[str], space: str) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of distinct chunks and how many each has."""
-        keys = [space + c for c in chunks] if space else chunks
-        got = [self.memo.get(k) for k in keys]
-        missing = [i for i, g in enumerate(got) if g is None]
-        if missing:
-            if space:
-                new = self._fresh([keys[i] for i in missing])
-            else:
-                new = [x.tobytes() for x in self._raw([keys[i] for i in missing])]
-            if len(self.memo) > MEMO_CHUNKS:
-                self.memo = {}
-            for i, x in zip(missing, new):
-                got[i] = x
-                if len(keys[i]) < 64:
-                    self.memo[keys[i]] = x
-        flat = np.frombuffer(b"".join(got), np.uint32)
-        return flat, np.fromiter((len(g) >> 2 for g in got), np.int64, len(got))
+            flat.append(ids)
+            counts.append(np.diff(marks, prepend=0))
+        return np.concatenate(flat), np.concatenate(counts)
+
+    def _unique(self, chunks: pa.Array, space: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Flat ids of distinct chunks, where each one's begin and how many it has."""
+        memo = self.memo[space]
+        at = memo.find(chunks)
+        new = chunks.filter(pa.array(at < 0)) if (at < 0).any() else chunks.slice(0, 0)
+        if space:
+            flat, n = self._fresh([" " + c for c in new.to_pylist()])
+        else:
+            each = self._raw(new.to_pylist())
+            flat, n = np.concatenate([np.empty(0, np.uint32), *each]), np.array([len(x) for x in each], np.int64)
+        starts, counts = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+        known = at >= 0
+        starts[known], counts[known] = memo.starts[at[known]], memo.counts[at[known]]
+        starts[~known], counts[~known] = np.cumsum(n) - n + len(memo.flat), n
+        both = np.concatenate([memo.flat, flat])
+        memo.hits[at[known]] += 1
+        memo.add(new, both, starts[~known], n)
+        return both, starts, counts
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the bounds of each text's ids."""
@@ -170,23 +194,30 @@ class Codec:
         odd = pc.match_substring_regex(texts, _ODD)
         parts = pc.split_pattern(pc.if_else(odd, "", texts), " ")
         parts = parts.combine_chunks() if isinstance(parts, pa.ChunkedArray) else parts
-        if pc.any(odd).as_py():
-            lists = parts.to_pylist()
-            for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
-                lists[i] = self.cut.split(texts[int(i)].as_py())
-            parts = pa.array(lists, pa.list_(pa.large_string()))
-        bounds = parts.offsets.to_numpy().astype(np.int64)
-        bounds -= bounds[0]
-        coded = parts.flatten().dictionary_encode()
-        codes = coded.indices.to_numpy().astype(np.int64)
-        words = coded.dictionary.to_pylist()
+        starts, sizes = parts.offsets.to_numpy()[:-1].astype(np.int64), np.diff(parts.offsets.to_numpy()).astype(np.int64)
+        starts -= parts.offsets[0].as_py()
+        chunks = parts.flatten().cast(pa.large_string())
+        if pc.any(odd).as_py():  # texts with other white space are cut by the library of patterns, and follow the others
+            rows = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+            cut = [self.cut.split(t) for t in texts.filter(odd).to_pylist()]
+            sizes[rows] = [len(c) for c in cut]
+            starts[rows] = len(chunks) + np.cumsum(sizes[rows]) - sizes[rows]
+            chunks = pa.concat_arrays([chunks, pa.array([c for some in cut for c in some], pa.large_string())])
         # the first chunk of a text has no space before it; an odd one may hold white space anywhere
-        first = parts.flatten().take(pa.array(bounds[:-1])).dictionary_encode()
-        flat_a, n_a = self._unique(words, " ") if len(codes) > len(bounds) - 1 else (np.empty(0, np.uint32), np.zeros(len(words), np.int64))
-        flat_b, n_b = self._unique(first.dictionary.to_pylist(), "")
-        codes[bounds[:-1]] = first.indices.to_numpy() + len(words)
-        flat, n = np.concatenate([flat_a, flat_b]), np.concatenate([n_a, n_b])
-        ids = _gather(flat, np.cumsum(n) - n, n, codes)
+        first = chunks.take(pa.array(starts)).dictionary_encode()
+        coded = chunks.dictionary_encode()
+        codes = _gather(coded.indices.to_numpy(), starts, sizes, np.arange(len(sizes))).astype(np.int64)
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        codes[bounds[:-1]] = first.indices.to_numpy() + len(coded.dictionary)
+        # chunks that are nowhere but in front need no ids with a space
+        used = np.zeros(len(coded.dictionary), bool)
+        used[codes[codes < len(used)]] = True
+        flat_a, at_a, n_a = self._unique(coded.dictionary.filter(pa.array(used)), True)
+        flat_b, at_b, n_b = self._unique(first.dictionary, False)
+        place = np.cumsum(used) - 1
+        at = np.concatenate([at_a[place] if len(at_a) else np.zeros(len(used), np.int64), at_b + len(flat_a)])
+        n = np.concatenate([n_a[place] if len(n_a) else np.zeros(len(used), np.int64), n_b])
+        ids = _gather(np.concatenate([flat_a, flat_b]), at, n, codes)
         sums = np.concatenate([[0], np.cumsum(n[codes])])
         return ids, sums[bounds]
 

@@ -4,11 +4,11 @@ Lengths lie between 1 and the capacity, so their histogram has a fixed size and
 the whole planning happens on it, however many documents there are.  The
 configuration program (fewest sequences, each filled by a pattern of lengths,
 covering the histogram) is solved by multiplicative weights: prices of lengths
-start at their share of the capacity and rise where coverage lags; each round a
-knapsack dynamic program over the capacity prices the patterns and gives, at
-once, the best pattern through every length.  The fractional solution is rounded
-down and by largest fraction while its items last; what remains, at most an
-instance per pattern, is packed best-fit decreasing.
+start at their share of the capacity and rise where coverage lags behind the
+sequences that the volume needs; a knapsack dynamic program over the capacity
+prices the patterns.  No pattern covers more than there is.  The fractional
+solution is rounded down and by largest fraction; what that leaves is priced on by
+the same knapsack program in whole patterns.  Several roundings are compared.
 
 The plan is a table from (length, rank among pieces of this length) to a
 sequence and a place.  Ranks come from counts by (bucket, length): no task sees
@@ -35,9 +35,14 @@ from tracequarry.llm.bpe import Codec, slices
 
 CAPACITY = 2048
 #: Rounds of the multiplicative weights and their learning rate.
-ROUNDS, RATE = 48, 1.5
-#: Patterns within this factor of the best price take part in a round.
-NEAR = 0.02
+ROUNDS, RATE = 12, 0.1
+#: A round takes patterns whose value is within this share of the best.
+WORTH = 0.01
+#: Shares of the fractional amounts that are rounded, and tokens of waste that a piece counts as when the rest is priced;
+#: the plan with fewest sequences stays.
+ROUNDINGS = ((1.0, 0), (0.5, 0), (0.0, 64))
+#: Values that differ by less are equal; a pattern may miss the value of a table of earlier prices by the second.
+NEAR, SLACK = 1e-9, 0.002
 #: Rows of a bucket in which ranks are counted, on average.
 BUCKET_ROWS = 100_000
 
@@ -73,108 +78,148 @@ def pieces(docs: DataFrame, model_json: str, capacity: int = CAPACITY, end_id: i
     return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def price(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Unbounded knapsack: best value of each capacity and the item taken there (-1: none)."""
-    best, item = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    order = np.argsort(lengths)
-    lengths, values = lengths[order], values[order]
+def price(lengths: np.ndarray, values: np.ndarray, capacity: int) -> np.ndarray:
+    """Knapsack: the best value that fits into each capacity; ``lengths`` ascend."""
+    best = np.zeros(capacity + 1)
     upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
-        k = upto[c]
-        if k:
-            got = best[c - lengths[:k]] + values[:k]
-            i = int(got.argmax())
-            if got[i] > best[c - 1]:
-                best[c], item[c] = got[i], order[i]
-                continue
         best[c] = best[c - 1]
-    return best, item
+        if k := upto[c]:
+            best[c] = max(best[c], (best[c - lengths[:k]] + values[:k]).max())
+    return best
 
 
-def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS, rate: float = RATE) -> dict[tuple[int, ...], float]:
-    """Multiplicative weights on the configuration program: patterns (lengths, descending) and amounts."""
+class Pricer:
+    """Patterns of nearly the best value under given prices, made of amounts that are left."""
+
+    def __init__(self, lengths: np.ndarray, prices: np.ndarray, left: np.ndarray, least: float, capacity: int):
+        self.lengths, self.prices, self.left, self.least, self.capacity = lengths, prices, left, least, capacity
+        self.solve()
+
+    def solve(self):
+        there = np.flatnonzero(self.left >= self.least)
+        self.best = price(self.lengths[there], self.prices[there], self.capacity)
+        self.known, self.gone = len(there), 0
+
+    def through(self) -> np.ndarray:
+        """Value of the best pattern with each length."""
+        return self.prices + self.best[self.capacity - self.lengths]
+
+    def _fill(self, seed: int) -> tuple[dict[int, int], float]:
+        times, room, value = {seed: 1}, self.capacity - self.lengths[seed], self.prices[seed]
+        want = self.left[seed]
+        while k := int(np.searchsorted(self.lengths, room, side="right")):
+            share = self.left[:k].copy()
+            for i, n in times.items():
+                if i < k:
+                    share[i] /= n + 1
+            score = np.where(share >= self.least, self.prices[:k] + self.best[room - self.lengths[:k]], -1.0)
+            if (top := score.max()) < 0:
+                break
+            near = np.flatnonzero(score >= top - NEAR)
+            lasting = near[share[near] >= want]  # a length that lasts as long as the first, so that patterns are few
+            i = int(lasting[-1] if len(lasting) else near[share[near].argmax()])
+            times[i] = times.get(i, 0) + 1
+            room -= self.lengths[i]
+            value += self.prices[i]
+        return times, value
+
+    def pattern(self, seed: int) -> tuple[dict[int, int], float]:
+        """Lengths and how often a pattern with ``seed`` has each, and its value; priced anew once a tenth of the lengths is used up
+        or the pattern misses the value that the table promises."""
+        if self.gone > self.known // 10:
+            self.solve()
+        times, value = self._fill(seed)
+        if self.gone and value < self.through()[seed] - SLACK:
+            self.solve()
+            times, value = self._fill(seed)
+        return times, value
+
+    def take(self, times: dict[int, int], amount: float):
+        for i, n in times.items():
+            self.left[i] = max(0.0, self.left[i] - n * amount)
+            self.gone += self.left[i] < self.least
+
+
+def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS, rate: float = RATE) -> tuple[dict[tuple, float], np.ndarray]:
+    """Multiplicative weights on the configuration program: amounts of patterns, ((place of length, times), ...), and prices.
+
+    A round may use its share of the sequences that the volume needs, and no length is covered beyond the round's share of
+    it. Patterns of the highest value come first; prices of lengths that lag rise, so they come earlier next time."""
     prices = lengths / capacity
     covered = np.zeros(len(lengths))
-    amounts: dict[tuple[int, ...], float] = {}
+    budget = float(lengths @ counts) / capacity / rounds
+    amounts: dict[tuple, float] = {}
     for t in range(1, rounds + 1):
-        best, item = price(lengths, prices, capacity)
-        through = prices + best[capacity - lengths]  # value of the best pattern with this length
-        lag = t / rounds - covered / counts
-        for i in np.flatnonzero((through >= (1 - NEAR) * best[capacity]) & (lag > 0)):
-            need = (t / rounds) * counts[i] - covered[i]
-            if need <= 0:
-                continue
-            pattern, c = [i], capacity - lengths[i]
-            while c > 0:
-                if item[c] < 0:
-                    c -= 1
-                    continue
-                pattern.append(item[c])
-                c -= lengths[item[c]]
-            kinds, times = np.unique(pattern, return_counts=True)
-            if (times > counts[kinds]).any():
-                times = np.minimum(times, counts[kinds].astype(int))
-            step = need / times[kinds == i][0]
-            key = tuple(sorted(np.repeat(lengths[kinds], times).tolist(), reverse=True))
-            amounts[key] = amounts.get(key, 0.0) + step
-            covered[kinds] += times * step
-        lag = np.clip(t / rounds - covered / counts, -1, 1)
-        prices = prices * np.exp(rate * lag / np.sqrt(t))
-        prices = np.minimum(prices, 4 * lengths / capacity)
-    return amounts
-
-
-def best_fit(left: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Best-fit decreasing on a histogram; equal sequences are kept as one pattern with a count."""
-    room: dict[int, list[tuple[tuple[int, ...], int]]] = {}
-    has = np.zeros(capacity + 1, bool)
-    for size in sorted(left, reverse=True):
-        m = left[size]
-        while m:
-            at = size + int(has[size:].argmax()) if has[size:].any() else capacity
-            if at == capacity and not has[capacity]:
-                pattern, n = (), m
-            else:
-                pattern, n = room[at].pop()
-                has[at] = bool(room[at])
-            each = min(at // size, m)
-            k = min(n, m // each)
-            if n > k and pattern:
-                room[at].append((pattern, n - k))
-                has[at] = True
-            rest = at - each * size
-            room.setdefault(rest, []).append((pattern + (size,) * each, k))
-            has[rest] = True
-            m -= each * k
-    return [x for same in room.values() for x in same]
+        pricer = Pricer(lengths, prices, counts * t / rounds - covered, 1e-9, capacity)
+        start, spare = pricer.left.copy(), budget
+        for seed in np.lexsort((-lengths, -np.round(pricer.through(), 3))).tolist():
+            while pricer.left[seed] >= 1e-9 and spare > 1e-9:
+                times, value = pricer.pattern(seed)
+                if value < (1 - WORTH) * pricer.best[capacity]:
+                    break
+                step = min(spare, *(pricer.left[i] / n for i, n in times.items()))
+                pricer.take(times, step)
+                key = tuple(sorted(times.items()))
+                amounts[key] = amounts.get(key, 0.0) + step
+                spare -= step
+        covered += start - pricer.left
+        prices = prices * np.exp(rate * (t / rounds - covered / counts))
+        prices /= max(1.0, price(lengths, prices, capacity)[capacity])  # no pattern is worth more than a sequence
+    return amounts, prices
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns and how many sequences have each; together they hold exactly the histogram."""
+    """Patterns and how many sequences have each; together they hold exactly the histogram.
+
+    The roundings of the fractional solution are compared; all lie within a piece of a kind for each pattern."""
     left = {int(k): int(n) for k, n in histogram.items() if n}
     out = [((capacity,), left.pop(capacity))] if capacity in left else []
     if not left:
         return out
     lengths = np.array(sorted(left))
     counts = np.array([left[k] for k in lengths.tolist()], float)
-    amounts = fractional(lengths, counts, capacity)
-
-    def take(pattern: tuple[int, ...], most: int) -> int:
-        need = {k: pattern.count(k) for k in set(pattern)}
-        n = min(most, *(left.get(k, 0) // v for k, v in need.items()))
-        if n > 0:
-            for k, v in need.items():
-                left[k] -= v * n
-            out.append((pattern, n))
-        return n
-
-    waste = {p: capacity - sum(p) for p in amounts}
-    floor = {p: take(p, int(x)) for p, x in sorted(amounts.items(), key=lambda i: (waste[i[0]], -i[1]))}
-    for p in sorted(amounts, key=lambda p: (waste[p], floor[p] - amounts[p])):
-        if waste[p] > capacity // 100:
+    amounts, _ = fractional(lengths, counts, capacity)
+    least = -(-int(lengths @ counts) // capacity)
+    best: list[tuple[dict[int, int], int]] = []
+    fewest = None
+    for share, piece in ROUNDINGS:
+        found = rounded(amounts, share, piece, lengths, counts, capacity)
+        used = sum(n for _, n in found)
+        if fewest is None or used < fewest:
+            best, fewest = found, used
+        if fewest == least:
             break
-        take(p, 1 + int(amounts[p] > floor[p] + 1))
-    return out + best_fit({k: n for k, n in left.items() if n}, capacity)
+    return out + [(tuple(x for i, k in sorted(times.items(), reverse=True) for x in [int(lengths[i])] * k), n) for times, n in best]
+
+
+def rounded(amounts: dict[tuple, float], share: float, piece: int, lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Whole patterns: ``share`` of each amount rounded down, then full patterns of the largest fractions while items last.
+
+    What is left is priced on at its lengths less ``piece`` in whole patterns, longest pieces first, until nothing is left."""
+    rest = counts.copy()
+    whole: dict[tuple, int] = {}
+
+    def take(times: tuple, most: int):
+        n = max(0, min(most, *(int(rest[i] // k) for i, k in times)))
+        for i, k in times:
+            rest[i] -= k * n
+        whole[times] = whole.get(times, 0) + n
+
+    for times, x in amounts.items():
+        take(times, int(share * x))
+    for times in sorted(amounts, key=lambda p: -(share * amounts[p] % 1)):
+        if share * amounts[times] % 1 >= 0.5 and sum(int(lengths[i]) * k for i, k in times) == capacity:
+            take(times, 1)
+    out = [(dict(times), n) for times, n in whole.items() if n]
+    pricer = Pricer(lengths, np.maximum(lengths - piece, lengths / 2) / capacity, rest, 1.0, capacity)
+    for seed in range(len(lengths) - 1, -1, -1):
+        while rest[seed] >= 1:
+            times, _ = pricer.pattern(seed)
+            n = int(min(rest[i] // k for i, k in times.items()))
+            pricer.take(times, n)
+            out.append((times, n))
+    return out
 
 
 def lookup(patterns: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
