@@ -54,9 +54,9 @@ def brute(rows, target):
     return out
 
 
-@pytest.mark.parametrize("most", [lm.MOST_TARGETS, 3])
-def test_scores_against_brute_force(spark, monkeypatch, most):
-    monkeypatch.setattr(lm, "MOST_TARGETS", most)
+@pytest.mark.parametrize("run", [lm.RUN_BYTES, 40])
+def test_scores_against_brute_force(spark, monkeypatch, run):
+    monkeypatch.setattr(lm, "RUN_BYTES", run)  # with 40 bytes most texts are cut into runs
     pick = random.Random(2)
     vocab = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join(pick.choices(vocab[:30] if i % 3 else vocab[20:], k=pick.randint(1, 60)))) for i in range(90)] + [(900, None), (901, ""), (902, "Qq " * 3000)]
@@ -120,3 +120,28 @@ def test_more_words_than_any_table_of_slots(spark):
 def test_long_words_do_not_share_a_hash():
     a, b = "x" + "a" * 63 + "y" + "b" * 63, "y" + "a" * 63 + "x" + "b" * 63
     assert len(set(lm.tokens([a, b])[0].tolist())) == 2
+
+
+def test_very_long_texts_take_bounded_memory():
+    import pyarrow as pa
+    import tracemalloc
+
+    text = " ".join(f"word{i % 5000}" for i in range(4_000_000))  # 37 MB
+    part = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], ["doc_id", "text"])
+    tracemalloc.start()
+    runs = lm._runs(part, 7)
+    peak = 0
+    for r in runs:
+        lm.grams(r.column("text").to_pylist(), r.column("lead").to_numpy(zero_copy_only=False))
+        peak = max(peak, tracemalloc.get_traced_memory()[1])
+    tracemalloc.stop()
+    assert len(runs) > 30 and peak < 200_000_000
+    counted = sum(int(lm.grams(r.column("text").to_pylist(), r.column("lead").to_numpy(zero_copy_only=False))[5].sum()) for r in runs)
+    assert counted == 4_000_000
+
+
+def test_very_long_words():
+    a = "x" * 5_000_000
+    hashes, text = lm.tokens([f"{a} b {a}y", a, "b"])
+    assert text.tolist() == [0, 0, 0, 1, 2]
+    assert hashes[0] == hashes[3] and hashes[1] == hashes[4] and len(set(hashes.tolist())) == 3
