@@ -78,6 +78,102 @@ def test_every_language_is_learnt(spark):
     assert {r.lang_pred for r in got} == set(words) and all(r.lang_pred == want[r.doc_id] for r in got)
 
 
+def test_many_rows_under_few_ids(spark):
+    english = [(i, f"the cat and the dog number {i} were here in the house", "en", None) for i in range(300)]
+    ids = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 4 != 2]
+    for pair in (ids[:2], ids[2:4], ids[10:12]):
+        french = [(pair[i % 2], f"le chat et la souris {i} sont ici dans la maison", "fr", None) for i in range(3000)]
+        model = lid.fit(spark.createDataFrame(english + french, DOCS))
+        assert {n for names, _ in model.inside.values() for n in names} == {"en", "fr"}
+
+
+def test_the_sample_is_bounded_and_of_distinct_rows(spark, monkeypatch):
+    monkeypatch.setattr(lid, "PER_LANGUAGE", 5)
+    seen = []
+    monkeypatch.setattr(lid, "Model", lambda x, langs, spark=None: seen.append((x, langs)))
+    letters = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2][:2]
+    same = [(ids[0], "une maison", "fr", None)] * 5000 + [(ids[0], "un chat", "fr", None), (ids[1], "la souris", "fr", None)]
+    many = [(i, f"house {letters(i)}", "en", None) for i in range(20_000)]
+    lid.fit(spark.createDataFrame(same + many, DOCS))
+    (x, langs), = seen
+    assert sorted(langs.tolist()) == ["en"] * 5 + ["fr"] * 3
+    assert len({v.tobytes() for v in x}) == len(x)
+
+
+def plain_vector(text):
+    """Square roots of n-gram shares, as a dictionary of slots."""
+    raw = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in f" {text} ".encode())
+    found = {}
+    for g in (2, 4):
+        for i in range(len(raw) - g + 1):
+            code = raw[i]
+            for b in raw[i + 1 : i + g]:
+                code = (code * 0x01000193 % 2**32) ^ b
+            slot = (code * 0x9E3779B1 % 2**32) >> 21
+            found[slot] = found.get(slot, 0) + 1
+    norm = sum(found.values()) ** 0.5
+    return {k: n**0.5 / norm for k, n in found.items()}
+
+
+def plain_machine(rows, y):
+    """The same descent, an example and a weight at a time."""
+    rows = [{**r, "bias": 1.0} for r in rows]
+    share = [0.5 / y.count(v) for v in y]
+    dot = lambda w, r: sum(w.get(k, 0.0) * x for k, x in r.items())
+    w, v, rate = {}, {}, 1 / (4 + 1e-4)
+    for t in range(150):
+        step = {k: 1e-4 * x for k, x in v.items()}
+        for r, s, c in zip(rows, share, y):
+            slack = max(0.0, 1 - c * dot(v, r))
+            for k, x in r.items():
+                step[k] = step.get(k, 0.0) - 2 * s * c * slack * x
+        new = {k: v.get(k, 0.0) - rate * step[k] for k in step}
+        v = {k: new[k] + t / (t + 3) * (new[k] - w.get(k, 0.0)) for k in new}
+        w = new
+    return lambda r: dot(w, {**r, "bias": 1.0})
+
+
+def plain_vote(machines, names, r):
+    from math import exp
+
+    votes, sure = dict.fromkeys(names, 0), dict.fromkeys(names, 0.0)
+    for (a, b), f in machines.items():
+        p = 1 / (1 + exp(-4 * f(r)))
+        votes[a if p > 0.5 else b] += 1
+        sure[a] += p
+        sure[b] += 1 - p
+    best = max(names, key=lambda n: (votes[n], sure[n]))
+    return best, sure[best] / (len(names) - 1) if len(names) > 1 else 1.0
+
+
+def test_every_row_against_a_plain_model(spark):
+    from itertools import combinations
+
+    say = {"en": "the house and the garden", "de": "das haus und der garten", "fr": "la maison et le jardin", "es": "la casa y el huerto", "fi": "talo ja puutarha"}
+    rows = [(i, f"{say[k]} {w}", k, None) for i, (k, w) in enumerate((k, w) for w in ("a", "bb", "ccc", "dede", "efef", "ghi") for k in say)]
+    learnt = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    kinds = sorted({lid.family(r[2]) for r in learnt})
+
+    def machines(some, name):
+        names = sorted({name(r) for r in some})
+        pairs = {}
+        for a, b in combinations(names, 2):
+            both = [r for r in some if name(r) in (a, b)]
+            pairs[a, b] = plain_machine([plain_vector(r[1]) for r in both], [1.0 if name(r) == a else -1.0 for r in both])
+        return pairs, names
+
+    top, _ = machines(learnt, lambda r: lid.family(r[2]))
+    inside = {k: machines([r for r in learnt if lid.family(r[2]) == k], lambda r: r[2]) for k in kinds}
+    got = {r.doc_id: r for r in lid.identify(spark.createDataFrame(rows, DOCS)).collect()}
+    for i, text, *_ in rows:
+        x = plain_vector(text)
+        kind, sure = plain_vote(top, kinds, x)
+        pairs, names = inside[kind]
+        lang, p = plain_vote(pairs, names, x)
+        assert got[i].lang_pred == lang and abs(got[i].score - sure * p) < 2e-3
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

@@ -237,13 +237,13 @@ def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np
     return flat[at]
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of about ``most`` bytes of text; a longer text stands alone."""
+def slices(batch: pa.RecordBatch, column: str, most: int = BATCH_CHARS, most_rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of at most ``most_rows`` rows of about ``most`` bytes of text; a longer text stands alone."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
     a = 0
     while a < batch.num_rows:
         done = size[a - 1] if a else 0
-        b = max(a + 1, int(np.searchsorted(size, done + most, side="right")))
+        b = min(a + most_rows, max(a + 1, int(np.searchsorted(size, done + most, side="right"))))
         yield batch.slice(a, b - a)
         a = b
 

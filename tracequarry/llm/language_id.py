@@ -4,8 +4,8 @@ A text is a vector of hashed byte n-grams.  Linear support vector machines
 first tell language families apart; inside the predicted family, one machine
 for each pair of its languages votes for the language.
 
-The machines are fitted on at most ``PER_LANGUAGE`` labelled rows of each
-language, those with the smallest hash of ``doc_id`` (a documented bound that
+The machines are fitted on at most ``PER_LANGUAGE`` distinct labelled rows of each
+language, those with the smallest hashes of id and text (a documented bound that
 doesn't depend on the table's size); every whole text is predicted.  Only text
 and language of rows whose crc32(doc_id) modulo 4 isn't 2 are learnt from; the
 prediction sees nothing but the text.
@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tracequarry.lineage import discard, materialize
 from tracequarry.llm.bpe import slices
 
 #: Rows of a language that the machines are fitted on.
@@ -43,7 +44,7 @@ NEAR_SHARE, NEAR_QUANTILE = 0.8, 0.01
 #: Hashed n-gram features; n-grams of these many bytes.
 FEATURES, GRAMS = 2048, (2, 4)
 #: Bytes whose features are counted at once.
-BATCH_BYTES = 2_000_000
+BATCH_BYTES, BATCH_ROWS = 1_000_000, 1024
 # Families of languages by code. Any other language is a family of its own.
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is fy af lb yi".split(),
@@ -77,7 +78,7 @@ def features(texts: list[str | None]) -> np.ndarray:
     a = 0
     while a < len(raw):
         b, size = a, 0
-        while b < len(raw) and (b == a or size + len(raw[b]) <= BATCH_BYTES):
+        while b < len(raw) and b - a < BATCH_ROWS and (b == a or size + len(raw[b]) <= BATCH_BYTES):
             size += len(raw[b])
             b += 1
         data = np.frombuffer(b"".join(raw[a:b]), np.uint8).astype(np.uint32)
@@ -196,42 +197,51 @@ class Model:
 
 
 def fit(docs: DataFrame) -> Model:
-    """Machines from the labelled rows that may be learnt from, at most ``PER_LANGUAGE`` of each language."""
+    """Machines from the labelled rows that may be learnt from, at most ``PER_LANGUAGE`` distinct ones of each language.
+
+    They are those with the smallest hashes of id and text; only they, as vectors, reach the driver."""
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     rows = rows.where("doc_id is not null and lang is not null and text is not null").where(~held_out(F.col("doc_id")))
-    key = F.xxhash64("doc_id")
-    counts = rows.groupBy("lang").count().collect()  # a row for each language
+    rows = rows.withColumn("k", F.xxhash64("doc_id"))
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row for each language
     if not counts:
         return Model(np.zeros((0, FEATURES), np.float32), np.array([], dtype=object))
-    # hashes are even, so the smallest few lie below a bound that the count gives: no task sees a language's rows
-    bound = {r["lang"]: int(min(1.0, 4 * PER_LANGUAGE / r["count"] + 1e-6) * (2**64 - 2048)) - 2**63 for r in counts}
     spark = docs.sparkSession
 
-    def below(most: dict[str, int]) -> DataFrame:
-        """The rows whose hash is at most their language's bound; all bounds are one row, so nothing is dealt by language."""
-        one = spark.createDataFrame([(most,)], "most map<string,long>")
-        return rows.crossJoin(F.broadcast(one)).where(key <= F.col("most")[F.col("lang")]).drop("most")
-
-    first = below(bound).select("lang", key.alias("k")).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("k")))
-    bounds = first.where(F.col("r") <= PER_LANGUAGE).groupBy("lang").agg(F.max("k").alias("k")).collect()
+    def below(most: dict[str, tuple[int, int]]) -> DataFrame:
+        """Distinct (id, text) of a language up to a key of hashes; all keys are one row, so nothing is dealt by language."""
+        one = spark.createDataFrame([(most,)], "most map<string,struct<k:long,t:long>>")
+        bound = F.col("most")[F.col("lang")]
+        near = rows.crossJoin(F.broadcast(one)).where(F.col("k") <= bound["k"])
+        near = near.withColumn("t", F.xxhash64("text")).where((F.col("k") < bound["k"]) | (F.col("t") <= bound["t"]))
+        return near.groupBy("lang", "k", "t").agg(F.first("text").alias("text"))  # repeated rows meet before they move
+
+    # hashes are even, so a language's smallest lie below a bound that its count gives; few ids on many rows need a wider one
+    share = {lang: 4 * PER_LANGUAGE / n for lang, n in counts.items()}
+    while True:
+        most = {lang: (min(int((x + 1e-6) * 2**64) - 2**63, 2**63 - 1), 2**63 - 1) for lang, x in share.items()}
+        keys = materialize(below(most).select("lang", "k", "t"), "keys")
+        got = {r["lang"]: r["count"] for r in keys.groupBy("lang").count().collect()}
+        few = [lang for lang, x in share.items() if x < 1 and got.get(lang, 0) < PER_LANGUAGE]
+        if not few:
+            break
+        discard(keys)
+        share |= {lang: 64 * share[lang] for lang in few}
+    first = keys.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("k", "t"))).where(F.col("r") <= PER_LANGUAGE)
+    last = first.groupBy("lang").agg(F.max(F.struct("k", "t")).alias("last")).collect()
 
     def work(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", BATCH_BYTES, BATCH_ROWS):
                 x = features(part.column("text").to_pylist())
                 data = pa.array([v.tobytes() for v in x.astype("<f2")], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("k"), data], ["lang", "k", "x"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("lang", "k", "t")), data], ["lang", "k", "t", "x"])
 
-    got = below({r["lang"]: r["k"] for r in bounds}).select("lang", key.alias("k"), "text").mapInArrow(work, "lang string, k long, x binary")
-    sample = sorted((r.lang, r.k, bytes(r.x)) for r in got.collect())  # bounded: languages x rows x features
-    seen: dict[str, int] = {}
-    kept = []
-    for lang, _, x in sample:  # repeated ids share a hash; the bound holds for them too
-        seen[lang] = seen.get(lang, 0) + 1
-        if seen[lang] <= 2 * PER_LANGUAGE:
-            kept.append((lang, x))
-    x = np.frombuffer(b"".join(x for _, x in kept), "<f2").reshape(len(kept), FEATURES).astype(np.float32)
-    return Model(x, np.array([lang for lang, _ in kept], dtype=object), spark)
+    chosen = below({r["lang"]: tuple(r["last"]) for r in last}).select("lang", "k", "t", "text")
+    sample = sorted((r.lang, r.k, r.t, bytes(r.x)) for r in chosen.mapInArrow(work, "lang string, k long, t long, x binary").collect())
+    discard(keys)
+    x = np.frombuffer(b"".join(row[-1] for row in sample), "<f2").reshape(len(sample), FEATURES).astype(np.float32)
+    return Model(x, np.array([row[0] for row in sample], dtype=object), spark)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -242,7 +252,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, BATCH_BYTES, BATCH_ROWS):
                 langs, score, known = sent.value.predict(part.column(text).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(score), pa.array(known)], [*part.schema.names, "lang_pred", "score", "known"])
 
