@@ -35,12 +35,12 @@ from tracequarry.llm.bpe import Codec, slices
 
 CAPACITY = 2048
 #: Rounds of the multiplicative weights and their learning rate.
-ROUNDS, RATE = 12, 0.1
+ROUNDS, RATE = 6, 0.1
 #: A round takes patterns whose value is within this share of the best.
 WORTH = 0.01
 #: Shares of the fractional amounts that are rounded, and tokens of waste that a piece counts as when the rest is priced;
 #: the plan with fewest sequences stays.
-ROUNDINGS = ((1.0, 0), (0.5, 0), (0.0, 64))
+ROUNDINGS = ((1.0, 0), (0.5, 64), (0.0, 64))
 #: Values that differ by less are equal; a pattern may miss the value of a table of earlier prices by the second.
 NEAR, SLACK = 1e-9, 0.002
 #: Rows of a bucket in which ranks are counted, on average.
@@ -125,12 +125,12 @@ class Pricer:
         return times, value
 
     def pattern(self, seed: int) -> tuple[dict[int, int], float]:
-        """Lengths and how often a pattern with ``seed`` has each, and its value; priced anew once a tenth of the lengths is used up
-        or the pattern misses the value that the table promises."""
+        """Lengths and how often a pattern with ``seed`` has each, and its value; priced anew once a tenth of the lengths is used up,
+        or a hundredth and the pattern misses the value that the table promises."""
         if self.gone > self.known // 10:
             self.solve()
         times, value = self._fill(seed)
-        if self.gone and value < self.through()[seed] - SLACK:
+        if self.gone * 100 > self.known and value < self.prices[seed] + self.best[self.capacity - self.lengths[seed]] - SLACK:
             self.solve()
             times, value = self._fill(seed)
         return times, value
