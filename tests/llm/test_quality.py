@@ -56,20 +56,26 @@ def js(p, q):
 def brute(rows):
     """rows: doc_id, text, lang."""
     each = [(d, t or "", lang, base(t), *histograms(t)) for d, t, lang in rows]
+    failed = lambda b: b[0] < 50 or 100 * b[4] > 50 * b[0]
     refs = {}
     for _, _, lang, b, c, w in each:
         for key in {None, lang}:
-            r = refs.setdefault(key, [[0] * len(c), [0] * len(w)])
-            r[0] = [x + y for x, y in zip(r[0], c)]
-            r[1] = [x + y for x, y in zip(r[1], w)]
-    refs = [r for r in refs.values() if sum(r[0]) and sum(r[1])]
+            if not failed(b):
+                r = refs.setdefault(key, [[0] * len(c), [0] * len(w), 0])
+                refs[key] = [[x + y for x, y in zip(r[0], c)], [x + y for x, y in zip(r[1], w)], r[2] + 1]
+    kinds = dict(zip(quality.CLASSES, range(99)))
+    for key, (c, _, n) in list(refs.items()):
+        letters = sum(c[kinds[k]] for k in ("lower", "upper", "letter"))
+        if key is not None and (n < quality.MIN_ROWS or letters < quality.MIN_LETTERS * (sum(c) - c[kinds["space"]])):
+            del refs[key]
     out = []
-    for d, t, _, b, c, w in each:
-        failed = b[0] < 50 or 100 * b[4] > 50 * b[0]
-        dc = min(js(c, r[0]) for r in refs) if len(t) >= quality.MIN_CHARS else None
-        dw = min(js(w, r[1]) for r in refs) if b[0] >= quality.MIN_WORDS else None
-        kept = not failed and (dc or 0) <= quality.MAX_CLASS_DISTANCE and (dw or 0) <= quality.MAX_WORD_DISTANCE
-        out.append((d, *b, failed, kept, dc, dw))
+    for d, t, lang, b, c, w in each:
+        own = refs.get(lang) if lang is not None else None
+        ref = own or refs.get(None)
+        dc = js(c, ref[0]) if ref and len(t) >= quality.MIN_CHARS else None
+        dw = js(w, own[1]) if own and b[0] >= quality.MIN_WORDS else None
+        kept = not failed(b) and (dc or 0) <= quality.MAX_CLASS_DISTANCE and (dw or 0) <= quality.MAX_WORD_DISTANCE
+        out.append((d, *b, failed(b), kept, dc, dw))
     return out
 
 
@@ -102,7 +108,9 @@ ROWS = [
 ]
 
 
-def test_rows_against_brute_force(spark):
+@pytest.mark.parametrize("least", [quality.MIN_ROWS, 1])
+def test_rows_against_brute_force(spark, monkeypatch, least):
+    monkeypatch.setattr(quality, "MIN_ROWS", least)
     docs = spark.createDataFrame(ROWS, "doc_id long, text string, lang string").selectExpr("*", "1 as n_words", "2 as q", "'x' as __t")
     compare(quality.judge(docs).collect(), brute(ROWS))
     kept = quality.keep_good(docs)
@@ -116,6 +124,18 @@ def test_empty_and_without_lang(spark):
     compare(quality.judge(docs.drop("lang")).collect(), brute([(d, t, None) for d, t, _ in ROWS]))
 
 
+def test_junk_under_its_own_label_goes_and_every_language_has_a_reference(spark):
+    prose = [(i, PROSE * 1 + " ".join(f"{chr(97 + k)}{chr(97 + j)}" for k in range(20) for j in range(i % 5 + 3)), f"l{i % 100}") for i in range(6000)]
+    junk = [(10_000 + i, " ".join(f"{'#$%&'[(i * k) % 4]}*{'|<>'[(i + k) % 3]}{k}" for k in range(300)), "xx") for i in range(200)]
+    alone = [(20_000, junk[3][1], "yy"), (20_001, prose[0][1], "rare"), (20_002, prose[1][1], None)]
+    docs = spark.createDataFrame(prose + junk + alone, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality.judge(docs).collect()}
+    assert all(got[i].kept for i, *_ in prose) and not any(got[i].kept for i, *_ in junk)
+    assert not got[20_000].kept and got[20_001].kept and got[20_002].kept
+    refs = {r.ref_lang for r in quality.references(quality.profile(docs, [lid for lid in (quality.F.col("lang"),)])).collect()}
+    assert refs == {None, *(f"l{k}" for k in range(100))}
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
 def test_whole_table_against_brute_force(spark):
     from tracequarry.llm.queries import op10_quality_rules

@@ -3,12 +3,13 @@
 All counts are DataFrame expressions over the row's own text: nothing is exploded
 or shuffled for them, so a row's cost depends on its own length only.  A first
 pass keeps the counts (no text); histograms of character classes and of common
-words are summed by language over all rows and become the references; a second
-pass takes the Jensen-Shannon distance from each row to its nearest reference.
+words are summed by language over all rows that pass the base rule and become the
+references; a second pass takes the Jensen-Shannon distance from each row to the
+reference of its language.
 
 Words are runs of anything but ASCII white space.  Null text has no words, so all
-its counts are 0 and it fails the base rule.  Null or rare ``lang`` values count
-in the pooled reference, which each row is compared with as well.  Repeated rows
+its counts are 0 and it fails the base rule.  Rows of null or rare ``lang`` values
+are compared with the pooled classes of all rows, and their words with nothing.  Repeated rows
 and null ids are judged like any other row; an empty table gives no rows.  Extra
 columns are not read by :func:`judge`, and kept untouched by :func:`keep_good`,
 whatever their names.
@@ -34,11 +35,11 @@ SYMBOLS = "#*$%&|<>"
 PUNCTUATION = ".,;:!?'\"()-"
 SPACE = " \t\n\x0b\f\r"
 
-#: Languages with a reference of their own: those with most words.
-MAX_REFERENCES = 64
+#: A language has a reference if so many of its rows pass the base rule, and this share of what they write are letters.
+MIN_ROWS, MIN_LETTERS = 50, 0.6
 #: Rows with fewer characters or words than these are not judged by a histogram.
 MIN_CHARS, MIN_WORDS = 200, 200
-#: Largest Jensen-Shannon distance (base 2, 0 to 1) to the nearest reference.
+#: Largest Jensen-Shannon distance (base 2, 0 to 1) to the reference.
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.25
 
 CLASSES = ("lower", "space", "upper", "letter", "digit", "punctuation", "symbol", "other")
@@ -159,28 +160,39 @@ def profile(docs: DataFrame, keep: list[Column]) -> DataFrame:
     )
 
 
-def references(profiles: DataFrame, lang: str = "lang") -> list[tuple[list[float], list[float]]]:
-    """Class and word distributions: pooled, then by language; each from all rows.
+def failed(q: Column) -> Column:
+    """The base rule."""
+    return (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
 
-    At most ``MAX_REFERENCES`` + 1 rows of fixed width reach the driver."""
+
+def references(profiles: DataFrame, lang: str = "lang") -> DataFrame:
+    """Class and word distributions (ref_lang, ref_classes, ref_words) of rows that pass the base rule, one row a language.
+
+    The row with a null language is pooled over all rows. Languages of few rows, or whose rows are hardly letters (junk
+    under a label of its own), have none."""
     n_classes, n_words = len(CLASSES), len(COMMON_WORDS) + 1
-    sums = profiles.groupBy(F.col(lang).alias("l")).agg(
+    good = profiles.where(~failed(F.col("q")))
+    sums = good.groupBy(F.col(lang).alias("ref_lang")).agg(
+        F.count("*").alias("n"),
         *[F.sum(F.col("q.classes")[i]).alias(f"c{i}") for i in range(n_classes)],
         *[F.sum(F.col("q.words")[i]).alias(f"w{i}") for i in range(n_words)],
-        F.sum("q.n_words").alias("n"),
     )
     sums = materialize(sums, "references")
-    pooled = sums.agg(*[F.sum(c).alias(c) for c in sums.columns if c != "l"]).collect()
-    own = sums.where("l is not null and n > 0").orderBy(F.desc("n"), "l").limit(MAX_REFERENCES).collect()
-    out = []
-    for row in [*pooled, *own]:
-        parts = [[row[f"{k}{i}"] or 0 for i in range(n)] for k, n in (("c", n_classes), ("w", n_words))]
-        if all(sum(p) > 0 for p in parts):
-            out.append(tuple([x / sum(p) for x in p] for p in parts))
-    return out
+    pooled = sums.agg(F.lit(None).cast("string").alias("ref_lang"), *[F.sum(c).alias(c) for c in sums.columns if c != "ref_lang"])
+    at = {k: F.col(f"c{i}") for i, k in enumerate(CLASSES)}
+    written = reduce(lambda a, b: a + b, [c for k, c in at.items() if k != "space"])
+    letters = at["lower"] + at["upper"] + at["letter"] >= MIN_LETTERS * written
+    own = sums.where((F.col("ref_lang").isNotNull()) & (F.col("n") >= MIN_ROWS) & letters)
+
+    def shares(kind: str, n: int) -> Column:
+        counts = [F.col(f"{kind}{i}") for i in range(n)]
+        total = reduce(lambda a, b: a + b, counts)
+        return F.array(*[c / total for c in counts])
+
+    return own.unionByName(pooled.where("n > 0")).select("ref_lang", shares("c", n_classes).alias("ref_classes"), shares("w", n_words).alias("ref_words"))
 
 
-def distance(counts: Column, reference: list[float]) -> Column:
+def distance(counts: Column, reference: Column) -> Column:
     """Jensen-Shannon distance (square root of the divergence, base 2) of counts to a distribution."""
 
     def halves(p: Column, q: Column) -> Column:
@@ -189,27 +201,27 @@ def distance(counts: Column, reference: list[float]) -> Column:
         return (term(p) + term(q)) / 2
 
     def against(total: Column) -> Column:
-        terms = F.zip_with(counts, F.array(*[F.lit(x) for x in reference]), lambda n, q: halves(n / total, q))
+        terms = F.zip_with(counts, reference, lambda n, q: halves(n / total, q))
         return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x), F.lit(0.0)))
 
     return let(F.aggregate(counts, F.lit(0.0), lambda a, x: a + x), lambda total: F.when(total > 0, against(total)))
 
 
-def _nearest(counts: Column, found: list[list[float]]) -> Column:
-    each = [distance(counts, r) for r in found]
-    return F.least(*each) if len(each) > 1 else each[0] if each else F.lit(None).cast("double")
-
-
 def verdicts(profiles: DataFrame) -> DataFrame:
-    """The profiles plus ``class_distance``, ``word_distance``, ``base_failed`` and ``kept``."""
+    """The profiles plus ``class_distance``, ``word_distance``, ``base_failed`` and ``kept``.
+
+    Distances are those to the row's own language; rows without a language that has a reference have the class distance
+    to the pooled one, and no word distance."""
     found = references(profiles)
+    pooled = found.where("ref_lang is null").agg(F.first("ref_classes").alias("pooled_classes"))
     q = F.col("q")
-    base = (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
-    out = profiles.withColumns(
+    joined = profiles.join(found.where("ref_lang is not null"), F.col("lang") == F.col("ref_lang"), "left").crossJoin(F.broadcast(pooled))  # one row
+    classes = F.coalesce("ref_classes", "pooled_classes")
+    out = joined.withColumns(
         {
-            "base_failed": base,
-            "class_distance": F.when(q["n_chars"] >= MIN_CHARS, _nearest(q["classes"], [c for c, _ in found])),
-            "word_distance": F.when(q["n_words"] >= MIN_WORDS, _nearest(q["words"], [w for _, w in found])),
+            "base_failed": failed(q),
+            "class_distance": F.when((q["n_chars"] >= MIN_CHARS) & classes.isNotNull(), distance(q["classes"], classes)),
+            "word_distance": F.when((q["n_words"] >= MIN_WORDS) & F.col("ref_words").isNotNull(), distance(q["words"], F.col("ref_words"))),
         }
     )
     near = (F.coalesce("class_distance", F.lit(0.0)) <= MAX_CLASS_DISTANCE) & (F.coalesce("word_distance", F.lit(0.0)) <= MAX_WORD_DISTANCE)
