@@ -72,7 +72,9 @@ def test_keys_meet_for_up_to_three_bits():
         assert {k for k, f in stored if f == x} & {k for k, f in found if f == y}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hub", [500, 3])
+def test_components(spark, monkeypatch, hub):
+    monkeypatch.setattr("tracequarry.llm.components.HUB_ROWS", hub)
     pick = random.Random(6)
     edges = [(i, i + 1) for i in range(0, 200)] + [(500, 500 + i) for i in range(1, 150)] + [(pick.randrange(1000, 1400), pick.randrange(1000, 1400)) for _ in range(250)]
     edges += [(7, 7), (5, 4), (4, 5)]

@@ -2,8 +2,9 @@
 
 Large-star and small-star steps in turn: every step joins each node with the
 smallest of its neighbours, which halves what is left of long paths.  Minima are
-aggregated before the shuffle, so a hub costs a row per task, and each round is
-written to the shared folder: lost executors cost no earlier round.
+aggregated before the shuffle and hubs' minima are broadcast, so no task reads a
+hub's edges, and each round is written to the shared folder: lost executors cost no
+earlier round.
 """
 
 from __future__ import annotations
@@ -14,18 +15,37 @@ from pyspark.sql import functions as F
 from tracequarry.lineage import discard, materialize
 
 
-def _large(edges: DataFrame) -> DataFrame:
+#: A key with more rows than this, and than all rows divided by ``MOST_HUBS``, is a hub: there are at most ``MOST_HUBS`` of them.
+HUB_ROWS, MOST_HUBS = 500, 100_000
+
+
+def with_least(rows: DataFrame, key: str, value: str, name: str, total: int) -> DataFrame:
+    """``rows`` plus ``name``, the least ``value`` of the rows of the same ``key``; ``total`` is their number, or more.
+
+    Minima are aggregated before they move. Rows of a hub get its minimum from a broadcast of bounded size and stay where
+    they are; only rows of other keys are dealt out by key, so no task reads more than a hub's bound for one key."""
+    least = rows.groupBy(F.col(key).alias("__key")).agg(F.min(value).alias(name), F.count("*").alias("__n"))
+    bound = max(HUB_ROWS, total // MOST_HUBS)
+    hubs = least.where(F.col("__n") > bound).select("__key", F.struct(name).alias("__hub"))
+    told = rows.join(F.broadcast(hubs), F.col(key) == F.col("__key"), "left").drop("__key")
+    columns = [F.col(c) for c in rows.columns]
+    hot = told.where("__hub is not null").select(*columns, F.col("__hub")[name].alias(name))
+    cold = told.where("__hub is null").join(least.where(F.col("__n") <= bound), F.col(key) == F.col("__key"))
+    return hot.unionAll(cold.select(*columns, name))
+
+
+def _large(edges: DataFrame, total: int) -> DataFrame:
     """Larger neighbours of each node move to the smallest of its neighbourhood."""
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    near = with_least(both, "u", "v", "m", 2 * total).select("u", "v", F.least("u", "m").alias("m"))
+    return near.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
-def _small(edges: DataFrame) -> DataFrame:
+def _small(edges: DataFrame, total: int) -> DataFrame:
     """Smaller neighbours of each node, and itself, move to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionAll(least.select("u", F.col("m").alias("v")))
+    near = with_least(edges, "u", "v", "m", total)
+    moved = near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionAll(near.where("v = m").select("u", "v"))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -35,11 +55,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     big, small = F.greatest(a, b), F.least(a, b)
     now = edges.where(F.col(a) != F.col(b)).select(big.alias("u"), small.alias("v")).distinct()
     now, before = materialize(now, "edges"), None
+    total = now.count()
     while True:
-        new = materialize(_small(_large(now)).distinct(), "edges")
+        moved = materialize(_large(now, total).distinct(), "edges")
+        new = materialize(_small(moved, moved.count()).distinct(), "edges")
+        discard(moved)
         state = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         discard(now)
-        now = new
+        now, total = new, state[0]
         if state == before:
             break
         before = state

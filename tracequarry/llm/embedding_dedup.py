@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracequarry.lineage import materialize
-from tracequarry.llm.components import components
+from tracequarry.llm.components import components, with_least
 
 THRESHOLD = 0.93
 #: Lines, and half the window in units of the largest distance of a linked pair on a line (one deviation).
@@ -199,8 +199,8 @@ def cluster(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     roots = components(found.where("other is not null").select(node("key").alias("a"), node("other").alias("b")))
     named = placed.select("label", "key", "weight", "first", node("key").alias("node")).join(roots, "node", "left")
     named = materialize(named.withColumn("root", F.coalesce("root", "node")), "named")
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = named.join(least, "root").join(linked, ["label", "key"], "left")
+    named = with_least(named, "root", "first", "component_id", named.count())
+    classes = named.join(linked, ["label", "key"], "left")
     classes = classes.select("label", "key", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
     out = good.select("vec_id", "label", "key").join(classes, ["label", "key"]).select("vec_id", "n_links", "component_id")
     alone = rest.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

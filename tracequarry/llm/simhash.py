@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tracequarry.lineage import materialize
 from tracequarry.llm.bpe import slices
-from tracequarry.llm.components import components
+from tracequarry.llm.components import components, with_least
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 3
 #: Bits of a fingerprint's segments and the pairs of segments that are joined on.
@@ -151,7 +151,7 @@ def links(distinct: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, of distinct fingerprints ``fp`` that differ in at most MAX_BITS bits."""
     stored, looked = _keyed(distinct, False, "a"), _keyed(distinct, True, "b")
     close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS)
-    return looked.join(stored.hint("shuffle_hash"), (looked.key == stored.key) & close).select("a", "b").distinct()
+    return looked.join(stored, (looked.key == stored.key) & close).select("a", "b").distinct()
 
 
 def hex_digits(fp: Column) -> Column:
@@ -163,8 +163,7 @@ def _classes(fps: DataFrame) -> DataFrame:
     distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
     roots = components(links(distinct)).withColumnRenamed("node", "fp")
     roots = materialize(roots.join(distinct, "fp"), "roots")
-    least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    linked = roots.join(least, "root").select("fp", "component_id", F.lit(True).alias("linked"))
+    linked = with_least(roots, "root", "first", "component_id", roots.count()).select("fp", "component_id", F.lit(True).alias("linked"))
     return distinct.join(linked, "fp", "left").select("fp", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first")).alias("component_id"))
 
 
