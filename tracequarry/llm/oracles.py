@@ -99,4 +99,4 @@ FROM (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quote_linking": quote_linking.ORACLE, "op6_license_scan": license_sql(), "op10_quality_rules": quality_sql()}
+    return {"op5_quote_linking": quote_linking.ORACLE, "quoted_conversations": quote_linking.QUOTED_ORACLE, "op6_license_scan": license_sql(), "op10_quality_rules": quality_sql()}

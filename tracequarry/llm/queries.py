@@ -45,6 +45,11 @@ def op5_quote_linking(spark, sf_dir):
     return quote_linking.link(_table(spark, sf_dir, "conversations"))
 
 
+def quoted_conversations(spark, sf_dir):
+    """Quotation linking over conversations whose turns quote earlier ones; ``conversations`` itself has no quotes."""
+    return quote_linking.link(spark.sql(quote_linking.QUOTED.replace("conversations", "{talk}"), talk=_table(spark, sf_dir, "conversations")))
+
+
 def op6_license_scan(spark, sf_dir):
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
@@ -68,7 +73,7 @@ def op10_quality_rules(spark, sf_dir):
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_byte_bpe, op2_collision_counting, op3_cross_entropy_difference, op4_language_id, op5_quote_linking,
-                                    op6_license_scan, op7_best_fit_packing, op8_jump_sharding, op9_golay_simhash, op10_quality_rules)}
+                                    op6_license_scan, op7_best_fit_packing, op8_jump_sharding, op9_golay_simhash, op10_quality_rules, quoted_conversations)}
 
 
 def oracle_sql() -> dict:
