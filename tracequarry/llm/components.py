@@ -19,19 +19,25 @@ from tracequarry.lineage import discard, materialize
 HUB_ROWS, MOST_HUBS = 500, 100_000
 
 
-def with_least(rows: DataFrame, key: str, value: str, name: str, total: int) -> DataFrame:
-    """``rows`` plus ``name``, the least ``value`` of the rows of the same ``key``; ``total`` is their number, or more.
+def with_values(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` plus the columns of ``table`` (a row for each ``key``, and ``__n``, how many of ``rows`` have it).
 
-    Minima are aggregated before they move. Rows of a hub get its minimum from a broadcast of bounded size and stay where
-    they are; only rows of other keys are dealt out by key, so no task reads more than a hub's bound for one key."""
-    least = rows.groupBy(F.col(key).alias("__key")).agg(F.min(value).alias(name), F.count("*").alias("__n"))
+    Rows of a hub get its values from a broadcast of bounded size and stay where they are; only rows of other keys are
+    dealt out by key, so no task reads more than a hub's bound for one key. ``total``: number of rows, or more."""
     bound = max(HUB_ROWS, total // MOST_HUBS)
-    hubs = least.where(F.col("__n") > bound).select("__key", F.struct(name).alias("__hub"))
+    values = [c for c in table.columns if c not in (key, "__n")]
+    table = table.withColumnRenamed(key, "__key")
+    hubs = table.where(F.col("__n") > bound).select("__key", F.struct(*values).alias("__hub"))
     told = rows.join(F.broadcast(hubs), F.col(key) == F.col("__key"), "left").drop("__key")
     columns = [F.col(c) for c in rows.columns]
-    hot = told.where("__hub is not null").select(*columns, F.col("__hub")[name].alias(name))
-    cold = told.where("__hub is null").join(least.where(F.col("__n") <= bound), F.col(key) == F.col("__key"))
-    return hot.unionAll(cold.select(*columns, name))
+    hot = told.where("__hub is not null").select(*columns, *[F.col("__hub")[v].alias(v) for v in values])
+    cold = told.where("__hub is null").join(table.where(F.col("__n") <= bound), F.col(key) == F.col("__key"))
+    return hot.unionAll(cold.select(*columns, *values))
+
+
+def with_least(rows: DataFrame, key: str, value: str, name: str, total: int) -> DataFrame:
+    """``rows`` plus ``name``, the least ``value`` of the rows of the same ``key``; minima are aggregated before they move."""
+    return with_values(rows, rows.groupBy(key).agg(F.min(value).alias(name), F.count("*").alias("__n")), key, total)
 
 
 def _large(edges: DataFrame, total: int) -> DataFrame:

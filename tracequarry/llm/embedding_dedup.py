@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracequarry.lineage import materialize
-from tracequarry.llm.components import components, with_least
+from tracequarry.llm.components import components, with_least, with_values
 
 THRESHOLD = 0.93
 #: Lines, and half the window in units of the largest distance of a linked pair on a line (one deviation).
@@ -201,7 +201,7 @@ def cluster(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     named = materialize(named.withColumn("root", F.coalesce("root", "node")), "named")
     named = with_least(named, "root", "first", "component_id", named.count())
     classes = named.join(linked, ["label", "key"], "left")
-    classes = classes.select("label", "key", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
-    out = good.select("vec_id", "label", "key").join(classes, ["label", "key"]).select("vec_id", "n_links", "component_id")
+    classes = classes.select("node", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id", F.col("weight").alias("__n"))
+    out = with_values(good.select("vec_id", node("key").alias("node")), classes, "node", good.count()).select("vec_id", "n_links", "component_id")
     alone = rest.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return out.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

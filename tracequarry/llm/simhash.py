@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tracequarry.lineage import materialize
 from tracequarry.llm.bpe import slices
-from tracequarry.llm.components import components, with_least
+from tracequarry.llm.components import components, with_least, with_values
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 3
 #: Bits of a fingerprint's segments and the pairs of segments that are joined on.
@@ -159,18 +159,18 @@ def hex_digits(fp: Column) -> Column:
 
 
 def _classes(fps: DataFrame) -> DataFrame:
-    """fp and the component's smallest doc_id, for each distinct fingerprint of (doc_id, fp)."""
-    distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
+    """fp, the component's smallest doc_id and the number of rows, for each distinct fingerprint of (doc_id, fp)."""
+    distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("__n")), "fingerprints")
     roots = components(links(distinct)).withColumnRenamed("node", "fp")
-    roots = materialize(roots.join(distinct, "fp"), "roots")
+    roots = materialize(roots.join(distinct.drop("__n"), "fp"), "roots")
     linked = with_least(roots, "root", "first", "component_id", roots.count()).select("fp", "component_id", F.lit(True).alias("linked"))
-    return distinct.join(linked, "fp", "left").select("fp", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first")).alias("component_id"))
+    return distinct.join(linked, "fp", "left").select("fp", "__n", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first")).alias("component_id"))
 
 
 def cluster(docs: DataFrame) -> DataFrame:
     """One row per document: its fingerprint and the smallest doc_id of its component."""
     fps = materialize(fingerprints(docs), "simhash")
-    return fps.join(_classes(fps), "fp").select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+    return with_values(fps, _classes(fps), "fp", fps.count()).select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
