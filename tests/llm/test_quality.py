@@ -70,10 +70,8 @@ def brute(rows):
             del refs[key]
     out = []
     for d, t, lang, b, c, w in each:
-        own = refs.get(lang) if lang is not None else None
-        ref = own or refs.get(None)
-        dc = js(c, ref[0]) if ref and len(t) >= quality.MIN_CHARS else None
-        dw = js(w, own[1]) if own and b[0] >= quality.MIN_WORDS else None
+        dc = min((js(c, r[0]) for r in refs.values()), default=None) if len(t) >= quality.MIN_CHARS else None
+        dw = min((js(w, r[1]) for r in refs.values()), default=None) if b[0] >= quality.MIN_WORDS else None
         kept = not failed(b) and (dc or 0) <= quality.MAX_CLASS_DISTANCE and (dw or 0) <= quality.MAX_WORD_DISTANCE
         out.append((d, *b, failed(b), kept, dc, dw))
     return out
@@ -128,8 +126,10 @@ def test_junk_under_its_own_label_goes_and_every_language_has_a_reference(spark)
     prose = [(i, PROSE * 1 + " ".join(f"{chr(97 + k)}{chr(97 + j)}" for k in range(20) for j in range(i % 5 + 3)), f"l{i % 100}") for i in range(6000)]
     junk = [(10_000 + i, " ".join(f"{'#$%&'[(i * k) % 4]}*{'|<>'[(i + k) % 3]}{k}" for k in range(300)), "xx") for i in range(200)]
     alone = [(20_000, junk[3][1], "yy"), (20_001, prose[0][1], "rare"), (20_002, prose[1][1], None)]
+    alone += [(30_000, PROSE * 3 + " ".join(f"{a}{b}" for a in "abcdefghij" for b in "klmnopqrst") + " les gens de la ville et du port", "l3")]
     docs = spark.createDataFrame(prose + junk + alone, "doc_id long, text string, lang string")
     got = {r.doc_id: r for r in quality.judge(docs).collect()}
+    assert got[30_000].kept  # half of each of two languages
     assert all(got[i].kept for i, *_ in prose) and not any(got[i].kept for i, *_ in junk)
     assert not got[20_000].kept and got[20_001].kept and got[20_002].kept
     refs = {r.ref_lang for r in quality.references(quality.profile(docs, [lid for lid in (quality.F.col("lang"),)])).collect()}

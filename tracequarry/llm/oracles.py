@@ -54,17 +54,18 @@ def quality_sql() -> str:
     lost = lambda p: f"(length(t) - length(regexp_replace(t, '{p}', '', 'g')))"
     punctuation = "[" + "".join("\\" + c for c in quality.PUNCTUATION).replace("'", "''") + "]"
 
-    def distances(kind: str) -> str:
+    def nearest(kind: str) -> str:
         return f"""
-{kind}_p AS (SELECT doc_id, own, generate_subscripts({kind}, 1) AS i, unnest({kind})::DOUBLE / list_sum({kind}) AS p FROM known WHERE list_sum({kind}) > 0),
+{kind}_p AS (SELECT doc_id, generate_subscripts({kind}, 1) AS i, unnest({kind})::DOUBLE / list_sum({kind}) AS p FROM counted WHERE list_sum({kind}) > 0),
 {kind}_s AS (
   SELECT l, i, sum(x)::DOUBLE AS x FROM (
-    SELECT unnest(CASE WHEN lang IS NULL THEN [NULL] ELSE [lang, NULL] END) AS l, {kind} FROM counted WHERE NOT failed) q, LATERAL (
+    SELECT unnest(CASE WHEN lang IN (SELECT lang FROM owned) THEN [lang, NULL] ELSE [NULL] END) AS l, {kind} FROM counted WHERE NOT failed) q, LATERAL (
     SELECT generate_subscripts(q.{kind}, 1) AS i, unnest(q.{kind}) AS x) GROUP BY l, i),
 {kind}_r AS (SELECT l, i, x / sum(x) OVER (PARTITION BY l) AS r FROM {kind}_s),
-{kind}_d AS (
-  SELECT doc_id, sqrt(greatest(sum((CASE WHEN p > 0 THEN p * log2(p / ((p + r) / 2)) ELSE 0 END + CASE WHEN r > 0 THEN r * log2(r / ((p + r) / 2)) ELSE 0 END) / 2), 0)) AS d
-  FROM {kind}_p p JOIN {kind}_r r ON p.i = r.i AND p.own IS NOT DISTINCT FROM r.l GROUP BY doc_id)"""
+{kind}_a AS (
+  SELECT doc_id, l, sqrt(greatest(sum((CASE WHEN p > 0 THEN p * log2(p / ((p + r) / 2)) ELSE 0 END + CASE WHEN r > 0 THEN r * log2(r / ((p + r) / 2)) ELSE 0 END) / 2), 0)) AS d
+  FROM {kind}_p JOIN {kind}_r USING (i) GROUP BY doc_id, l),
+{kind}_d AS (SELECT doc_id, min(d) AS d FROM {kind}_a GROUP BY doc_id)"""
 
     return f"""
 WITH a AS (
@@ -87,15 +88,14 @@ counted AS (
 owned AS (
   SELECT lang FROM counted WHERE NOT failed AND lang IS NOT NULL GROUP BY lang
   HAVING count(*) >= {quality.MIN_ROWS} AND sum(cl[1] + cl[3] + cl[4]) >= {quality.MIN_LETTERS} * sum(list_sum(cl) - cl[2])),
-known AS (SELECT counted.*, owned.lang AS own FROM counted LEFT JOIN owned USING (lang)),
-{distances('cl')},
-{distances('wo')}
+{nearest('cl')},
+{nearest('wo')}
 SELECT doc_id, nw AS n_words, wc AS word_chars, sym AS n_symbols, dup AS n_dup_lines, rep AS n_repeat_words, failed AS base_failed,
   NOT failed AND coalesce(c, 0) <= {quality.MAX_CLASS_DISTANCE} AND coalesce(w, 0) <= {quality.MAX_WORD_DISTANCE} AS kept,
   round(c, 6) AS class_distance, round(w, 6) AS word_distance
 FROM (
-  SELECT known.*, CASE WHEN length(t) >= {quality.MIN_CHARS} THEN cl_d.d END AS c, CASE WHEN nw >= {quality.MIN_WORDS} AND own IS NOT NULL THEN wo_d.d END AS w
-  FROM known LEFT JOIN cl_d USING (doc_id) LEFT JOIN wo_d USING (doc_id))"""
+  SELECT counted.*, CASE WHEN length(t) >= {quality.MIN_CHARS} THEN cl_d.d END AS c, CASE WHEN nw >= {quality.MIN_WORDS} THEN wo_d.d END AS w
+  FROM counted LEFT JOIN cl_d USING (doc_id) LEFT JOIN wo_d USING (doc_id))"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -5,11 +5,11 @@ or shuffled for them, so a row's cost depends on its own length only.  A first
 pass keeps the counts (no text); histograms of character classes and of common
 words are summed by language over all rows that pass the base rule and become the
 references; a second pass takes the Jensen-Shannon distance from each row to the
-reference of its language.
+nearest reference.
 
 Words are runs of anything but ASCII white space.  Null text has no words, so all
 its counts are 0 and it fails the base rule.  Rows of null or rare ``lang`` values
-are compared with the pooled classes of all rows, and their words with nothing.  Repeated rows
+count in the pooled reference only, which is one of those that all are compared with.  Repeated rows
 and null ids are judged like any other row; an empty table gives no rows.  Extra
 columns are not read by :func:`judge`, and kept untouched by :func:`keep_good`,
 whatever their names.
@@ -39,8 +39,8 @@ SPACE = " \t\n\x0b\f\r"
 MIN_ROWS, MIN_LETTERS = 50, 0.6
 #: Rows with fewer characters or words than these are not judged by a histogram.
 MIN_CHARS, MIN_WORDS = 200, 200
-#: Largest Jensen-Shannon distance (base 2, 0 to 1) to the reference.
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.25
+#: Largest Jensen-Shannon distance (base 2, 0 to 1) to the nearest reference.
+MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.30
 
 CLASSES = ("lower", "space", "upper", "letter", "digit", "punctuation", "symbol", "other")
 
@@ -210,22 +210,23 @@ def distance(counts: Column, reference: Column) -> Column:
 def verdicts(profiles: DataFrame) -> DataFrame:
     """The profiles plus ``class_distance``, ``word_distance``, ``base_failed`` and ``kept``.
 
-    Distances are those to the row's own language; rows without a language that has a reference have the class distance
-    to the pooled one, and no word distance."""
-    found = references(profiles)
-    pooled = found.where("ref_lang is null").agg(F.first("ref_classes").alias("pooled_classes"))
+    Distances are those to the nearest reference, so that texts of several languages or of another one than their label
+    says stay. All references are one row, which Spark broadcasts if it is small enough for that."""
+    one = references(profiles).agg(F.collect_list(F.struct("ref_classes", "ref_words")).alias("refs"))
     q = F.col("q")
-    joined = profiles.join(found.where("ref_lang is not null"), F.col("lang") == F.col("ref_lang"), "left").crossJoin(F.broadcast(pooled))  # one row
-    classes = F.coalesce("ref_classes", "pooled_classes")
-    out = joined.withColumns(
+
+    def nearest(counts: Column, kind: str) -> Column:
+        return F.array_min(F.transform("refs", lambda r: distance(counts, r[kind])))
+
+    out = profiles.crossJoin(one).withColumns(
         {
             "base_failed": failed(q),
-            "class_distance": F.when((q["n_chars"] >= MIN_CHARS) & classes.isNotNull(), distance(q["classes"], classes)),
-            "word_distance": F.when((q["n_words"] >= MIN_WORDS) & F.col("ref_words").isNotNull(), distance(q["words"], F.col("ref_words"))),
+            "class_distance": F.when(q["n_chars"] >= MIN_CHARS, nearest(q["classes"], "ref_classes")),
+            "word_distance": F.when(q["n_words"] >= MIN_WORDS, nearest(q["words"], "ref_words")),
         }
     )
     near = (F.coalesce("class_distance", F.lit(0.0)) <= MAX_CLASS_DISTANCE) & (F.coalesce("word_distance", F.lit(0.0)) <= MAX_WORD_DISTANCE)
-    return out.withColumn("kept", ~F.col("base_failed") & near)
+    return out.withColumn("kept", ~F.col("base_failed") & near).drop("refs")
 
 
 def judge(docs: DataFrame) -> DataFrame:
