@@ -5,10 +5,12 @@ import sys
 import duckdb
 import pytest
 
-from tracequarry.plans import catalogue
+from tracequarry.plans import catalogue, inventory
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+QUERIES = catalogue.queries() | inventory.queries()
+SQL = catalogue.oracle_sql() | inventory.SQL
 KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
@@ -25,10 +27,10 @@ def clean(v):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-@pytest.mark.parametrize("name", sorted(catalogue.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, duck, name):
-    df = catalogue.queries()[name](spark, SF)
-    found = duck.execute(catalogue.oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    found = duck.execute(SQL[name])
     kinds = {d[0]: str(d[1]) for d in found.description}
     names = sorted(df.columns)
     assert {c: KINDS[k] for c, k in df.dtypes} == kinds

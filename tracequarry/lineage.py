@@ -15,22 +15,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The cluster's ``spark.checkpoint.dir``; a temporary one only where it is unset and all runs on one machine."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not folder:
         folder = tempfile.mkdtemp(prefix="tracequarry-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted when the driver ends."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """``df`` written once to the shared folder and read back; deleted when the driver ends."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, label)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
     out = spark.read.schema(df.schema).parquet(path)
     out._tracequarry_path = path
     return out

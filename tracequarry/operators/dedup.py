@@ -7,8 +7,8 @@ earlier neighbours are decided, until nothing is open.
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +16,8 @@ from tracequarry.functions import vectors
 from tracequarry.lineage import discard, materialize
 
 COSINE, JACCARD = 0.95, 0.9
+#: Vectors of a block and rows of a tile; open pairs that one task decides.
+BLOCK, TILE, MOST_LOCAL = 4096, 512, 1_000_000
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -45,41 +47,69 @@ def token_pairs(items: DataFrame, least: float = JACCARD, ident: str = "seq", to
 
 
 def cosine_pairs(items: DataFrame, above: float = COSINE, ident: str = "seq", vector: str = "embedding") -> DataFrame:
-    """Pairs (a, b), a before b, with cosine above the threshold, exact for what the blocks hold.
+    """Pairs (a, b), a before b, with cosine above the threshold; exact.
 
-    Vectors meet in blocks of equal length. Each unit vector is cut to its angle with one fixed line:
-    vectors this similar differ by at most arccos(threshold) in it, so neighbouring bands suffice and
-    nothing is missed."""
-    width = max(math.acos(min(1.0, above)), 1e-3) + 1e-9
+    Usable vectors are dealt to blocks by hash; each pair of blocks is one matrix product of bounded size. The work is that
+    of all pairs of vectors of one length, the rows are those of close pairs only."""
     v = F.col(vector).cast("array<double>")
-    rows = items.where(vectors.usable(F.col(vector))).select(F.col(ident).alias("id"), v.alias("v"))
-    line = F.transform(F.col("v"), lambda x, i: F.cos(i * 1.7 + 0.3))
-    angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), vectors.cosine(F.col("v"), line))))
-    rows = rows.withColumns({"dim": F.size("v"), "band": F.floor(angle / width)})
-    a = rows.select(F.col("id").alias("a"), F.col("v").alias("va"), "dim", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
-    b = rows.select(F.col("id").alias("b"), F.col("v").alias("vb"), "dim", "band")
-    return a.join(b, ["dim", "band"]).where((F.col("a") < F.col("b")) & (vectors.cosine(F.col("va"), F.col("vb")) > above)).select("a", "b")
+    kind = dict(items.dtypes)[ident]
+    rows = items.where(vectors.usable(F.col(vector))).select(F.col(ident).alias("id"), v.alias("v"), F.size("v").alias("dim"))
+    rows = materialize(rows, "vectors")
+    blocks = rows.groupBy("dim").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    told = rows.join(F.broadcast(blocks), "dim").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))  # a row for each length
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    dealt = told.select("id", "v", "dim", "own", other).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+
+    def close(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        _, i, j = key
+        x = np.stack(frame["v"].to_numpy())
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        ids, own = frame["id"].to_numpy(), frame["own"].to_numpy()
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        a, b = [], []
+        for k in range(0, len(left), TILE):
+            r, c = np.nonzero(x[left[k : k + TILE]] @ x[right].T > above)
+            r, c = ids[left[k : k + TILE][r]], ids[right[c]]
+            keep = r < c if i == j else r != c
+            a.append(np.minimum(r, c)[keep])
+            b.append(np.maximum(r, c)[keep])
+        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    return dealt.groupBy("dim", "i", "j").applyInPandas(close, f"a {kind}, b {kind}").distinct()
 
 
 def survivors(items: DataFrame, pairs: DataFrame, ident: str = "seq") -> DataFrame:
     """ident and survivor: itself if kept, else the first kept item that it is similar to.
 
-    ``pairs`` (a, b) with a before b. Each round keeps open items without an open or kept earlier
-    neighbour, and drops those next to a kept one."""
+    ``pairs`` (a, b) with a before b. Each round keeps open items without an open or kept earlier neighbour, and drops
+    those next to a kept one; once the open pairs are few, one task goes through them in order, so that a chain of copies
+    doesn't cost a round for each."""
     links = materialize(pairs.select("a", "b").distinct(), "pairs")
-    open_items = links.select(F.col("b").alias("id")).distinct()
-    state = materialize(open_items.withColumn("kept", F.lit(None).cast("boolean")), "state")
-    heads = links.select("a").distinct().join(open_items, F.col("a") == F.col("id"), "left_anti")
-    while state.where("kept is null").limit(1).count():
-        known = heads.select(F.col("a").alias("a"), F.lit(True).alias("k")).unionByName(state.select(F.col("id").alias("a"), F.col("kept").alias("k")))
-        seen = links.join(known, "a").groupBy("b").agg(F.max(F.coalesce("k", F.lit(False))).alias("near_kept"), F.max(F.col("k").isNull()).alias("near_open"))
-        new = state.join(seen, F.col("id") == F.col("b")).select(
-            "id",
-            F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.col("near_kept"), False).when(~F.col("near_open"), True).alias("kept"),
-        )
-        new = materialize(new, "state")
-        discard(state)
-        state = new
-    kept = heads.select("a").unionByName(state.where("kept").select(F.col("id").alias("a")))
-    gone = links.join(state.where("not kept").select(F.col("id").alias("b")), "b").join(kept, "a").groupBy("b").agg(F.min("a").alias("survivor"))
-    return items.select(ident).join(gone, F.col(ident) == F.col("b"), "left").select(ident, F.coalesce("survivor", F.col(ident)).alias("survivor"))
+    kind = dict(links.dtypes)["a"]
+    heads = links.select("a").distinct().join(links.select(F.col("b").alias("a")).distinct(), "a", "left_anti").select("a", F.lit(True).alias("kept"))
+    state = materialize(heads, "state")  # decided items only
+
+    def seen() -> DataFrame:
+        """Open pairs with what is known of the earlier item (null: open)."""
+        todo = links.join(state.select(F.col("a").alias("b")), "b", "left_anti")
+        return todo.join(state, "a", "left").select("a", "b", "kept")
+
+    def walk(_: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        known, out = {}, []
+        for b, rows in frame.sort_values("b").groupby("b", sort=True):
+            near = [known.get(a, False) if pd.isna(k) else bool(k) for a, k in zip(rows["a"], rows["kept"])]
+            known[b] = not any(near)
+            out.append((b, known[b]))
+        return pd.DataFrame(out, columns=["a", "kept"])
+
+    while (left := (todo := materialize(seen(), "open")).count()) > MOST_LOCAL:
+        near = todo.groupBy("b").agg(F.max(F.coalesce("kept", F.lit(False))).alias("near_kept"), F.max(F.col("kept").isNull()).alias("near_open"))
+        new = near.where("near_kept or not near_open").select(F.col("b").alias("a"), (~F.col("near_kept")).alias("kept"))
+        state = materialize(state.unionByName(new), "state")
+        discard(todo)
+    if left:
+        state = state.unionByName(todo.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(walk, f"a {kind}, kept boolean"))
+        state = materialize(state, "state")
+    kept, gone = state.where("kept").select("a"), state.where("not kept").select(F.col("a").alias("b"))
+    first = links.join(gone, "b").join(kept, "a").groupBy("b").agg(F.min("a").alias("survivor"))
+    return items.select(ident).join(first, F.col(ident) == F.col("b"), "left").select(ident, F.coalesce("survivor", F.col(ident)).alias("survivor"))

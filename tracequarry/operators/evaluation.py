@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: An expected label that any proposed label satisfies.
@@ -43,6 +43,5 @@ def drift(runs: DataFrame) -> DataFrame:
 
 def retained_runs(runs: DataFrame, keep: int = KEPT_RUNS) -> DataFrame:
     """Running runs, and of the finished ones the latest ``keep``."""
-    last = Window.orderBy(F.desc("finished_at"), "run_id")
-    finished = runs.where("finished_at is not null").withColumn("__r", F.row_number().over(last)).where(F.col("__r") <= keep).drop("__r")
+    finished = runs.where("finished_at is not null").orderBy(F.desc("finished_at"), "run_id").limit(keep)
     return runs.where("finished_at is null").unionByName(finished)

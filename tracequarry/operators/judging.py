@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracequarry.schemas import VERDICT
@@ -83,30 +83,25 @@ def parse_verdicts(answer: str | None, n: int) -> list[dict]:
 
 
 def judge(misses: DataFrame, ask: Judge, problem_fields: tuple[str, ...] = ("failure_summary",)) -> DataFrame:
-    """Verdicts of hits (KEY, rank, summary, problem fields), asked for in batches of one sub-problem.
+    """Verdicts of hits (KEY, rank, summary, problem fields), asked for in requests of ``BATCH`` misses of one sub-problem, by rank.
 
     Write the result before using it twice: calls are repeated when a task is."""
 
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for _, rows in frame.sort_values(["sub_problem_id", "rank"]).groupby("sub_problem_id", sort=False):
-                for a in range(0, len(rows), BATCH):
-                    some = rows.iloc[a : a + BATCH]
-                    try:
-                        answer = ask({f: some[f].iloc[0] for f in problem_fields}, some["summary"].tolist())
-                    except Exception:  # a failed call is a miss of its slices, not of the job
-                        found = [_miss("gateway_error")] * len(some)
-                    else:
-                        found = [_miss("gateway_error")] * len(some) if answer is None else parse_verdicts(answer, len(some))
-                    out.append(some[KEY].assign(verdict=found))
-            if out:
-                yield pd.concat(out)
+    def work(frame: pd.DataFrame) -> pd.DataFrame:
+        some = frame.sort_values("rank")
+        try:
+            answer = ask({f: some[f].iloc[0] for f in problem_fields}, some["summary"].tolist())
+        except Exception:  # a failed call is a miss of its slices, not of the job
+            answer = None
+        found = [_miss("gateway_error")] * len(some) if answer is None else parse_verdicts(answer, len(some))
+        return some[KEY].assign(verdict=found)
 
     kinds = dict(misses.dtypes)
     schema = ", ".join(f"{k} {kinds[k]}" for k in KEY) + f", verdict {VERDICT}"
-    dealt = misses.select(*KEY, "rank", "summary", *problem_fields).repartition("sub_problem_id", F.floor(F.col("rank") / BATCH))
-    return dealt.mapInPandas(work, schema).select(*KEY, "verdict.*")
+    # misses of a sub-problem are at most its recall depth, so a window numbers them
+    number = F.row_number().over(Window.partitionBy("sub_problem_id").orderBy("rank", *KEY[1:])) - 1
+    dealt = misses.select(*KEY, "rank", "summary", *problem_fields).withColumn("__request", F.floor(number / BATCH))
+    return dealt.groupBy("sub_problem_id", "__request").applyInPandas(work, schema).select(*KEY, "verdict.*")
 
 
 def always_match(problem: dict, summaries: list[str]) -> str:

@@ -47,3 +47,8 @@ def rerank_with_inheritance(hits: DataFrame, order: list[Column]) -> DataFrame:
     weighted = hits.withColumn("weighted", F.col("rrf") * inherited_weight(F.col("capability_labels"), F.col("target_label"), F.col("family")))
     window = Window.partitionBy("target_label").orderBy(F.desc("weighted"), *order)
     return weighted.withColumn("rank", F.row_number().over(window))
+
+
+def global_order(scored: DataFrame, keys: list[str]) -> DataFrame:
+    """All sub-problems' rows by relevance, best first; ``keys`` (order of sub-problems, local rank) break ties."""
+    return scored.orderBy(F.desc("relevance"), *keys)

@@ -2,8 +2,9 @@
 
 All sub-problems are answered in one job.  The corpus is read once for tokens and
 once for vectors; only postings of query terms are grouped, and the stated query
-vectors meet all rows in Arrow blocks, one matrix product each.  Every order is
-total: score, then arrival.
+vectors meet all rows in Arrow blocks.  Filters are applied to scored rows only, and
+ranks come from counts by range of scores, so no task sorts all rows of a sub-problem.
+Every order is total: score, then arrival.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from tracequarry.lineage import materialize
 
 #: Constants of rank fusion and of BM25 (length doesn't count).
 RRF_K, K1 = 60, 1.2
+#: Ranges of scores, and of arrivals under one score, in which rows are ranked.
+RANK_RANGES = 256
 
 
 def overlap(values: Column, wanted: Column) -> Column:
@@ -53,7 +56,9 @@ def keyword_scores(corpus: DataFrame, queries: DataFrame, ident: str = "ingest_s
     n = corpus.agg(F.count("*").alias("n"))
     weight = df.join(F.broadcast(n)).select("token", idf(F.col("n"), F.col("df")).alias("idf"))  # one row
     part = F.col("times") * F.col("idf") * (F.col("tf") * (K1 + 1)) / (F.col("tf") + K1)
-    scored = postings.join(weight, "token").join(asked, "token").groupBy("sub_problem_id", ident).agg(F.sum(part).alias("bm25"))
+    # decimals add up to the same sum in any order, so rows with the same terms tie
+    total = F.sum(part.cast("decimal(38,18)")).cast("double")
+    scored = postings.join(weight, "token").join(asked, "token").groupBy("sub_problem_id", ident).agg(total.alias("bm25"))
     return scored.where("bm25 > 0")
 
 
@@ -80,37 +85,74 @@ def vector_scores(corpus: DataFrame, queries: DataFrame, ident: str = "ingest_se
                 best = np.zeros((len(rows), len(names)))
                 for i, v in vectors:
                     if len(v) == dim:
-                        best[:, i] = np.maximum(best[:, i], x @ (v / np.linalg.norm(v)))
+                        # row by row the same sum, wherever a row stands: equal vectors tie
+                        best[:, i] = np.maximum(best[:, i], np.einsum("ij,j->i", x, v / np.linalg.norm(v), optimize=False))
                 r, c = np.nonzero(best > 0)
                 yield pd.DataFrame({"sub_problem_id": np.array(names, dtype=object)[c], ident: rows[ident].to_numpy()[r], "cosine": best[r, c]})
 
     return corpus.select(ident, vector).mapInPandas(work, f"sub_problem_id {dict(queries.dtypes)['sub_problem_id']}, {ident} {kind}, cosine double")
 
 
-def fuse(candidates: DataFrame, bm25: DataFrame, vectors: DataFrame, ident: str = "ingest_seq", top_n: int = 20) -> DataFrame:
-    """Top rows of each sub-problem by fused rank, with both channels' ranks.
-
-    Ties: keyword rank, then vector rank, then arrival. Where neither channel scored anything all
-    candidates get 1."""
+def ranked(scores: DataFrame, score: str, name: str, ident: str = "ingest_seq") -> DataFrame:
+    """``scores`` plus ``name``, the rank in the sub-problem from 1: highest score first, then arrival.
+
+    Rows are dealt to ranges of scores and, in a range, to ranges of arrival; a row's rank is the number of rows in the
+    ranges before its own and its place in its own."""
+    ends = scores.agg(F.max(score).alias("s1"), F.min(ident).alias("i0"), F.max(ident).alias("i1"))
+    part = lambda x, low, high: F.floor((x - low) / F.greatest(high - low, F.lit(1e-300)) * RANK_RANGES)
+    told = scores.crossJoin(F.broadcast(ends))  # one row
+    cells = ["sub_problem_id", "__s", "__i"]
+    told = told.withColumns({"__s": -part(F.col(score), F.lit(0.0), F.col("s1")), "__i": part(F.col(ident).cast("double"), F.col("i0").cast("double"), F.col("i1").cast("double"))})
+    told = told.drop("s1", "i0", "i1")
+    # ranges of arrival part only rows of one score: others are parted by their score alone
+    one = told.groupBy("sub_problem_id", "__s").agg((F.min(score) == F.max(score)).alias("same"))
+    told = told.join(one, ["sub_problem_id", "__s"]).withColumn("__i", F.when(F.col("same"), F.col("__i")).otherwise(0)).drop("same")
+    counts = told.groupBy(*cells).agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("sub_problem_id").orderBy("__s", "__i").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*cells, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
+    within = F.row_number().over(Window.partitionBy(*cells).orderBy(F.desc(score), ident))
+    return told.withColumn("__r", within).join(counts, cells).select(*scores.columns, (F.col("first") + F.col("__r")).cast("long").alias(name))
+
+
+def fuse(bm25: DataFrame, vectors: DataFrame, rest, subs: DataFrame, ident: str = "ingest_seq", top_n: int = 20) -> DataFrame:
+    """Top rows of each sub-problem by fused rank, with both channels' ranks; both tables hold filtered rows only.
+
+    Ties: keyword rank, then vector rank, then arrival. ``rest`` gives, for a table of sub-problems, their candidates:
+    they are asked for only where fewer than ``top_n`` rows are scored, and get 1 where neither channel scored any."""
     keys = ["sub_problem_id", ident]
-
-    def ranked(scores: DataFrame, score: str, digits: int, name: str) -> DataFrame:
-        order = Window.partitionBy("sub_problem_id").orderBy(F.desc(F.round(score, digits)), ident)
-        return scores.join(candidates.select(*keys), keys, "left_semi").withColumn(name, F.row_number().over(order)).select(*keys, name)
-
-    both = candidates.join(ranked(bm25, "bm25", 9, "bm25_rank"), keys, "left").join(ranked(vectors, "cosine", 6, "vector_rank"), keys, "left")
-    whole = Window.partitionBy("sub_problem_id")
-    scored = F.max(F.coalesce("bm25_rank", "vector_rank")).over(whole).isNotNull()
+    both = ranked(bm25, "bm25", "bm25_rank", ident).select(*keys, "bm25_rank").join(ranked(vectors, "cosine", "vector_rank", ident).select(*keys, "vector_rank"), keys, "full")
+    # a row beyond this rank in both channels scores less than the first top_n of either one
+    near = both.where(F.least("bm25_rank", "vector_rank") <= 2 * (RRF_K + top_n) - RRF_K)
+    near = materialize(near, "ranked")
+    found = near.groupBy("sub_problem_id").agg(F.count("*").alias("n"))
+    short = materialize(subs.select("sub_problem_id").join(found, "sub_problem_id", "left").where(F.coalesce("n", F.lit(0)) < top_n), "short")
+    others = rest(short.select("sub_problem_id")).select(*keys).join(near, keys, "left_anti")
+    first = Window.partitionBy("sub_problem_id").orderBy(ident)
+    others = others.withColumn("r", F.row_number().over(first)).where(F.col("r") <= top_n).join(short, "sub_problem_id")
     share = lambda r: F.coalesce(1.0 / (RRF_K + F.col(r)), F.lit(0.0))
-    both = both.withColumn("rrf", F.when(scored, share("bm25_rank") + share("vector_rank")).otherwise(F.lit(1.0)))
-    order = whole.orderBy(F.desc("rrf"), F.asc_nulls_last("bm25_rank"), F.asc_nulls_last("vector_rank"), ident)
-    return both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_n)
+    none = F.lit(None).cast("long")
+    rows = near.withColumn("rrf", share("bm25_rank") + share("vector_rank")).unionByName(
+        others.select(*keys, none.alias("bm25_rank"), none.alias("vector_rank"), F.when(F.col("n").isNull(), 1.0).otherwise(0.0).alias("rrf"))
+    )
+    order = Window.partitionBy("sub_problem_id").orderBy(F.desc("rrf"), F.asc_nulls_last("bm25_rank"), F.asc_nulls_last("vector_rank"), ident)
+    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_n)
 
 
 def recall(corpus: DataFrame, queries: DataFrame, condition: Column, ident: str = "ingest_seq", top_n: int = 20) -> DataFrame:
     """sub_problem_id, ident, rrf, rank and channel ranks of the best rows.
 
-    ``condition`` is the structured filter between the two tables; frequencies ignore it."""
-    wanted = queries.drop("query_vectors", "keywords")
-    candidates = corpus.join(F.broadcast(wanted), condition).select("sub_problem_id", ident)  # the stated queries
-    return fuse(candidates, keyword_scores(corpus, queries, ident), vector_scores(corpus, queries, ident), ident, top_n)
+    ``condition`` is the structured filter between the two tables; frequencies ignore it. No rows or no candidates give no
+    hits, a sub-problem without keywords or vectors skips that channel."""
+    wanted = materialize(queries.drop("query_vectors", "keywords"), "queries")  # its size is known to Spark from here on
+    traits = corpus.drop("bm25_tokens", "embedding", "steps")
+
+    def passing(scores: DataFrame) -> DataFrame:
+        columns = scores.columns
+        return scores.join(traits, ident).join(wanted, "sub_problem_id").where(condition).select(*columns)
+
+    def rest(subs: DataFrame) -> DataFrame:
+        return traits.join(wanted.join(subs, "sub_problem_id", "left_semi"), condition).select("sub_problem_id", ident)
+
+    bm25 = materialize(passing(keyword_scores(corpus, queries, ident)), "bm25")
+    vectors = materialize(passing(vector_scores(corpus, queries, ident)), "cosines")
+    return fuse(bm25, vectors, rest, wanted, ident, top_n)

@@ -65,6 +65,23 @@ def with_embeddings(signed: DataFrame, embedder: Embedder, batch: int = 32) -> D
     return texts.select(*names, "__text").mapInPandas(work, schema)
 
 
+def with_query_vectors(problems: DataFrame, embedder: Embedder, texts: str = "hyde_positive") -> DataFrame:
+    """Sub-problems plus ``query_vectors``, one for each text of ``texts``; null where there is none."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in problems.schema if f.name != "query_vectors") + ", query_vectors array<array<double>>"
+    names = [f.name for f in problems.schema if f.name != "query_vectors"]
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            said = [[] if t is None else list(t) for t in frame[texts]]
+            flat = [x for t in said for x in t]
+            vectors = iter(embedder(flat) if flat else [])
+            frame = frame[names].copy()
+            frame["query_vectors"] = [[list(map(float, next(vectors))) for _ in t] or None for t in said]
+            yield frame
+
+    return problems.select(*names).mapInPandas(work, schema)
+
+
 def hash_embedder(dim: int = 64) -> Embedder:
     """Deterministic stand-in for a model: a unit vector seeded by the text's hash."""
     import hashlib

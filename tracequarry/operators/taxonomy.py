@@ -2,24 +2,60 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracequarry.functions import text as tx
 from tracequarry.functions import vectors
+from tracequarry.lineage import materialize
 
 DUPLICATE, MOUNT = 0.85, 0.50
 BACKFILL_TOP = 200
+#: Known rows that an item meets at once.
+GROUP = 1024
 
 
-def nearest(items: DataFrame, known: DataFrame, item: str, name: str, order: str, digits: int = 9) -> DataFrame:
+def nearest(items: DataFrame, known: DataFrame, item: str, name: str, order: str) -> DataFrame:
     """item, the most similar known row's name and its cosine; the first in ``order`` of equals.
 
-    Items are the stated query set; the known rows are few (a taxonomy or the stored questions of it),
-    and are broadcast only if they are small enough for Spark's own limit."""
-    pairs = items.select(F.col(item), F.col("vector").alias("iv")).join(known.select(F.col(name), F.col(order).alias("o"), F.col("vector").alias("kv")))
-    scored = pairs.withColumn("cos", vectors.cosine(F.col("iv"), F.col("kv")))
-    best = F.max(F.struct(F.round("cos", digits).alias("c"), (-F.col("o")).alias("o"), F.col(name).alias("name")))
-    return scored.groupBy(item).agg(best.alias("b")).select(item, F.col("b.name").alias(name), F.col("b.c").alias("cosine"))
+    The known rows are those of a taxonomy or of its stored questions. They are dealt to groups of ``GROUP`` rows, and an
+    item meets a group in one product and keeps the best of it, so the rows are items times groups, not pairs."""
+    ranked = known.select(F.col(name).alias("name"), F.col(order).cast("double").alias("o"), F.col("vector").cast("array<double>").alias("v"))
+    groups = materialize(ranked.withColumn("g", F.pmod(F.xxhash64("name", "o"), F.lit(max(1, known.count() // GROUP)))), "known")
+    packed = groups.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("o", "name", "v"))).alias("rows"))
+    kinds = dict(items.dtypes)[item], dict(known.dtypes)[name]
+    met = items.select(F.col(item).alias("item"), F.col("vector").cast("array<double>").alias("iv")).crossJoin(packed.drop("g"))
+
+    def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for key, v, rows in zip(frame["item"], frame["iv"], frame["rows"]):
+                cos = [_cosine(v, r["v"]) for r in rows]
+                at = int(np.argmax(cos))
+                out.append((key, rows[at]["name"], rows[at]["o"], cos[at]))
+            yield pd.DataFrame(out, columns=["item", "name", "o", "cos"])
+
+    found = met.mapInPandas(best, f"item {kinds[0]}, name {kinds[1]}, o double, cos double")
+    top = F.max(F.struct("cos", (-F.col("o")).alias("o"), "name"))
+    return found.groupBy("item").agg(top.alias("b")).select(F.col("item").alias(item), F.col("b.name").alias(name), F.col("b.cos").alias("cosine"))
+
+
+def _cosine(a, b) -> float:
+    if a is None or b is None or len(a) != len(b):
+        return 0.0
+    a, b = np.asarray(a, float), np.asarray(b, float)
+    size = float(np.linalg.norm(a) * np.linalg.norm(b))
+    return float(np.einsum("i,i->", a, b)) / size if size else 0.0
+
+
+def cosine_range(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """One row: least, largest and mean cosine of known (child, parent) vectors; the mount threshold lies just below the least."""
+    cos = vectors.cosine(F.col(a), F.col(b))
+    return pairs.agg(F.min(cos).alias("least"), F.max(cos).alias("largest"), F.avg(cos).alias("mean"))
 
 
 def resolution(any_cos: Column, any_label: Column, root_cos: Column, root_label: Column) -> Column:
@@ -113,14 +149,69 @@ def ingest_proposals(proposals: list[dict], labels: list[dict], created_at: str)
     return labels, out
 
 
+JOB = ("job_id", "label", "priority", "status", "attempts", "error")
+
+
+def claims(jobs: DataFrame, n: int) -> DataFrame:
+    """The next ``n`` pending jobs in the order in which a queue would claim them."""
+    return jobs.where("status = 'pending'").orderBy(F.desc("priority"), "job_id").limit(n)
+
+
+def status_counts(jobs: DataFrame) -> DataFrame:
+    return jobs.groupBy("status").agg(F.count("*").alias("n"))
+
+
+class TaxonomyStore:
+    """Labels and version of the taxonomy in keyed tables; one writer."""
+
+    def __init__(self, labels, meta):
+        self.table, self.meta = labels, meta
+
+    def seed(self, labels: DataFrame, version: str, updated_at: str | None = None) -> bool:
+        """Write a first taxonomy if there is none; whether it was written."""
+        if self.table.count():
+            return False
+        self.table.append(labels)
+        self._stamp(version, updated_at)
+        return True
+
+    def _stamp(self, version: str, updated_at: str | None) -> None:
+        self.meta.append(self.meta.spark.createDataFrame([("taxonomy", version, updated_at)], self.meta.schema))
+
+    def labels(self) -> DataFrame:
+        return self.table.read()
+
+    def state(self) -> tuple[str, str | None]:
+        """Version and time of the last change."""
+        row = self.meta.get(name="taxonomy").select("version", "updated_at").first()
+        return (row.version, row.updated_at) if row else ("0.0.0", None)
+
+    def add(self, labels: DataFrame, now: str | None = None) -> str:
+        """Add or replace labels; the patch number goes up, and without ``now`` the time stays."""
+        version, before = self.state()
+        self.table.append(labels)
+        one = self.meta.spark.createDataFrame([(version,)], "v string")
+        version = one.select(tx.bump_patch(F.col("v"))).first()[0]
+        self._stamp(version, now or before)
+        return version
+
+
 class JobQueue:
-    """Priority queue of backfill jobs with one writer; the state is a small list on the driver."""
+    """Priority queue of backfill jobs with one writer. With a keyed table every change is written, and a new queue finds
+    what an earlier one left behind."""
+
+    def __init__(self, table=None):
+        self.table = table
+        rows = table.read().drop("ingest_seq").orderBy("job_id").collect() if table is not None else []  # a row for each label
+        self.jobs: list[dict] = [r.asDict() for r in rows]
 
-    def __init__(self):
-        self.jobs: list[dict] = []
+    def _save(self, *jobs: dict) -> None:
+        if self.table is not None and jobs:
+            self.table.append(self.table.spark.createDataFrame([tuple(j[c] for c in JOB) for j in jobs], self.table.schema))
 
     def enqueue(self, label: str, priority: int) -> int:
         self.jobs.append({"job_id": len(self.jobs) + 1, "label": label, "priority": priority, "status": "pending", "attempts": 0, "error": None})
+        self._save(self.jobs[-1])
         return len(self.jobs)
 
     def claim(self) -> dict | None:
@@ -128,18 +219,22 @@ class JobQueue:
         job = min((j for j in self.jobs if j["status"] == "pending"), key=lambda j: (-j["priority"], j["job_id"]), default=None)
         if job:
             job["status"], job["attempts"] = "running", job["attempts"] + 1
+            self._save(job)
         return job
 
     def complete(self, job_id: int) -> None:
         self.jobs[job_id - 1]["status"] = "done"
+        self._save(self.jobs[job_id - 1])
 
     def fail(self, job_id: int, error: str) -> None:
         self.jobs[job_id - 1].update(status="failed", error=error)
+        self._save(self.jobs[job_id - 1])
 
     def reset_stale(self) -> int:
         stale = [j for j in self.jobs if j["status"] == "running"]
         for j in stale:
             j["status"] = "pending"
+        self._save(*stale)
         return len(stale)
 
     def counts(self) -> dict[str, int]:

@@ -44,3 +44,13 @@ def trajectory_index(trajectories: DataFrame) -> DataFrame:
 
 def span_key(start: Column, end: Column) -> Column:
     return F.concat_ws("-", start.cast("string"), end.cast("string"))
+
+
+def capability_counts(hits: DataFrame) -> DataFrame:
+    """sub_problem_id, label, hit_count: each target capability has all distinct slices of its sub-problem's hits.
+
+    ``hits``: sub_problem_id, target_capability, trajectory_id, slice_index, judge_match, spans."""
+    good = hits.where(F.col("judge_match") & (F.size("spans") > 0))
+    slices = good.select("sub_problem_id", "trajectory_id", "slice_index").distinct().groupBy("sub_problem_id").agg(F.count("*").alias("n"))
+    labels = hits.select("sub_problem_id", F.explode("target_capability").alias("label")).distinct()
+    return labels.join(slices, "sub_problem_id", "left").select("sub_problem_id", "label", F.coalesce("n", F.lit(0).cast("long")).alias("hit_count"))

@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracequarry.functions import text as tx
-from tracequarry.operators import dedup, health, judging, merging, ranking, recall, selection, slicing, taxonomy, view
+from tracequarry.operators import dedup, evaluation, health, judging, merging, ranking, recall, selection, slicing, taxonomy, view
+from tracequarry.operators.signatures import signatures
 from tracequarry.plans.oracles import SQL
+from tracequarry.sources import trajectories
 
 _REGISTERED: dict = {}
 
@@ -72,15 +74,22 @@ def corpus(spark, sf_dir) -> DataFrame:
 
 
 def complaints(spark, sf_dir) -> DataFrame:
-    """Benchmark items as sub-problems: keywords, a query vector, a wish for languages for some."""
+    """Benchmark items as sub-problems: keywords, one or two query vectors, and wishes for languages, tools and verification.
+
+    Every seventh has neither keywords nor vectors."""
     items, vectors = read(spark, sf_dir, "benchmark"), read(spark, sf_dir, "embeddings")
-    first = F.lower(F.substring("text", 1, 1))
+    first, ident = F.lower(F.substring("text", 1, 1)), F.col("item_id")
+    silent = ident % 7 == 3
     wish = F.when(first < "i", tx.strings("en", "fr")).when(first < "p", tx.strings("en"))
-    filters = F.struct(wish.alias("languages"), F.lit(None).cast("array<string>").alias("tools_used"), F.lit(None).cast("boolean").alias("has_verification_step"))
-    return items.join(vectors.select(F.col("vec_id").alias("item_id"), "embedding"), "item_id", "left").select(
-        F.col("item_id").alias("sub_problem_id"),
-        tx.identifiers(F.col("text")).alias("keywords"),
-        F.when(F.col("embedding").isNotNull(), F.array("embedding")).alias("query_vectors"),
+    tools = F.when(ident % 3 == 0, tx.strings(*[f"src{i}" for i in range(10)]))
+    filters = F.struct(wish.alias("languages"), tools.alias("tools_used"), F.when(ident % 4 == 1, True).alias("has_verification_step"))
+    one = vectors.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("v1"))
+    two = vectors.select((F.col("vec_id") - 1).alias("item_id"), F.reverse("embedding").alias("v2"))
+    both = F.filter(F.array("v1", F.when(ident % 2 == 0, F.col("v2"))), lambda v: v.isNotNull())
+    return items.join(one, "item_id", "left").join(two, "item_id", "left").select(
+        ident.alias("sub_problem_id"),
+        F.when(silent, tx.strings()).otherwise(tx.identifiers(F.col("text"))).alias("keywords"),
+        F.when(~silent & (F.size(both) > 0), both).alias("query_vectors"),
         filters.alias("filters"),
     )
 
@@ -116,20 +125,25 @@ def _scored(spark, sf_dir) -> DataFrame:
 # ---- sources, steps, signatures ---------------------------------------------
 
 
+def logged(spark, sf_dir) -> DataFrame:
+    """Conversations as parsed trajectories: messages without calls."""
+    message = F.struct("role", F.col("text").alias("content"), F.lit(None).cast("string").alias("tool_call_id"), F.lit(None).cast("array<string>").alias("tool_calls"))
+    rows = read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", message.alias("m")))).alias("m"))
+    return rows.select(F.col("conv_id").alias("trajectory_id"), F.transform("m", lambda x: x["m"]).alias("messages"))
+
+
 @query
 def steps_from_conversations(spark, sf_dir):
-    order = Window.partitionBy("conv_id").orderBy("turn")
-    rows = read(spark, sf_dir, "conversations").where(F.col("role").isin("user", "assistant", "tool", "system"))
-    return rows.select(
-        "conv_id", (F.row_number().over(order) - 1).cast("long").alias("step_index"), "role", F.md5(F.coalesce("text", F.lit(""))).alias("content_md5")
-    )
+    rows = trajectories.steps(logged(spark, sf_dir))
+    return rows.select(F.col("trajectory_id").alias("conv_id"), *long("step_index"), "role", F.md5("content").alias("content_md5"))
 
 
 @query
 def turn_and_step_counts(spark, sf_dir):
-    return read(spark, sf_dir, "conversations").groupBy("conv_id").agg(
-        F.count("*").alias("step_count"), F.count_if(F.col("role") == "user").alias("turn_count")
-    )
+    rows = trajectories.steps(logged(spark, sf_dir)).withColumn("i", F.col("step_index"))
+    step = F.struct("step_index", "role", "content", "tool_call_name", "tool_call_args", "tool_result")
+    whole = rows.groupBy("trajectory_id").agg(F.sort_array(F.collect_list(step)).alias("steps"))
+    return signatures(whole).select(F.col("trajectory_id").alias("conv_id"), *long("step_count", "turn_count"))
 
 
 @query
@@ -162,8 +176,6 @@ def greedy_slices(spark, sf_dir):
 
 @query
 def slice_signatures(spark, sf_dir):
-    from tracequarry.operators.signatures import signatures
-
     signed = signatures(slicing.slices(event_steps(spark, sf_dir)))
     return signed.select(
         "trajectory_id", *long("slice_index", "step_count", "turn_count"), F.array_join("tools_used", ",").alias("tools_used"),
@@ -173,9 +185,14 @@ def slice_signatures(spark, sf_dir):
 
 @query
 def summary_lines(spark, sf_dir):
+    """Turns as steps: every fourth turn is a tool's, assistants call something at even turns, one role is unknown."""
+    role = F.when(F.col("turn") % 4 == 3, "tool").when(F.col("turn") == 6, "critic").otherwise(F.col("role"))
+    calls = (F.col("role") == "assistant") & (F.col("turn") % 2 == 0)
+    said = F.coalesce("text", F.lit(""))
     step = F.struct(
-        F.col("turn").cast("int").alias("step_index"), "role", F.coalesce("text", F.lit("")).alias("content"),
-        F.lit(None).cast("string").alias("tool_call_name"), F.lit(None).cast("string").alias("tool_call_args"), F.lit(None).cast("string").alias("tool_result"),
+        F.col("turn").cast("int").alias("step_index"), role.alias("role"), said.alias("content"),
+        F.when(calls, "Edit").alias("tool_call_name"), F.when(calls, F.reverse(said)).alias("tool_call_args"),
+        F.when(F.col("turn") == 3, F.concat(F.lit("result\n"), said)).alias("tool_result"),
     )
     return read(spark, sf_dir, "conversations").select("conv_id", "turn", tx.summary_line(step).alias("line"))
 
@@ -206,16 +223,14 @@ def structured_filter_overlap(spark, sf_dir):
 @query
 def bm25_topn(spark, sf_dir):
     scores = recall.keyword_scores(corpus(spark, sf_dir), complaints(spark, sf_dir))
-    order = Window.partitionBy("sub_problem_id").orderBy(F.desc(F.round("bm25", 9)), "ingest_seq")
-    top = scores.withColumn("rank", F.row_number().over(order)).where("rank <= 20")
+    top = recall.ranked(scores, "bm25", "rank").where("rank <= 20")
     return top.select("sub_problem_id", F.col("ingest_seq").alias("doc_id"), *long("rank"), F.round("bm25", 6).alias("bm25"))
 
 
 @query
 def vector_topn(spark, sf_dir):
     scores = recall.vector_scores(corpus(spark, sf_dir), complaints(spark, sf_dir))
-    order = Window.partitionBy("sub_problem_id").orderBy(F.desc(F.round("cosine", 6)), "ingest_seq")
-    top = scores.withColumn("rank", F.row_number().over(order)).where("rank <= 20")
+    top = recall.ranked(scores, "cosine", "rank").where("rank <= 20")
     return top.select("sub_problem_id", F.col("ingest_seq").alias("doc_id"), *long("rank"), F.round("cosine", 5).alias("cosine"))
 
 
@@ -228,19 +243,24 @@ def rrf_recall_multi(spark, sf_dir):
 # ---- judging and ranking -------------------------------------------------------
 
 
+def _cached(spark, sf_dir):
+    """Recalled slices, and a cache with the verdicts on labelled documents that even sub-problems asked for."""
+    found = _recalled(spark, sf_dir).select("sub_problem_id", F.col("ingest_seq").alias("trajectory_id"), F.lit(0).alias("slice_index"), "rank")
+    quality = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("trajectory_id"), "quality")
+    asked = found.where("sub_problem_id % 2 = 0").select("sub_problem_id", "trajectory_id", "slice_index")
+    return found, asked.join(quality, "trajectory_id").select(*judging.KEY, "quality")
+
+
 @query
 def cache_hits(spark, sf_dir):
-    found = _recalled(spark, sf_dir).select("sub_problem_id", F.col("ingest_seq").alias("trajectory_id"), F.lit(0).alias("slice_index"), "rank")
-    verdicts = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("trajectory_id"), "quality").crossJoin(F.broadcast(complaints(spark, sf_dir).select("sub_problem_id"))).withColumn("slice_index", F.lit(0))
-    hits, _ = judging.with_cache(found, verdicts)
+    hits, _ = judging.with_cache(*_cached(spark, sf_dir))
     return hits.select("sub_problem_id", "trajectory_id", *long("rank", "quality"))
 
 
 @query
 def cache_misses(spark, sf_dir):
-    found = _recalled(spark, sf_dir).select("sub_problem_id", F.col("ingest_seq").alias("trajectory_id"), F.lit(0).alias("slice_index"), "rank")
-    verdicts = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("trajectory_id"))
-    return found.join(verdicts, "trajectory_id", "left_anti").select("sub_problem_id", "trajectory_id", *long("rank"))
+    _, misses = judging.with_cache(*_cached(spark, sf_dir))
+    return misses.select("sub_problem_id", "trajectory_id", *long("rank"))
 
 
 @query
@@ -359,7 +379,7 @@ def _centroids(spark, sf_dir) -> DataFrame:
 def nearest_question(spark, sf_dir):
     asked = complaints(spark, sf_dir).where("query_vectors is not null").select(F.col("sub_problem_id").alias("item_id"), F.col("query_vectors")[0].alias("vector"))
     stored = _centroids(spark, sf_dir).select(F.col("label").alias("problem"), F.col("label").alias("ord"), "vector")
-    best = taxonomy.nearest(asked, stored, "item_id", "problem", "ord", 6)
+    best = taxonomy.nearest(asked, stored, "item_id", "problem", "ord")
     return best.select("item_id", "problem", F.round("cosine", 5).alias("cosine"), (F.col("cosine") >= 0.90).alias("reuse"))
 
 
@@ -406,18 +426,18 @@ def backfill_candidates(spark, sf_dir):
     rows = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("ingest_seq"), "embedding", "label")
     asked = _centroids(spark, sf_dir).select(F.col("label").alias("sub_problem_id"), F.array("vector").alias("query_vectors"))
     scores = recall.vector_scores(rows, asked)
-    order = Window.partitionBy("sub_problem_id").orderBy(F.desc(F.round("cosine", 6)), "ingest_seq")
-    hits = scores.withColumn("rank", F.row_number().over(order)).join(rows.select("ingest_seq", F.array("label").alias("capability_labels")), "ingest_seq")
+    hits = recall.ranked(scores, "cosine", "rank").join(rows.select("ingest_seq", F.array("label").alias("capability_labels")), "ingest_seq")
     found = taxonomy.backfill_candidates(hits, F.col("sub_problem_id").cast("int"))
     return found.select("sub_problem_id", F.col("ingest_seq").alias("vec_id"), *long("rank"))
 
 
 @query
 def queue_priority(spark, sf_dir):
+    """Jobs in the order of their claims."""
     proposals = read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("label"), F.col("o_custkey").alias("sub_problem_id"), F.col("o_orderkey").alias("seq"))
-    jobs = taxonomy.priorities(proposals)
-    order = Window.orderBy(F.desc("priority"), "job_id")  # a row per label of the taxonomy
-    return jobs.select("label", "priority", "job_id", F.row_number().over(order).cast("long").alias("claim_order"))
+    jobs = taxonomy.priorities(proposals).withColumn("status", F.lit("pending"))
+    claimed = taxonomy.claims(jobs, 1000).agg(F.collect_list(F.struct("label", "priority", "job_id")).alias("j"))  # a row per label of the taxonomy
+    return claimed.select(F.posexplode("j").alias("i", "j")).select("j.label", "j.priority", "j.job_id", (F.col("i") + 1).cast("long").alias("claim_order"))
 
 
 # ---- request health ------------------------------------------------------------------
@@ -470,17 +490,43 @@ def truncate_conversations(spark, sf_dir):
 
 @query
 def drift_mode(spark, sf_dir):
+    """Runs of equal length as runs of one case, their roles as signature."""
     runs = read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role"))).alias("m"))
-    signature = F.array_join(F.transform("m", lambda x: x["role"]), ">")
-    counts = runs.groupBy(F.size("m").cast("long").alias("n_steps"), signature.alias("signature")).agg(F.count("*").alias("n"))
-    return counts.groupBy("n_steps").agg(F.max("n").alias("mode_count"), F.sum("n").alias("runs")).withColumn("mode_share", F.round(F.col("mode_count") / F.col("runs"), 3))
+    runs = runs.select(F.size("m").cast("long").alias("case_id"), F.array_join(F.transform("m", lambda x: x["role"]), ">").alias("signature"))
+    return evaluation.drift(runs).select(F.col("case_id").alias("n_steps"), F.round("stability", 3).alias("mode_share"))
+
+
+def _routes(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Expected and produced routes of documents by source: labels against a rule on lengths."""
+    rows = read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents").select("doc_id", "n_chars", "source"), "doc_id")
+    route = lambda c: F.when(c, "pass").otherwise("drop").alias("route")
+    return rows.select(F.col("source").alias("case_id"), route(F.col("quality") == 1)), rows.select(F.col("source").alias("case_id"), route(F.col("n_chars") >= 300))
+
+
+@query
+def route_scores(spark, sf_dir):
+    return evaluation.route_score(*_routes(spark, sf_dir)).select("case_id", *long("agreed", "expected"))
 
 
 @query
 def label_accuracy(spark, sf_dir):
-    rows = read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
-    right = (F.col("quality") == F.when(F.col("n_chars") >= 300, 1).otherwise(0)).cast("int")
-    return rows.agg(F.count("*").alias("total"), F.sum(right).alias("correct")).withColumn("accuracy", F.round(F.col("correct") / F.greatest("total", F.lit(1)), 3))
+    return evaluation.totals(evaluation.route_score(*_routes(spark, sf_dir))).select(*long("agreed", "expected"), "accuracy")
+
+
+@query
+def label_hits(spark, sf_dir):
+    """Documents' language and source as expected labels; other documents of the same length as produced rows."""
+    docs = read(spark, sf_dir, "documents")
+    expected = docs.where("doc_id % 3 = 0").select(F.col("n_chars").alias("case_id"), F.when(F.col("doc_id") % 4 == 0, F.array(F.lit(evaluation.ANY_NEW))).otherwise(F.array("lang", "source")).alias("labels"), "doc_id")
+    actual = docs.where("doc_id % 3 = 1").select(F.col("n_chars").alias("case_id"), F.array("source").alias("labels"), (F.col("doc_id") % 5 == 0).alias("is_new"))
+    return evaluation.label_hits(expected, actual).select("doc_id")
+
+
+@query
+def retained_runs(spark, sf_dir):
+    """Orders as runs: open ones run, the others finished on their date."""
+    runs = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("run_id"), F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate")).alias("finished_at"))
+    return evaluation.retained_runs(runs).select("run_id")
 
 
 @query

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tracequarry.functions import text as tx
 from tracequarry.lineage import materialize
 from tracequarry.operators import dedup, judging, merging, ranking, recall, selection, taxonomy
-from tracequarry.operators.signatures import Embedder, signatures, with_embeddings
+from tracequarry.operators.signatures import Embedder, signatures, with_embeddings, with_query_vectors
 from tracequarry.operators.slicing import slices
 from tracequarry.sources import stores, trajectories
 
@@ -32,17 +32,21 @@ def ingest(spark: SparkSession, path: str, root: str, embedder: Embedder | None
     found = found.groupBy("trajectory_id").agg(*[F.max_by(c, F.struct("file", "line")).alias(c) for c in ("messages", "raw", "file", "line")])
     found = materialize(found, "trajectories")
     tables["slices"].append(sign(found, embedder))
-    tables["trajectories"].append(found.select("trajectory_id", "raw"))
+    tables["trajectories"].append(found.select("trajectory_id", "raw", F.col("file").alias("trajectory_path")))
     return found.count()
 
 
 def search(
-    spark: SparkSession, root: str, problems: DataFrame, judge: judging.Judge = judging.always_match, config: selection.SelectionConfig | None = None, top_n: int = 20
-) -> dict[str, DataFrame]:
+    spark: SparkSession, root: str, problems: DataFrame, judge: judging.Judge = judging.always_match, config: selection.SelectionConfig | None = None, top_n: int = 20,
+    embedder: Embedder | None = None,
+) -> dict[str, DataFrame]:
     """Recall, judge what isn't cached, rerank, merge, dedup and select for all sub-problems.
 
-    ``problems``: sub_problem_id, keywords, query_vectors, filters, failure_summary."""
+    ``problems``: sub_problem_id, keywords, filters, failure_summary, capability, ord and query_vectors; with an embedder
+    these are made of ``hyde_positive``."""
     tables = stores.open_stores(spark, root)
+    if embedder is not None:
+        problems = materialize(with_query_vectors(problems, embedder), "problems")
     corpus = tables["slices"].read()
     condition = recall.passes(F.col("languages"), F.col("tools_used"), F.col("has_verification_step"), F.col("filters"))
     hits = recall.recall(corpus, problems.select("sub_problem_id", "keywords", "query_vectors", "filters"), condition, top_n=top_n)
@@ -64,6 +68,7 @@ def search(
     config = config or selection.SelectionConfig(n=selection.default_budget(unique), min_per_problem=1)
     picks = selection.select_set(unique.withColumn("run_id", F.lit("run")), config, names).drop("run_id")
     chosen = unique.join(picks, "seq")
+    scored = ranking.global_order(scored, ["sub_ord", "rank"])
     return {"scored": scored, "merged": merged, "selected": chosen, "manifest": merging.manifest(chosen, 0.3)}
 
 
@@ -106,12 +111,14 @@ def backfill(spark: SparkSession, root: str, label: dict, judge: judging.Judge =
 
 
 def evolve(spark: SparkSession, root: str, proposals: list[dict], labels: list[dict], created_at: str, run: Callable[[dict], int] | None = None) -> dict:
-    """Add proposals to the taxonomy and backfill the new labels by priority."""
+    """Add proposals to the taxonomy and backfill the new labels by priority; labels, version and jobs are stored."""
+    tables = stores.open_stores(spark, root)
     after, resolved = taxonomy.ingest_proposals(proposals, labels, created_at)
     asked: dict[str, set] = {}
     for p in proposals:
         asked.setdefault(p["label"], set()).add(p.get("source_sub_problem_id"))
-    queue, known = taxonomy.JobQueue(), {x["label"]: x for x in after}
+    queue, known = taxonomy.JobQueue(tables["jobs"]), {x["label"]: x for x in after}
+    _store_labels(spark, tables, labels, after, created_at)
     for r in resolved:
         if r["kind"] != "duplicate" and all(j["label"] != r["label"] for j in queue.jobs):
             queue.enqueue(r["label"], len(asked[r["label"]]))
@@ -119,6 +126,21 @@ def evolve(spark: SparkSession, root: str, proposals: list[dict], labels: list[d
     return {"labels": after, "resolved": resolved, "jobs": queue.drain(lambda name: work(known[name]), set(known)), "queue": queue.jobs}
 
 
+def _store_labels(spark: SparkSession, tables: dict, before: list[dict], after: list[dict], created_at: str) -> None:
+    """The first taxonomy if none is stored, then what is new."""
+
+    def rows(labels: list[dict]) -> DataFrame:
+        fields = ("label", "parent", "new_root", "description", "keywords", "description_embedding", "taxonomy_extension", "created_at")
+        full = [{**x, "description_embedding": x.get("vector"), "keywords": x.get("keywords") or []} for x in labels]
+        return spark.createDataFrame([tuple(x.get(f) for f in fields) for x in full], tables["labels"].schema)
+
+    store = taxonomy.TaxonomyStore(tables["labels"], tables["taxonomy"])
+    if before:
+        store.seed(rows(before), "1.0.0", created_at)
+    if new := after[len(before) :]:
+        store.add(rows(new), created_at)
+
+
 def ingest_manifest(spark: SparkSession, root: str, questions: list[tuple[str, str | None]], compiler, embedder: Embedder, least: float = 0.90, evidence=None) -> dict[str, int]:
     """Compile and store new questions, one after another: each may be a near copy of the one before.
 

@@ -20,30 +20,33 @@ post AS (SELECT doc_id, lower(t) AS token, count(*) AS tf FROM (SELECT doc_id, u
 df AS (SELECT token, count(*) AS df FROM post GROUP BY token)
 """
 
+_TOOLS = ", ".join(f"'src{i}'" for i in range(10))
 _ITEMS = f"""
 items AS (
-  SELECT item_id, {_identifiers('text')} AS kws,
-    CASE WHEN lower(text[1]) < 'i' THEN ['en', 'fr'] WHEN lower(text[1]) < 'p' THEN ['en'] END AS wish
-  FROM benchmark)
+  SELECT item_id, item_id % 7 = 3 AS silent, CASE WHEN item_id % 7 = 3 THEN [] ELSE {_identifiers('text')} END AS kws,
+    CASE WHEN lower(text[1]) < 'i' THEN ['en', 'fr'] WHEN lower(text[1]) < 'p' THEN ['en'] END AS wish,
+    CASE WHEN item_id % 3 = 0 THEN [{_TOOLS}] END AS tools, CASE WHEN item_id % 4 = 1 THEN true END AS checked
+  FROM benchmark),
+cand AS (
+  SELECT item_id, doc_id FROM documents, items
+  WHERE (wish IS NULL OR list_contains(wish, lang)) AND (tools IS NULL OR list_contains(tools, source))
+    AND (checked IS NULL OR checked = regexp_matches(text, '(?i)(test|check|pytest|run|verify|build)')))
 """
 
 _RECALL = f"""{_TOKENS}, {_ITEMS},
 kw AS (SELECT item_id, lower(k) AS token, count(*) AS times FROM (SELECT item_id, unnest(kws) AS k FROM items) GROUP BY ALL),
 bm AS (
-  SELECT item_id, doc_id, sum(times * ln((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.2 / (tf + 1.2)) AS s
+  SELECT item_id, doc_id, sum((times * ln((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.2 / (tf + 1.2))::DECIMAL(38, 18))::DOUBLE AS s
   FROM post JOIN df USING (token) JOIN kw USING (token) CROSS JOIN (SELECT count(*) AS n FROM documents)
   GROUP BY ALL HAVING s > 0),
+qv AS (
+  SELECT item_id, embedding::DOUBLE[] AS v FROM items JOIN embeddings ON vec_id = item_id WHERE NOT silent
+  UNION ALL SELECT item_id, list_reverse(embedding)::DOUBLE[] FROM items JOIN embeddings ON vec_id = item_id + 1 WHERE NOT silent AND item_id % 2 = 0),
 vs AS (
-  SELECT q.item_id, d.doc_id, list_cosine_similarity(qe.embedding::DOUBLE[], de.embedding::DOUBLE[]) AS s
-  FROM benchmark q JOIN embeddings qe ON qe.vec_id = q.item_id CROSS JOIN documents d JOIN embeddings de ON de.vec_id = d.doc_id
-  WHERE list_cosine_similarity(qe.embedding::DOUBLE[], de.embedding::DOUBLE[]) > 0),
-cand AS (SELECT item_id, doc_id, lang FROM documents, items WHERE wish IS NULL OR list_contains(wish, lang)),
-r1 AS (
-  SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY round(s, 9) DESC, doc_id) AS r1
-  FROM bm SEMI JOIN cand USING (item_id, doc_id)),
-r2 AS (
-  SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY round(s, 6) DESC, doc_id) AS r2
-  FROM vs SEMI JOIN cand USING (item_id, doc_id)),
+  SELECT item_id, doc_id, max(list_cosine_similarity(v, de.embedding::DOUBLE[])) AS s
+  FROM qv CROSS JOIN documents d JOIN embeddings de ON de.vec_id = d.doc_id GROUP BY ALL HAVING s > 0),
+r1 AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY s DESC, doc_id) AS r1 FROM bm SEMI JOIN cand USING (item_id, doc_id)),
+r2 AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY s DESC, doc_id) AS r2 FROM vs SEMI JOIN cand USING (item_id, doc_id)),
 fused AS (
   SELECT item_id, doc_id, r1, r2,
     CASE WHEN max(coalesce(r1, r2)) OVER (PARTITION BY item_id) IS NULL THEN 1.0
@@ -128,6 +131,14 @@ pairs AS (
   GROUP BY a.first, b.first, a.n, b.n HAVING count(*)::DOUBLE / (a.n + b.n - count(*)) >= 0.9)
 """
 
+_ROUTES = """
+rows AS (SELECT source AS case_id, CASE WHEN quality = 1 THEN 'pass' ELSE 'drop' END AS want, CASE WHEN n_chars >= 300 THEN 'pass' ELSE 'drop' END AS got
+  FROM labels JOIN documents USING (doc_id)),
+w AS (SELECT case_id, want AS route, count(*) AS n FROM rows GROUP BY ALL),
+g AS (SELECT case_id, got AS route, count(*) AS n FROM rows GROUP BY ALL),
+scores AS (SELECT w.case_id, sum(least(w.n, coalesce(g.n, 0)))::BIGINT AS agreed, sum(w.n)::BIGINT AS expected FROM w LEFT JOIN g USING (case_id, route) GROUP BY 1)
+"""
+
 _MARKER = "chr(10) || chr(10) || '[... content truncated ...]' || chr(10) || chr(10)"
 
 
@@ -172,26 +183,33 @@ SELECT sl.trajectory_id, slice_index, count(*) AS step_count, count(*) FILTER (r
   false AS has_success_pattern, coalesce(bool_or(tool = 'Bash'), false) AS has_verification_step
 FROM sl JOIN st ON st.trajectory_id = sl.trajectory_id AND step_index BETWEEN start_step AND end_step GROUP BY sl.trajectory_id, slice_index""",
     "summary_lines": f"""
-SELECT conv_id, turn, 'Step ' || turn || ': ' || CASE role WHEN 'assistant' THEN '[assistant] ' || {_short('text', 150)}
-  WHEN 'tool' THEN '[result] ' || {_short('text', 300)} ELSE '[' || role || '] ' || {_short('text', 150)} END AS line
-FROM conversations""",
+WITH t AS (
+  SELECT conv_id, turn, coalesce(text, '') AS said, CASE WHEN turn % 4 = 3 THEN 'tool' WHEN turn = 6 THEN 'critic' ELSE role END AS role,
+    role = 'assistant' AND turn % 2 = 0 AS calls FROM conversations)
+SELECT conv_id, turn, CASE role
+  WHEN 'assistant' THEN 'Step ' || turn || ': [assistant] ' || {_short('said', 150)} || CASE WHEN calls THEN ' → call Edit("' || {_short('reverse(said)', 200)} || '")' ELSE '' END
+  WHEN 'tool' THEN 'Step ' || turn || ': [result] ' || CASE WHEN turn = 3 THEN {_short("'result' || chr(10) || said", 300)} ELSE {_short('said', 300)} END
+  WHEN 'critic' THEN NULL ELSE 'Step ' || turn || ': [' || role || '] ' || {_short('said', 150)} END AS line
+FROM t""",
     "problem_ids": r"""
 SELECT doc_id, left(sha1(regexp_replace(regexp_replace(nfc_normalize(coalesce(text, '')), '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g')), 16) AS problem_id
 FROM documents""",
     "document_frequency": f"""
 WITH {_TOKENS} SELECT token, df, round(ln((n - df + 0.5) / (df + 0.5) + 1), 6) AS idf FROM df CROSS JOIN (SELECT count(*) AS n FROM documents)""",
     "structured_filter_overlap": f"""
-WITH {_ITEMS} SELECT item_id AS sub_problem_id, count(*) AS candidates, max(doc_id) AS last_doc
-FROM documents, items WHERE wish IS NULL OR list_contains(wish, lang) GROUP BY item_id""",
+WITH {_ITEMS} SELECT item_id AS sub_problem_id, count(*) AS candidates, max(doc_id) AS last_doc FROM cand GROUP BY item_id""",
     "bm25_topn": f"""
 WITH {_RECALL} SELECT item_id AS sub_problem_id, doc_id, rank, bm25 FROM (
-  SELECT item_id, doc_id, round(s, 6) AS bm25, row_number() OVER (PARTITION BY item_id ORDER BY round(s, 9) DESC, doc_id) AS rank FROM bm) WHERE rank <= 20""",
+  SELECT item_id, doc_id, round(s, 6) AS bm25, row_number() OVER (PARTITION BY item_id ORDER BY s DESC, doc_id) AS rank FROM bm) WHERE rank <= 20""",
     "vector_topn": f"""
 WITH {_RECALL} SELECT item_id AS sub_problem_id, doc_id, rank, cosine FROM (
-  SELECT item_id, doc_id, round(s, 5) AS cosine, row_number() OVER (PARTITION BY item_id ORDER BY round(s, 6) DESC, doc_id) AS rank FROM vs) WHERE rank <= 20""",
+  SELECT item_id, doc_id, round(s, 5) AS cosine, row_number() OVER (PARTITION BY item_id ORDER BY s DESC, doc_id) AS rank FROM vs) WHERE rank <= 20""",
     "rrf_recall_multi": f"WITH {_RECALL} SELECT item_id AS sub_problem_id, doc_id, rank, round(rrf, 6) AS rrf FROM hits",
-    "cache_hits": f"WITH {_RECALL} SELECT item_id AS sub_problem_id, h.doc_id AS trajectory_id, rank, quality::BIGINT AS quality FROM hits h JOIN labels l ON l.doc_id = h.doc_id",
-    "cache_misses": f"WITH {_RECALL} SELECT item_id AS sub_problem_id, doc_id AS trajectory_id, rank FROM hits ANTI JOIN labels USING (doc_id)",
+    "cache_hits": f"""
+WITH {_RECALL} SELECT item_id AS sub_problem_id, h.doc_id AS trajectory_id, rank, quality::BIGINT AS quality FROM hits h JOIN labels l ON l.doc_id = h.doc_id WHERE item_id % 2 = 0""",
+    "cache_misses": f"""
+WITH {_RECALL} SELECT item_id AS sub_problem_id, doc_id AS trajectory_id, rank FROM hits h
+WHERE item_id % 2 <> 0 OR NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = h.doc_id)""",
     "soft_rerank": f"""
 WITH {_SCORED} SELECT item_id AS sub_problem_id, doc_id AS trajectory_id,
   row_number() OVER (PARTITION BY item_id ORDER BY relevance DESC, rank) AS local_rank, round(relevance, 6) AS relevance FROM scored""",
@@ -226,14 +244,14 @@ SELECT doc_id, coalesce(sv.survivor, reps.first) AS survivor FROM doc_tokens JOI
 WITH {_SCORED} SELECT count(*) AS targeted_count, 0::BIGINT AS general_count, count(*) AS total_count, 0.3::DOUBLE AS general_ratio FROM chosen""",
     "nearest_question": f"""
 WITH {_CENTROIDS}, sims AS (
-  SELECT item_id, c.label::BIGINT AS problem, round(list_cosine_similarity(e.embedding::DOUBLE[], c.vector), 6) AS s
-  FROM benchmark JOIN embeddings e ON e.vec_id = item_id CROSS JOIN cent c)
+  SELECT item_id, c.label::BIGINT AS problem, list_cosine_similarity(e.embedding::DOUBLE[], c.vector) AS s
+  FROM benchmark JOIN embeddings e ON e.vec_id = item_id CROSS JOIN cent c WHERE item_id % 7 <> 3)
 SELECT item_id, problem, round(s, 5) AS cosine, s >= 0.90 AS reuse FROM sims QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY s DESC, problem) = 1""",
     "resolve_labels": f"""
 WITH {_CENTROIDS}, lab AS (
   SELECT 'root-' || label AS label, NULL AS parent, vector, label AS ord FROM cent
   UNION ALL SELECT 'leaf-' || label, 'root-' || label, arg_min(embedding, vec_id)::DOUBLE[], label + 100 FROM embeddings GROUP BY label),
-sims AS (SELECT vec_id AS proposal, l.label, l.parent, l.ord, round(list_cosine_similarity(e.embedding::DOUBLE[], l.vector), 9) AS s FROM embeddings e CROSS JOIN lab l),
+sims AS (SELECT vec_id AS proposal, l.label, l.parent, l.ord, list_cosine_similarity(e.embedding::DOUBLE[], l.vector) AS s FROM embeddings e CROSS JOIN lab l),
 anyl AS (SELECT * FROM sims QUALIFY row_number() OVER (PARTITION BY proposal ORDER BY s DESC, ord) = 1),
 root AS (SELECT * FROM sims WHERE parent IS NULL QUALIFY row_number() OVER (PARTITION BY proposal ORDER BY s DESC, ord) = 1)
 SELECT a.proposal, CASE WHEN a.s > 0.85 THEN 'duplicate' WHEN r.s >= 0.50 THEN 'new_leaf' ELSE 'new_root' END AS kind,
@@ -252,7 +270,7 @@ FROM documents LEFT JOIN f USING (doc_id)""",
 WITH {_CENTROIDS}, sims AS (
   SELECT c.label::BIGINT AS sub_problem_id, e.vec_id, e.label AS own, list_cosine_similarity(e.embedding::DOUBLE[], c.vector) AS s
   FROM embeddings e CROSS JOIN (SELECT label, vector FROM cent) c WHERE list_cosine_similarity(e.embedding::DOUBLE[], c.vector) > 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY sub_problem_id ORDER BY round(s, 6) DESC, vec_id) AS rank FROM sims)
+r AS (SELECT *, row_number() OVER (PARTITION BY sub_problem_id ORDER BY s DESC, vec_id) AS rank FROM sims)
 SELECT sub_problem_id, vec_id, rank FROM r WHERE rank <= 200 AND own <> sub_problem_id""",
     "queue_priority": """
 WITH j AS (SELECT o_orderpriority AS label, count(DISTINCT o_custkey) AS priority, min(o_orderkey) AS job_id FROM orders GROUP BY 1)
@@ -293,10 +311,17 @@ SELECT conv_id, turn, length(c) AS n, md5(c) AS text_md5 FROM g""",
     "drift_mode": """
 WITH r AS (SELECT conv_id, count(*) AS n_steps, string_agg(role, '>' ORDER BY turn) AS sig FROM conversations GROUP BY 1),
 c AS (SELECT n_steps, sig, count(*) AS n FROM r GROUP BY ALL)
-SELECT n_steps, max(n) AS mode_count, sum(n)::BIGINT AS runs, round(max(n) / sum(n), 3) AS mode_share FROM c GROUP BY n_steps""",
-    "label_accuracy": """
-SELECT count(*) AS total, sum((quality = (n_chars >= 300)::INT)::INT)::BIGINT AS correct,
-  round(sum((quality = (n_chars >= 300)::INT)::INT)::DOUBLE / greatest(count(*), 1), 3) AS accuracy FROM labels JOIN documents USING (doc_id)""",
+SELECT n_steps, round(max(n) / sum(n), 3) AS mode_share FROM c GROUP BY n_steps""",
+    "route_scores": f"WITH {_ROUTES} SELECT case_id, agreed, expected FROM scores",
+    "label_accuracy": f"""
+WITH {_ROUTES} SELECT sum(agreed)::BIGINT AS agreed, sum(expected)::BIGINT AS expected, round(sum(agreed)::DOUBLE / greatest(sum(expected), 1), 3) AS accuracy FROM scores""",
+    "label_hits": """
+SELECT doc_id FROM documents e WHERE doc_id % 3 = 0 AND EXISTS (
+  SELECT 1 FROM documents a WHERE a.doc_id % 3 = 1 AND a.n_chars = e.n_chars
+    AND CASE WHEN e.doc_id % 4 = 0 THEN a.doc_id % 5 = 0 ELSE a.source IN (e.lang, e.source) END)""",
+    "retained_runs": """
+SELECT o_orderkey AS run_id FROM orders WHERE o_orderstatus = 'O'
+UNION ALL (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'O' ORDER BY o_orderdate DESC, o_orderkey LIMIT 50)""",
     "label_colors": "SELECT label, (dense_rank() OVER (ORDER BY label) - 1) % 10 AS color FROM (SELECT DISTINCT source AS label FROM documents WHERE source IS NOT NULL)",
     "inspector_view": f"""
 WITH {_SCORED} SELECT item_id AS sub_problem_id, s.doc_id AS trajectory_id, round(s.relevance, 6) AS relevance, s.confidence::DOUBLE AS confidence,

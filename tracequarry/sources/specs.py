@@ -52,16 +52,24 @@ def check_sub_problem(item: dict) -> dict:
     return item
 
 
-def scan_specs(spark: SparkSession, path: str) -> DataFrame:
+def scan_specs(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Sub-problems of spec files, one row each, ids prefixed to be unique; a bad spec stops the query."""
-    specs = spark.read.schema(schemas.PROBLEM_SPEC).json(path, multiLine=True).withColumn("file", F.col("_metadata.file_path"))
+    specs = spark.read.schema(schemas.PROBLEM_SPEC).json(path, multiLine=multi_line).withColumn("file", F.col("_metadata.file_path"))
     each = specs.select("file", F.explode("sub_problems").alias("s")).select("file", "s.*")
+
+    def within(values: str, known) -> Column:
+        return F.coalesce(F.forall(values, lambda x: F.coalesce(x.isin(*known), F.lit(False))), F.lit(True))
+
     ok = (
         F.col("origin").isin("original", "clarified")
         & F.size("target_capability").between(1, 3)
         & F.size("hyde_positive").between(2, 3)
         & F.col("confidence").between(0, 1)
         & (F.col("route") == "pass")
+        & ((F.col("origin") != "clarified") | (F.coalesce("parent_id", F.lit("")) != ""))
+        & within("structured_filters.languages", schemas.LANGUAGES)
+        & within("structured_filters.tools_used", schemas.TOOLS_USED)
+        & (F.col("rubric").isNull() | F.coalesce(F.col("rubric.capability_kind").isin(*schemas.CAPABILITY_KINDS), F.lit(False)))
     )
     checked = F.when(F.coalesce(ok, F.lit(False)), F.col("id")).otherwise(F.raise_error(F.concat(F.lit("sub-problem breaks the contract: "), F.coalesce("id", F.lit("?")))))
     return each.withColumn("id", checked)

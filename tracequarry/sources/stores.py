@@ -1,8 +1,9 @@
 """Keyed tables on shared storage: append, latest row of each key, upsert order.
 
 A table is a folder of Parquet files; each write carries a growing ``write_seq``,
-and reading keeps a key's last write.  Columns that later writes add are null in
-earlier rows.
+taken by creating a file of that number, so two writers never share one.  Reading
+keeps a key's last write; compaction keeps nothing else.  Columns that later writes
+add are null in earlier rows.
 """
 
 from __future__ import annotations
@@ -40,10 +41,30 @@ class KeyedTable:
 
     def append(self, rows: DataFrame, order: str | None = None) -> None:
         """Upsert: a key that is there moves to the end. ``order`` numbers the rows of this write."""
-        now = self.history().agg(F.max("write_seq")).first()[0]
         number = F.col(order).cast("long") if order else F.monotonically_increasing_id()
         rows = rows.drop("ingest_seq") if order != "ingest_seq" else rows
-        rows.withColumns({"write_seq": F.lit((now or 0) + 1).cast("long"), "row_seq": number}).write.mode("append").parquet(self.path)
+        rows.withColumns({"write_seq": F.lit(self._next_write()).cast("long"), "row_seq": number}).write.mode("append").parquet(self.path)
+
+    def _next_write(self) -> int:
+        """A number that no other write has: the file system creates each number's file once only."""
+        fs, _ = self._folder()
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        folder = path(f"{self.path}.writes")
+        fs.mkdirs(folder)
+        number = max((int(f.getPath().getName()) for f in fs.listStatus(folder)), default=0) + 1
+        while not fs.createNewFile(path(folder, str(number))):
+            number += 1
+        return number
+
+    def compact(self) -> None:
+        """Keep only the last row of each key; no writer may be at work."""
+        if not self.exists():
+            return
+        last = self.read().withColumns({"write_seq": F.shiftright("ingest_seq", 40), "row_seq": F.col("ingest_seq").bitwiseAND((1 << 40) - 1)})
+        last.drop("ingest_seq").write.mode("overwrite").parquet(f"{self.path}.compact")
+        fs, path = self._folder()
+        fs.delete(path, True)
+        fs.rename(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}.compact"), path)
 
     def get(self, **key) -> DataFrame:
         rows = self.history()
@@ -57,6 +78,7 @@ class KeyedTable:
     def clear(self) -> None:
         fs, path = self._folder()
         fs.delete(path, True)
+        fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}.writes"), True)
 
 
 def open_stores(spark: SparkSession, root: str) -> dict[str, KeyedTable]:
@@ -69,6 +91,8 @@ def open_stores(spark: SparkSession, root: str) -> dict[str, KeyedTable]:
         "problems": KeyedTable(spark, f"{root}/problems", ["problem_id"], problems),
         "trajectories": KeyedTable(spark, f"{root}/trajectories", ["trajectory_id"], "trajectory_id string, raw string"),
         "verdicts": KeyedTable(spark, f"{root}/verdicts", ["sub_problem_id", "trajectory_id", "slice_index"], verdict),
+        "jobs": KeyedTable(spark, f"{root}/jobs", ["job_id"], "job_id int, label string, priority int, status string, attempts int, error string"),
+        "taxonomy": KeyedTable(spark, f"{root}/taxonomy", ["name"], "name string, version string, updated_at string"),
         "labels": KeyedTable(spark, f"{root}/labels", ["label"], "label string, parent string, new_root boolean, description string, keywords array<string>, description_embedding array<float>, taxonomy_extension boolean, created_at string"),
     }
 
@@ -76,3 +100,27 @@ def open_stores(spark: SparkSession, root: str) -> dict[str, KeyedTable]:
 def stats(stores: dict[str, KeyedTable]) -> dict[str, int]:
     """Rows of each table; a table that was never written has none."""
     return {name: table.count() if table.exists() else 0 for name, table in stores.items()}
+
+
+def databases(spark: SparkSession, parent: str, current: str | None = None) -> list[dict]:
+    """Folders of tables below ``parent``: name, path, bytes, problems, trajectories, is_current.
+
+    A folder whose tables can't be read has no counts, and never stops the listing. Switching is opening another one."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(parent)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for status in fs.listStatus(folder) if fs.exists(folder) else []:
+        if not status.isDirectory():
+            continue
+        path = status.getPath()
+        row = {"name": path.getName(), "path": path.toString(), "size_bytes": fs.getContentSummary(path).getLength()}
+        tables = open_stores(spark, path.toString())
+        for name in ("problems", "trajectories"):
+            try:
+                row[name] = tables[name].count() if tables[name].exists() else None
+            except Exception:  # a damaged table costs its own count only
+                row[name] = None
+        row["is_current"] = current is not None and jvm.org.apache.hadoop.fs.Path(current).getName() == path.getName()
+        out.append(row)
+    return sorted(out, key=lambda r: r["name"])

@@ -28,7 +28,7 @@ def surrogate_id(record: pd.Series) -> pd.Series:
         canonical = json.dumps(json.loads(text), sort_keys=True)
         return "traj_" + hashlib.sha256(canonical.encode()).hexdigest()[:16]
 
-    return record.map(one)
+    return record.map(lambda text: None if text is None else one(text))
 
 
 def parse_records(lines: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def parse_records(lines: DataFrame) -> DataFrame:
     listed = F.get_json_object("raw", "$.messages").startswith("[")
     rows = rows.where(F.expr("try_parse_json(raw) is not null") & listed & F.col("parsed.messages").isNotNull())
     has_id = F.array_contains(F.expr("json_object_keys(raw)"), "id")
-    own = F.when(has_id, F.col("parsed.id")).otherwise(surrogate_id("raw"))
+    own = F.when(has_id, F.col("parsed.id")).otherwise(surrogate_id(F.when(~has_id, F.col("raw"))))  # others are not sent
     messages = F.transform("parsed.messages", lambda m: F.from_json(m, MESSAGE))
     return rows.select(*[c for c in lines.columns if c != "value"], own.alias("trajectory_id"), messages.alias("messages"), "raw")
 
