@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from tracequarry.llm import license_scan as ls
@@ -57,6 +59,29 @@ def test_notices():
         assert got[6] == (0.0 if not labels else 0.5 if "-" not in labels.replace("cc-by", "") else 1.0)
 
 
+@pytest.mark.parametrize("label", ["mit-text", "isc-text", "zlib-text", "bsd-2-clause-text", "bsd-3-clause-text", "apache-2.0-notice", "mpl-2.0"])
+def test_a_changed_clause_is_not_accepted(label):
+    scanner = ls.Scanner()
+    text = re.sub("<<var:[^>]*>>", "the copyright holders", re.sub("<<(optional|end)>>", "", dict(ls.TEMPLATES)[label]))
+    words = text.split()
+    assert label in scanner.scan("Copyright (c) X. " + text)[5].split(",")
+    for at in range(1, len(words) - 1, 7):
+        if words[at - 3 : at + 4].count("copyright") or words[at] in "123":
+            continue  # near a replaceable or optional region
+        changed = " ".join([*words[:at], "not", *words[at:]])
+        if not re.search(r"(provided by|shall|is and|name of|http|mozilla) (\w+ ){0,9}not ", changed):
+            assert label not in scanner.scan(changed)[5].split(","), changed[:200]
+    assert label not in scanner.scan(" ".join(words[:-1]))[5].split(",")
+
+
+def test_clauses_tell_licenses_apart():
+    fill = lambda label: re.sub("<<var:[^>]*>>", "the copyright holder", re.sub("<<(optional|end)>>", "", dict(ls.TEMPLATES)[label]))
+    scanner = ls.Scanner()
+    assert scanner.scan(fill("bsd-2-clause-text"))[5] == "bsd-2-clause-text"
+    assert scanner.scan(fill("bsd-3-clause-text"))[5] == "bsd-3-clause-text"
+    assert scanner.scan(fill("gpl-2.0-or-later"))[5] == "gpl,gpl-2.0-or-later"
+
+
 def test_rows(spark):
     rows = [(1, None), (2, ""), (2, "MIT license MIT license"), (None, "cc by " * 50000), (4, "gnu General\npublic, LICENSE")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as labels")
@@ -73,7 +98,8 @@ def test_oracle_agrees(spark):
     from tracequarry.llm.oracles import license_sql
 
     texts = ["Licensed under the Apache License, Version 2.0. cc by", "cc BY-nc 4.0; Licensed under a Creative Commons Public CC BY 4.0", "Released under the very MIT license mit license", None, "", "x gnu general public license"]
-    texts += [t.replace("<<optional>>", "").replace("<<end>>", "").replace("<<var:0-4>>", "a b").replace("<<var:0-2>>", "") for _, t in ls.TEMPLATES]
+    whole = [re.sub("<<var:0-2>>", "", re.sub("<<(optional|end)>>", "", t)) for _, t in ls.TEMPLATES]
+    texts += [re.sub("<<var:[^>]*>>", "a b", t) for t in whole] + [re.sub("<<var:[^>]*>>", "the x", re.sub("<<optional>>.*?<<end>>", "", t)) for _, t in ls.TEMPLATES]
     rows = list(enumerate(texts))
     con = duckdb.connect()
     con.execute("create table documents (doc_id bigint, text varchar)")
@@ -82,3 +108,4 @@ def test_oracle_agrees(spark):
     want = con.execute(f"select {', '.join(df.columns)} from ({license_sql()}) order by doc_id").fetchall()
     assert [tuple(r) for r in df.orderBy("doc_id").collect()] == want
     assert all(r[6] for r in want[6:])
+    assert all(label in r[5].split(",") for (label, _), r in zip([*ls.TEMPLATES, *ls.TEMPLATES], want[6:]))

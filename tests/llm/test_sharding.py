@@ -63,3 +63,33 @@ def test_whole_table_against_brute_force(spark):
 
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
     verify(op8_jump_sharding(spark, "/root/testdata/sf0.01").collect(), [tuple(d) for d in docs])
+
+
+def test_widened_keys_and_equal_rows(spark):
+    ids = spark.createDataFrame([(i % 50,) for i in range(3000)], "doc_id int").selectExpr("doc_id", "'same' as text")
+    small = {(r.doc_id, r.shard, r.grown_shard) for r in sharding.shard(ids).collect()}
+    wide = sharding.shard(ids.selectExpr("cast(doc_id as long) doc_id", "text")).collect()
+    assert small == {(r.doc_id, r.shard, r.grown_shard) for r in wide} and len(small) == 50
+    slots = {}
+    for r in wide:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def test_shards_follow_from_the_hash_of_the_id(spark):
+    import numpy as np
+
+    rows = spark.range(2000).selectExpr("id as doc_id", "string(id) as text")
+    hashes = {r.doc_id: r.h for r in rows.selectExpr("doc_id", "xxhash64(doc_id) as h").collect()}
+
+    def plain(key, shards):
+        at, goal = -1, 0
+        while goal < shards:
+            at = goal
+            key = (key * 2862933555777941757 + 1) % 2**64
+            goal = int((at + 1) * (2**31 / ((key >> 33) + 1)))
+        return at
+
+    for r in sharding.shard(rows).collect():
+        key = int(np.int64(hashes[r.doc_id]).view(np.uint64))
+        assert r.shard == plain(key, 40) and r.grown_shard == plain(key, 41)

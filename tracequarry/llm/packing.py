@@ -242,9 +242,10 @@ def pack(docs: DataFrame, model_json: str, capacity: int = CAPACITY, end_id: int
     The driver gets the histogram, at most ``capacity`` rows; the broadcast plan has a row for each
     pattern and length, bounded by the rounds and the capacity."""
     spark = docs.sparkSession
-    cut = materialize(pieces(docs, model_json, capacity, end_id), "pieces")
+    cut = pieces(docs, model_json, capacity, end_id)
+    cut = materialize(cut.withColumn("deal", F.xxhash64("doc_id", F.monotonically_increasing_id())), "pieces")  # parts equal rows as well
     buckets = max(64, cut.count() // BUCKET_ROWS)
-    cut = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
+    cut = cut.withColumn("bucket", F.pmod("deal", F.lit(buckets)))
     counts = cut.groupBy("bucket", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select("bucket", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
@@ -259,7 +260,7 @@ def pack(docs: DataFrame, model_json: str, capacity: int = CAPACITY, end_id: int
         _, first, sequence, k, offset = rows[at].T
         return pd.DataFrame({"sequence_id": sequence + (r - first) // k, "offset": offset + (r - first) % k * size})
 
-    within = Window.partitionBy("bucket", "length").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("bucket", "length").orderBy("doc_id", "piece", "deal")
     ranked = (
         cut.withColumn("r", F.row_number().over(within))
         .join(firsts, ["bucket", "length"])

@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tracequarry.lineage import materialize
 
@@ -44,7 +45,9 @@ def jump(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def shard_of(key: Column, shards: int) -> Column:
-    """Jump hash of a column's 64-bit hash, an Arrow function of longs: texts stay in the JVM."""
+    """Jump hash of a column's 64-bit hash, an Arrow function of longs: texts stay in the JVM.
+
+    Numbers are hashed as longs, so a column that is widened keeps its shards; other types by their text."""
 
     @F.pandas_udf("int")
     def assign(hashed: pd.Series) -> pd.Series:
@@ -53,6 +56,12 @@ def shard_of(key: Column, shards: int) -> Column:
     return assign(F.xxhash64(key))
 
 
+def stable(docs: DataFrame, name: str) -> Column:
+    """A key column in the type that it is hashed in."""
+    kind = docs.schema[name].dataType
+    return F.col(name).cast("long" if isinstance(kind, IntegralType) else "string")
+
+
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """One row per document: size, CRC, shard, slot and the shard that one more shard would give."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -60,16 +69,17 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         "doc_id",
         (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        shard_of(F.col("doc_id"), shards).alias("shard"),
-        shard_of(F.col("doc_id"), shards + 1).alias("grown_shard"),
+        shard_of(stable(docs, "doc_id"), shards).alias("shard"),
+        shard_of(stable(docs, "doc_id"), shards + 1).alias("grown_shard"),
+        F.xxhash64("doc_id", F.monotonically_increasing_id()).alias("deal"),  # parts equal rows as well
     )
     rows = materialize(rows, "shards")
     buckets = max(64, rows.count() // BUCKET_ROWS)
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(buckets)))
+    rows = rows.withColumn("bucket", F.pmod("deal", F.lit(buckets)))
     counts = rows.groupBy("bucket", "shard").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select("bucket", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    within = Window.partitionBy("bucket", "shard").orderBy("doc_id", "text_crc32", "size")
+    within = Window.partitionBy("bucket", "shard").orderBy("doc_id", "deal")
     ranked = rows.withColumn("r", F.row_number().over(within)).join(firsts, ["bucket", "shard"])
     slot = (F.col("first") + F.col("r") - 1).cast("long")
     return ranked.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", slot.alias("slot"), "grown_shard")
