@@ -108,4 +108,4 @@ def test_oracle_agrees(spark):
     want = con.execute(f"select {', '.join(df.columns)} from ({license_sql()}) order by doc_id").fetchall()
     assert [tuple(r) for r in df.orderBy("doc_id").collect()] == want
     assert all(r[6] for r in want[6:])
-    assert all(label in r[5].split(",") for (label, _), r in zip([*ls.TEMPLATES, *ls.TEMPLATES], want[6:]))
+    assert all(label in r[6].split(",") for (label, _), r in zip([*ls.TEMPLATES, *ls.TEMPLATES], want[6:]))
