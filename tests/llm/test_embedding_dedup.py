@@ -47,6 +47,16 @@ def test_count_is_calibrated():
     assert (counts >= need).mean() > 0.9995
 
 
+@pytest.mark.parametrize("n", [1, 63, 64, 200])
+def test_windows_are_counted_like_one_by_one(n):
+    gen = np.random.default_rng(n)
+    known, points = gen.normal(size=(n, 24)).round(1), gen.normal(size=(37, 24)).round(1)  # many equal places
+    hits = ((known[None] >= points[:, None] - 0.5) & (known[None] <= points[:, None] + 0.5)).sum(2)
+    for need in (1, 5, 8, 17, 24):
+        i, j = ed.SortedLines(known).reached(points, 0.5, need)
+        assert sorted(map(list, zip(i.tolist(), j.tolist()))) == np.argwhere(hits >= need).tolist()
+
+
 def test_small_rows(spark):
     gen = np.random.default_rng(7)
     rows = []
@@ -66,6 +76,8 @@ def test_many_blocks(spark, monkeypatch):
     gen = np.random.default_rng(8)
     rows = [(i, [float(x) for x in gen.normal(size=6).astype(np.float32)], i % 2) for i in range(700)]
     monkeypatch.setattr(ed, "BLOCK", 64)
+    monkeypatch.setattr(ed, "SORTED", 48)
+    monkeypatch.setattr(ed, "TILE", 10)
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     want = brute(rows)
     got = rows_of(ed.cluster(df))

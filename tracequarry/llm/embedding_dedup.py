@@ -6,12 +6,18 @@ into a window around the first follows a binomial law at the threshold, and the
 count that a pair must reach is its lowest quantile at the wanted recall.  Pairs
 that reach it are verified by cosine in double precision.
 
-Vectors of a label are sorted along a line and dealt to blocks of neighbours.
-Pairs of blocks are counted and verified in NumPy, a tile at a time; vectors that
-can't reach the count with any of a tile any more are left.  Blocks whose ranges
-on the sorting line are farther apart than a linked pair lies once in a billion
-never meet.  A pair of blocks yields link counts per vector and the edges of a spanning forest, so large groups
-of copies give rows in proportion to their members, not to their pairs.
+Vectors of a label are sorted along a line and dealt to blocks of neighbours; blocks
+whose ranges on it are farther apart than a linked pair lies once in a billion never
+meet.  Where two blocks meet, one is sorted along every line.  The windows around a
+vector of the other are found by binary search; as the vectors before each place of a
+line are kept as bit sets, a window is an exclusive or of two of them, and collisions
+are counted for 64 vectors at once.  A pair of blocks yields link counts per vector
+and the edges of a spanning forest, so large groups of copies give rows in proportion
+to their members, not to their pairs.
+
+In many dimensions a line tells little of two unrelated vectors, so most blocks of a
+label meet: the work is that of all pairs of its blocks, at a few word operations for
+64 pairs and a line.
 
 Equal vectors of a label are one vector with a weight.  Null labels, null, empty
 or zero vectors and those with null or non-finite components link with nothing.
@@ -37,8 +43,8 @@ THRESHOLD = 0.93
 LINES, HALF_WINDOW = 24, 2.0
 #: Chance that a pair at the threshold reaches the count.
 RECALL = 0.99999
-#: Vectors of a block, and rows of a tile.
-BLOCK, TILE = 2048, 256
+#: Vectors of a block, of a sorted part of a block, and points whose windows are looked up at once.
+BLOCK, SORTED, TILE = 4096, 2048, 256
 SEED = 20240229
 
 
@@ -62,41 +68,61 @@ def _decode(data: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(data), "<f8").reshape(len(data), -1)
 
 
+class SortedLines:
+    """Vectors sorted along each line, and, as bit sets, which vectors stand before each place of a line.
+
+    The vectors in a window are those before its end less those before its start: one exclusive or of two bit sets."""
+
+    def __init__(self, points: np.ndarray):
+        n, self.words = len(points), -(-len(points) // 64)
+        order = np.argsort(points, axis=0, kind="stable")
+        self.at = np.take_along_axis(points, order, axis=0)
+        self.before = np.zeros((points.shape[1], n + 1, self.words), np.uint64)
+        for line, places in zip(self.before, order.T):
+            line[np.arange(1, n + 1), places >> 6] = np.uint64(1) << (places & 63).astype(np.uint64)
+            np.bitwise_xor.accumulate(line, axis=0, out=line)
+
+    def reached(self, points: np.ndarray, half: float, need: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (point, vector) that collide in the windows around the point on at least ``need`` lines.
+
+        Collisions are counted for 64 vectors at once, a bit set for each binary digit of the counts."""
+        digits = [np.zeros((len(points), self.words), np.uint64) for _ in range(len(self.before).bit_length())]
+        for k, line in enumerate(self.before):
+            start, end = (np.searchsorted(self.at[:, k], points[:, k] + x, side) for x, side in ((-half, "left"), (half, "right")))
+            carry = line[start] ^ line[end]
+            for d in digits:
+                d ^= carry
+                carry &= ~d  # a digit that was set and met a one is clear now
+        more, equal = np.zeros_like(digits[0]), np.full_like(digits[0], 2**64 - 1)
+        for bit in reversed(range(len(digits))):
+            if need >> bit & 1:
+                equal &= digits[bit]
+            else:
+                more |= equal & digits[bit]
+                equal &= ~digits[bit]
+        more |= equal
+        row, word = np.nonzero(more)
+        at, bit = np.nonzero(np.unpackbits(more[row, word].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+        return row[at], word[at] * 64 + bit
+
+
 def block_links(a: np.ndarray, b: np.ndarray, same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Linked pairs (i, j) of two blocks of unit vectors; i < j if the blocks are the same."""
-    lines = directions(a.shape[1])
-    need = needed_count()
-    grid = HALF_WINDOW * math.sqrt(2 * (1 - threshold)) / 1024
-    on_a, on_b = (np.clip(np.rint(x @ lines / grid), -16000, 16000).astype(np.int16) for x in (a, b))
-    half = np.int16(1024 + 1)  # rounding moves two points by one step at most
-    left, right = [], []
-    for r in range(0, len(a), TILE):
-        rows = on_a[r : r + TILE]
-        cols = np.arange(r if same else 0, len(b))
-        missed = np.zeros((len(rows), len(cols)), np.int8)
-        for k in range(lines.shape[1]):
-            far = np.abs(rows[:, k, None] - on_b[cols, k][None, :]) > half
-            missed += far
-            if k % 6 == 5:
-                alive = (missed <= lines.shape[1] - need).any(0)
-                if alive.mean() < 0.7:
-                    cols, missed = cols[alive], missed[:, alive]
-                    if not len(cols):
-                        break
-        if not len(cols):
-            continue
-        i, j = np.nonzero(missed <= lines.shape[1] - need)
-        i, j = i + r, cols[j]
-        if same:
-            keep = i < j
+    lines, need, half = directions(a.shape[1]), needed_count(), HALF_WINDOW * math.sqrt(2 * (1 - threshold))
+    left, right = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
+    for c in range(0, len(b), SORTED):
+        known = SortedLines(b[c : c + SORTED] @ lines)
+        for r in range(0, min(len(a), c + SORTED) if same else len(a), TILE):
+            i, j = known.reached(a[r : r + TILE] @ lines, half, need)
+            i, j = i + r, j + c
+            keep = (i < j) if same else (j < len(b))
             i, j = i[keep], j[keep]
-        for s in range(0, len(i), 1 << 16):  # bounded memory in groups of copies
-            x, y = i[s : s + (1 << 16)], j[s : s + (1 << 16)]
-            ok = np.einsum("ij,ij->i", a[x], b[y]) >= threshold
-            left.append(x[ok].astype(np.int32))
-            right.append(y[ok].astype(np.int32))
-    none = [np.empty(0, np.int32)]
-    return np.concatenate(none + left), np.concatenate(none + right)
+            for s in range(0, len(i), 1 << 16):  # bounded memory in groups of copies
+                x, y = i[s : s + (1 << 16)], j[s : s + (1 << 16)]
+                ok = np.einsum("ij,ij->i", a[x], b[y]) >= threshold
+                left.append(x[ok].astype(np.int32))
+                right.append(y[ok].astype(np.int32))
+    return np.concatenate(left), np.concatenate(right)
 
 
 def forest(i: np.ndarray, j: np.ndarray, n: int) -> list[tuple[int, int]]:
