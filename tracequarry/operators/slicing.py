@@ -39,12 +39,12 @@ def boundary_scores(steps: DataFrame, key: str = "trajectory_id") -> DataFrame:
 
 
 def cut_points(scores: str = "scores", n: str = "n") -> Column:
-    """Starts of the slices, from an array of struct(score, at) of all steps with a score.
+    """Starts of the slices, from the array of all steps' scores in order.
 
     From each cut the best boundary (then the first) of the next 4 to 10 steps is taken, or else the
-    tenth step if there is one."""
-    window = f"filter({scores}, x -> x.at between acc.pos + {LEAST} and least(acc.pos + {MOST}, {n}))"
-    best = f"-array_max(transform({window}, x -> named_struct('score', x.score, 'back', -x.at))).back"
+    tenth step if there is one. A cut looks at those steps only."""
+    window = f"transform(slice({scores}, acc.pos + {LEAST} + 1, {MOST - LEAST + 1}), (s, i) -> named_struct('score', s, 'back', -(acc.pos + {LEAST} + i)))"
+    best = f"-array_max(filter({window}, x -> x.score > 0)).back"
     step = f"coalesce({best}, if(acc.pos + {MOST} < {n}, acc.pos + {MOST}, -1))"
     return F.expr(
         f"aggregate(sequence(0, cast({n} div {LEAST} as int)), named_struct('pos', 0, 'cuts', array(0), 'done', {n} <= {WHOLE}),"
@@ -58,17 +58,21 @@ def cut_points(scores: str = "scores", n: str = "n") -> Column:
 def slice_bounds(steps: DataFrame, key: str = "trajectory_id") -> DataFrame:
     """key, slice_index, start_step, end_step; the slices of a trajectory cover its steps."""
     scored = boundary_scores(steps, key)
-    points = F.when(F.col("boundary_score") > 0, F.struct(F.col("boundary_score").alias("score"), F.col("step_index").alias("at")))
-    whole = scored.groupBy(key).agg(F.collect_list(points).alias("scores"), F.count("*").cast("int").alias("n"))
-    cuts = whole.select(key, "n", F.posexplode(cut_points()).alias("slice_index", "start_step"), cut_points().alias("cuts"))
+    each = F.sort_array(F.collect_list(F.struct("step_index", "boundary_score")))
+    whole = scored.groupBy(key).agg(F.transform(each, lambda x: x["boundary_score"]).alias("scores"), F.count("*").cast("int").alias("n"))
+    whole = whole.select(key, "n", cut_points().alias("cuts"))
+    cuts = whole.select(key, "n", "cuts", F.posexplode("cuts").alias("slice_index", "start_step"))
     end = F.coalesce(F.get("cuts", F.col("slice_index") + 1), F.col("n")) - 1
     return cuts.select(key, "slice_index", "start_step", end.alias("end_step"))
 
 
 def slices(steps: DataFrame, key: str = "trajectory_id") -> DataFrame:
-    """Slices with their steps, in order."""
+    """Slices with their steps, in order. A step belongs to the last slice that starts at it or before."""
     bounds = slice_bounds(steps, key)
+    bound = ["slice_index", "start_step", "end_step"]
+    starts = bounds.select(key, F.col("start_step").alias("step_index"), F.struct(*bound).alias("own"))
+    until = Window.partitionBy(key).orderBy("step_index").rowsBetween(Window.unboundedPreceding, 0)
+    told = steps.join(starts, [key, "step_index"], "left").withColumn("own", F.last("own", ignorenulls=True).over(until))
     fields = ["step_index", "role", "content", "tool_call_name", "tool_call_args", "tool_result"]
-    inside = F.col("step_index").between(F.col("start_step"), F.col("end_step"))
-    joined = steps.join(bounds, key).where(inside)
-    return joined.groupBy(key, "slice_index", "start_step", "end_step").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("steps"))
+    rows = told.select(key, *[F.col(f"own.{c}").alias(c) for c in bound], F.struct(*fields).alias("step"))
+    return rows.groupBy(key, *bound).agg(F.sort_array(F.collect_list("step")).alias("steps"))
