@@ -66,7 +66,7 @@ def test_abort_and_bucket():
     m = health.AbortMonitor()
     assert not any(m.record("timeout", infra_only=True) for _ in range(50)) and m.total == 0
     assert [m.record("timeout") for _ in range(20)][-2:] == [False, True]
-    t = health.TokenBucket(rps=2.0)
+    t = health.TokenBucket(rps=2.0, warmup=0.0)
     assert [round(t.wait(0.0), 3) for _ in range(3)] == [0.0, 0.5, 1.0] and t.wait(10.0) == 0.0
 
 

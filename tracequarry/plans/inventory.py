@@ -22,6 +22,7 @@ from tracequarry.plans import catalogue, compiling, curation, prompts
 from tracequarry.plans.catalogue import long, read
 from tracequarry.plans.oracles import _CENTROIDS, _PLACES, _SCORED, _identifiers, _short
 from tracequarry.sources import specs, stores, trajectories, transcripts
+from tracequarry.sources.runs import RunLog
 from tracequarry.streaming.ingest import stream_ingest
 
 _REGISTERED: dict = {}
@@ -417,6 +418,48 @@ def store_databases(spark, sf_dir):
     return spark.createDataFrame([(r["name"], r["problems"], r["trajectories"], r["is_current"]) for r in listed], "name string, problems long, trajectories long, is_current boolean")
 
 
+@query("SELECT doc_id, n_chars, count(*) OVER () AS n FROM (SELECT doc_id, n_chars FROM documents UNION ALL SELECT doc_id, n_chars FROM documents WHERE doc_id % 2 = 0)")
+def memory_table(spark, sf_dir):
+    """A table of one session keeps equal keys."""
+    table = stores.MemoryTable(spark, "doc_id long, n_chars long")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    table.append(docs)
+    table.append(docs.where("doc_id % 2 = 0"), "doc_id")
+    return table.read().select("doc_id", "n_chars", F.lit(table.count()).cast("long").alias("n"))
+
+
+def _run_log(spark, sf_dir) -> RunLog:
+    """Users as runs, their events in order; a signup ends a run."""
+    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    kind = F.when(F.col("event_type") == "signup", "done").otherwise(F.col("event_type"))
+    rows = read(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("run_id"), (F.row_number().over(order) - 1).cast("long").alias("seq"), kind.alias("kind"), F.col("props").alias("payload"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at")
+    )
+    log = RunLog(spark, scratch(spark, "runs"))
+    log.append(rows.where("seq < 20"))
+    log.append(rows.where("seq >= 10"))
+    return log
+
+
+_RUNS = """
+e AS (SELECT user_id::VARCHAR AS run_id, CASE event_type WHEN 'signup' THEN 'done' WHEN 'error' THEN 'error' END AS fin, strftime(ts, '%Y-%m-%d %H:%M:%S') AS t FROM events),
+r AS (SELECT run_id, count(*) AS events, coalesce(max(fin), 'running') AS status, max(t) FILTER (fin IS NOT NULL) AS finished_at FROM e GROUP BY 1)
+"""
+
+
+@query(f"WITH {_RUNS} SELECT * FROM r WHERE finished_at IS NULL UNION ALL (SELECT * FROM r WHERE finished_at IS NOT NULL ORDER BY finished_at DESC, run_id LIMIT 50)")
+def run_log(spark, sf_dir):
+    """Runs of a log whose events were written twice in part, as far as they are kept."""
+    return _run_log(spark, sf_dir).kept()
+
+
+@query("""
+SELECT seq, kind FROM (
+  SELECT row_number() OVER (ORDER BY ts, event_id) - 1 AS seq, CASE event_type WHEN 'signup' THEN 'done' ELSE event_type END AS kind FROM events WHERE user_id = 7) WHERE seq > 4""")
+def run_events(spark, sf_dir):
+    return _run_log(spark, sf_dir).events("7", 4).select("seq", "kind")
+
+
 # ---- judging -----------------------------------------------------------------------------
 
 

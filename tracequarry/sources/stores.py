@@ -8,6 +8,8 @@ add are null in earlier rows.
 
 from __future__ import annotations
 
+from typing import Protocol
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,6 +83,41 @@ class KeyedTable:
         fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}.writes"), True)
 
 
+class Table(Protocol):
+    """What the engine asks of a table: rows are DataFrames, keys are upserted or appended."""
+
+    def append(self, rows: DataFrame, order: str | None = None) -> None: ...
+
+    def read(self) -> DataFrame: ...
+
+    def count(self) -> int: ...
+
+    def clear(self) -> None: ...
+
+
+class MemoryTable:
+    """Rows of one session without a folder, appended as they come; equal keys stay. For tests and single runs."""
+
+    def __init__(self, spark: SparkSession, schema: str):
+        self.spark, self.schema, self.parts = spark, schema, []
+
+    def append(self, rows: DataFrame, order: str | None = None) -> None:
+        number = F.col(order).cast("long") if order else F.monotonically_increasing_id()
+        self.parts.append(rows.withColumn("ingest_seq", F.lit(len(self.parts)) * F.lit(1 << 40) + number))
+
+    def read(self) -> DataFrame:
+        rows = self.spark.createDataFrame([], f"{self.schema}, ingest_seq long")
+        for part in self.parts:
+            rows = rows.unionByName(part, allowMissingColumns=True)
+        return rows
+
+    def count(self) -> int:
+        return self.read().count()
+
+    def clear(self) -> None:
+        self.parts = []
+
+
 def open_stores(spark: SparkSession, root: str) -> dict[str, KeyedTable]:
     """The engine's tables below one folder."""
     verdict = "sub_problem_id string, trajectory_id string, slice_index int, match boolean, confidence double, spans array<struct<start_step:int,end_step:int>>, reasoning string, evidence_step int, criteria_hit array<string>"
