@@ -39,9 +39,9 @@ WORD_SLOTS = 1 << 18
 #: Pseudo-counts of the pooled distribution in unigrams, and of unigrams in bigrams.
 POOLED, BACKOFF = 1000.0, 8.0
 #: Bytes of text of a chunk, and of the runs that longer texts are cut into.
-CHUNK_BYTES, RUN_BYTES = 8_000_000, 1_000_000
-#: Longer words are hashed one by one.
-LONG_WORD = 4096
+CHUNK_BYTES, RUN_BYTES = 6_000_000, 1_000_000
+#: Longer words are hashed one by one; tokens that are scored at once.
+LONG_WORD, BLOCK = 4096, 100_000
 #: Ranges of hashes, at least (a power of two), and chunks for which there is one more.
 RANGES, CHUNKS_A_RANGE = 1024, 4
 
@@ -240,15 +240,21 @@ def _answered(asked: DataFrame) -> DataFrame:
 
 
 def losses(every: np.ndarray, chosen: np.ndarray, n_every: int, n_chosen: int, word: np.ndarray, pair: np.ndarray, after: np.ndarray) -> list[np.ndarray]:
-    """Loss of each token (nats) under the target and the background; counts are those of the places in ``word`` and ``pair``."""
+    """Loss of each token (nats) under the target and the background; counts are those of the places in ``word`` and ``pair``.
+
+    Tokens are worked on ``BLOCK`` at a time: intermediate numbers take little memory, whatever the chunk."""
     scale = n_chosen / n_every if n_chosen else 1.0
-    pooled = (every[word] + 1.0) / (n_every + WORD_SLOTS)
-    out = []
-    for counts, total, by in ((chosen, n_chosen, 1.0) if n_chosen else (every, n_every, 1.0), (every, n_every, scale)):
-        n = counts[word] * by
-        p = (n + POOLED * pooled) / (total * by + POOLED)
-        p[after] = (counts[pair] * by + BACKOFF * p[after]) / (n[np.flatnonzero(after) - 1] + BACKOFF)
-        out.append(-np.log(p))
+    models = ((chosen, n_chosen, 1.0) if n_chosen else (every, n_every, 1.0), (every, n_every, scale))
+    out, behind = [np.empty(len(word)), np.empty(len(word))], 0
+    for a in range(0, len(word), BLOCK):
+        w, then = word[a : a + BLOCK], np.flatnonzero(after[a : a + BLOCK])
+        pairs = pair[behind : behind + len(then)]
+        behind += len(then)
+        pooled = (every[w] + 1.0) / (n_every + WORD_SLOTS)
+        for losses_of, (counts, total, by) in zip(out, models):
+            p = (counts[w] * by + POOLED * pooled) / (total * by + POOLED)
+            p[then] = (counts[pairs] * by + BACKOFF * p[then]) / (counts[word[a + then - 1]] * by + BACKOFF)
+            losses_of[a : a + BLOCK] = -np.log(p)
     return out
 
 
