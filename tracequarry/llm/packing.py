@@ -40,7 +40,7 @@ ROUNDS, RATE = 6, 0.1
 WORTH = 0.01
 #: Shares of the fractional amounts that are rounded, and tokens of waste that a piece counts as when the rest is priced;
 #: the plan with fewest sequences stays.
-ROUNDINGS = ((1.0, 0), (0.5, 64), (0.0, 64))
+ROUNDINGS = ((1.0, 0), (0.5, 0), (0.5, 64), (0.0, 64))
 #: Values that differ by less are equal; a pattern may miss the value of a table of earlier prices by the second.
 NEAR, SLACK = 1e-9, 0.002
 #: Rows of a bucket in which ranks are counted, on average.
