@@ -240,6 +240,24 @@ fin AS (SELECT arg_max(gone, i) AS gone FROM walk),
 sv AS (SELECT b AS first, min(a) AS survivor FROM pairs, fin WHERE list_contains(gone, b) AND NOT list_contains(gone, a) GROUP BY b)
 SELECT doc_id, coalesce(sv.survivor, reps.first) AS survivor FROM doc_tokens JOIN reps USING (toks) LEFT JOIN sv USING (first)""",
     "select_budget": f"WITH {_SCORED} SELECT doc_id AS trajectory_id, pick, round(total, 6) AS total FROM chosen",
+    "select_coverage": f"""
+WITH RECURSIVE {_SCORED},
+pr AS (SELECT merged.seq, item_id, max(scored.relevance) AS r FROM scored JOIN merged USING (doc_id) WHERE m GROUP BY ALL),
+vec AS (SELECT seq, embedding::DOUBLE[] AS v FROM merged JOIN embeddings ON vec_id = doc_id),
+sel AS (
+  SELECT 0 AS k, []::BIGINT[] AS chosen, NULL::BIGINT AS pick
+  UNION ALL
+  SELECT k + 1, list_append(chosen, best), best FROM (
+    SELECT k, chosen, arg_max(seq, {{'gain': gain + 0.1 * spread, 'first': -seq}}) AS best FROM (
+      SELECT c.k, c.chosen, c.seq, c.gain, coalesce((SELECT sum(list_distance(a.v, b.v)) FROM vec a, vec b WHERE a.seq = c.seq AND list_contains(c.chosen, b.seq)), 0) AS spread
+      FROM (
+        SELECT s.k, s.chosen, pr.seq, sum(greatest(least(coalesce(h.cov, 0) + pr.r, 0.05) - coalesce(h.cov, 0), 0)) AS gain, max(coalesce(h.n, 0)) AS full_n
+        FROM sel s JOIN pr ON NOT list_contains(s.chosen, pr.seq)
+          LEFT JOIN LATERAL (SELECT sum(x.r) AS cov, count(*) AS n FROM pr x WHERE x.item_id = pr.item_id AND list_contains(s.chosen, x.seq)) h ON true
+        WHERE s.k < 12 GROUP BY s.k, s.chosen, pr.seq) c
+      WHERE full_n < 3)
+    GROUP BY k, chosen))
+SELECT 'run' AS run_id, pick AS seq, (k - 1)::INT AS pick FROM sel WHERE k > 0""",
     "compose_manifest": f"""
 WITH {_SCORED} SELECT count(*) AS targeted_count, 0::BIGINT AS general_count, count(*) AS total_count, 0.3::DOUBLE AS general_ratio FROM chosen""",
     "nearest_question": f"""
