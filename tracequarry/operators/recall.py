@@ -20,6 +20,8 @@ from tracequarry.lineage import materialize
 
 #: Constants of rank fusion and of BM25 (length doesn't count).
 RRF_K, K1 = 60, 1.2
+#: BM25 contributions are added in units of 10^-12.
+SCORE_UNIT = 1e12
 #: Ranges of scores, and of arrivals under one score, in which rows are ranked.
 RANK_RANGES = 256
 
@@ -56,8 +58,8 @@ def keyword_scores(corpus: DataFrame, queries: DataFrame, ident: str = "ingest_s
     n = corpus.agg(F.count("*").alias("n"))
     weight = df.join(F.broadcast(n)).select("token", idf(F.col("n"), F.col("df")).alias("idf"))  # one row
     part = F.col("times") * F.col("idf") * (F.col("tf") * (K1 + 1)) / (F.col("tf") + K1)
-    # decimals add up to the same sum in any order, so rows with the same terms tie
-    total = F.sum(part.cast("decimal(38,18)")).cast("double")
+    # whole numbers add up to the same sum in any order, so rows with the same terms tie
+    total = F.sum(F.floor(part * SCORE_UNIT + 0.5)) / SCORE_UNIT
     scored = postings.join(weight, "token").join(asked, "token").groupBy("sub_problem_id", ident).agg(total.alias("bm25"))
     return scored.where("bm25 > 0")
 

@@ -36,7 +36,7 @@ cand AS (
 _RECALL = f"""{_TOKENS}, {_ITEMS},
 kw AS (SELECT item_id, lower(k) AS token, count(*) AS times FROM (SELECT item_id, unnest(kws) AS k FROM items) GROUP BY ALL),
 bm AS (
-  SELECT item_id, doc_id, sum((times * ln((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.2 / (tf + 1.2))::DECIMAL(38, 18))::DOUBLE AS s
+  SELECT item_id, doc_id, sum(floor(times * ln((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.2 / (tf + 1.2) * 1e12::DOUBLE + 0.5)::BIGINT)::DOUBLE / 1e12::DOUBLE AS s
   FROM post JOIN df USING (token) JOIN kw USING (token) CROSS JOIN (SELECT count(*) AS n FROM documents)
   GROUP BY ALL HAVING s > 0),
 qv AS (
