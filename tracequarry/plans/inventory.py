@@ -545,10 +545,11 @@ def judge_cache(spark, sf_dir):
     return table.read().select("sub_problem_id", "trajectory_id", "match", "confidence", "reasoning")
 
 
-@query(f"WITH {_HITS} SELECT sub_problem_id, trajectory_id, true AS match, 0.9::DOUBLE AS confidence, '0-1' AS spans FROM miss WHERE sub_problem_id < 10")
+@query("SELECT n_chars % 50 AS sub_problem_id, doc_id AS trajectory_id, true AS match, 0.9::DOUBLE AS confidence, '0-1' AS spans FROM documents")
 def fake_judge(spark, sf_dir):
-    rows = read(spark, sf_dir, "documents").where("doc_id % 4 <> 0").select((F.col("n_chars") % 50).alias("sub_problem_id"), F.col("doc_id").alias("trajectory_id"), F.lit(0).alias("slice_index"))
-    rows = rows.where("sub_problem_id < 10").withColumns({"rank": F.lit(1), "summary": F.lit("s"), "failure_summary": F.lit("f")})
+    """The deterministic stand-in of a judge."""
+    rows = read(spark, sf_dir, "documents").select((F.col("n_chars") % 50).alias("sub_problem_id"), F.col("doc_id").alias("trajectory_id"), F.lit(0).alias("slice_index"))
+    rows = rows.withColumns({"rank": F.col("trajectory_id"), "summary": F.lit("s"), "failure_summary": F.lit("f")})
     found = judging.judge(rows, judging.always_match)
     return found.select("sub_problem_id", "trajectory_id", "match", "confidence", F.array_join(F.transform("spans", lambda s: view.span_key(s["start_step"], s["end_step"])), ",").alias("spans"))
 
@@ -855,20 +856,18 @@ def abort_monitor(spark, sf_dir):
 
 
 @query("""
-WITH o AS (SELECT event_id, user_id, event_type = 'error' AS bad, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
-f AS (SELECT user_id, min(i) FILTER (k >= 2 AND i >= 3 AND k::DOUBLE / i >= 0.05) AS d FROM (
-    SELECT *, sum(bad::INT) OVER (PARTITION BY user_id ORDER BY i) AS k FROM o) WHERE i < 12 GROUP BY 1)
-SELECT o.user_id, o.i AS request, CASE WHEN o.i >= coalesce(least(d, 99), 99) THEN 'degraded' ELSE 'healthy' END AS state FROM o LEFT JOIN f USING (user_id) WHERE o.i <= least(coalesce(d, 11), 11)""")
+WITH o AS (SELECT user_id, event_type = 'error' AS bad, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+k AS (SELECT user_id, i, sum(bad::INT) OVER (PARTITION BY user_id ORDER BY i ROWS 49 PRECEDING) AS k FROM o),
+f AS (SELECT user_id, max(i) AS requests, min(i) FILTER (i >= 3 AND k >= 2 AND k::DOUBLE / least(i, 50) >= 0.05) AS changed_at FROM k GROUP BY 1)
+SELECT user_id, requests, changed_at, CASE WHEN changed_at IS NULL THEN 'healthy' ELSE 'degraded' END AS changed_to FROM f""")
 def breaker_states(spark, sf_dir):
-    """The breaker's state over each user's first requests, a second apart, up to its first change."""
+    """The breaker over all of each user's requests, a tenth of a second apart: when its state changes first, and to what."""
     rows = read(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.when(F.col("event_type") == "error", "timeout").otherwise("success").alias("outcome"))
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        breaker, out = health.Breaker(), []
-        for i, o in enumerate(frame.sort_values(["ts", "event_id"])["outcome"][:11], 1):
-            out.append((key[0], i, breaker.observe(o, i * 0.1)))
-            if out[-1][2] != "healthy":
-                break
-        return pd.DataFrame(out, columns=["user_id", "request", "state"])
-
-    return rows.groupBy("user_id").applyInPandas(run, f"user_id {dict(rows.dtypes)['user_id']}, request long, state string")
+        breaker = health.Breaker()
+        states = [breaker.observe(o, i * 0.1) for i, o in enumerate(frame.sort_values(["ts", "event_id"])["outcome"], 1)]
+        at = next((i for i, x in enumerate(states, 1) if x != "healthy"), None)
+        return pd.DataFrame({"user_id": [key[0]], "requests": [len(states)], "changed_at": pd.array([at], "Int64"), "changed_to": [states[at - 1] if at else "healthy"]})
+
+    return rows.groupBy("user_id").applyInPandas(run, f"user_id {dict(rows.dtypes)['user_id']}, requests long, changed_at long, changed_to string")
