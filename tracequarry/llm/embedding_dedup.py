@@ -45,6 +45,8 @@ LINES, HALF_WINDOW = 24, 2.0
 RECALL = 0.99999
 #: Vectors of a block, of a sorted part of a block, and points whose windows are looked up at once.
 BLOCK, SORTED, TILE = 4096, 2048, 256
+#: Vectors for which there is one more deal of a slice of the sorting line.
+DEALT = 50_000
 SEED = 20240229
 
 
@@ -178,9 +180,10 @@ def cluster(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     distinct = distinct.withColumns({"dim": (F.octet_length("data") / 8).cast("long"), "at": along("data")})
     distinct = materialize(distinct, "distinct")
+    deals = max(16, distinct.count() // DEALT)
     # rank within (label, dim) from counts by slice of the sorting line: no task sorts a whole label
     # a slice is dealt out further, as near copies all lie in one
-    distinct = distinct.withColumns({"slice": F.floor(F.col("at") * 64), "deal": F.pmod(F.xxhash64("key"), F.lit(16))})
+    distinct = distinct.withColumns({"slice": F.floor(F.col("at") * 64), "deal": F.pmod(F.xxhash64("key"), F.lit(deals))})
     group, cell = ["label", "dim"], ["label", "dim", "slice", "deal"]
     counts = distinct.groupBy(*cell).agg(F.count("*").alias("n"))
     before = Window.partitionBy(*group).orderBy("slice", "deal").rowsBetween(Window.unboundedPreceding, -1)
