@@ -98,5 +98,37 @@ FROM (
   FROM counted LEFT JOIN cl_d USING (doc_id) LEFT JOIN wo_d USING (doc_id))"""
 
 
+#: Node keys are the joined digests of the turns; crc32 goes bit by bit.
+TRIE = """
+WITH base AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT c, xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, y: xor(x >> 1, (x & 1) * 3988292384::UBIGINT))), 4294967295::UBIGINT) % 4 AS h
+  FROM (SELECT DISTINCT c FROM base)),
+turns AS (
+  SELECT i.c, place, role, text FROM ids i JOIN base b ON b.c = i.c - i.c % 20 WHERE place < h
+  UNION ALL SELECT b.c, place, role, text FROM base b JOIN ids i ON b.c = i.c WHERE place >= h),
+mem AS (
+  SELECT c, 0 AS d, '' AS k, 0 AS w FROM ids
+  UNION ALL SELECT c, row_number() OVER (PARTITION BY c ORDER BY place),
+    string_agg(sha256(length(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY place),
+    len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) FROM turns),
+nodes AS (SELECT k, d, min(c) AS conv, count(*) AS n, min(w) AS w FROM mem GROUP BY k, d),
+kids AS (SELECT left(k, 64 * (d - 1)) AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+told AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (k)),
+below AS (
+  SELECT left(k, 64 * j) AS k, sum((n - 1) * w) AS saved, sum((n_children = 0)::INT) AS leaves
+  FROM (SELECT *, unnest(range(0, d + 1)) AS j FROM told) GROUP BY 1),
+ends AS (
+  SELECT k, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM (SELECT c, arg_max(k, d) AS k FROM mem GROUP BY c) GROUP BY k)
+SELECT t.conv AS conv_id, t.d::BIGINT AS depth, p.conv AS parent_conv_id, t.n::BIGINT AS n_convs, t.n_children::BIGINT AS n_children, leaves::BIGINT AS n_leaves,
+  saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM told t JOIN below USING (k) LEFT JOIN ends USING (k) LEFT JOIN nodes p ON t.d > 0 AND p.k = left(t.k, 64 * (t.d - 1))"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quote_linking": quote_linking.ORACLE, "quoted_conversations": quote_linking.QUOTED_ORACLE, "op6_license_scan": license_sql(), "op10_quality_rules": quality_sql()}
+    return {"op13_prefix_trie": TRIE, "op5_quote_linking": quote_linking.ORACLE, "quoted_conversations": quote_linking.QUOTED_ORACLE, "op6_license_scan": license_sql(), "op10_quality_rules": quality_sql()}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from tracequarry.llm import (
+    alignment,
     bpe,
     embedding_dedup,
     language_id,
@@ -12,10 +13,12 @@ from tracequarry.llm import (
     lm_scoring,
     oracles,
     packing,
+    prefix_trie,
     quality,
     quote_linking,
     sharding,
     simhash,
+    word_transducer,
 )
 
 
@@ -71,9 +74,24 @@ def op10_quality_rules(spark, sf_dir):
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op11_pair_counts(spark, sf_dir):
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        pieces = f.read()
+    return alignment.align(_table(spark, sf_dir, "documents"), bpe.read_model(public_tokenizers.path("byte_bpe_50k.json")), pieces)
+
+
+def op12_word_transducer(spark, sf_dir):
+    return word_transducer.digests(_table(spark, sf_dir, "documents"), bpe.read_model(public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_byte_bpe, op2_collision_counting, op3_cross_entropy_difference, op4_language_id, op5_quote_linking,
-                                    op6_license_scan, op7_best_fit_packing, op8_jump_sharding, op9_golay_simhash, op10_quality_rules, quoted_conversations)}
+                                    op6_license_scan, op7_best_fit_packing, op8_jump_sharding, op9_golay_simhash, op10_quality_rules, op11_pair_counts, op12_word_transducer, op13_prefix_trie,
+                                    quoted_conversations)}
 
 
 def oracle_sql() -> dict:
