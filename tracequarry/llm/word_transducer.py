@@ -10,8 +10,8 @@ hold is merged by the model itself, so ids are those of the whole text whatever
 lexicon is.
 
 No match of the pre-token pattern holds white space, and neither normal form nor case
-reach over it, so texts are cut at ASCII white space and only distinct chunks of a
-batch are normalised and split.  Special tokens in a text get their ids, as in the
+reach over it, so texts are cut at ASCII white space and only chunks that a worker
+doesn't remember are normalised and split.  Special tokens in a text get their ids, as in the
 library's default.
 
 Null text counts as empty; an empty or blank text has no ids and decodes to an empty
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tracequarry.lineage import discard, materialize
 from tracequarry.llm import mapped
-from tracequarry.llm.bpe import _gather, slices
+from tracequarry.llm.bpe import Memo, _gather, slices
 
 #: Most words of a lexicon, bytes of its longest word, and the count from which a word is frequent.
 MOST_WORDS, LONGEST, FREQUENT = 1 << 16, 64, 2
@@ -362,28 +362,37 @@ class Encoder:
         return cls._made[key]
 
     def __init__(self, words: Words, lexicon: dict[str, np.ndarray]):
-        self.words, self.lexicon = words, lexicon
+        self.words, self.lexicon, self.memo = words, lexicon, Memo()
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after another, and the bounds of each text's ids."""
-        chunks, per_text = _chunks(texts)
-        coded = chunks.dictionary_encode()
-        flat, per_chunk = self.words.split(coded.dictionary)
+    def _fresh(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct chunks one after another, and how many each has."""
+        flat, per_chunk = self.words.split(chunks)
         named = pa.array(flat, pa.large_string()).dictionary_encode()
         held, known, n = look_up(self.lexicon, named.dictionary)
         new = np.flatnonzero(~held)
         merged, counts = self.words.merge(named.dictionary.take(pa.array(new)).to_pylist())
         at = np.cumsum(n) - n
         at[new], n[new] = np.cumsum(counts) - counts + len(known), counts
-        of_words = np.concatenate([known, merged])
-        # ids of the distinct chunks, then of the texts
         which = named.indices.to_numpy().astype(np.int64)
-        of_chunks = _gather(of_words, at, n, which)
-        ends = np.concatenate([[0], np.cumsum(n[which])])[np.concatenate([[0], np.cumsum(per_chunk)])]
+        ends = np.concatenate([[0], np.cumsum(n[which])])[np.cumsum(per_chunk)]
+        return _gather(np.concatenate([known, merged]), at, n, which), np.diff(ends, prepend=0)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and the bounds of each text's ids."""
+        chunks, per_text = _chunks(texts)
+        coded = chunks.dictionary_encode()
+        at = self.memo.find(coded.dictionary)
+        known = at >= 0
+        new = coded.dictionary.filter(pa.array(~known))
+        ids, n = self._fresh(new)
+        starts, counts = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+        starts[known], counts[known] = self.memo.starts[at[known]], self.memo.counts[at[known]]
+        starts[~known], counts[~known] = np.cumsum(n) - n + len(self.memo.flat), n
+        flat = np.concatenate([self.memo.flat, ids])
+        self.memo.hits[at[known]] += 1
+        self.memo.add(new, flat, starts[~known], n)
         codes = coded.indices.to_numpy().astype(np.int64)
-        sizes = np.diff(ends)
-        ids = _gather(of_chunks, ends[:-1], sizes, codes)
-        return ids, np.concatenate([[0], np.cumsum(sizes[codes])])[np.concatenate([[0], np.cumsum(per_text)])]
+        return _gather(flat, starts, counts, codes), np.concatenate([[0], np.cumsum(counts[codes])])[np.concatenate([[0], np.cumsum(per_text)])]
 
 
 def _shipped(docs: DataFrame, model_json: str, text: str, most: int):
