@@ -40,9 +40,9 @@ from tracequarry.llm.bpe import _BLANK, _ODD, _gather, byte_alphabet, slices
 #: Bits of a key that hold B's id.
 B_BITS = 32
 #: Chunks whose alignment a worker remembers, and those that are aligned in one call.
-REMEMBERED, TOGETHER = 400_000, 2048
+REMEMBERED, TOGETHER = 200_000, 1024
 #: Characters of text that are aligned at once, and different keys that a task holds before it sums them.
-BATCH_CHARS, HELD = 4_000_000, 2_000_000
+BATCH_CHARS, HELD = 2_000_000, 1_000_000
 #: Ranges of keys, each one shard of the counts.
 SHARDS = 16
 
