@@ -14,7 +14,7 @@ COND = recall.passes
 
 def run(spark, rows, queries, top=20):
     corpus, asked = spark.createDataFrame(rows, CORPUS), spark.createDataFrame(queries, QUERIES)
-    cond = COND(F.col("languages"), F.col("tools_used"), F.col("verified"), F.col("filters"))
+    cond = lambda q: COND(F.col("languages"), F.col("tools_used"), F.col("verified"), q["filters"])
     out = {}
     for r in recall.recall(corpus, asked, cond, top_n=top).orderBy("sub_problem_id", "rank").collect():
         out.setdefault(r.sub_problem_id, []).append((r.ingest_seq, r.rrf))

@@ -1,27 +1,26 @@
 """Hybrid recall: structured filters, BM25, vectors, reciprocal rank fusion.
 
-All sub-problems are answered in one job.  The corpus is read once for tokens and
-once for vectors; only postings of query terms are grouped, and the stated query
-vectors meet all rows in Arrow blocks.  Filters are applied to scored rows only, and
-ranks come from counts by range of scores, so no task sorts all rows of a sub-problem.
+All sub-problems are answered together.  Each row gets the sub-problems whose filters it
+passes, tasks score their rows for these and keep bounded heaps (``scoring``), and ranks
+beyond a heap are counted, so nothing that is shuffled grows with the corpus.
+``vector_scores`` and ``ranked`` give all scores and all ranks where those are wanted.
 Every order is total: score, then arrival.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracequarry.lineage import materialize
+from tracequarry.lineage import discard, materialize
+from tracequarry.operators import scoring
 
-#: Constants of rank fusion and of BM25 (length doesn't count).
-RRF_K, K1 = 60, 1.2
-#: BM25 contributions are added in units of 10^-12.
-SCORE_UNIT = 1e12
+#: Constant of rank fusion.
+RRF_K = 60
 #: Ranges of scores, and of arrivals under one score, in which rows are ranked.
 RANK_RANGES = 256
 
@@ -48,22 +47,6 @@ def idf(n: Column, df: Column) -> Column:
     return F.log((n - df + 0.5) / (df + 0.5) + 1.0)
 
 
-def keyword_scores(corpus: DataFrame, queries: DataFrame, ident: str = "ingest_seq", tokens: str = "bm25_tokens") -> DataFrame:
-    """sub_problem_id, ident, bm25 > 0. Frequencies come from the whole corpus; repeated keywords count twice."""
-    asked = queries.select("sub_problem_id", F.explode("keywords").alias("k")).groupBy("sub_problem_id", F.lower("k").alias("token")).agg(F.count("*").alias("times"))
-    asked = materialize(asked, "terms")  # its size is known from here on, so Spark can tell whether it fits a broadcast
-    postings = corpus.select(ident, F.explode(F.transform(tokens, F.lower)).alias("token")).join(asked.select("token").distinct(), "token")
-    postings = materialize(postings.groupBy("token", ident).agg(F.count("*").alias("tf")), "postings")  # the corpus is read once
-    df = postings.groupBy("token").agg(F.count("*").alias("df"))
-    n = corpus.agg(F.count("*").alias("n"))
-    weight = df.join(F.broadcast(n)).select("token", idf(F.col("n"), F.col("df")).alias("idf"))  # one row
-    part = F.col("times") * F.col("idf") * (F.col("tf") * (K1 + 1)) / (F.col("tf") + K1)
-    # whole numbers add up to the same sum in any order, so rows with the same terms tie
-    total = F.sum(F.floor(part * SCORE_UNIT + 0.5)) / SCORE_UNIT
-    scored = postings.join(weight, "token").join(asked, "token").groupBy("sub_problem_id", ident).agg(total.alias("bm25"))
-    return scored.where("bm25 > 0")
-
-
 def vector_scores(corpus: DataFrame, queries: DataFrame, ident: str = "ingest_seq", vector: str = "embedding") -> DataFrame:
     """sub_problem_id, ident, cosine > 0: the best over a sub-problem's query vectors of the row's length.
 
@@ -116,45 +99,67 @@ def ranked(scores: DataFrame, score: str, name: str, ident: str = "ingest_seq")
     return told.withColumn("__r", within).join(counts, cells).select(*scores.columns, (F.col("first") + F.col("__r")).cast("long").alias(name))
 
 
-def fuse(bm25: DataFrame, vectors: DataFrame, rest, subs: DataFrame, ident: str = "ingest_seq", top_n: int = 20) -> DataFrame:
-    """Top rows of each sub-problem by fused rank, with both channels' ranks; both tables hold filtered rows only.
-
-    Ties: keyword rank, then vector rank, then arrival. ``rest`` gives, for a table of sub-problems, their candidates:
-    they are asked for only where fewer than ``top_n`` rows are scored, and get 1 where neither channel scored any."""
-    keys = ["sub_problem_id", ident]
-    both = ranked(bm25, "bm25", "bm25_rank", ident).select(*keys, "bm25_rank").join(ranked(vectors, "cosine", "vector_rank", ident).select(*keys, "vector_rank"), keys, "full")
-    # a row beyond this rank in both channels scores less than the first top_n of either one
-    near = both.where(F.least("bm25_rank", "vector_rank") <= 2 * (RRF_K + top_n) - RRF_K)
-    near = materialize(near, "ranked")
-    found = near.groupBy("sub_problem_id").agg(F.count("*").alias("n"))
-    short = materialize(subs.select("sub_problem_id").join(found, "sub_problem_id", "left").where(F.coalesce("n", F.lit(0)) < top_n), "short")
-    others = rest(short.select("sub_problem_id")).select(*keys).join(near, keys, "left_anti")
-    first = Window.partitionBy("sub_problem_id").orderBy(ident)
-    others = others.withColumn("r", F.row_number().over(first)).where(F.col("r") <= top_n).join(short, "sub_problem_id")
-    share = lambda r: F.coalesce(1.0 / (RRF_K + F.col(r)), F.lit(0.0))
-    none = F.lit(None).cast("long")
-    rows = near.withColumn("rrf", share("bm25_rank") + share("vector_rank")).unionByName(
-        others.select(*keys, none.alias("bm25_rank"), none.alias("vector_rank"), F.when(F.col("n").isNull(), 1.0).otherwise(0.0).alias("rrf"))
-    )
-    order = Window.partitionBy("sub_problem_id").orderBy(F.desc("rrf"), F.asc_nulls_last("bm25_rank"), F.asc_nulls_last("vector_rank"), ident)
-    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_n)
-
+def stated(queries: DataFrame) -> tuple[list, list[dict], list[list]]:
+    """Names, words with their counts and vectors of the stated sub-problems."""
+    words = F.transform(F.coalesce("keywords", F.expr("cast(array() as array<string>)")), F.lower)
+    rows = queries.select("sub_problem_id", words.alias("words"), "query_vectors").collect()
+    counts = [{w: r.words.count(w) for w in r.words if w is not None} for r in rows]
+    return [r.sub_problem_id for r in rows], counts, [[v for v in r.query_vectors or [] if v is not None] for r in rows]
 
-def recall(corpus: DataFrame, queries: DataFrame, condition: Column, ident: str = "ingest_seq", top_n: int = 20) -> DataFrame:
-    """sub_problem_id, ident, rrf, rank and channel ranks of the best rows.
 
-    ``condition`` is the structured filter between the two tables; frequencies ignore it. No rows or no candidates give no
-    hits, a sub-problem without keywords or vectors skips that channel."""
-    wanted = materialize(queries.drop("query_vectors", "keywords"), "queries")  # its size is known to Spark from here on
-    traits = corpus.drop("bm25_tokens", "embedding", "steps")
+def weights(corpus: DataFrame, words: set[str], tokens: str = "bm25_tokens") -> dict[str, float]:
+    """idf of the stated words that the corpus has."""
+    asked = F.broadcast(corpus.sparkSession.createDataFrame([(w,) for w in sorted(words)], "token string"))  # the stated words
+    each = corpus.select(F.explode(F.array_distinct(F.transform(tokens, F.lower))).alias("token"))
+    df = each.join(asked, "token").groupBy("token").agg(F.count("*").alias("df"))
+    n = corpus.agg(F.count("*").alias("n"))
+    return dict(map(tuple, df.join(F.broadcast(n)).select("token", idf(F.col("n"), F.col("df"))).collect()))  # one row; a row for each stated word
 
-    def passing(scores: DataFrame) -> DataFrame:
-        columns = scores.columns
-        return scores.join(traits, ident).join(wanted, "sub_problem_id").where(condition).select(*columns)
 
-    def rest(subs: DataFrame) -> DataFrame:
-        return traits.join(wanted.join(subs, "sub_problem_id", "left_semi"), condition).select("sub_problem_id", ident)
+def recall(corpus: DataFrame, queries: DataFrame, condition: Callable[[Column], Column], ident: str = "ingest_seq", top_n: int = 20) -> DataFrame:
+    """sub_problem_id, ident, rrf, rank and channel ranks of the best rows.
 
-    bm25 = materialize(passing(keyword_scores(corpus, queries, ident)), "bm25")
-    vectors = materialize(passing(vector_scores(corpus, queries, ident)), "cosines")
-    return fuse(bm25, vectors, rest, wanted, ident, top_n)
+    ``condition`` gives the structured filter between a row and a sub-problem (a struct of its columns but for keywords and
+    vectors); frequencies ignore it. No rows or no candidates give no hits, a sub-problem without keywords or vectors skips
+    that channel.  Ties: keyword rank, then vector rank, then arrival.  Rows that neither channel scores follow by arrival:
+    with 1 where no row is scored, else with 0.
+
+    A row beyond rank 2 (60 + top_n) - 60 in both channels scores less than the first ``top_n`` of either one, so heaps of
+    that depth hold all hits; what they lack is the other channel's rank of a few rows, which is counted."""
+    spark = corpus.sparkSession
+    names, words, vectors = stated(queries)
+    out = f"sub_problem_id {dict(queries.dtypes)['sub_problem_id']}, {ident} long, bm25_rank long, vector_rank long, rrf double, rank int"
+    if not names:
+        return spark.createDataFrame([], out)
+    order = spark.createDataFrame(list(zip(names, range(len(names)))), f"sub_problem_id {dict(queries.dtypes)['sub_problem_id']}, __i int")
+    wished = queries.drop("keywords", "query_vectors").join(F.broadcast(order), "sub_problem_id")
+    packed = wished.agg(F.collect_list(F.struct(*wished.columns)).alias("__asked"))
+    who = F.transform(F.filter("__asked", condition), lambda q: q["__i"])
+    rows = corpus.join(F.broadcast(packed)).select(  # one row: the stated sub-problems
+        F.col(ident).cast("long").alias("ident"), F.transform("bm25_tokens", F.lower).alias("tokens"), F.col("embedding").cast("array<double>").alias("vector"), who.alias("who")
+    )
+    whole = materialize(rows, "candidates")  # tokens and filters are worked out once
+    rows = whole.where(F.size("who") > 0)
+    known = set().union(*words)
+    scorer = scoring.Scorer(words, weights(whole, known, "tokens") if known else {}, vectors)
+    depth = 2 * (RRF_K + top_n) - RRF_K
+    best = materialize(scoring.met(scoring.heaps(rows, scorer, depth, top_n), depth), "heaps")
+    channel = lambda k: F.max(F.when(F.col("kind") == k, F.col("rank")))
+    near = best.where(F.col("kind") != scoring.REST).groupBy("i", "ident").agg(channel(scoring.KEYWORDS).alias("r1"), channel(scoring.VECTORS).alias("r2"), F.max("bm25").alias("bm25"), F.max("cosine").alias("cosine"))
+    near = near_ = materialize(near, "near")
+    lack = near.where("(r1 is null and bm25 > 0) or (r2 is null and cosine > 0)").collect()  # sub-problems x depth
+    asked = [(r.i, k, r.ident, s) for r in lack for k, rank, s in ((scoring.KEYWORDS, r.r1, r.bm25), (scoring.VECTORS, r.r2, r.cosine)) if rank is None and s > 0]
+    if asked:
+        late = scoring.counted(rows, scorer, asked).groupBy("i", "ident").agg(channel(scoring.KEYWORDS).alias("l1"), channel(scoring.VECTORS).alias("l2"))
+        near = near.join(late, ["i", "ident"], "left").withColumns({"r1": F.coalesce("r1", "l1"), "r2": F.coalesce("r2", "l2")})
+    share = lambda r: F.coalesce(1.0 / (RRF_K + F.col(r)), F.lit(0.0))
+    scored = near.select("i", "ident", "r1", "r2", (share("r1") + share("r2")).alias("rrf"))
+    has = near.select("i").distinct().withColumn("has", F.lit(0.0))
+    none = F.lit(None).cast("long")
+    rest = best.where(F.col("kind") == scoring.REST).join(has, "i", "left").select("i", "ident", none.alias("r1"), none.alias("r2"), F.coalesce("has", F.lit(1.0)).alias("rrf"))
+    first = Window.partitionBy("i").orderBy(F.desc("rrf"), F.asc_nulls_last("r1"), F.asc_nulls_last("r2"), "ident")
+    hits = scored.unionByName(rest).withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= top_n)
+    hits = materialize(hits.join(F.broadcast(order), hits["i"] == order["__i"]), "hits")
+    for done in (whole, best, near_):
+        discard(done)
+    return hits.select("sub_problem_id", F.col("ident").alias(ident), F.col("r1").alias("bm25_rank"), F.col("r2").alias("vector_rank"), "rrf", "rank")

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracequarry.functions import text as tx
-from tracequarry.operators import dedup, evaluation, health, judging, merging, ranking, recall, selection, slicing, taxonomy, view
+from tracequarry.lineage import scratch
+from tracequarry.operators import dedup, evaluation, health, judging, keyword_index, merging, ranking, recall, selection, slicing, taxonomy, vector_index, view
 from tracequarry.operators.signatures import signatures
 from tracequarry.plans.oracles import SQL
 from tracequarry.sources import trajectories
@@ -95,7 +96,7 @@ def complaints(spark, sf_dir) -> DataFrame:
 
 
 def _recalled(spark, sf_dir, top_n: int = 20) -> DataFrame:
-    condition = recall.passes(F.col("languages"), F.col("tools_used"), F.col("verified"), F.col("filters"))
+    condition = lambda q: recall.passes(F.col("languages"), F.col("tools_used"), F.col("verified"), q["filters"])
     return recall.recall(corpus(spark, sf_dir), complaints(spark, sf_dir), condition, top_n=top_n)
 
 
@@ -222,16 +223,26 @@ def structured_filter_overlap(spark, sf_dir):
 
 @query
 def bm25_topn(spark, sf_dir):
-    scores = recall.keyword_scores(corpus(spark, sf_dir), complaints(spark, sf_dir))
-    top = recall.ranked(scores, "bm25", "rank").where("rank <= 20")
-    return top.select("sub_problem_id", F.col("ingest_seq").alias("doc_id"), *long("rank"), F.round("bm25", 6).alias("bm25"))
+    """From a stored index that was written twice: even documents, then odd ones; a third of the even ones was replaced."""
+    rows = corpus(spark, sf_dir).select("ingest_seq", "bm25_tokens")
+    index = keyword_index.KeywordIndex(spark, scratch(spark, "keyword-index"))
+    old = rows.where("ingest_seq % 6 = 0").withColumn("ingest_seq", -F.col("ingest_seq") - 1)
+    index.append(rows.where("ingest_seq % 6 in (2, 4)").unionByName(old))
+    index.remove(old)
+    index.append(rows.where("ingest_seq % 6 not in (2, 4)"))
+    top = index.search(complaints(spark, sf_dir))
+    return top.select("sub_problem_id", F.col("ident").alias("doc_id"), *long("rank"), F.round("bm25", 6).alias("bm25"))
 
 
 @query
 def vector_topn(spark, sf_dir):
-    scores = recall.vector_scores(corpus(spark, sf_dir), complaints(spark, sf_dir))
-    top = recall.ranked(scores, "cosine", "rank").where("rank <= 20")
-    return top.select("sub_problem_id", F.col("ingest_seq").alias("doc_id"), *long("rank"), F.round("cosine", 5).alias("cosine"))
+    """From a stored index that was written twice."""
+    rows = corpus(spark, sf_dir).select("ingest_seq", "embedding")
+    index = vector_index.VectorIndex(spark, scratch(spark, "vector-index"))
+    index.append(rows.where("ingest_seq % 3 <> 0"))
+    index.append(rows.where("ingest_seq % 3 = 0"))
+    top = index.search(complaints(spark, sf_dir))
+    return top.select("sub_problem_id", F.col("ident").alias("doc_id"), *long("rank"), F.round("cosine", 5).alias("cosine"))
 
 
 @query

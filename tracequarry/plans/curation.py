@@ -48,7 +48,7 @@ def search(
     if embedder is not None:
         problems = materialize(with_query_vectors(problems, embedder), "problems")
     corpus = tables["slices"].read()
-    condition = recall.passes(F.col("languages"), F.col("tools_used"), F.col("has_verification_step"), F.col("filters"))
+    condition = lambda q: recall.passes(F.col("languages"), F.col("tools_used"), F.col("has_verification_step"), q["filters"])
     hits = recall.recall(corpus, problems.select("sub_problem_id", "keywords", "query_vectors", "filters"), condition, top_n=top_n)
     detail = corpus.select("ingest_seq", "trajectory_id", "slice_index", "steps", "embedding", "bm25_tokens")
     hits = hits.join(detail, "ingest_seq").join(problems.select("sub_problem_id", "failure_summary", "capability", F.col("ord").alias("sub_ord")), "sub_problem_id")
@@ -98,7 +98,7 @@ def backfill(spark: SparkSession, root: str, label: dict, judge: judging.Judge =
     corpus = tables["slices"].read()
     schema = "sub_problem_id string, keywords array<string>, query_vectors array<array<double>>, failure_summary string"
     asked = spark.createDataFrame([(label["label"], label.get("keywords") or [], [label["vector"]] if label.get("vector") else None, label.get("description", ""))], schema)
-    hits = recall.recall(corpus, asked.drop("failure_summary"), F.lit(True), top_n=top)
+    hits = recall.recall(corpus, asked.drop("failure_summary"), lambda q: F.lit(True), top_n=top)
     rows = hits.join(corpus, "ingest_seq").withColumn("failure_summary", F.lit(label.get("description", "")))
     rows = taxonomy.backfill_candidates(rows, F.lit(label["label"]), top).withColumn("summary", tx.summary(F.col("steps")))
     accepted = materialize(judging.judge(rows, judge).where("match").select("trajectory_id", "slice_index"), "accepted")
