@@ -72,7 +72,9 @@ def brute(rows):
     for d, t, lang, b, c, w in each:
         dc = min((js(c, r[0]) for r in refs.values()), default=None) if len(t) >= quality.MIN_CHARS else None
         dw = min((js(w, r[1]) for r in refs.values()), default=None) if b[0] >= quality.MIN_WORDS else None
-        kept = not failed(b) and (dc or 0) <= quality.MAX_CLASS_DISTANCE and (dw or 0) <= quality.MAX_WORD_DISTANCE
+        near = (dc or 0) <= quality.MAX_CLASS_DISTANCE and (dw or 0) <= quality.MAX_WORD_DISTANCE
+        plain = sum(c[kinds[k]] for k in ("lower", "upper", "letter", "digit")) >= quality.MIN_LETTERS * (sum(c) - c[kinds["space"]])
+        kept = not failed(b) and (near if lang is not None and lang in refs else plain)
         out.append((d, *b, failed(b), kept, dc, dw))
     return out
 
@@ -136,6 +138,28 @@ def test_junk_under_its_own_label_goes_and_every_language_has_a_reference(spark)
     assert refs == {None, *(f"l{k}" for k in range(100))}
 
 
+@pytest.mark.parametrize("n", [1, 10, 40, 60, 1000])
+def test_small_languages_stay_as_large_ones_do(spark, n):
+    """Texts in another script, without one of the common words, beside prose in a language of many rows."""
+    said = lambda i, first: " ".join(chr(first + k % 26) + chr(first + k // 26) + chr(first + i % 26) for k in range(300))
+    english = [(i, PROSE * 2 + said(i, 97), "en") for i in range(400)]
+    other = [(1000 + i, said(i, 0x430), "ru") for i in range(n)]
+    noise = [(9000, "#$ %& " * 300 + " ".join(f"#{k}" for k in range(900)), "ru"), (9001, "#$ %& " * 300 + " ".join(f"#{k}" for k in range(900)), None)]
+    docs = spark.createDataFrame(english + other + noise, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in quality.judge(docs).where("kept").collect()}
+    assert kept == {d for d, *_ in english + other}
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_no_language_loses_a_tenth(spark, sf):
+    got = quality.judge(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")).where("not base_failed")
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "lang")
+    for r in got.join(docs, "doc_id").groupBy("lang").count().collect():
+        lost = got.join(docs, "doc_id").where(f"lang = '{r.lang}' and not kept").count()
+        assert lost <= 0.1 * r["count"], r.lang
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
 def test_whole_table_against_brute_force(spark):
     from tracequarry.llm.queries import op10_quality_rules

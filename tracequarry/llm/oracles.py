@@ -91,10 +91,11 @@ owned AS (
 {nearest('cl')},
 {nearest('wo')}
 SELECT doc_id, nw AS n_words, wc AS word_chars, sym AS n_symbols, dup AS n_dup_lines, rep AS n_repeat_words, failed AS base_failed,
-  NOT failed AND coalesce(c, 0) <= {quality.MAX_CLASS_DISTANCE} AND coalesce(w, 0) <= {quality.MAX_WORD_DISTANCE} AS kept,
+  NOT failed AND CASE WHEN owns THEN coalesce(c, 0) <= {quality.MAX_CLASS_DISTANCE} AND coalesce(w, 0) <= {quality.MAX_WORD_DISTANCE}
+    ELSE cl[1] + cl[3] + cl[4] + cl[5] >= {quality.MIN_LETTERS} * (list_sum(cl) - cl[2]) END AS kept,
   round(c, 6) AS class_distance, round(w, 6) AS word_distance
 FROM (
-  SELECT counted.*, CASE WHEN length(t) >= {quality.MIN_CHARS} THEN cl_d.d END AS c, CASE WHEN nw >= {quality.MIN_WORDS} THEN wo_d.d END AS w
+  SELECT counted.*, lang IS NOT NULL AND lang IN (SELECT lang FROM owned) AS owns, CASE WHEN length(t) >= {quality.MIN_CHARS} THEN cl_d.d END AS c, CASE WHEN nw >= {quality.MIN_WORDS} THEN wo_d.d END AS w
   FROM counted LEFT JOIN cl_d USING (doc_id) LEFT JOIN wo_d USING (doc_id))"""
 
 

@@ -5,7 +5,8 @@ or shuffled for them, so a row's cost depends on its own length only.  A first
 pass keeps the counts (no text); histograms of character classes and of common
 words are summed by language over all rows that pass the base rule and become the
 references; a second pass takes the Jensen-Shannon distance from each row to the
-nearest reference.
+nearest reference.  A row whose own language has no reference isn't measured by those of
+other languages: it stays if most of what it writes are letters and digits.
 
 Words are runs of anything but ASCII white space.  Null text has no words, so all
 its counts are 0 and it fails the base rule.  Rows of null or rare ``lang`` values
@@ -35,7 +36,8 @@ SYMBOLS = "#*$%&|<>"
 PUNCTUATION = ".,;:!?'\"()-"
 SPACE = " \t\n\x0b\f\r"
 
-#: A language has a reference if so many of its rows pass the base rule, and this share of what they write are letters.
+#: A language has a reference if so many of its rows pass the base rule, and this share of what they write are letters;
+#: the same share, of letters and digits, is asked of each row whose language has none.
 MIN_ROWS, MIN_LETTERS = 50, 0.6
 #: Rows with fewer characters or words than these are not judged by a histogram.
 MIN_CHARS, MIN_WORDS = 200, 200
@@ -211,9 +213,15 @@ def verdicts(profiles: DataFrame) -> DataFrame:
     """The profiles plus ``class_distance``, ``word_distance``, ``base_failed`` and ``kept``.
 
     Distances are those to the nearest reference, so that texts of several languages or of another one than their label
-    says stay. All references are one row, which Spark broadcasts if it is small enough for that."""
-    one = references(profiles).agg(F.collect_list(F.struct("ref_classes", "ref_words")).alias("refs"))
+    says stay. They decide on rows whose language has a reference of its own; a language of few rows is not judged by
+    others' words, its rows only have to be letters and digits for the most part. All references are one row, which Spark
+    broadcasts if it is small enough for that."""
+    one = references(profiles).agg(F.collect_list(F.struct("ref_lang", "ref_classes", "ref_words")).alias("refs"))
     q = F.col("q")
+    own = F.coalesce(F.array_contains(F.transform("refs", lambda r: r["ref_lang"]), F.col("lang")), F.lit(False))
+    at = {k: q["classes"][i] for i, k in enumerate(CLASSES)}
+    written = reduce(lambda a, b: a + b, [c for k, c in at.items() if k != "space"])
+    plain = at["lower"] + at["upper"] + at["letter"] + at["digit"] >= MIN_LETTERS * written
 
     def nearest(counts: Column, kind: str) -> Column:
         return F.array_min(F.transform("refs", lambda r: distance(counts, r[kind])))
@@ -226,7 +234,7 @@ def verdicts(profiles: DataFrame) -> DataFrame:
         }
     )
     near = (F.coalesce("class_distance", F.lit(0.0)) <= MAX_CLASS_DISTANCE) & (F.coalesce("word_distance", F.lit(0.0)) <= MAX_WORD_DISTANCE)
-    return out.withColumn("kept", ~F.col("base_failed") & near).drop("refs")
+    return out.withColumn("kept", ~F.col("base_failed") & F.when(own, near).otherwise(plain)).drop("refs")
 
 
 def judge(docs: DataFrame) -> DataFrame:
