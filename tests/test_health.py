@@ -1,8 +1,9 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tracequarry.operators import health
-from tracequarry.streaming.health import breaker_states
 
 
 def test_classes(spark):
@@ -29,37 +30,6 @@ def test_truncation(spark):
     assert cut[0] == "a" * 15 + health.TRUNCATION_MARKER + "b" * 35 and cut[1] == text and cut[2] == "a" + health.TRUNCATION_MARKER + "b"
 
 
-def feed(breaker, outcomes, start=0.0, step=0.1):
-    now = start
-    for o in outcomes:
-        breaker.observe(o, now)
-        now += step
-    return now
-
-
-def test_breaker():
-    b = health.Breaker()
-    feed(b, ["success", "timeout"])
-    assert b.state == "healthy"
-    now = feed(b, ["timeout"], 0.2)
-    assert b.state == "degraded" and b.concurrency == 100 and b.rps == 12
-    now = feed(b, ["timeout"] * 9, now)
-    assert b.state == "open" and b.concurrency == 4 and b.rps == 2 and b.cooldown_until - now == pytest.approx(14.9)
-    b.tick(now + 20)
-    assert b.state == "probing" and not b.window
-    now = feed(b, ["timeout"] * 3, now + 20)
-    assert b.state == "open" and b.trips == 2 and b.cooldown_until - now == pytest.approx(29.9)
-    now = feed(b, ["success"] * 3, now + 31)
-    assert b.state == "degraded"
-    now = feed(b, ["success"] * 49, now)
-    assert b.state == "degraded"
-    feed(b, ["success"] * 2, now)
-    assert b.state == "healthy" and b.trips == 0
-    b._enter("probing", 0)
-    b.observe("auth_error", 500)
-    assert b.state == "degraded"
-
-
 def test_abort_and_bucket():
     m = health.AbortMonitor()
     assert [m.record(o) for o in ["auth_error"] * 4 + ["timeout"] + ["auth_error"] * 5] == [False] * 9 + [True]
@@ -70,16 +40,27 @@ def test_abort_and_bucket():
     assert [round(t.wait(0.0), 3) for _ in range(3)] == [0.0, 0.5, 1.0] and t.wait(10.0) == 0.0
 
 
-def test_stream_equals_batch(spark, tmp_path):
-    outcomes = ["success", "timeout", "timeout", *["timeout"] * 12, *["success"] * 40]
-    rows = [(e, i, i * 2.0, o) for e in ("a", "b") for i, o in enumerate(outcomes if e == "a" else outcomes[::-1])]
-    kind = "endpoint string, seq long, at double, outcome string"
-    for part, keep in enumerate((lambda i: i < 20, lambda i: i >= 20)):
-        spark.createDataFrame([r for r in rows if keep(r[1])], kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / f"p={part}"))
-    source = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
-    query = breaker_states(source).writeStream.format("memory").queryName("breakers").outputMode("append").trigger(availableNow=True).start()
-    query.awaitTermination(120)
-    got = {(r.endpoint, r.seq): r.state for r in spark.table("breakers").collect()}
-    for e in "ab":
-        b = health.Breaker()
-        assert [got[e, i] for _, i, _, _ in rows if _ is not None and (e, i) in got][: len(outcomes)] == [b.observe(o, at) for x, _, at, o in rows if x == e]
+def test_rates_of_a_stream(spark, tmp_path):
+    """Out of order inside the watermark's room, one outcome too late, a key that falls silent."""
+    from tracequarry.streaming.health import rates
+
+    pick = random.Random(4)
+    rows = [(f"k{i % 3}", 1000.0 + i * (0.5 if i < 150 else 8), i, pick.choice(["success", "timeout", "overload", "abnormal_response"])) for i in range(200)]
+    parts = [rows[:90], rows[90:150], [*rows[150:], ("k0", 1000.0, 999, "timeout")], [("end", 1e9, -1, "success")]]
+    kind = "key string, s double, event_id long, outcome string"
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        for k, part in enumerate(parts):
+            shuffled = pick.sample(part, len(part))
+            spark.createDataFrame(shuffled, kind).select("key", F.timestamp_seconds("s").alias("ts"), "event_id", "outcome").write.parquet(str(tmp_path / "in" / str(k)))
+            source = spark.readStream.schema("key string, ts timestamp, event_id long, outcome string").option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+            sink = rates(source, "key", "ts").writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "offsets"))
+            sink.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(name, before)
+    columns = ["event_id", "total", "timeout_rate", "overload_rate", "abnormal_rate", "infra_rate"]
+    got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).select(*columns).collect()))
+    whole = spark.createDataFrame(rows, kind).withColumn("ts", F.timestamp_seconds("s"))
+    assert got == sorted(map(tuple, health.window_rates(whole, "key", "ts", "event_id").select(*columns).collect()))

@@ -16,6 +16,8 @@ from tracequarry.functions import vectors
 from tracequarry.lineage import discard, materialize
 
 COSINE, JACCARD = 0.95, 0.9
+#: Hash functions of a signature, places of a band, equal places of near-duplicates (a Jaccard similarity of 0.9), sets of a band that meet in one part.
+PERMUTATIONS, BAND, LEAST_EQUAL, HOT = 64, 4, 58, 512
 #: Vectors of a block and rows of a tile; open pairs that one task decides.
 BLOCK, TILE, MOST_LOCAL = 4096, 512, 1_000_000
 
@@ -46,6 +48,36 @@ def token_pairs(items: DataFrame, least: float = JACCARD, ident: str = "seq", to
     return close.select("a", "b"), sets.join(kinds, "t").select(ident, "first")
 
 
+def minhash(tokens: Column) -> Column:
+    """Signature of a token set: for each of ``PERMUTATIONS`` hash functions the least hash of its tokens."""
+    seeds = F.sequence(F.lit(0), F.lit(PERMUTATIONS - 1))
+    return F.transform(seeds, lambda i: F.array_min(F.transform(tokens, lambda t: F.xxhash64(t, i))))
+
+
+def minhash_pairs(items: DataFrame, least_equal: int = LEAST_EQUAL, ident: str = "seq", tokens: str = "bm25_tokens") -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b, equal), a before b, whose signatures have at least ``least_equal`` equal places: Jaccard similarity as estimated.
+
+    Signatures meet where one of ``PERMUTATIONS / BAND`` bands is equal: at a similarity of 0.9 all but some 4 in 10^8
+    pairs do.  Equal sets are one (see :func:`token_pairs`, which is exact); the rest of a band that very many share is dealt
+    to parts of ``HOT`` sets, and parts meet in pairs, so no task holds them all.  Items without tokens have no pair."""
+    sets = materialize(items.select(ident, F.sort_array(F.array_distinct(tokens)).alias("t")).where(F.size("t") > 0), "tokens")
+    kinds = materialize(sets.groupBy("t").agg(F.min(ident).alias("first")).select("first", "t", minhash(F.col("t")).alias("sig")), "signatures")
+    bands = F.transform(F.sequence(F.lit(0), F.lit(PERMUTATIONS // BAND - 1)), lambda k: F.xxhash64(k, F.slice("sig", k * BAND + 1, F.lit(BAND))))
+    keyed = materialize(kinds.select("first", F.explode(bands).alias("key")), "bands")
+    shared = keyed.groupBy("key").agg(F.ceil(F.count("*") / HOT).alias("parts"), F.count("*").alias("n")).where("n > 1").drop("n")
+    told = keyed.join(shared, "key").withColumn("own", F.pmod(F.xxhash64("first"), F.col("parts")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other")
+    dealt = told.select("key", "first", "own", other).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    a, b = dealt.where("own = i").alias("a"), dealt.where("own = j").alias("b")
+    met = (F.col("a.key") == F.col("b.key")) & (F.col("a.i") == F.col("b.i")) & (F.col("a.j") == F.col("b.j")) & (F.col("a.first") != F.col("b.first"))
+    found = a.join(b, met).select(F.least("a.first", "b.first").alias("a"), F.greatest("a.first", "b.first").alias("b")).distinct()
+    sig = kinds.select("first", "sig")
+    both = found.join(sig.withColumnsRenamed({"first": "a", "sig": "sa"}), "a").join(sig.withColumnsRenamed({"first": "b", "sig": "sb"}), "b")
+    equal = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
+    close = both.select("a", "b", equal.alias("equal")).where(F.col("equal") >= least_equal)
+    return close, sets.join(kinds.select("t", "first"), "t").select(ident, "first")
+
+
 def cosine_pairs(items: DataFrame, above: float = COSINE, ident: str = "seq", vector: str = "embedding") -> DataFrame:
     """Pairs (a, b), a before b, with cosine above the threshold; exact.
 

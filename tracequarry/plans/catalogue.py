@@ -334,6 +334,13 @@ def dedup_token_pairs(spark, sf_dir):
     return pairs
 
 
+@query
+def minhash_pairs(spark, sf_dir):
+    """Pairs by estimated similarity; no SQL, as DuckDB has no such hash."""
+    pairs, _ = dedup.minhash_pairs(_token_items(spark, sf_dir))
+    return pairs.select("a", "b", F.col("equal").cast("long").alias("equal"))
+
+
 @query
 def dedup_cosine_pairs(spark, sf_dir):
     items = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("seq"), "embedding")

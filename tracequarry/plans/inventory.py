@@ -20,9 +20,11 @@ from tracequarry.operators import health, judging, merging, ranking, selection,
 from tracequarry.operators.signatures import signatures, with_embeddings, with_query_vectors
 from tracequarry.plans import catalogue, compiling, curation, prompts
 from tracequarry.plans.catalogue import long, read
+from tracequarry.plans.oracles import SQL as _SQL
 from tracequarry.plans.oracles import _CENTROIDS, _PLACES, _SCORED, _identifiers, _short
 from tracequarry.sources import specs, stores, trajectories, transcripts
 from tracequarry.sources.runs import RunLog
+from tracequarry.streaming import health as stream_health
 from tracequarry.streaming.ingest import stream_ingest
 
 _REGISTERED: dict = {}
@@ -214,13 +216,39 @@ def store_stats(spark, sf_dir):
 
 @query(f"WITH {_LOGGED} SELECT tid AS trajectory_id, count(*) AS steps FROM st JOIN named USING (conv_id) WHERE conv_id % 5 <> 0 GROUP BY tid")
 def streamed_slices(spark, sf_dir):
-    """The same through a file stream."""
+    """The same through a file stream that also fills the trajectories; only slices that have one count."""
     root = scratch(spark, "warehouse")
     stream_ingest(spark, logs(spark, sf_dir), root, scratch(spark, "offsets")).awaitTermination()
-    rows = stores.open_stores(spark, root)["slices"].read().where("trajectory_id not like 'traj_%'")
+    tables = stores.open_stores(spark, root)
+    known = tables["trajectories"].read().where("length(trajectory_path) > 0").select("trajectory_id")
+    rows = tables["slices"].read().where("trajectory_id not like 'traj_%'").join(known, "trajectory_id")
     return rows.groupBy("trajectory_id").agg(F.sum(F.size("steps")).alias("steps"))
 
 
+@query(_SQL["outcome_window_rates"])
+def streamed_window_rates(spark, sf_dir):
+    """Rates of a stream of the events in three parts, in order of time, and one last event that lets the watermark pass."""
+    rows = catalogue._outcomes(spark, sf_dir).select("user_id", "ts", "event_id", "outcome")
+    folder, out = scratch(spark, "outcomes"), scratch(spark, "rates")
+    ends = rows.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("t")).agg(F.percentile_approx("t", [0.33, 0.66], F.lit(100)).alias("t")).first().t
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    part = (at > ends[0]).cast("int") + (at > ends[1]).cast("int")
+    kinds = dict(rows.dtypes)
+    last = spark.range(1).select(F.lit(-1).cast(kinds["user_id"]).alias("user_id"), F.expr(f"cast(timestamp'2200-01-01' as {kinds['ts']})").alias("ts"), F.lit(-1).cast("long").alias("event_id"), F.lit("success").alias("outcome"))
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        for k in range(4):  # the stream runs once for each part that has come
+            (rows.where(part == k) if k < 3 else last).write.parquet(f"{folder}/{k}")
+            stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(folder)
+            stream_health.rates(stream, "user_id", "ts").writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-offsets").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(name, before)
+    rates = spark.read.parquet(out)
+    return rates.select("event_id", "total", *[F.round(c, 6).alias(c) for c in ("timeout_rate", "overload_rate", "abnormal_rate", "infra_rate")])
+
+
 # ---- transcripts -----------------------------------------------------------------------
 
 
@@ -853,21 +881,3 @@ def abort_monitor(spark, sf_dir):
         return pd.DataFrame({"user_id": [key[0]], "total": [monitor.total], "failed": [monitor.failed], "stopped_at": pd.array([stop], "Int64")})
 
     return rows.groupBy("user_id").applyInPandas(run, f"user_id {dict(rows.dtypes)['user_id']}, total long, failed long, stopped_at long")
-
-
-@query("""
-WITH o AS (SELECT user_id, event_type = 'error' AS bad, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
-k AS (SELECT user_id, i, sum(bad::INT) OVER (PARTITION BY user_id ORDER BY i ROWS 49 PRECEDING) AS k FROM o),
-f AS (SELECT user_id, max(i) AS requests, min(i) FILTER (i >= 3 AND k >= 2 AND k::DOUBLE / least(i, 50) >= 0.05) AS changed_at FROM k GROUP BY 1)
-SELECT user_id, requests, changed_at, CASE WHEN changed_at IS NULL THEN 'healthy' ELSE 'degraded' END AS changed_to FROM f""")
-def breaker_states(spark, sf_dir):
-    """The breaker over all of each user's requests, a tenth of a second apart: when its state changes first, and to what."""
-    rows = read(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.when(F.col("event_type") == "error", "timeout").otherwise("success").alias("outcome"))
-
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        breaker = health.Breaker()
-        states = [breaker.observe(o, i * 0.1) for i, o in enumerate(frame.sort_values(["ts", "event_id"])["outcome"], 1)]
-        at = next((i for i, x in enumerate(states, 1) if x != "healthy"), None)
-        return pd.DataFrame({"user_id": [key[0]], "requests": [len(states)], "changed_at": pd.array([at], "Int64"), "changed_to": [states[at - 1] if at else "healthy"]})
-
-    return rows.groupBy("user_id").applyInPandas(run, f"user_id {dict(rows.dtypes)['user_id']}, requests long, changed_at long, changed_to string")

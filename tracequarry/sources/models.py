@@ -14,7 +14,7 @@ import urllib.request
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from tracequarry.operators.health import AbortMonitor, Breaker, RETRYABLE, TokenBucket, answer_class, error_class
+from tracequarry.operators.health import AbortMonitor, RETRYABLE, TokenBucket, answer_class, error_class
 
 #: Seconds that each attempt of a request may take.
 TIMEOUTS = (60.0, 90.0, 120.0)
@@ -33,7 +33,6 @@ class Endpoint:
     url: str
     key: str = ""
     bucket: TokenBucket = field(default_factory=lambda: TokenBucket(20.0))
-    breaker: Breaker = field(default_factory=Breaker)
     monitor: AbortMonitor = field(default_factory=AbortMonitor)
     timeouts: tuple[float, ...] = TIMEOUTS
     clock: Callable[[], float] = time.monotonic
@@ -61,13 +60,8 @@ class Endpoint:
         for seconds in self.timeouts:
             if self.monitor.reason:
                 raise RequestFailed("aborted", self.monitor.reason)
-            self.breaker.tick(self.clock())
-            if self.breaker.state == "open":
-                self.sleep(max(0.0, self.breaker.cooldown_until - self.clock()))
-            self.bucket.rps = self.breaker.rps
             self.sleep(self.bucket.wait(self.clock()))
             outcome, said, answer = self._once(path, payload, seconds)
-            self.breaker.observe(outcome, self.clock())
             self.monitor.record(outcome)
             if outcome == "success":
                 return answer

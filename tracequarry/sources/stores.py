@@ -23,15 +23,21 @@ class KeyedTable:
         path = jvm.org.apache.hadoop.fs.Path(self.path)
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
 
+    def _path(self, suffix: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path + suffix)
+
     def exists(self) -> bool:
+        """Whether the table was ever written; a compaction that died before its last step is finished first."""
         fs, path = self._folder()
+        if not fs.exists(path) and fs.exists(self._path(".compact/_SUCCESS")):
+            fs.rename(self._path(".compact"), path)
         return fs.exists(path)
 
     def history(self) -> DataFrame:
         """All rows as written, with ``write_seq`` and ``row_seq``."""
         if not self.exists():
             return self.spark.createDataFrame([], f"{self.schema}, write_seq long, row_seq long")
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
+        return self.spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(self.path)
 
     def read(self) -> DataFrame:
         """The last row of each key; ``ingest_seq`` orders keys by their last write."""
@@ -41,11 +47,22 @@ class KeyedTable:
         seq = (F.col("r.write_seq") * F.lit(1 << 40) + F.col("r.row_seq")).alias("ingest_seq")
         return last.select(*self.keys, *[F.col(f"r.{c}").alias(c) for c in values if c != "ingest_seq"], seq)
 
-    def append(self, rows: DataFrame, order: str | None = None) -> None:
-        """Upsert: a key that is there moves to the end. ``order`` numbers the rows of this write."""
+    def append(self, rows: DataFrame, order: str | None = None, batch: str | None = None) -> None:
+        """Upsert: a key that is there moves to the end. ``order`` numbers the rows of this write.
+
+        ``batch`` names a write that may be repeated: it keeps its number and its folder, so a repetition replaces what the
+        first try wrote and changes nothing else."""
         number = F.col(order).cast("long") if order else F.monotonically_increasing_id()
         rows = rows.drop("ingest_seq") if order != "ingest_seq" else rows
-        rows.withColumns({"write_seq": F.lit(self._next_write()).cast("long"), "row_seq": number}).write.mode("append").parquet(self.path)
+        self.exists()
+        told = lambda seq: rows.withColumns({"write_seq": F.lit(seq).cast("long"), "row_seq": number})
+        if batch is None:
+            told(self._next_write()).write.mode("append").parquet(self.path)
+            return
+        fs, folder = self._folder()[0], self._path(f".batches/{batch}")
+        if not fs.exists(folder) or not fs.listStatus(folder):
+            fs.create(self._path(f".batches/{batch}/{self._next_write()}")).close()
+        told(min(int(f.getPath().getName()) for f in fs.listStatus(folder))).write.mode("overwrite").parquet(f"{self.path}/batch-{batch}")
 
     def _next_write(self) -> int:
         """A number that no other write has: the file system creates each number's file once only."""
@@ -59,14 +76,16 @@ class KeyedTable:
         return number
 
     def compact(self) -> None:
-        """Keep only the last row of each key; no writer may be at work."""
+        """Keep only the last row of each key; no writer may be at work.
+
+        The new table is whole before the old one goes; if the driver dies between the two, :meth:`exists` takes it up."""
         if not self.exists():
             return
         last = self.read().withColumns({"write_seq": F.shiftright("ingest_seq", 40), "row_seq": F.col("ingest_seq").bitwiseAND((1 << 40) - 1)})
         last.drop("ingest_seq").write.mode("overwrite").parquet(f"{self.path}.compact")
         fs, path = self._folder()
         fs.delete(path, True)
-        fs.rename(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}.compact"), path)
+        fs.rename(self._path(".compact"), path)
 
     def get(self, **key) -> DataFrame:
         rows = self.history()
@@ -80,7 +99,8 @@ class KeyedTable:
     def clear(self) -> None:
         fs, path = self._folder()
         fs.delete(path, True)
-        fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}.writes"), True)
+        for more in (".writes", ".batches", ".compact"):
+            fs.delete(self._path(more), True)
 
 
 class Table(Protocol):

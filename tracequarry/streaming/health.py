@@ -1,32 +1,70 @@
-"""A circuit breaker per endpoint over a stream of outcomes."""
+"""Rates of outcomes over a stream, the same as ``operators.health.window_rates`` has of the whole table.
+
+Outcomes may come out of order.  Each waits in its key's state until the watermark has
+passed it, which an event-time timer tells; then all earlier ones are known.  Outcomes
+that are older than the watermark when they come are late and leave no row.  A key's state
+is what waits and the last outcomes of the window, and goes when both are empty.
+"""
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from tracequarry.operators.health import INFRA, OVERLOADS, WINDOW_REQUESTS, WINDOW_SECONDS
+
+HELD = "at long, event_id long, outcome string"
+OUT = "event_id long, total long, timeout_rate double, overload_rate double, abnormal_rate double, infra_rate double"
 
-from tracequarry.operators.health import Breaker
 
-OUT = "endpoint string, seq long, outcome string, state string, concurrency int, rps double"
+class Rates(StatefulProcessor):
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", HELD)
+        self.recent = handle.getListState("recent", HELD)
 
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
+        """Keep what came and wake up when the watermark reaches the first of it."""
+        first = None
+        for frame in rows:
+            came = [(int(t), int(e), o) for t, e, o in zip(frame["at"], frame["event_id"], frame["outcome"])]
+            self.waiting.appendList(came)
+            first = min([t for t, _, _ in came] + ([first] if first is not None else []))
+        if first is not None:
+            self.handle.registerTimer(first // 1000 + 1)
+        yield pd.DataFrame({c: [] for c in ("event_id", "total", "timeout_rate", "overload_rate", "abnormal_rate", "infra_rate")})
 
-def breaker_states(outcomes: DataFrame) -> DataFrame:
-    """The breaker's state after each outcome of a stream (endpoint, seq, at in seconds, outcome).
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
+        """Rows of all that the watermark has passed, in order."""
+        mark = timerValues.getCurrentWatermarkInMs()
+        waiting = sorted(self.waiting.get()) if self.waiting.exists() else []
+        ready, later = [w for w in waiting if w[0] // 1000 < mark], [w for w in waiting if w[0] // 1000 >= mark]
+        recent, out = (list(self.recent.get()) if self.recent.exists() else []), []
+        for at, ident, outcome in ready:
+            recent = [*[r for r in recent if r[0] >= at - WINDOW_SECONDS * 1_000_000], (at, ident, outcome)][-WINDOW_REQUESTS:]
+            share = lambda kinds: sum(o in kinds for _, _, o in recent) / len(recent)  # noqa: B023, E731
+            out.append((ident, len(recent), share(("timeout",)), share(OVERLOADS), share(("abnormal_response",)), share(INFRA)))
+        self.waiting.clear()
+        self.recent.clear()
+        if later:
+            self.waiting.put([tuple(w) for w in later])
+            self.handle.registerTimer(later[0][0] // 1000 + 1)
+        keep = [tuple(r) for r in recent if r[0] // 1000 >= mark - WINDOW_SECONDS * 1000]
+        if keep:
+            self.recent.put(keep)
+            self.handle.registerTimer(mark + WINDOW_SECONDS * 1000)  # else the state would stay when the key falls silent
+        yield pd.DataFrame(out, columns=["event_id", "total", "timeout_rate", "overload_rate", "abnormal_rate", "infra_rate"])
 
-    Arrival order within a batch is by ``at``, then ``seq``; the state is a few dozen outcomes."""
+    def close(self) -> None:
+        pass
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        breaker = pickle.loads(state.get[0]) if state.exists else Breaker()
-        rows = pd.concat(list(frames)).sort_values(["at", "seq"])
-        out = []
-        for r in rows.itertuples():
-            now = breaker.observe(r.outcome, float(r.at))
-            out.append((key[0], int(r.seq), r.outcome, now, breaker.concurrency, breaker.rps))
-        state.update((pickle.dumps(breaker),))
-        yield pd.DataFrame(out, columns=["endpoint", "seq", "outcome", "state", "concurrency", "rps"])
 
-    return outcomes.groupBy("endpoint").applyInPandasWithState(step, OUT, "breaker binary", "append", GroupStateTimeout.NoTimeout)
+def rates(outcomes: DataFrame, key: str, ts: str, late: str = "60 seconds") -> DataFrame:
+    """Counts and shares over the last 20 seconds and at most 50 outcomes, at each outcome (``event_id``, ``outcome``) of ``key``."""
+    told = outcomes.withColumn(ts, F.col(ts).cast("timestamp"))
+    told = told.withColumn("at", F.unix_micros(ts)).withWatermark(ts, late)
+    return told.groupBy(key).transformWithStateInPandas(Rates(), OUT, "Append", "EventTime")
