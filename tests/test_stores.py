@@ -102,6 +102,8 @@ def test_minhash_against_its_rule_and_the_exact_pairs(spark, monkeypatch):
     assert {(r.seq, r["first"]) for r in firsts.where("seq in (902, 903)").collect()} == {(902, 0), (903, 0)}
     exact, _ = dedup.token_pairs(df)
     truth = {(r.a, r.b) for r in exact.collect()}
+    verified, _ = dedup.minhash_pairs(df, verify=dedup.JACCARD)
+    assert {(r.a, r.b) for r in verified.collect()} == truth
     clear = {p for p in truth if len(set(items[p[0]][1]) & set(items[p[1]][1])) / len(set(items[p[0]][1]) | set(items[p[1]][1])) >= 0.95}
     found = {(a, b) for a, b, _ in want}
     assert len(clear) > 20 and len(clear & found) >= 0.9 * len(clear)

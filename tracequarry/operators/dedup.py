@@ -18,6 +18,8 @@ from tracequarry.lineage import discard, materialize
 COSINE, JACCARD = 0.95, 0.9
 #: Hash functions of a signature, places of a band, equal places of near-duplicates (a Jaccard similarity of 0.9), sets of a band that meet in one part.
 PERMUTATIONS, BAND, LEAST_EQUAL, HOT = 64, 4, 58, 512
+#: Places by which candidates may fall short where pairs are verified: four standard deviations at a similarity of 0.9.
+SLACK = 10
 #: Vectors of a block and rows of a tile; open pairs that one task decides.
 BLOCK, TILE, MOST_LOCAL = 4096, 512, 1_000_000
 
@@ -54,12 +56,17 @@ def minhash(tokens: Column) -> Column:
     return F.transform(seeds, lambda i: F.array_min(F.transform(tokens, lambda t: F.xxhash64(t, i))))
 
 
-def minhash_pairs(items: DataFrame, least_equal: int = LEAST_EQUAL, ident: str = "seq", tokens: str = "bm25_tokens") -> tuple[DataFrame, DataFrame]:
+def minhash_pairs(
+    items: DataFrame, least_equal: int = LEAST_EQUAL, ident: str = "seq", tokens: str = "bm25_tokens", verify: float | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b, equal), a before b, whose signatures have at least ``least_equal`` equal places: Jaccard similarity as estimated.
 
     Signatures meet where one of ``PERMUTATIONS / BAND`` bands is equal: at a similarity of 0.9 all but some 4 in 10^8
     pairs do.  Equal sets are one (see :func:`token_pairs`, which is exact); the rest of a band that very many share is dealt
-    to parts of ``HOT`` sets, and parts meet in pairs, so no task holds them all.  Items without tokens have no pair."""
+    to parts of ``HOT`` sets, and parts meet in pairs, so no task holds them all.  Items without tokens have no pair.
+
+    An estimate misses about half of the pairs right at its threshold.  With ``verify``, pairs with ``SLACK`` fewer equal
+    places are taken as candidates and kept by their exact similarity."""
     sets = materialize(items.select(ident, F.sort_array(F.array_distinct(tokens)).alias("t")).where(F.size("t") > 0), "tokens")
     kinds = materialize(sets.groupBy("t").agg(F.min(ident).alias("first")).select("first", "t", minhash(F.col("t")).alias("sig")), "signatures")
     bands = F.transform(F.sequence(F.lit(0), F.lit(PERMUTATIONS // BAND - 1)), lambda k: F.xxhash64(k, F.slice("sig", k * BAND + 1, F.lit(BAND))))
@@ -74,7 +81,11 @@ def minhash_pairs(items: DataFrame, least_equal: int = LEAST_EQUAL, ident: str =
     sig = kinds.select("first", "sig")
     both = found.join(sig.withColumnsRenamed({"first": "a", "sig": "sa"}), "a").join(sig.withColumnsRenamed({"first": "b", "sig": "sb"}), "b")
     equal = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
-    close = both.select("a", "b", equal.alias("equal")).where(F.col("equal") >= least_equal)
+    close = both.select("a", "b", equal.alias("equal")).where(F.col("equal") >= least_equal - (0 if verify is None else SLACK))
+    if verify is not None:
+        whole = kinds.select("first", "t")
+        close = close.join(whole.withColumnsRenamed({"first": "a", "t": "ta"}), "a").join(whole.withColumnsRenamed({"first": "b", "t": "tb"}), "b")
+        close = close.where(jaccard(F.col("ta"), F.col("tb")) >= verify).select("a", "b", "equal")
     return close, sets.join(kinds.select("t", "first"), "t").select(ident, "first")
 
 
