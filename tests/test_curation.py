@@ -1,5 +1,7 @@
 import json
+import random
 
+import numpy as np
 import pytest
 
 from tracequarry.operators.selection import SelectionConfig
@@ -98,3 +100,51 @@ def test_evolve_backfills_once(spark, root):
     labelled = stores.open_stores(spark, out)["slices"].read().where("array_contains(capability_labels, 'race')").count()
     assert labelled == 10
     assert curation.backfill(spark, out, proposals[0]) == 0
+
+
+def test_equal_slices_cost_a_row_each(spark):
+    from tracequarry.operators import dedup
+
+    rows = [(i, 1.0 - i / 1000, [float(i % 3), 1.0, 0.5], [f"w{i % 2}", "x"]) for i in range(600)]
+    merged = spark.createDataFrame(rows, "seq long, relevance double, embedding array<double>, bm25_tokens array<string>")
+    got = {r.seq: r.survivor for r in curation.near_duplicates(merged).collect()}
+    kept = []
+    for i, _, v, t in rows:
+        near = lambda k: rows[k][3] == t or np.dot(rows[k][2], v) / np.linalg.norm(rows[k][2]) / np.linalg.norm(v) > 0.95
+        hit = next((k for k in kept if near(k)), None)
+        assert got[i] == (i if hit is None else hit)
+        kept += [i] if hit is None else []
+    for pairs, sets in (dedup.token_pairs(merged), dedup.vector_pairs(merged)):
+        assert pairs.count() <= 3 and sets.count() == 600
+
+
+def test_nearest_in_groups(spark, monkeypatch):
+    from tracequarry.operators import taxonomy
+
+    monkeypatch.setattr(taxonomy, "GROUP", 16)
+    rng = np.random.default_rng(1)
+    known = [(f"k{j}", j, [float(x) for x in rng.normal(size=4)]) for j in range(60)]
+    known += [("twin", 70, known[5][2]), ("short", 71, [1.0]), ("none", 72, None), ("zero", 73, [0.0] * 4)]
+    items = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(50)] + [(50, known[5][2]), (51, None), (52, [2.0]), (53, [0.0] * 4), (54, [-x for x in known[5][2]])]
+    schema = "vector array<double>"
+    found = taxonomy.nearest(spark.createDataFrame(items, f"id long, {schema}"), spark.createDataFrame(known, f"name string, ord int, {schema}"), "id", "name", "ord")
+    for r in found.collect():
+        cos = [taxonomy._cosine(dict(items)[r.id], v) for _, _, v in known]
+        assert abs(r.cosine - max(cos)) < 1e-12 and r["name"] == known[int(np.argmax(cos))][0]
+    assert found.count() == 55
+    assert taxonomy.nearest(spark.createDataFrame(items, f"id long, {schema}").limit(0), spark.createDataFrame(known, f"name string, ord int, {schema}"), "id", "name", "ord").count() == 0
+
+
+def test_steps_in_spans_by_bins(spark):
+    from tracequarry.operators import view
+
+    pick = random.Random(2)
+    spans = [(pick.randrange(3), a, a + pick.choice([0, 1, 2, 3, 7, 8, 40])) for a in [pick.randrange(200) for _ in range(60)]] + [(0, 5, 4), (1, None, 3)]
+    steps = [(k, i) for k in range(4) for i in range(220)] + [(None, 1), (1, None)]
+    got = view.steps_in_spans(spark.createDataFrame(steps, "k int, step_index int"), spark.createDataFrame(spans, "k int, start_step int, end_step int"), "k")
+    want = sorted((k, i, a, b) for k, i in steps for q, a, b in spans if k == q and None not in (i, a, b) and a <= i <= b)
+    assert sorted(map(tuple, got.select("k", "step_index", "start_step", "end_step").collect())) == want
+    # 100,000 steps and 10,000 spans of a trajectory: rows that meet are near those that count
+    steps = spark.range(100_000).selectExpr("1 as k", "id as step_index")
+    spans = spark.range(10_000).selectExpr("1 as k", "id * 10 as start_step", "id * 10 + id % 16 as end_step")
+    assert view.steps_in_spans(steps, spans, "k").count() == sum(min(99_999, s * 10 + s % 16) - s * 10 + 1 for s in range(10_000))

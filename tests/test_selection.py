@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +73,57 @@ def test_pairs_against_all(spark):
     assert got == {(a, b) for a in unit for b in unit if a < b and unit[a] @ unit[b] > 0.9} and got
 
 
+def test_metric_join_against_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    seeds = rng.normal(size=(9, 6))
+    x = np.concatenate([seeds[rng.integers(0, 9, 700)] + rng.normal(size=(700, 6)) * rng.choice([0.01, 0.2, 1.0], (700, 1)), np.repeat(seeds[:1], 60, axis=0)])
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)] + [(900, None), (901, [0.0] * 6), (902, [float("nan")] * 6), (903, [1.0, None]), (904, []), (905, [2.0]), (906, [3.0])]
+    items = spark.createDataFrame(rows, "seq long, embedding array<double>")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T
+    monkeypatch.setattr(dedup, "BLOCK", 32)  # rings of many parts, parts of many tables
+    monkeypatch.setattr(dedup, "CELL", 50)
+    for above in (0.95, 0.6, -0.2):
+        want = {(a, b) for a, b in zip(*map(np.ndarray.tolist, np.nonzero(near > above))) if a < b} | {(905, 906)}
+        got = [(r.a, r.b) for r in dedup.cosine_pairs(items, above).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    pairs, sets = dedup.vector_pairs(items)
+    assert sum(r.first != r.seq for r in sets.collect()) == 59
+    assert dedup.cosine_pairs(items.limit(0)).count() == 0
+
+
+def test_metric_join_compares_less_than_all_pairs(spark):
+    share = []
+    for n in (4_000, 16_000, 64_000):
+        rng = np.random.default_rng(3)
+        seeds = rng.normal(size=(n // 250, 16))
+        x = (seeds[rng.integers(0, len(seeds), n)] + rng.normal(size=(n, 16)) * 0.05).astype(np.float32)
+        items = spark.createDataFrame(pd.DataFrame({"seq": np.arange(n), "embedding": x.astype(float).tolist()}))
+        met, every = dedup.MetricJoin(items, 0.95, "seq", "embedding").work()
+        assert every == n * (n - 1) // 2
+        share.append(met / every)
+    assert share[0] > 2 * share[1] > 3 * share[2] and share[2] < 0.06, share
+
+
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_survivors_of_sets_are_greedy(spark, monkeypatch, most):
+    monkeypatch.setattr(dedup, "MOST_LOCAL", most)  # rounds only, or one task only
+    pick = random.Random(11)
+    items = list(range(70))
+    words, looks = ({i: f(pick.randrange(k)) for i in items if pick.random() < 0.9} for f, k in ((int, 25), (int, 40)))
+    channels, similar = [], set()
+    for of in (words, looks):
+        first = {s: min(i for i in of if of[i] == s) for s in set(of.values())}
+        kinds = sorted(first.values())
+        pairs = {tuple(sorted(pick.sample(kinds, 2))) for _ in range(8)}
+        rows = [(i, first[s]) for i, s in of.items()]
+        channels.append((spark.createDataFrame(sorted(pairs), "a long, b long"), spark.createDataFrame(rows, "seq long, first long")))
+        same = dict(rows)
+        similar |= {(a, b) for a in same for b in same if a < b and (same[a] == same[b] or tuple(sorted((same[a], same[b]))) in pairs)}
+    got = dedup.survivors_of_sets(spark.createDataFrame([(i,) for i in items], "seq long"), channels)
+    assert {r.seq: r.survivor for r in got.collect()} == greedy(items, lambda a, b: (a, b) in similar)
+
+
 def row(subs, vec=()):
     return list(subs), dict(subs), np.array(vec, float)
 

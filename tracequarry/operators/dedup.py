@@ -7,21 +7,27 @@ earlier neighbours are decided, until nothing is open.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracequarry.functions import vectors
 from tracequarry.lineage import discard, materialize
+from tracequarry.operators.vector_index import SAMPLE, centres
 
 COSINE, JACCARD = 0.95, 0.9
 #: Hash functions of a signature, places of a band, equal places of near-duplicates (a Jaccard similarity of 0.9), sets of a band that meet in one part.
 PERMUTATIONS, BAND, LEAST_EQUAL, HOT = 64, 4, 58, 512
 #: Places by which candidates may fall short where pairs are verified: four standard deviations at a similarity of 0.9.
 SLACK = 10
-#: Vectors of a block and rows of a tile; open pairs that one task decides.
-BLOCK, TILE, MOST_LOCAL = 4096, 512, 1_000_000
+#: Vectors that one task compares with as many others, rows of a tile, vectors for which there is a pivot, most pivots of a length.
+BLOCK, TILE, CELL, MOST_PIVOTS = 4096, 512, 512, 1024
+#: Room for rounding in distances and angles; open rows that one task decides.
+ROOM, MOST_LOCAL = 1e-9, 100_000
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -89,70 +95,200 @@ def minhash_pairs(
     return close, sets.join(kinds.select("t", "first"), "t").select(ident, "first")
 
 
+def _pivots(rows: DataFrame) -> dict[int, np.ndarray]:
+    """Pivots of each length, near which a sample (the smallest hashes of vectors) gathers."""
+    some = rows.orderBy(F.xxhash64("v"), "id").limit(SAMPLE).select("dim", "v").collect()  # bounded
+    out = {}
+    for dim, n in rows.groupBy("dim").count().collect():
+        x = np.array([r.v for r in some if r.dim == dim]).reshape(-1, dim)
+        if len(x):
+            out[dim] = centres(x / np.linalg.norm(x, axis=1, keepdims=True), min(MOST_PIVOTS, -(-n // CELL)))
+    return out
+
+
+class MetricJoin:
+    """Vectors told where they lie and whom they may meet.
+
+    A vector's home is the cell of its nearest pivot and a ring of angles about it, as wide as the threshold's angle.  Vectors
+    that are close differ in their angle to any pivot by no more than that, and lie on both sides of the plane between
+    two pivots only if they are within the threshold's distance of it; a vector is a guest in every ring of an earlier cell,
+    and in the inner ring of its own, that both bounds allow.  Homes and guests are dealt to parts of ``BLOCK``, so a ring of
+    any size is split and no task holds it.
+
+    ``met``: comparisons, of ``pairs`` that a product of all vectors has."""
+
+    def __init__(self, items: DataFrame, above: float, ident: str, vector: str):
+        v = F.col(vector).cast("array<double>")
+        self.kind, self.above = dict(items.dtypes)[ident], above
+        finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        rows = items.where(vectors.usable(F.col(vector))).select(F.col(ident).alias("id"), v.alias("v")).where(finite)
+        self.rows = materialize(rows, "vectors")
+        self.kinds = materialize(self.rows.groupBy("v").agg(F.min("id").alias("id")).select("id", "v", F.size("v").alias("dim")), "kinds")
+        self.told = materialize(self._tell(), "cells")
+        rings = self.told.select("dim", F.explode("rings").alias("r"), F.col("home").alias("h")).groupBy("dim", "r.cell", "r.ring")
+        own = (F.col("r.cell") == F.col("h.cell")) & (F.col("r.ring") == F.col("h.ring"))
+        rings = rings.agg(F.count_if(own).alias("n"), F.count_if(~own).alias("guests")).where("n > 0")
+        self.rings = materialize(rings.withColumn("parts", F.ceil(F.col("n") / BLOCK)), "rings")  # at most pivots x rings
+
+    def _tell(self) -> DataFrame:
+        sent = self.kinds.sparkSession.sparkContext.broadcast(_pivots(self.kinds))  # at most MOST_PIVOTS of each length
+        width = float(np.arccos(np.clip(self.above, -1, 1))) + ROOM
+        reach = float(np.sqrt(2 - 2 * self.above)) + ROOM
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            # a chord's length is computed with an error of some 3e-8
+            apart = {dim: np.sqrt(np.maximum(0, 2 - 2 * at @ at.T)) + 1e-7 for dim, at in sent.value.items()}
+            for batch in (b.slice(k, TILE) for b in batches for k in range(0, b.num_rows, TILE)):
+                dims = batch.column("dim").to_numpy()
+                homes, rings = [None] * len(dims), [None] * len(dims)
+                for dim in np.unique(dims).tolist():
+                    some = np.flatnonzero(dims == dim)
+                    x = batch.column("v").take(pa.array(some)).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+                    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+                    at = sent.value.get(dim, np.eye(1, dim))  # a length that the sample lacks has one cell
+                    near = x @ at.T
+                    home = np.argmax(near, axis=1)
+                    ring = np.floor(np.arccos(np.clip(near, -1, 1)) / width).astype(int)
+                    lead = near[np.arange(len(x)), home][:, None] - near
+                    meets = (lead <= reach * apart.get(dim, np.zeros((1, 1)))[home] + ROOM) & (np.arange(len(at)) < home[:, None])
+                    for k, row in enumerate(some.tolist()):
+                        h, r = int(home[k]), int(ring[k, home[k]])
+                        homes[row] = {"cell": h, "ring": r}
+                        rings[row] = [{"cell": h, "ring": y} for y in (r - 1, r) if y >= 0] + [
+                            {"cell": int(c), "ring": int(ring[k, c]) + y} for c in np.flatnonzero(meets[k]).tolist() for y in (-1, 0, 1) if ring[k, c] + y >= 0
+                        ]
+                place = pa.struct([("cell", pa.int32()), ("ring", pa.int32())])
+                columns = [*batch.columns, pa.array(homes, place), pa.array(rings, pa.list_(place))]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "v", "dim", "home", "rings"])
+
+        return self.kinds.mapInArrow(work, f"id {self.kind}, v array<double>, dim int, home struct<cell:int,ring:int>, rings array<struct<cell:int,ring:int>>")
+
+    def work(self) -> tuple[int, int]:
+        met = self.rings.agg(F.sum(F.expr("n * (n - 1) div 2 + n * guests"))).first()[0] or 0
+        every = self.kinds.groupBy("dim").count().agg(F.sum(F.expr("count * (count - 1) div 2"))).first()[0] or 0
+        return met, every
+
+    def pairs(self) -> DataFrame:
+        """Pairs (a, b) of different vectors, a before b, with a cosine above the threshold."""
+        seat = self.told.select("id", "v", "dim", "home", F.explode("rings").alias("r")).select("id", "v", "dim", "home", "r.cell", "r.ring")
+        seat = seat.join(self.rings, ["dim", "cell", "ring"])
+        own = (F.col("home.cell") == F.col("cell")) & (F.col("home.ring") == F.col("ring"))
+        part = F.pmod(F.xxhash64("id"), F.col("parts"))
+        tables = F.greatest(F.lit(1).cast("long"), F.ceil((F.col("guests") + F.when(F.col("parts") > 1, F.col("n")).otherwise(0)) / BLOCK))
+        seat = seat.withColumns({"own": own, "part": part, "tables": tables})
+        upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+        hosts = seat.where("own").select("id", "v", "dim", "cell", "ring", "part", F.explode(upto(F.col("tables"))).alias("table"), F.lit(True).alias("host"))
+        visited = F.when(~F.col("own"), upto(F.col("parts"))).when(F.col("part") > 0, upto(F.col("part")))
+        at = F.pmod(F.xxhash64("id", F.lit(1)), F.col("tables"))
+        guests = seat.select("id", "v", "dim", "cell", "ring", F.explode(visited).alias("part"), at.alias("table"), F.lit(False).alias("host"))
+        above = self.above
+
+        def close(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+            x = np.stack(frame["v"].to_numpy())
+            x /= np.linalg.norm(x, axis=1, keepdims=True)
+            ids, host = frame["id"].to_numpy(), frame["host"].to_numpy()
+            left, others = np.flatnonzero(host), np.flatnonzero(~host)
+            a, b = [ids[:0]], [ids[:0]]
+            for k in range(0, len(left), TILE):
+                some = left[k : k + TILE]
+                for right, same in ((others, False), (left, key[-1] == 0)):
+                    if right is left and not same:
+                        continue  # hosts meet one another at the first table
+                    r, c = np.nonzero(x[some] @ x[right].T > above)
+                    r, c = ids[some[r]], ids[right[c]]
+                    keep = r < c if same else r != c
+                    a.append(np.minimum(r, c)[keep])
+                    b.append(np.maximum(r, c)[keep])
+            return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+        met = hosts.unionByName(guests).groupBy("dim", "cell", "ring", "part", "table")
+        return met.applyInPandas(close, f"a {self.kind}, b {self.kind}")
+
+    def sets(self, ident: str) -> DataFrame:
+        return self.rows.join(self.kinds.select("v", F.col("id").alias("first")), "v").select(F.col("id").alias(ident), "first")
+
+
+def vector_pairs(items: DataFrame, above: float = COSINE, ident: str = "seq", vector: str = "embedding") -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b), a before b, with cosine above the threshold (less than 1); exact.
+
+    Equal vectors are one: the first item of each stands in the pairs, and the second table maps each item to it.  Vectors
+    that are null or zero, or have parts that are null or no numbers, have no pair."""
+    join = MetricJoin(items, above, ident, vector)
+    return join.pairs(), join.sets(ident)
+
+
 def cosine_pairs(items: DataFrame, above: float = COSINE, ident: str = "seq", vector: str = "embedding") -> DataFrame:
-    """Pairs (a, b), a before b, with cosine above the threshold; exact.
-
-    Usable vectors are dealt to blocks by hash; each pair of blocks is one matrix product of bounded size. The work is that
-    of all pairs of vectors of one length, the rows are those of close pairs only."""
-    v = F.col(vector).cast("array<double>")
-    kind = dict(items.dtypes)[ident]
-    rows = items.where(vectors.usable(F.col(vector))).select(F.col(ident).alias("id"), v.alias("v"), F.size("v").alias("dim"))
-    rows = materialize(rows, "vectors")
-    blocks = rows.groupBy("dim").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    told = rows.join(F.broadcast(blocks), "dim").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))  # a row for each length
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    dealt = told.select("id", "v", "dim", "own", other).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-
-    def close(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        _, i, j = key
-        x = np.stack(frame["v"].to_numpy())
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        ids, own = frame["id"].to_numpy(), frame["own"].to_numpy()
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        a, b = [], []
-        for k in range(0, len(left), TILE):
-            r, c = np.nonzero(x[left[k : k + TILE]] @ x[right].T > above)
-            r, c = ids[left[k : k + TILE][r]], ids[right[c]]
-            keep = r < c if i == j else r != c
-            a.append(np.minimum(r, c)[keep])
-            b.append(np.maximum(r, c)[keep])
-        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
-
-    return dealt.groupBy("dim", "i", "j").applyInPandas(close, f"a {kind}, b {kind}").distinct()
+    """All pairs (a, b) of items, a before b, with cosine above the threshold; see :func:`vector_pairs`."""
+    pairs, sets = vector_pairs(items, above, ident, vector)
+    sets = materialize(sets.withColumnRenamed(ident, "id"), "sets")
+    left, right = sets.select(F.col("first").alias("a"), F.col("id").alias("x")), sets.select(F.col("first").alias("b"), F.col("id").alias("y"))
+    across = pairs.join(left, "a").join(right, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    same = left.join(right.withColumnRenamed("b", "a"), "a").where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    return across.unionByName(same)
 
 
 def survivors(items: DataFrame, pairs: DataFrame, ident: str = "seq") -> DataFrame:
-    """ident and survivor: itself if kept, else the first kept item that it is similar to.
-
-    ``pairs`` (a, b) with a before b. Each round keeps open items without an open or kept earlier neighbour, and drops
-    those next to a kept one; once the open pairs are few, one task goes through them in order, so that a chain of copies
-    doesn't cost a round for each."""
+    """ident and survivor: itself if kept, else the first kept item that it is similar to. ``pairs`` (a, b) with a before b."""
     links = materialize(pairs.select("a", "b").distinct(), "pairs")
-    kind = dict(links.dtypes)["a"]
-    heads = links.select("a").distinct().join(links.select(F.col("b").alias("a")).distinct(), "a", "left_anti").select("a", F.lit(True).alias("kept"))
-    state = materialize(heads, "state")  # decided items only
+    some = links.select(F.col("a").alias(ident)).union(links.select("b")).distinct()
+    return survivors_of_sets(items, [(links, some.withColumn("first", F.col(ident)))], ident)
+
 
-    def seen() -> DataFrame:
-        """Open pairs with what is known of the earlier item (null: open)."""
-        todo = links.join(state.select(F.col("a").alias("b")), "b", "left_anti")
-        return todo.join(state, "a", "left").select("a", "b", "kept")
+def survivors_of_sets(items: DataFrame, channels: list[tuple[DataFrame, DataFrame]], ident: str = "seq") -> DataFrame:
+    """As :func:`survivors`, for items that are similar if in one of the channels their sets are the same or a pair.
+
+    A channel is a table of pairs (a, b) of sets and one of each item's set (ident, first), as :func:`token_pairs` and
+    :func:`vector_pairs` give them.  A set keeps one item at most, so what a round knows of a set is its first open and its
+    kept item: rows are items and pairs of sets, however many equal items there are.  A round keeps open items without an open
+    or kept earlier neighbour, and drops those next to a kept one; the last few open rows are gone through in order by
+    one task, so that a chain of copies doesn't cost a round for each."""
+    member, beside = None, None
+    for c, (pairs, sets) in enumerate(channels):
+        own = sets.select(F.lit(c).alias("c"), F.col(ident).alias("at"), F.col("first").alias("s"))
+        both = pairs.select("a", "b").union(pairs.select("b", "a")).union(sets.select("first", "first")).distinct().toDF("s", "t")
+        both = both.select(F.lit(c).alias("c"), "s", "t")
+        member, beside = (own, both) if member is None else (member.unionByName(own), beside.unionByName(both))
+    kind = dict(member.dtypes)["at"]
+    member, beside = materialize(member, "members"), materialize(beside, "beside")
+    state = materialize(member.sparkSession.createDataFrame([], f"at {kind}, kept boolean"), "state")  # decided items only
+
+    def known() -> DataFrame:
+        """c, s and the first open and first kept item of the sets that a set is similar to."""
+        told = member.join(state, "at", "left").groupBy("c", "s").agg(
+            F.min(F.when(F.col("kept").isNull(), F.col("at"))).alias("open"), F.min(F.when(F.col("kept"), F.col("at"))).alias("held")
+        )
+        near = beside.join(told.withColumnRenamed("s", "t"), ["c", "t"]).groupBy("c", "s")
+        return near.agg(F.min("open").alias("open"), F.min("held").alias("held"))
 
     def walk(_: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        known, out = {}, []
-        for b, rows in frame.sort_values("b").groupby("b", sort=True):
-            near = [known.get(a, False) if pd.isna(k) else bool(k) for a, k in zip(rows["a"], rows["kept"])]
-            known[b] = not any(near)
-            out.append((b, known[b]))
-        return pd.DataFrame(out, columns=["a", "kept"])
-
-    while (left := (todo := materialize(seen(), "open")).count()) > MOST_LOCAL:
-        near = todo.groupBy("b").agg(F.max(F.coalesce("kept", F.lit(False))).alias("near_kept"), F.max(F.col("kept").isNull()).alias("near_open"))
-        new = near.where("near_kept or not near_open").select(F.col("b").alias("a"), (~F.col("near_kept")).alias("kept"))
-        state = materialize(state.unionByName(new), "state")
+        held = {(c, s): at for c, s, at in frame.loc[frame["what"] == 1, ["c", "s", "at"]].itertuples(index=False)}
+        near: dict[tuple, list] = {}
+        for c, s, t in frame.loc[frame["what"] == 2, ["c", "s", "at"]].itertuples(index=False):
+            near.setdefault((c, s), []).append((c, t))
+        out = []
+        for at, rows in frame[frame["what"] == 0].groupby("at", sort=True):
+            own = list(rows[["c", "s"]].itertuples(index=False, name=None))
+            kept = not any(t in held and held[t] < at for one in own for t in near[one])
+            if kept:
+                held |= dict.fromkeys(own, at)
+            out.append((at, kept))
+        return pd.DataFrame(out, columns=["at", "kept"])
+
+    while True:
+        todo = materialize(member.join(state.select("at"), "at", "left_anti"), "open")
+        of = beside.join(todo.select("c", "s").distinct(), ["c", "s"])
+        if (left := todo.count()) <= MOST_LOCAL and (left := left + of.limit(MOST_LOCAL + 1).count()) <= MOST_LOCAL:
+            break
+        each = todo.join(known(), ["c", "s"]).groupBy("at").agg(F.min("open").alias("open"), F.min("held").alias("held"))
+        near_kept = F.coalesce(F.col("held") < F.col("at"), F.lit(False))
+        new = each.where(near_kept | (F.col("open") >= F.col("at"))).select("at", (~near_kept).alias("kept"))
+        state, before = materialize(state.unionByName(new), "state"), state
+        discard(before)
         discard(todo)
     if left:
-        state = state.unionByName(todo.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(walk, f"a {kind}, kept boolean"))
-        state = materialize(state, "state")
-    kept, gone = state.where("kept").select("a"), state.where("not kept").select(F.col("a").alias("b"))
-    first = links.join(gone, "b").join(kept, "a").groupBy("b").agg(F.min("a").alias("survivor"))
-    return items.select(ident).join(first, F.col(ident) == F.col("b"), "left").select(ident, F.coalesce("survivor", F.col(ident)).alias("survivor"))
+        held = member.join(state.where("kept"), "at").join(of.select("c", F.col("t").alias("s")).distinct(), ["c", "s"])
+        rows = todo.select(F.lit(0).alias("what"), "c", "s", "at").union(held.select(F.lit(1), "c", "s", "at")).union(of.select(F.lit(2), "c", "s", "t"))
+        state = materialize(state.unionByName(rows.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(walk, f"at {kind}, kept boolean")), "state")
+    gone = member.join(state.where("not kept").select("at"), "at").join(known(), ["c", "s"])
+    first = gone.where(F.col("held") < F.col("at")).groupBy(F.col("at").alias("gone")).agg(F.min("held").alias("survivor"))
+    return items.select(ident).join(first, F.col(ident) == F.col("gone"), "left").select(ident, F.coalesce("survivor", F.col(ident)).alias("survivor"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,35 +13,59 @@ from tracequarry.lineage import materialize
 
 DUPLICATE, MOUNT = 0.85, 0.50
 BACKFILL_TOP = 200
-#: Known rows that an item meets at once.
-GROUP = 1024
+#: Rows of a group of items or known rows; cosines of a product that may be equal.
+GROUP, NEAR = 1024, 1e-9
 
 
 def nearest(items: DataFrame, known: DataFrame, item: str, name: str, order: str) -> DataFrame:
     """item, the most similar known row's name and its cosine; the first in ``order`` of equals.
 
-    The known rows are those of a taxonomy or of its stored questions. They are dealt to groups of ``GROUP`` rows, and an
-    item meets a group in one product and keeps the best of it, so the rows are items times groups, not pairs."""
-    ranked = known.select(F.col(name).alias("name"), F.col(order).cast("double").alias("o"), F.col("vector").cast("array<double>").alias("v"))
-    groups = materialize(ranked.withColumn("g", F.pmod(F.xxhash64("name", "o"), F.lit(max(1, known.count() // GROUP)))), "known")
-    packed = groups.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("o", "name", "v"))).alias("rows"))
+    Vectors that are null, zero or of another length have cosine 0.  Items and known rows are dealt to groups of about ``GROUP``
+    rows; two groups meet in one matrix product, and an item keeps the best of a group."""
     kinds = dict(items.dtypes)[item], dict(known.dtypes)[name]
-    met = items.select(F.col(item).alias("item"), F.col("vector").cast("array<double>").alias("iv")).crossJoin(packed.drop("g"))
-
-    def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for key, v, rows in zip(frame["item"], frame["iv"], frame["rows"]):
-                cos = [_cosine(v, r["v"]) for r in rows]
-                at = int(np.argmax(cos))
-                out.append((key, rows[at]["name"], rows[at]["o"], cos[at]))
-            yield pd.DataFrame(out, columns=["item", "name", "o", "cos"])
-
-    found = met.mapInPandas(best, f"item {kinds[0]}, name {kinds[1]}, o double, cos double")
+    ranked = known.select(F.col(name).alias("name"), F.col(order).cast("double").alias("o"), F.col("vector").cast("array<double>").alias("v"))
+    asked = items.select(F.col(item).alias("item"), F.col("vector").cast("array<double>").alias("v"))
+    ranked, asked = materialize(ranked, "known"), materialize(asked, "asked")
+    sides = [max(1, -(-t.count() // GROUP)) for t in (asked, ranked)]
+    every = lambda n, as_: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(as_)
+    left = asked.select("item", "v", F.pmod(F.xxhash64("item", "v"), F.lit(sides[0])).alias("i"), every(sides[1], "g"))
+    right = ranked.select("name", "o", "v", F.pmod(F.xxhash64("name", "o"), F.lit(sides[1])).alias("g"), every(sides[0], "i"))
+
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        right = right.sort_values(["o", "name"], kind="stable").reset_index(drop=True)
+        if not len(left) or not len(right):
+            return pd.DataFrame({"item": left["item"][:0], "name": right["name"][:0], "o": right["o"][:0], "cos": right["o"][:0]})
+        a, b = _units(left["v"]), _units(right["v"])
+        near = np.zeros((len(left), len(right)))
+        for dim in set(a) & set(b):
+            (rows, x), (columns, y) = a[dim], b[dim]
+            near[np.ix_(rows, columns)] = x @ y.T
+        at, cos = np.zeros(len(left), int), np.zeros(len(left))
+        like = near >= near.max(axis=1, keepdims=True) - NEAR
+        for k, v in enumerate(left["v"]):  # a product's rounding depends on the place, so what lies close is computed alike
+            some = np.flatnonzero(like[k])
+            exact = [_cosine(v, right["v"][j]) for j in some]
+            j = int(np.argmax(exact))
+            at[k], cos[k] = some[j], exact[j]
+        return pd.DataFrame({"item": left["item"], "name": right["name"].to_numpy()[at], "o": right["o"].to_numpy()[at], "cos": cos})
+
+    found = left.groupBy("i", "g").cogroup(right.groupBy("i", "g")).applyInPandas(best, f"item {kinds[0]}, name {kinds[1]}, o double, cos double")
     top = F.max(F.struct("cos", (-F.col("o")).alias("o"), "name"))
     return found.groupBy("item").agg(top.alias("b")).select(F.col("item").alias(item), F.col("b.name").alias(name), F.col("b.cos").alias("cosine"))
 
 
+def _units(vectors_: pd.Series) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Rows and unit vectors of each length; zero vectors stay."""
+    size = np.array([-1 if v is None else len(v) for v in vectors_])
+    out = {}
+    for dim in set(size.tolist()) - {-1, 0}:
+        rows = np.flatnonzero(size == dim)
+        x = np.array([vectors_.iloc[k] for k in rows], float)
+        long = np.linalg.norm(x, axis=1, keepdims=True)
+        out[dim] = rows, np.divide(x, long, out=np.zeros_like(x), where=long > 0)
+    return out
+
+
 def _cosine(a, b) -> float:
     if a is None or b is None or len(a) != len(b):
         return 0.0

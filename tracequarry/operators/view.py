@@ -25,9 +25,19 @@ def color_index(labels: DataFrame) -> DataFrame:
 
 
 def steps_in_spans(steps: DataFrame, spans: DataFrame, key: str, at: str = "step_index") -> DataFrame:
-    """Steps that lie in a span of their trajectory (both ends included), once per span."""
+    """Steps that lie in a span of their trajectory (both ends included), once per span; null ends have no step.
+
+    A span of n steps lies in one or two bins of the least power of two that is no less than n (from 2 on), a step in one bin of each width
+    that the spans of its trajectory have: those meet by equality, so a step meets spans near it only."""
+    size = F.col("end_step").cast("long") - F.col("start_step").cast("long") + 1
+    width = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(size - 1)))
+    low, high = (F.floor(F.col(c).cast("long") / F.col("__width")).cast("long") for c in ("start_step", "end_step"))
+    told = spans.where("start_step <= end_step").withColumn("__width", width).withColumn("__bin", F.explode(F.array_distinct(F.array(low, high))))
+    widths = told.groupBy(key).agg(F.collect_set("__width").alias("__widths"))  # at most one for each power of two
+    binned = steps.join(widths, key).withColumn("__width", F.explode("__widths")).drop("__widths")
+    binned = binned.withColumn("__bin", F.floor(F.col(at).cast("long") / F.col("__width")).cast("long"))
     within = F.col(at).between(F.col("start_step"), F.col("end_step"))
-    return steps.join(spans, key).where(within)
+    return binned.join(told, [key, "__width", "__bin"]).where(within).drop("__width", "__bin")
 
 
 def capability_hits(hits: DataFrame) -> DataFrame:

@@ -60,7 +60,8 @@ def search(
     tables["verdicts"].append(new)
     known = judging.remember(verdicts.select(new.columns), new)
     scored = hits.join(known, judging.KEY).withColumns({"judge_match": F.col("match"), "relevance": ranking.relevance(F.col("rrf"), F.col("match"))})
-    scored = materialize(scored.withColumn("seq", F.col("sub_ord") * 100_000 + F.col("rank")), "scored")
+    depth = int(top_n) + 1  # ranks of a sub-problem stay below it
+    scored = materialize(scored.withColumn("seq", F.col("sub_ord") * depth + F.col("rank")), "scored")
     merged = merging.merge_by_slice(merging.trainable(scored), extra=("embedding", "bm25_tokens"))
     survivors = near_duplicates(merged)
     unique = materialize(merging.absorb(merged, survivors), "unique")
@@ -75,19 +76,11 @@ def search(
 def near_duplicates(merged: DataFrame) -> DataFrame:
     """seq and survivor; earlier means more relevant, then earlier arrived.
 
-    The items of a run are bounded by its sub-problems and recall depth, so one window ranks them."""
-    from pyspark.sql import Window
-
-    items = merged.withColumn("at", F.row_number().over(Window.orderBy(F.desc("relevance"), "seq")).cast("long"))
-    items = materialize(items.select("at", "seq", "embedding", "bm25_tokens"), "items")
-    by_tokens, sets = dedup.token_pairs(items, ident="at")
-    same = sets.where("at <> first").select(F.col("first").alias("a"), F.col("at").alias("b"))
-    whole = sets.withColumnRenamed("first", "rep")
-    spread = by_tokens.join(whole.select(F.col("rep").alias("a"), F.col("at").alias("x")), "a").join(whole.select(F.col("rep").alias("b"), F.col("at").alias("y")), "b")
-    pairs = spread.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).unionByName(same)
-    kinds = whole.select(F.col("rep"), F.col("at").alias("x")).join(whole.select("rep", F.col("at").alias("y")), "rep").where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    pairs = pairs.unionByName(kinds).unionByName(dedup.cosine_pairs(items, ident="at"))
-    found = dedup.survivors(items, pairs, "at")
+    Places come from a sort by ranges; equal token sets and equal vectors stand for all their items, so copies
+    cost a row each."""
+    items = merged.select("seq", "relevance", "embedding", "bm25_tokens").orderBy(F.desc("relevance"), "seq")
+    items = materialize(items.withColumn("at", F.monotonically_increasing_id()), "items")
+    found = dedup.survivors_of_sets(items, [dedup.token_pairs(items, ident="at"), dedup.vector_pairs(items, ident="at")], "at")
     back = items.select("at", "seq")
     return found.join(back, "at").join(back.select(F.col("at").alias("survivor"), F.col("seq").alias("s")), "survivor").select("seq", F.col("s").alias("survivor"))
 
