@@ -116,3 +116,67 @@ def test_fence_and_home(monkeypatch):
     assert specs.strip_fence("```json\n{}\n```") == "{}" and specs.strip_fence("{}") == "{}"
     monkeypatch.setenv("TRACEQUARRY_HOME", "/x")
     assert specs.home() == "/x" and specs.home("/y") == "/y"
+
+
+def test_log_source_by_ranges(spark, tmp_path):
+    from tracequarry.sources import log_source
+
+    folder = tmp_path / "log"
+    folder.mkdir()
+    files = {"a.jsonl": "one\r\n\n\nlonger line é\n" + "x" * 50 + "\nlast", "b.jsonl": "", "c.jsonl": "\n", "_skip": "no\n", "d.jsonl": "z\n" * 40}
+    for name, text in files.items():
+        (folder / name).write_bytes(text.encode())
+    (folder / "e.jsonl").write_bytes(b"\xff\n")
+    want = []
+    for name in ("a.jsonl", "b.jsonl", "c.jsonl", "d.jsonl", "e.jsonl"):
+        at = 0
+        for line in (folder / name).read_bytes().split(b"\n"):
+            want.append((name, at, line.removesuffix(b"\r").decode("utf-8", "replace")))
+            at += len(line) + 1
+        if want[-1][2] == "":
+            want.pop()  # nothing stands behind the last line end
+    show = lambda df: [(r.file.split("/")[-1], r.offset, r.value) for r in df.orderBy("file", "offset").collect()]
+    for size in (1, 2, 3, 7, 64, 1 << 20):
+        got = [
+            (r.file.split("/")[-1], o.as_py(), v.as_py())
+            for r in log_source.ranges({}, log_source.list_files(str(folder)), size)
+            for b in log_source.read_range(r)
+            for v, o in zip(b.column("value"), b.column("offset"))
+        ]
+        assert got == want, size
+    assert show(log_source.read_lines(spark, str(folder), 7)) == want == show(log_source.read_lines(spark, f"file:{folder}", 1000))
+    lines, one = log_source.read_lines(spark, str(folder), 16), log_source.read_lines(spark, str(folder), 16, names="a.*")
+    some = log_source.read_lines(spark, str(folder), 16, names="a.*", from_offset=5, to_offset=30)
+    assert show(some) == [w for w in want if w[0] == "a.jsonl" and 5 <= w[1] < 30]
+    assert some.rdd.getNumPartitions() < one.rdd.getNumPartitions() < lines.rdd.getNumPartitions()
+    for name in ("a.jsonl", "d.jsonl"):  # a frame is used again, with other conditions
+        assert show(lines.where(F.col("file").endswith(name))) == [w for w in want if w[0] == name]
+    assert show(lines.where("offset > 5")) == [w for w in want if w[1] > 5] and show(lines) == want
+
+
+def test_log_source_as_a_stream(spark, tmp_path):
+    from tracequarry.sources import log_source
+
+    folder = tmp_path / "log"
+    folder.mkdir()
+    spark.dataSource.register(log_source.LogSource)
+
+    def run():
+        stream = spark.readStream.format("agent_log").option("range_bytes", 5).load(str(folder)).writeStream.format("parquet")
+        stream.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+        return sorted((r.file.split("/")[-1], r.offset, r.value) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    (folder / "a").write_text("one\ntwo\nthr")
+    assert run() == [("a", 0, "one"), ("a", 4, "two")]
+    with open(folder / "a", "a") as more:
+        more.write("ee\n")
+    (folder / "b").write_text("new\n")
+    assert run() == [("a", 0, "one"), ("a", 4, "two"), ("a", 8, "three"), ("b", 0, "new")]
+    assert len(run()) == 4
+
+
+def test_conversion_reads_once(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "blank.jsonl").write_text(" \n\n")
+    (tmp_path / "in" / "empty.jsonl").write_text("")
+    assert transcripts.convert_folder(spark, str(tmp_path / "in"), str(tmp_path / "out")) == {"converted": 0, "skipped": 1}

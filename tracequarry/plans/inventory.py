@@ -102,16 +102,29 @@ def _named(rows: DataFrame) -> DataFrame:
     return rows.withColumn("trajectory_id", F.when(F.col("trajectory_id").rlike("^traj_[0-9a-f]{16}$"), "traj_").otherwise(F.col("trajectory_id")))
 
 
-@query(f"WITH {_LOGGED} SELECT tid AS trajectory_id, step_index, role, md5(content) AS content_md5, tool, args, md5(result) AS result_md5 FROM st JOIN named USING (conv_id)")
-def log_steps(spark, sf_dir):
-    """Steps of JSON lines: lenient scan, surrogate ids, calls of both shapes."""
-    rows = trajectories.steps(trajectories.scan_jsonl(spark, logs(spark, sf_dir)).select("trajectory_id", "messages"))
+def _shown_steps(found: DataFrame) -> DataFrame:
+    rows = trajectories.steps(found.select("trajectory_id", "messages"))
     return _named(rows).select(
         "trajectory_id", *long("step_index"), "role", F.md5("content").alias("content_md5"), F.col("tool_call_name").alias("tool"),
         F.col("tool_call_args").alias("args"), F.md5("tool_result").alias("result_md5"),
     )
 
 
+_STEPS = f"WITH {_LOGGED} SELECT tid AS trajectory_id, step_index, role, md5(content) AS content_md5, tool, args, md5(result) AS result_md5 FROM st JOIN named USING (conv_id)"
+
+
+@query(_STEPS)
+def log_steps(spark, sf_dir):
+    """Steps of JSON lines: lenient scan, surrogate ids, calls of both shapes."""
+    return _shown_steps(trajectories.scan_jsonl(spark, logs(spark, sf_dir)))
+
+
+@query(_STEPS)
+def source_steps(spark, sf_dir):
+    """The same through the data source, by ranges of bytes."""
+    return _shown_steps(trajectories.scan_log(spark, logs(spark, sf_dir)))
+
+
 @query("""
 SELECT count(DISTINCT CASE WHEN conv_id % 5 = 0 THEN conv_id END) AS without_id, count(DISTINCT conv_id) AS lines, count(DISTINCT conv_id) AS with_path
 FROM conversations""")

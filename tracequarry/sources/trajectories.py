@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tracequarry.schemas import ROLES
+from tracequarry.sources import log_source
 
 CALL = "struct<id:string,type:string,name:string,arguments:string,`function`:struct<name:string,arguments:string>>"
 MESSAGE = "struct<role:string,content:string,tool_call_id:string,tool_calls:array<string>>"
@@ -52,6 +53,12 @@ def scan_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return parse_records(lines).withColumn("trajectory_path", F.col("file"))
 
 
+def scan_log(spark: SparkSession, path: str, range_bytes: int = log_source.RANGE_BYTES) -> DataFrame:
+    """As :func:`scan_jsonl`, by ranges of bytes: ``line`` is where the line begins, so the order doesn't depend on the tasks."""
+    lines = log_source.read_lines(spark, path, range_bytes)
+    return parse_records(lines.withColumnRenamed("offset", "line")).withColumn("trajectory_path", F.col("file"))
+
+
 def _call(text: Column) -> Column:
     return F.from_json(text, CALL)
 

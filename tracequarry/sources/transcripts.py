@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
@@ -83,30 +83,41 @@ def _events(lines: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([event_messages(x) or none for x in lines], columns=EVENT.names)
 
 
-def scan_transcripts(spark: SparkSession, path: str) -> DataFrame:
-    """Trajectories of transcript files: id is the file's stem.
-
-    A file counts only if it shows a user, an assistant, a tool call and a tool result."""
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each file with a line: file, messages by line (m), what it shows, and whether it is a trajectory."""
     lines = spark.read.text(path).select(
         F.make_valid_utf8("value").alias("value"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line")
     )
-    rows = lines.where(F.trim("value") != "").withColumn("e", _events("value"))
-    files = rows.groupBy("file").agg(
-        F.sort_array(F.collect_list(F.struct("line", "e.messages"))).alias("m"), *[F.bool_or(f"e.{k}").alias(k) for k in ("user", "assistant", "tool_use", "tool_result")]
+    shows = ("user", "assistant", "tool_use", "tool_result")
+    files = lines.withColumn("e", _events("value")).groupBy("file").agg(
+        F.sort_array(F.collect_list(F.struct("line", "e.messages"))).alias("m"), *[F.bool_or(f"e.{k}").alias(k) for k in shows]
     )
+    return files.withColumn("whole", F.expr(" and ".join(shows)))
+
+
+def _trajectories(files: DataFrame) -> DataFrame:
     stem = F.regexp_replace(F.regexp_extract("file", r"([^/]+)$", 1), r"\.[^.]*$", "")
-    whole = files.where("user and assistant and tool_use and tool_result")
-    return whole.select(stem.alias("trajectory_id"), F.flatten(F.transform("m", lambda x: x["messages"])).alias("messages"), F.col("file").alias("trajectory_path"))
+    messages = F.flatten(F.transform("m", lambda x: x["messages"]))
+    return files.where("whole").select(stem.alias("trajectory_id"), messages.alias("messages"), F.col("file").alias("trajectory_path"))
+
+
+def scan_transcripts(spark: SparkSession, path: str) -> DataFrame:
+    """Trajectories of transcript files: id is the file's stem.
+
+    A file counts only if it shows a user, an assistant, a tool call and a tool result."""
+    return _trajectories(_files(spark, path))
 
 
 def convert_folder(spark: SparkSession, source: str, target: str) -> dict[str, int]:
-    """Write the trajectories of ``*.jsonl`` transcripts as JSON lines; how many were converted and skipped."""
-    found = scan_transcripts(spark, f"{source}/*.jsonl")
-    rows = found.select(F.col("trajectory_id").alias("id"), F.transform("messages", lambda m: F.struct(
+    """Write the trajectories of ``*.jsonl`` transcripts as JSON lines; how many were converted and skipped.
+
+    The counts are observed by the write itself, so the source is read once."""
+    seen = Observation()
+    files = _files(spark, f"{source}/*.jsonl").observe(seen, F.count("*").alias("files"), F.count_if("whole").alias("converted"))
+    rows = _trajectories(files).select(F.col("trajectory_id").alias("id"), F.transform("messages", lambda m: F.struct(
         m["role"].alias("role"), m["content"].alias("content"), m["reasoning"].alias("reasoning"), m["tool_call_id"].alias("tool_call_id"),
         F.transform(m["tool_calls"], lambda c: F.from_json(c, "struct<id:string,type:string,`function`:struct<name:string,arguments:string>>")).alias("tool_calls"),
     )).alias("messages"))
     rows.write.mode("overwrite").json(target)
-    files = spark.read.text(f"{source}/*.jsonl").select(F.col("_metadata.file_path").alias("f")).distinct().count()
-    done = spark.read.json(target, schema="id string").count()
-    return {"converted": done, "skipped": files - done}
+    counts = seen.get
+    return {"converted": counts["converted"], "skipped": counts["files"] - counts["converted"]}
