@@ -135,6 +135,23 @@ def test_nearest_in_groups(spark, monkeypatch):
     assert taxonomy.nearest(spark.createDataFrame(items, f"id long, {schema}").limit(0), spark.createDataFrame(known, f"name string, ord int, {schema}"), "id", "name", "ord").count() == 0
 
 
+def test_nearest_in_groups_and_partitions(spark, monkeypatch):
+    """Groups of both sides meet wherever they are dealt to."""
+    from tracequarry.operators import taxonomy
+
+    monkeypatch.setattr(taxonomy, "GROUP", 8)
+    rng = np.random.default_rng(2)
+    items, known = ([(i, [float(x) for x in rng.normal(size=4)]) for i in range(n)] for n in (40, 30))
+    asked, stored = spark.createDataFrame(items, "id long, vector array<double>"), spark.createDataFrame([(f"k{i}", i, v) for i, v in known], "name string, ord int, vector array<double>")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.id: r["name"] for r in taxonomy.nearest(asked, stored, "id", "name", "ord").collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert got == {i: f"k{int(np.argmax([taxonomy._cosine(v, w) for _, w in known]))}" for i, v in items}
+
+
 def test_steps_in_spans_by_bins(spark):
     from tracequarry.operators import view
 

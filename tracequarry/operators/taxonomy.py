@@ -28,8 +28,10 @@ def nearest(items: DataFrame, known: DataFrame, item: str, name: str, order: str
     ranked, asked = materialize(ranked, "known"), materialize(asked, "asked")
     sides = [max(1, -(-t.count() // GROUP)) for t in (asked, ranked)]
     every = lambda n, as_: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(as_)
-    left = asked.select("item", "v", F.pmod(F.xxhash64("item", "v"), F.lit(sides[0])).alias("i"), every(sides[1], "g"))
-    right = ranked.select("name", "o", "v", F.pmod(F.xxhash64("name", "o"), F.lit(sides[1])).alias("g"), every(sides[0], "i"))
+    # of one type on both sides: cogroup compares keys as they are, and a long and an int with the same value go to different partitions
+    dealt = lambda n, as_, *by: F.pmod(F.xxhash64(*by), F.lit(n)).cast("int").alias(as_)
+    left = asked.select("item", "v", dealt(sides[0], "i", "item", "v"), every(sides[1], "g"))
+    right = ranked.select("name", "o", "v", dealt(sides[1], "g", "name", "o"), every(sides[0], "i"))
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         right = right.sort_values(["o", "name"], kind="stable").reset_index(drop=True)
