@@ -30,6 +30,15 @@ def test_truncation(spark):
     assert cut[0] == "a" * 15 + health.TRUNCATION_MARKER + "b" * 35 and cut[1] == text and cut[2] == "a" + health.TRUNCATION_MARKER + "b"
 
 
+def test_conversation_shares_are_exact(spark):
+    """Shares of 680 and 700 characters: as doubles their 35 % lie just below 238 and 245."""
+    for free in (680, 700):
+        rows = [(0, "system", "s" * (800 - free))] + [(i, "user", "u" * 500) for i in (1, 2, 3)]
+        cut = health.truncate_conversations(spark.createDataFrame([(1, *r) for r in rows], "c int, turn int, role string, text string"), "c", "turn", "role", "text", 200)
+        size = [len(r.text) for r in cut.orderBy("turn").collect()]
+        assert size == [800 - free, free * 35 // 100, free * 35 // 100, free * 30 // 100]
+
+
 def test_abort_and_bucket():
     m = health.AbortMonitor()
     assert [m.record(o) for o in ["auth_error"] * 4 + ["timeout"] + ["auth_error"] * 5] == [False] * 9 + [True]
