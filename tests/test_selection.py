@@ -73,6 +73,22 @@ def test_pairs_against_all(spark):
     assert got == {(a, b) for a in unit for b in unit if a < b and unit[a] @ unit[b] > 0.9} and got
 
 
+def test_token_sets_meet_by_parts(spark):
+    """Frequent tokens bring nobody together: 400 sets out of 60 words, and near copies of some; all sizes from 1 token on."""
+    pick = random.Random(6)
+    rows = [{f"w{pick.randrange(60)}" for _ in range(1 + i % 45)} for i in range(400)]
+    rows += [(set(rows[i]) | {f"n{i}"}) - set(sorted(rows[i])[: i % 3]) for i in range(0, 400, 3)]
+    items = spark.createDataFrame([(i, sorted(r)) for i, r in enumerate(rows)], "seq long, bm25_tokens array<string>")
+    for least in (0.9, 0.75):
+        pairs, sets = dedup.token_pairs(items, least)
+        uniq = {r.first: rows[r.first] for r in sets.collect()}
+        every = [(a, b) for a in uniq for b in uniq if a < b]
+        assert sorted(map(tuple, pairs.collect())) == sorted((a, b) for a, b in every if len(uniq[a] & uniq[b]) / len(uniq[a] | uniq[b]) >= least)
+    keys = dedup._part_keys(dedup.materialize(items.selectExpr("seq as first", "bm25_tokens as t")), 0.9)
+    other = keys.selectExpr("first as other", "key")
+    assert keys.join(other, "key").where("first < other").select("first", "other").distinct().count() < len(every) / 20
+
+
 def test_metric_join_against_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(5)
     seeds = rng.normal(size=(9, 6))
