@@ -1,3 +1,4 @@
+import random
 import shutil
 
 import pytest
@@ -107,3 +108,13 @@ def test_minhash_against_its_rule_and_the_exact_pairs(spark, monkeypatch):
     clear = {p for p in truth if len(set(items[p[0]][1]) & set(items[p[1]][1])) / len(set(items[p[0]][1]) | set(items[p[1]][1])) >= 0.95}
     found = {(a, b) for a, b, _ in want}
     assert len(clear) > 20 and len(clear & found) >= 0.9 * len(clear)
+
+
+def test_minhash_bands_miss_no_pair():
+    edges = dedup.band_edges(dedup.LEAST_EQUAL)
+    bands = list(zip(edges, edges[1:]))
+    assert min(b - a for a, b in bands) >= 9 and edges[0] == 0 and edges[-1] == dedup.PERMUTATIONS
+    pick = random.Random(1)
+    for _ in range(500):
+        differ = pick.sample(range(dedup.PERMUTATIONS), dedup.PERMUTATIONS - dedup.LEAST_EQUAL)
+        assert any(not any(a <= d < b for d in differ) for a, b in bands)
