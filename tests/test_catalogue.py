@@ -56,3 +56,10 @@ def test_import_without_the_optional_part(monkeypatch):
     entry = importlib.import_module("__spark_entry__")
     assert "rrf_recall_multi" in entry.queries() and "pipeline" not in entry.queries()
     monkeypatch.delitem(sys.modules, "__spark_entry__")
+
+
+def test_token_items_leave_texts_where_they_are(spark):
+    from tracequarry.plans import catalogue
+
+    plan = catalogue._token_items(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "documents.parquet" in plan and "Join" not in plan
