@@ -128,3 +128,25 @@ def test_heaps_meet_and_ranks_are_counted(spark):
             assert got == {d: order.index((-s, d)) + 1 for _, _, d, s in some}
     assert scoring.heaps(df.limit(0), scorer, 30, 5).count() == 0
     assert df.select(F.count("*")).first()[0] == 400
+
+
+def test_scores_of_common_words_take_bounded_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    words = [f"w{k:03d}" for k in range(100)]
+    gen = np.random.default_rng(3)
+    asked = [{w: int(gen.integers(1, 3)) for w in words if gen.random() < (0.9 if i else 1)} | ({"rare": 1} if i % 50 == 0 else {}) for i in range(150)]
+    weights = {w: float(gen.random() * 5) for w in words} | {"rare": 7.5}
+    rows = [[w for w in words if gen.random() < 0.9] + (["w001"] * 3 + ["rare"] if r % 7 == 0 else []) for r in range(1500)]
+    scorer, tokens = scoring.Scorer(asked, weights, [[] for _ in asked]), pa.array(rows, pa.list_(pa.string()))
+    tracemalloc.start()
+    got = scorer.keywords(tokens)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150_000_000  # over 800 MB when each word of each row was spread over its sub-problems at once
+    for r, i in ((0, 0), (7, 50), (8, 3), (1499, 149)):
+        tf = {w: rows[r].count(w) for w in rows[r]}
+        assert abs(got[r, i] - sum(n * weights[w] * tf[w] * 2.2 / (tf[w] + 1.2) for w, n in asked[i].items() if w in tf)) < 1e-9
+    assert (scorer.keywords(pa.array([rows[3], rows[3][::-1]], pa.list_(pa.string()))) == got[3]).all()

@@ -109,11 +109,10 @@ def stated(queries: DataFrame) -> tuple[list, list[dict], list[list]]:
 
 def weights(corpus: DataFrame, words: set[str], tokens: str = "bm25_tokens") -> dict[str, float]:
     """idf of the stated words that the corpus has."""
-    asked = F.broadcast(corpus.sparkSession.createDataFrame([(w,) for w in sorted(words)], "token string"))  # the stated words
-    each = corpus.select(F.explode(F.array_distinct(F.transform(tokens, F.lower))).alias("token"))
-    df = each.join(asked, "token").groupBy("token").agg(F.count("*").alias("df"))
+    each = sorted(words)
+    df = scoring.frequency(corpus.select(F.transform(tokens, F.lower).alias("tokens")), each)
     n = corpus.agg(F.count("*").alias("n"))
-    return dict(map(tuple, df.join(F.broadcast(n)).select("token", idf(F.col("n"), F.col("df"))).collect()))  # one row; a row for each stated word
+    return {each[r.place]: r.idf for r in df.join(F.broadcast(n)).select("place", idf(F.col("n"), F.col("df")).alias("idf")).collect()}  # one row; a row for each stated word
 
 
 def recall(corpus: DataFrame, queries: DataFrame, condition: Callable[[Column], Column], ident: str = "ingest_seq", top_n: int = 20) -> DataFrame:
