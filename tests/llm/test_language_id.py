@@ -180,3 +180,30 @@ def test_held_out_accuracy(spark):
     got = lid.identify(docs).join(docs.select("doc_id", "lang", "n_chars"), "doc_id").where("held_out and lang_pred <> 'und'").collect()
     assert len(got) > 100
     assert sum(r.lang == r.lang_pred for r in got) / len(got) >= 0.95
+
+
+def test_all_labelled_rows_are_learnt_from(spark, monkeypatch):
+    """A third of the English rows has words of its own; the start, of five rows of a language, lacks them."""
+    monkeypatch.setattr(lid, "PER_LANGUAGE", 5)
+    say = lambda i: "zorq vux zib" if i % 7 == 3 else "the house and the garden" if i % 2 else "la maison et le jardin vux"
+    rows = [(i, f"{say(i)} {chr(97 + i % 26) * 2}", "en" if i % 7 == 3 or i % 2 else "fr", None) for i in range(700)]
+    learnt = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    df = spark.createDataFrame(rows, DOCS)
+    model = lid.learn(df)
+    assert model.sizes["en"] == model.sizes["fr"] == 5
+    for lang in ("en", "fr"):
+        own = lid.features([r[1] for r in learnt if r[2] == lang])
+        mean = own.mean(0) / np.linalg.norm(own.mean(0))
+        assert np.allclose(model.means[lang], mean, atol=1e-5)
+        assert abs(model.bounds[lang] - lid.NEAR_SHARE * np.quantile(own @ mean, lid.NEAR_QUANTILE)) < 5e-3
+    # the descent as one matrix, from the same start
+    x, y = lid.features([r[1] for r in learnt]).astype(float), np.array([1.0 if lid.family(r[2]) == "germanic" else -1.0 for r in learnt])
+    x, share = np.hstack([x, np.ones((len(x), 1))]), np.where(y > 0, 0.5 / (y > 0).sum(), 0.5 / (y < 0).sum())
+    w = v = lid.fit(df).top["germanic", "romance"]
+    for t in range(lid.PASSES):
+        new = v - (1e-4 * v - 2 * x.T @ (share * y * np.maximum(0, 1 - y * (x @ v)))) / (4 + 1e-4)
+        v, w = new + t / (t + 3) * (new - w), new
+    assert np.abs(model.top["germanic", "romance"] - w).max() < 1e-5
+    got = {r.doc_id: r for r in lid.identify(df).collect()}
+    again = {r.doc_id: r for r in lid.identify(df.repartition(7)).collect()}
+    assert all(got[r[0]].lang_pred == again[r[0]].lang_pred == r[2] and abs(got[r[0]].score - again[r[0]].score) < 1e-12 for r in rows)

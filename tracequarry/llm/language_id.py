@@ -4,11 +4,13 @@ A text is a vector of hashed byte n-grams.  Linear support vector machines
 first tell language families apart; inside the predicted family, one machine
 for each pair of its languages votes for the language.
 
-The machines are fitted on at most ``PER_LANGUAGE`` distinct labelled rows of each
-language, those with the smallest hashes of id and text (a documented bound that
-doesn't depend on the table's size); every whole text is predicted.  Only text
-and language of rows whose crc32(doc_id) modulo 4 isn't 2 are learnt from; the
-prediction sees nothing but the text.
+The machines are fitted on all labelled rows that may be learnt from.  The descent starts
+at machines of at most ``PER_LANGUAGE`` distinct rows of each language, those with the
+smallest hashes of id and text, and takes ``PASSES`` steps over all rows, repeats included:
+tasks add up slopes, so nothing but sums reaches the driver.  Where the start has all rows,
+it is the result.  Mean vectors and bounds come from all rows as well.  Only text and
+language of rows whose crc32(doc_id) modulo 4 isn't 2 are learnt from; the prediction sees
+nothing but the text.
 
 Every language of the table is learnt, whatever their number; where there are many
 pairs, the machines are fitted by tasks.  A text is of a known language if its
@@ -25,6 +27,8 @@ are not read by :func:`identify` and kept by :func:`keep_known`.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -35,8 +39,10 @@ from pyspark.sql import functions as F
 from tracequarry.lineage import discard, materialize
 from tracequarry.llm.bpe import slices
 
-#: Rows of a language that the machines are fitted on.
-PER_LANGUAGE = 400
+#: Rows of a language that the descent starts from, and its steps over all rows.
+PER_LANGUAGE, PASSES = 400, 40
+#: Parts of the range of cosines in which the labelled rows are counted, rows whose slopes are added at once, decimals of weights.
+COSINES, ADDED_ROWS, DECIMALS = 4096, 256, 7
 #: Pairs of names whose machines the driver fits; more are dealt out to tasks.
 LOCAL_PAIRS = 32
 #: A text is of no known language below this share of the cosine that this quantile of the labelled rows reaches.
@@ -71,9 +77,9 @@ def held_out(doc_id: Column) -> Column:
 _FOLD = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
-def features(texts: list[str | None]) -> np.ndarray:
-    """A row for each text: square roots of its n-grams' shares, of length 1 (0 without n-grams)."""
-    out = np.zeros((len(texts), FEATURES), np.float32)
+def counted(texts: list[str | None]) -> np.ndarray:
+    """A row for each text: how many of its n-grams have each slot."""
+    out = np.zeros((len(texts), FEATURES), np.uint32)
     raw = [(" " + (t or "") + " ").encode("utf-8", "replace").translate(_FOLD) for t in texts]
     a = 0
     while a < len(raw):
@@ -96,8 +102,14 @@ def features(texts: list[str | None]) -> np.ndarray:
             code >>= np.uint32(32 - (FEATURES.bit_length() - 1))
             inside = row[: len(code)] == row[g - 1 :]
             counts += np.bincount((row[: len(code)] * FEATURES + code)[inside], minlength=len(counts))
-        out[a:b] = np.sqrt(counts.reshape(b - a, FEATURES))
+        out[a:b] = counts.reshape(b - a, FEATURES)
         a = b
+    return out
+
+
+def features(texts: list[str | None]) -> np.ndarray:
+    """A row for each text: square roots of its n-grams' shares, of length 1 (0 without n-grams)."""
+    out = np.sqrt(counted(texts).astype(np.float32))
     norm = np.linalg.norm(out, axis=1, keepdims=True)
     return out / np.where(norm > 0, norm, 1)
 
@@ -166,6 +178,8 @@ class Model:
             rows = kinds == f
             self.inside[f] = (sorted(set(langs[rows].tolist())), fit_pairs(x[rows], langs[rows], spark))
 
+        #: Rows of each language that the machines are fitted on.
+        self.sizes = Counter(langs.tolist())
         self.means, self.bounds = {}, {}
         for lang in set(langs.tolist()):
             own = x[langs == lang]
@@ -196,13 +210,17 @@ class Model:
         return langs.tolist(), score, near
 
 
+def learnable(docs: DataFrame) -> DataFrame:
+    """doc_id, text and lang of the labelled rows that may be learnt from."""
+    rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+    return rows.where("doc_id is not null and lang is not null and text is not null").where(~held_out(F.col("doc_id")))
+
+
 def fit(docs: DataFrame) -> Model:
-    """Machines from the labelled rows that may be learnt from, at most ``PER_LANGUAGE`` distinct ones of each language.
+    """The start of :func:`learn`: machines of at most ``PER_LANGUAGE`` distinct labelled rows of each language.
 
     They are those with the smallest hashes of id and text; only they, as vectors, reach the driver."""
-    rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    rows = rows.where("doc_id is not null and lang is not null and text is not null").where(~held_out(F.col("doc_id")))
-    rows = rows.withColumn("k", F.xxhash64("doc_id"))
+    rows = learnable(docs).withColumn("k", F.xxhash64("doc_id"))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row for each language
     if not counts:
         return Model(np.zeros((0, FEATURES), np.float32), np.array([], dtype=object))
@@ -244,6 +262,107 @@ def fit(docs: DataFrame) -> Model:
     return Model(x, np.array([row[0] for row in sample], dtype=object), spark)
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes as all of them fit."""
+    top = int(counts.max(initial=0))
+    return counts.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4").tobytes()
+
+
+def _vectors(batches: Iterator[pa.RecordBatch], places: dict[str, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of languages and vectors of rows (lang, x: packed counts), ``ADDED_ROWS`` at a time."""
+    for whole in batches:
+        for a in range(0, whole.num_rows, ADDED_ROWS):
+            part = whole.slice(a, ADDED_ROWS)
+            raw = part.column("x").to_pylist()
+            x = np.sqrt(np.stack([np.frombuffer(r, f"<u{len(r) // FEATURES}") for r in raw]).astype(np.float64))
+            norm = np.linalg.norm(x, axis=1, keepdims=True)
+            yield np.array([places[v] for v in part.column("lang").to_pylist()]), x / np.where(norm > 0, norm, 1)
+
+
+def _sums(rows: DataFrame, places: dict[str, int], add: Callable[[np.ndarray, np.ndarray, np.ndarray], None], shape: tuple[int, int]) -> np.ndarray:
+    """The sum over all rows of what ``add(out, lang, x)`` adds to ``out``: tasks sum their rows, then each line of ``out`` is summed."""
+
+    def work(batches):
+        out = np.zeros(shape)
+        for lang, x in _vectors(batches, places):
+            add(out, lang, x)
+        some = np.flatnonzero(out.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([out[i].tobytes() for i in some], pa.binary())], ["i", "s"])
+
+    def total(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, s in zip(batch.column("i").to_pylist(), batch.column("s").to_pylist()):
+                sums[i] = sums.get(i, 0) + np.frombuffer(s)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["i", "s"])
+
+    out = np.zeros(shape)
+    # every line meets in one task: a row for each task that read rows
+    for r in rows.select("lang", "x").mapInArrow(work, "i int, s binary").repartition("i").mapInArrow(total, "i int, s binary").collect():
+        out[r.i] = np.frombuffer(bytes(r.s))
+    return out
+
+
+def learn(docs: DataFrame) -> Model:
+    """Machines, mean vectors and bounds of all labelled rows that may be learnt from."""
+    model = fit(docs)
+    counts = {r["lang"]: r["count"] for r in learnable(docs).groupBy("lang").count().collect()}  # a row for each language
+    if counts == dict(model.sizes):
+        return model
+
+    def work(batches):
+        for batch in batches:
+            for part in slices(batch, "text", BATCH_BYTES, BATCH_ROWS):
+                data = pa.array([_packed(c) for c in counted(part.column("text").to_pylist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("lang"), data], ["lang", "x"])
+
+    rows = materialize(learnable(docs).select("lang", "text").mapInArrow(work, "lang string, x binary"), "counts")
+    langs = sorted(counts)
+    places, n = {v: i for i, v in enumerate(langs)}, np.array([counts[v] for v in langs], np.float64)
+    sets = [(model.top, family)] + [(model.inside[f][1], lambda v: v) for f in model.families]
+    each = [(machines, pair) for machines, _ in sets for pair in machines]
+    # whether a machine calls a language's rows 1 or -1, and what a row weighs: both sides weigh one half
+    side = np.array([[1.0 if name(v) == a else -1.0 if name(v) == b else 0.0 for machines, name in sets for a, b in machines] for v in langs]).reshape(len(langs), len(each))
+    weight = np.zeros_like(side)
+    for sign in (1, -1):
+        weight += np.where(side == sign, 0.5 / np.maximum(1, (n[:, None] * (side == sign)).sum(0)), 0)
+
+    if each:
+        w = v = np.array([machines[pair] for machines, pair in each])
+        rate, decay = 1 / (4 + 1e-4), 1e-4
+        for t in range(PASSES):
+
+            def slopes(out, lang, x, v=v):
+                y = side[lang]
+                push = weight[lang] * y * np.maximum(0, 1 - y * (x @ v[:, :-1].T + v[:, -1]))
+                out[:, :-1] += push.T @ x
+                out[:, -1] += push.sum(0)
+
+            new = v - rate * (decay * v - 2 * _sums(rows, places, slopes, v.shape))
+            v = new + t / (t + 3) * (new - w)
+            w = new
+        # the order of sums shows in later decimals only
+        for (machines, pair), row in zip(each, np.round(w, DECIMALS)):
+            machines[pair] = row
+
+    def means(out, lang, x):
+        np.add.at(out, lang, x)
+
+    mean = np.round(_sums(rows, places, means, (len(langs), FEATURES)) / n[:, None], DECIMALS)
+    mean /= np.maximum(np.linalg.norm(mean, axis=1, keepdims=True), 1e-9)
+
+    def cosines(out, lang, x):
+        near = np.einsum("ij,ij->i", x, mean[lang])
+        np.add.at(out, (lang, np.clip((near * COSINES).astype(int), 0, COSINES - 1)), 1)
+
+    met = np.cumsum(_sums(rows, places, cosines, (len(langs), COSINES)), axis=1)
+    for i, lang in enumerate(langs):
+        model.means[lang] = mean[i]
+        model.bounds[lang] = NEAR_SHARE * np.searchsorted(met[i], NEAR_QUANTILE * (n[i] - 1), side="right") / COSINES
+    discard(rows)
+    return model
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` plus ``lang_pred``, ``score`` and ``known``; docs may hold any other columns."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages x features numbers
@@ -262,12 +381,12 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 def identify(docs: DataFrame) -> DataFrame:
     """One row per document: held_out, lang_pred and score."""
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    return predict(rows, fit(docs)).select("doc_id", "held_out", "lang_pred", "score")
+    return predict(rows, learn(docs)).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text is of a known language; all if none can be learnt."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(row.alias("__row"), F.col("text").alias("__text"))
-    model = fit(docs)
+    model = learn(docs)
     return predict(rows, model, "__text").where("known").select("__row.*") if model.families else docs
