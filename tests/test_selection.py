@@ -214,3 +214,20 @@ def test_view(spark):
     assert [(r.trajectory_id, r.relevance, r.selected) for r in got] == [("t", 0.5, True)]
     colors = view.color_index(spark.range(25).select(F.format_string("%02d", "id").alias("label"))).collect()
     assert {r.label: r.color for r in colors}["13"] == 3
+
+
+def test_vectors_that_cells_do_not_prune_meet_in_blocks(spark):
+    """At a low threshold nearly every vector is a guest of every earlier cell: blocks that all meet take fewer copies; copies of vectors are expanded."""
+    gen = np.random.default_rng(8)
+    x = gen.normal(size=(6000, 16)).astype(np.float32)
+    x[5990:] = x[:10]
+    items = spark.createDataFrame(pd.DataFrame({"seq": range(6000), "embedding": x.tolist()}), "seq long, embedding array<float>")
+    join = dedup.MetricJoin(items, 0.7, "seq", "embedding")
+    parts = -(-5990 // join.whole[16])
+    assert join.told.selectExpr("sum(size(rings)) n").first().n == 5990 and parts == dedup.LEAST_BLOCKS
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    a, b = np.nonzero(np.triu(u @ u.T > 0.7, 1))
+    got = sorted((r.a, r.b) for r in dedup.cosine_pairs(items, 0.7).collect())
+    assert got == list(zip(a.tolist(), b.tolist()))
+    some = items.withColumn("seq", F.format_string("%04d", "seq"))
+    assert sorted((int(r.a), int(r.b)) for r in dedup.cosine_pairs(some, 0.7).collect()) == got
