@@ -150,3 +150,25 @@ def test_scores_of_common_words_take_bounded_memory():
         tf = {w: rows[r].count(w) for w in rows[r]}
         assert abs(got[r, i] - sum(n * weights[w] * tf[w] * 2.2 / (tf[w] + 1.2) for w, n in asked[i].items() if w in tf)) < 1e-9
     assert (scorer.keywords(pa.array([rows[3], rows[3][::-1]], pa.list_(pa.string()))) == got[3]).all()
+
+
+def test_postings_of_a_batch_are_counted_before_they_are_dealt():
+    """One row for a word and block, not one for every word of every row; repeated and null words, ids below zero."""
+    import pyarrow as pa
+
+    rows = pa.RecordBatch.from_arrays([pa.array([5, -1, 17, 4]), pa.array([["a", "b", "a"], ["a"], ["a", None], ["b"]], pa.list_(pa.string()))], ["ident", "tokens"])
+    got = [r for b in keyword_index._fragments(16)(iter([rows, rows.slice(0, 0)])) for r in b.to_pylist()]
+    told = {(r["token"], r["block"]): [(p["ident"], p["tf"]) for p in r["postings"]] for r in got}
+    assert len(got) == 4 and told == {("a", -1): [(-1, 1)], ("a", 0): [(5, 2)], ("a", 1): [(17, 1)], ("b", 0): [(4, 1), (5, 1)]}
+
+
+def test_a_block_tells_its_best_rows_only(spark, tmp_path, monkeypatch):
+    """Scores of a block meet in one task, which tells as many rows as are wanted; a row written twice in one write is one."""
+    monkeypatch.setattr(keyword_index, "SPAN", 64)
+    rows = [(i, ["w"] * (1 + i % 5)) for i in range(300)]
+    index = keyword_index.KeywordIndex(spark, str(tmp_path / "index"))
+    index.append(spark.createDataFrame([*rows, (7, ["w"] * 9)], "ingest_seq long, bm25_tokens array<string>"))
+    queries = spark.createDataFrame([("q", ["w"], None)], QUERIES)
+    assert [r.ident for r in index.search(queries, 3).orderBy("rank").collect()] == [7, 4, 9]
+    told = index.postings(["w"]).selectExpr("sum(n) n", "max(max_tf) m").first()
+    assert (told.n, told.m) == (300, 12)
