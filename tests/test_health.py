@@ -73,3 +73,19 @@ def test_rates_of_a_stream(spark, tmp_path):
     got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).select(*columns).collect()))
     whole = spark.createDataFrame(rows, kind).withColumn("ts", F.timestamp_seconds("s"))
     assert got == sorted(map(tuple, health.window_rates(whole, "key", "ts", "event_id").select(*columns).collect()))
+
+
+def test_windows_of_many_keys_at_once():
+    """A bucket's keys are counted together; each window stays inside its key, 20 seconds and 50 outcomes."""
+    import pandas as pd
+
+    from tracequarry.streaming import health as stream
+
+    pick = random.Random(6)
+    rows = sorted((pick.choice("abc"), pick.randrange(400) * 500_000, i) for i in range(900))
+    begin, low = stream._places(pd.DataFrame([(k if k != "a" else None, t, i) for k, t, i in rows], columns=["key", "at", "event_id"]))
+    for n, (k, t, _) in enumerate(rows):
+        inside = [m for m in range(n + 1) if rows[m][0] == k and rows[m][1] >= t - 20_000_000][-50:]
+        assert low[n] == inside[0] and begin[n] == next(m for m, r in enumerate(rows) if r[0] == k)
+    frame = pd.DataFrame({"key": ["x", None], "at": [1, 2], "event_id": [3, 4], "outcome": ["timeout", "success"]})
+    assert len(stream._packed(frame)) == 1 and stream._packed(frame[:0]) == []
