@@ -172,3 +172,14 @@ def test_a_block_tells_its_best_rows_only(spark, tmp_path, monkeypatch):
     assert [r.ident for r in index.search(queries, 3).orderBy("rank").collect()] == [7, 4, 9]
     told = index.postings(["w"]).selectExpr("sum(n) n", "max(max_tf) m").first()
     assert (told.n, told.m) == (300, 12)
+
+
+def test_vector_index_works_in_tiles(spark, tmp_path, monkeypatch):
+    """Batches are compared with the centres, and scored, a few rows at a time; the result is that of scoring all rows."""
+    monkeypatch.setattr(vector_index, "TILE", 16)
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(150)]
+    asked = [("a", None, [rows[3][1]]), ("b", None, [rows[5][1], rows[8][1]])]
+    index = vector_index.VectorIndex(spark, str(tmp_path / "index"))
+    index.append(spark.createDataFrame(rows, "ingest_seq long, embedding array<double>").coalesce(1))
+    same(got_from(index.search(spark.createDataFrame(asked, QUERIES), 9), "cosine"), cosines(rows, asked, 9))

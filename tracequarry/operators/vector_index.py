@@ -31,6 +31,8 @@ from tracequarry.sources.stores import KeyedTable
 SAMPLE, MOST_CELLS, ROUNDS = 16_384, 1024, 8
 #: Rows of the nearest cells that are read first, for each hit wanted.
 AHEAD = 8
+#: Rows that a task compares with all centres, or scores, at once.
+TILE = 1024
 #: Angles and cosines are compared with this much room for rounding.
 ROOM = 1e-6
 
@@ -88,7 +90,7 @@ class VectorIndex:
         sent = self.spark.sparkContext.broadcast(self._centres())
 
         def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (b.slice(k, TILE) for b in batches for k in range(0, b.num_rows, TILE)):
                 dims = batch.column("dim").to_numpy()
                 cell, angle = np.zeros(len(dims), np.int32), np.zeros(len(dims))
                 for dim in np.unique(dims).tolist():
@@ -159,7 +161,8 @@ class VectorIndex:
         plan = {}
         for c, r in enumerate(cells):
             if (who := np.flatnonzero(wanted[:, c])).size:
-                plan[r.dim, r.cell] = [(i, q) for i, q in turn[r.dim, r.cell] if wanted[i, c]]
+                some = [(i, q) for i, q in turn[r.dim, r.cell] if wanted[i, c]]
+                plan[r.dim, r.cell] = np.array([i for i, _ in some], np.int32), np.array([q for _, q in some])
         sent = self.spark.sparkContext.broadcast((scorer, plan, far))  # stated sub-problems x bounded cells
         named = F.concat_ws("/", "dim", "cell")
         rows = self._rows().where(F.col("write").isin(writes) & F.col("dim").isin(sorted({d for d, _ in plan})) & F.col("cell").isin(sorted({c for _, c in plan})))
@@ -172,7 +175,7 @@ class VectorIndex:
                 for i, v in each:
                     units.setdefault((dim, i), []).append(v)
             heap = Heap(scorer.n, top_n)
-            for batch in batches:
+            for batch in (b.slice(k, TILE) for b in batches for k in range(0, b.num_rows, TILE)):
                 key = batch.column("dim").to_numpy().astype(np.int64) << 32 | batch.column("cell").to_numpy()
                 angle, ident = batch.column("angle").to_numpy(), batch.column("ident").to_numpy()
                 for one in np.unique(key).tolist():
@@ -180,7 +183,7 @@ class VectorIndex:
                     some = np.flatnonzero(key == one)
                     x = _unit(batch.column("vector").take(pa.array(some)), dim)
                     turns: dict[int, list[float]] = {}
-                    for i, q in plan.get((dim, cell), ()):
+                    for i, q in zip(*(a.tolist() for a in plan.get((dim, cell), ()))):
                         turns.setdefault(i, []).append(q)
                     for i, qs in turns.items():
                         near = np.zeros(len(some), bool)
